@@ -67,28 +67,6 @@ def sequential_id(df: DataFrame, order: Sequence[str | Column], name: str = "seq
                   .drop(_PID, _MONO))
 
 
-def previous_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                    prefix: str = "prev_") -> DataFrame:
-    """``lag(c) over (partition by keys order by order)`` for each ``c`` in ``cols``.
-
-    Rows are numbered along (keys, order) with ``sequential_id``; the previous row is
-    then an equi-join on ``seq - 1`` - a unique, evenly spread key, so a key holding a
-    third of the rows is handled by many tasks. The first row of a key gets NULLs.
-    """
-    seq = sequential_id(df, list(keys) + list(order), name="__seq")
-    prev = seq.select((F.col("__seq") + 1).alias("__seq"),
-                      *[F.col(k).alias(f"__pk_{k}") for k in keys],
-                      *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    j = seq.join(prev, "__seq", "left")
-    same = None
-    for k in keys:
-        cond = F.col(k).eqNullSafe(F.col(f"__pk_{k}"))
-        same = cond if same is None else same & cond
-    out = j.select(*df.columns, *[F.when(same, F.col(f"{prefix}{c}")).alias(f"{prefix}{c}") for c in cols],
-                   "__seq")
-    return out
-
-
 def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "running",
                 partitions: int | None = None) -> DataFrame:
     """Cumulative ``sum(value)`` in a unique ``order`` (rows frame), computed per

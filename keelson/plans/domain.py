@@ -129,3 +129,50 @@ zones AS (
          'region_' || CAST(r.r_regionkey AS VARCHAR) AS service_zone
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
+
+
+# ----------------------------------------------------------------------------- versions
+
+COMMIT_SIZE = 1000
+
+
+def event_changes(spark: SparkSession, sf_dir: str, commit_size: int = COMMIT_SIZE) -> DataFrame:
+    """Change table over ``events``: key user_id, payload (event_type, value, ts);
+    one commit (version) per ``commit_size`` consecutive event ids, ``seq`` = event_id.
+    signup -> insert, error -> delete, anything else -> update."""
+    e = table(spark, sf_dir, "events")
+    op = (F.when(F.col("event_type") == "signup", "insert")
+           .when(F.col("event_type") == "error", "delete").otherwise("update"))
+    return e.select("user_id", "event_type", "value", "ts",
+                    F.floor(F.col("event_id") / commit_size).cast("bigint").alias("version"),
+                    F.col("event_id").alias("seq"), op.alias("op"))
+
+
+def event_actions(spark: SparkSession, sf_dir: str, commit_size: int = COMMIT_SIZE) -> DataFrame:
+    """Action log over ``events``: one data file per user (``part-<user>.parquet``);
+    an error event removes the file, any other event (re-)adds it."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.floor(F.col("event_id") / commit_size).cast("bigint").alias("version"),
+                    F.col("event_id").alias("seq"),
+                    F.when(F.col("event_type") == "error", "remove").otherwise("add").alias("action"),
+                    F.concat(F.lit("part-"), F.col("user_id").cast("string"), F.lit(".parquet")).alias("path"),
+                    F.round(F.col("value") * 100).cast("bigint").alias("size"),
+                    "ts")
+
+
+CHANGES_SQL = f"""
+changes AS (
+  SELECT user_id, event_type, value, ts, CAST(floor(event_id / {COMMIT_SIZE}) AS BIGINT) AS version,
+         event_id AS seq,
+         CASE WHEN event_type = 'signup' THEN 'insert' WHEN event_type = 'error' THEN 'delete' ELSE 'update' END AS op
+  FROM events
+)"""
+
+ACTIONS_SQL = f"""
+actions AS (
+  SELECT CAST(floor(event_id / {COMMIT_SIZE}) AS BIGINT) AS version, event_id AS seq,
+         CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS action,
+         'part-' || CAST(user_id AS VARCHAR) || '.parquet' AS path,
+         CAST(round(value * 100) AS BIGINT) AS size, ts
+  FROM events
+)"""

@@ -74,7 +74,7 @@ def borough_totals(gold: DataFrame) -> DataFrame:
         F.count("card_tip_pct").alias("_tip_n"))
     return g.select("borough", "trips",
                     C.round_half_up(F.col("_rev_c") / 1e8, 1).alias("revenue_millions"),
-                    C.round_half_up(F.col("_tip_t") / F.col("_tip_n") / 10, 1).alias("avg_card_tip_pct"))
+                    C.round_half_up(F.col("_tip_t") / F.nullif(F.col("_tip_n"), F.lit(0)) / 10, 1).alias("avg_card_tip_pct"))
 
 
 def payment_tipping(trips: DataFrame) -> DataFrame:
@@ -165,7 +165,7 @@ def one_day(df: DataFrame, day: str, ts_col: str = "tpep_pickup_datetime") -> Da
     raw timestamp so it prunes row groups / partitions."""
     g = df.filter(C.day_range(ts_col, day)).agg(F.count(F.lit(1)).alias("trips"),
                                                  F.sum(C.cents("total_amount")).alias("_c"))
-    return g.select("trips", (F.floor(F.col("_c") / F.col("trips") + 0.5) / 100).alias("avg_total"))
+    return g.select("trips", (F.floor(F.col("_c") / F.nullif(F.col("trips"), F.lit(0)) + 0.5) / 100).alias("avg_total"))
 
 
 def payment_summary(df: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ gold_daily AS (
   GROUP BY 1, 2, 3
 )"""
 
-GOLD_HOURLY_SQL = SILVER_SQL + """,
+GOLD_HOURLY_CTE = """,
 gold_hourly AS (
   SELECT z.borough, dayname(t.pickup_at) AS day_of_week, t.pickup_hour,
          count(*) AS trip_count,
@@ -136,6 +136,7 @@ gold_hourly AS (
   FROM silver t LEFT JOIN zones z ON t.pickup_zone_id = z.zone_id
   GROUP BY 1, 2, 3
 )"""
+GOLD_HOURLY_SQL = SILVER_SQL + GOLD_HOURLY_CTE
 
 
 def W(ctes: str, body: str) -> str:
@@ -178,3 +179,205 @@ def q_gold_daily_merge(spark, sf_dir):
 def q_gold_hourly(spark, sf_dir):
     """G5, F8, F9."""
     return gold_hourly(spark, sf_dir)
+
+
+# ----------------------------------------------------------------------------- reports
+
+def _cents_sum(col: str) -> str:
+    return f"CAST(sum(CAST(round({col} * 100) AS BIGINT)) AS BIGINT)"
+
+
+def _avg_cents(col: str) -> str:
+    return f"floor({_cents_sum(col)} / count(*) + 0.5) / 100"
+
+
+@register("borough_totals", W(GOLD_DAILY_SQL, f"""
+SELECT borough, CAST(sum(trip_count) AS BIGINT) AS trips,
+       floor({_cents_sum('revenue')} / 1e8 * 10 + 0.5) / 10 AS revenue_millions,
+       floor(CAST(sum(CAST(round(card_tip_pct * 10) AS BIGINT)) AS BIGINT) / nullif(count(card_tip_pct), 0) / 10 * 10 + 0.5) / 10
+         AS avg_card_tip_pct
+FROM gold_daily WHERE borough IS NOT NULL GROUP BY borough"""))
+def q_borough_totals(spark, sf_dir):
+    """G6, A13, O2."""
+    return gold.borough_totals(gold_daily(spark, sf_dir))
+
+
+@register("payment_tipping", W(SILVER_SQL, f"""
+SELECT CASE payment_type_id WHEN 1 THEN 'Card' WHEN 2 THEN 'Cash' ELSE 'Other' END AS payment,
+       count(*) AS trips, {_avg_cents('tip_amount')} AS avg_tip,
+       floor(CAST(sum(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) / count(*) * 100 * 10 + 0.5) / 10 AS pct_with_tip
+FROM silver GROUP BY 1"""))
+def q_payment_tipping(spark, sf_dir):
+    """G7, F15, A9."""
+    return gold.payment_tipping(silver(spark, sf_dir))
+
+
+@register("trips_by_hour", W(GOLD_HOURLY_SQL, """
+SELECT pickup_hour, CAST(sum(trip_count) AS BIGINT) AS trips FROM gold_hourly GROUP BY 1"""))
+def q_trips_by_hour(spark, sf_dir):
+    """G8."""
+    return gold.trips_by_hour(gold_hourly(spark, sf_dir))
+
+
+WEEKDAY_HOUR_SQL = domain.RAW_TRIPS_SQL + f""",
+wh AS (
+  SELECT dayname(tpep_pickup_datetime) AS day_of_week, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
+         count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
+  FROM raw WHERE total_amount BETWEEN 0 AND 50000 GROUP BY 1, 2
+)"""
+
+
+@register("weekday_hour", W(WEEKDAY_HOUR_SQL, "SELECT * FROM wh"))
+def q_weekday_hour(spark, sf_dir):
+    """G9, P8, F8, F9, O1."""
+    return gold.weekday_hour(domain.raw_trips(spark, sf_dir))
+
+
+@register("weekday_pivot", W(WEEKDAY_HOUR_SQL, "SELECT hour, " + ", ".join(
+    f"CAST(sum(trips) FILTER (WHERE day_of_week = '{d}') AS BIGINT) AS {d}" for d in gold.WEEKDAYS)
+    + " FROM wh GROUP BY hour"))
+def q_weekday_pivot(spark, sf_dir):
+    """G10, R1."""
+    return gold.weekday_pivot(gold.weekday_hour(domain.raw_trips(spark, sf_dir)))
+
+
+GENEROUS_SQL = W(SILVER_SQL, """
+SELECT z.borough,
+       floor(avg(CASE WHEN t.total_amount <> 0 THEN t.tip_amount / t.total_amount * 100 END) * 100 + 0.5) / 100 AS avg_tip_pct,
+       count(*) AS trips
+FROM silver t JOIN zones z ON t.pickup_zone_id = z.zone_id GROUP BY 1""")
+
+
+@register("generous_borough", GENEROUS_SQL)
+def q_generous(spark, sf_dir):
+    """G11, J1, J3, D1 (native expression)."""
+    return gold.generous_borough(silver(spark, sf_dir), zones(spark, sf_dir), "broadcast", "native")
+
+
+@register("generous_borough_merge", GENEROUS_SQL)
+def q_generous_merge(spark, sf_dir):
+    """G11 with a sort-merge join."""
+    return gold.generous_borough(silver(spark, sf_dir), zones(spark, sf_dir), "merge", "native")
+
+
+@register("generous_borough_pandas_udf", GENEROUS_SQL)
+def q_generous_udf(spark, sf_dir):
+    """G11 with the Arrow-batched UDF twin."""
+    return gold.generous_borough(silver(spark, sf_dir), zones(spark, sf_dir), "broadcast", "vectorized")
+
+
+@register("load_audit", W(BRONZE_SQL, """
+SELECT _pickup_month, count(*) AS rows, min(_ingested_at) AS first_ingested_at FROM bronze GROUP BY 1"""))
+def q_load_audit(spark, sf_dir):
+    """G12, A1, A6."""
+    return gold.load_audit(bronze(spark, sf_dir))
+
+
+@register("funnel", W(GOLD_DAILY_SQL + GOLD_HOURLY_CTE, """
+SELECT 'bronze' AS layer, count(*) AS rows FROM bronze
+UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'gold_daily_zone_revenue', count(*) FROM gold_daily
+UNION ALL SELECT 'gold_hourly_demand', count(*) FROM gold_hourly"""))
+def q_funnel(spark, sf_dir):
+    """G13, U1."""
+    s = silver(spark, sf_dir)
+    z = zones(spark, sf_dir)
+    return gold.funnel({"bronze": bronze(spark, sf_dir), "silver": s,
+                        "gold_daily_zone_revenue": gold.daily_zone_revenue(s, z),
+                        "gold_hourly_demand": gold.hourly_demand(s, z)})
+
+
+@register("format_count", W(domain.RAW_TRIPS_SQL, """
+SELECT count(*) AS rows, floor(avg(trip_distance) * 10000 + 0.5) / 10000 AS avg_distance FROM raw"""))
+def q_format_count(spark, sf_dir):
+    """G14 (queries 1-2), A1, A5."""
+    return gold.format_count(domain.raw_trips(spark, sf_dir))
+
+
+@register("format_grouped", W(domain.RAW_TRIPS_SQL, f"""
+SELECT payment_type, count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
+FROM raw WHERE trip_distance > 5 GROUP BY 1"""))
+def q_format_grouped(spark, sf_dir):
+    """G14 (query 3), P13, A3."""
+    return gold.format_grouped(domain.raw_trips(spark, sf_dir))
+
+
+ONE_DAY = "1998-03-15"
+
+
+@register("one_day", W(domain.RAW_TRIPS_SQL, f"""
+SELECT count(*) AS trips, floor({_cents_sum('total_amount')} / nullif(count(*), 0) + 0.5) / 100 AS avg_total
+FROM raw WHERE tpep_pickup_datetime >= TIMESTAMP '{ONE_DAY}' AND tpep_pickup_datetime < TIMESTAMP '{ONE_DAY}' + INTERVAL 1 DAY"""))
+def q_one_day(spark, sf_dir):
+    """G15, P10 (as a pushed-down range)."""
+    return gold.one_day(domain.raw_trips(spark, sf_dir), ONE_DAY)
+
+
+@register("payment_summary", W(domain.RAW_TRIPS_SQL, f"""
+SELECT payment_type, count(*) AS trips, {_avg_cents('total_amount')} AS avg_total FROM raw GROUP BY 1"""))
+def q_payment_summary(spark, sf_dir):
+    """G16, O1."""
+    return gold.payment_summary(domain.raw_trips(spark, sf_dir))
+
+
+@register("daily_trips", W(domain.RAW_TRIPS_SQL, f"""
+SELECT CAST(tpep_pickup_datetime AS DATE) AS day, count(*) AS trips, {_avg_cents('total_amount')} AS avg_amount
+FROM raw GROUP BY 1 ORDER BY 1 LIMIT 8"""))
+def q_daily_trips(spark, sf_dir):
+    """G17, F6, O1, O4 (first 8 days; the limit is the report)."""
+    return gold.daily_trips(domain.raw_trips(spark, sf_dir), 8)
+
+
+@register("most_active_zones", W(SILVER_SQL, """
+SELECT pickup_zone_id, count(*) AS trips FROM silver GROUP BY 1 ORDER BY trips DESC, pickup_zone_id LIMIT 5"""))
+def q_most_active(spark, sf_dir):
+    """G18, O3 (top 5 with a key tie-break)."""
+    from keelson.operators.ordered import top_groups
+    return top_groups(silver(spark, sf_dir), "pickup_zone_id", 5)
+
+
+TPB_SQL = W(SILVER_SQL, """
+SELECT z.borough, count(*) AS trips FROM silver t JOIN zones z ON t.pickup_zone_id = z.zone_id GROUP BY 1""")
+
+
+@register("trips_per_borough", TPB_SQL)
+def q_tpb(spark, sf_dir):
+    """G19, J3 (checked broadcast), A3."""
+    return gold.trips_per_borough(silver(spark, sf_dir), zones(spark, sf_dir), "broadcast")
+
+
+@register("trips_per_borough_merge", TPB_SQL)
+def q_tpb_merge(spark, sf_dir):
+    """G19, J4 (sort-merge)."""
+    return gold.trips_per_borough(silver(spark, sf_dir), zones(spark, sf_dir), "merge")
+
+
+@register("trips_per_borough_salted", TPB_SQL)
+def q_tpb_salted(spark, sf_dir):
+    """Salted join; the oracle is the plain join."""
+    return gold.trips_per_borough(silver(spark, sf_dir), zones(spark, sf_dir), salts=16)
+
+
+SANDBOX_DAY = "1997-06-02"
+
+
+@register("sandbox_day", W(BRONZE_SQL, f"""
+SELECT tpep_pickup_datetime AS pickup_at, total_amount FROM bronze
+WHERE tpep_pickup_datetime >= TIMESTAMP '{SANDBOX_DAY}' AND tpep_pickup_datetime < TIMESTAMP '{SANDBOX_DAY}' + INTERVAL 1 DAY"""))
+def q_sandbox_day(spark, sf_dir):
+    """The one-day projection the sandbox appends."""
+    return gold.sandbox_day(bronze(spark, sf_dir), SANDBOX_DAY)
+
+
+@register("daily_revenue", W(GOLD_DAILY_SQL, f"""
+SELECT pickup_date, {_cents_sum('revenue')} / 100.0::DOUBLE AS revenue FROM gold_daily GROUP BY 1"""))
+def q_daily_revenue(spark, sf_dir):
+    """G21 (series)."""
+    return gold.daily_revenue(gold_daily(spark, sf_dir))
+
+
+@register("revenue_total", W(GOLD_DAILY_SQL, f"""
+SELECT {_cents_sum('revenue')} / 100.0::DOUBLE AS revenue, count(DISTINCT pickup_date) AS days FROM gold_daily"""))
+def q_revenue_total(spark, sf_dir):
+    """G21 (grand total)."""
+    return gold.revenue_total(gold_daily(spark, sf_dir))

@@ -381,3 +381,355 @@ SELECT {_cents_sum('revenue')} / 100.0::DOUBLE AS revenue, count(DISTINCT pickup
 def q_revenue_total(spark, sf_dir):
     """G21 (grand total)."""
     return gold.revenue_total(gold_daily(spark, sf_dir))
+
+
+# ----------------------------------------------------------------------------- joins and skew
+
+from keelson.operators import joins as J  # noqa: E402
+from keelson.operators import keyed as K  # noqa: E402
+from keelson.operators import ordered as O  # noqa: E402
+from keelson.operators import quality as Q  # noqa: E402
+from keelson.operators import skew as X  # noqa: E402
+from keelson.operators import versions as Vr  # noqa: E402
+
+MISSING_ZONE = 24
+
+
+@register("orphan_trips", W(SILVER_SQL, f"""
+SELECT t.* FROM silver t
+WHERE t.pickup_zone_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM zones z WHERE z.zone_id <> {MISSING_ZONE} AND z.zone_id = t.pickup_zone_id)"""))
+def q_orphans(spark, sf_dir):
+    """Trips whose pickup zone is missing once one zone is dropped from the
+    dimension on purpose (what filtering a dimension does to its facts)."""
+    dim = zones(spark, sf_dir).filter(F.col("zone_id") != MISSING_ZONE)
+    return Q.relationships(silver(spark, sf_dir), "pickup_zone_id", dim, "zone_id")
+
+
+@register("skew_profile", """
+WITH kc AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT count(*) AS keys, min(n) AS min_rows, quantile_cont(n, 0.25) AS p25, quantile_cont(n, 0.5) AS p50,
+       quantile_cont(n, 0.75) AS p75, quantile_cont(n, 0.95) AS p95, max(n) AS max_rows,
+       max(n) / quantile_cont(n, 0.5) AS max_over_median
+FROM kc""")
+def q_skew_profile(spark, sf_dir):
+    """Rows-per-supplier distribution of lineitem."""
+    return X.skew_profile(domain.table(spark, sf_dir, "lineitem"), "l_suppkey")
+
+
+HOT_SUPP = 7
+SKEWED_LINES_SQL = f"""
+skewed AS (
+  SELECT CASE WHEN l_orderkey % 100 < 90 THEN {HOT_SUPP} ELSE l_suppkey END AS l_suppkey,
+         l_orderkey, l_linenumber, l_quantity
+  FROM lineitem
+)"""
+
+
+def skewed_lines(spark, sf_dir):
+    """lineitem with 90 % of the rows moved onto supplier 7 (P15 fixture)."""
+    li = domain.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return J.with_hot_key(li, "l_suppkey", HOT_SUPP, 90, by="l_orderkey")
+
+
+@register("skewed_agg", W(SKEWED_LINES_SQL, """
+SELECT l_suppkey, count(*) AS lines, sum(l_quantity) AS quantity FROM skewed GROUP BY 1"""))
+def q_skewed_agg(spark, sf_dir):
+    """Aggregation on a key holding 90 % of rows (partial aggregation absorbs it)."""
+    return skewed_lines(spark, sf_dir).groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
+SKEWED_JOIN_SQL = W(SKEWED_LINES_SQL, """
+SELECT s.s_nationkey, count(*) AS lines FROM skewed k JOIN supplier s ON k.l_suppkey = s.s_suppkey GROUP BY 1""")
+
+
+def _skewed_join(spark, sf_dir, mode):
+    k = skewed_lines(spark, sf_dir)
+    s = domain.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    if mode == "salted":
+        j = J.salted_join(k, s, "l_suppkey", "s_suppkey", 16, salt_cols=["l_orderkey", "l_linenumber"],
+                          hot=J.hot_keys(k, "l_suppkey", 0.01))
+    else:
+        j = J.join_dim(k, s, F.col("l_suppkey") == F.col("s_suppkey"), "inner", "merge")
+    return j.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@register("skewed_join", SKEWED_JOIN_SQL)
+def q_skewed_join(spark, sf_dir):
+    """Sort-merge join on the hot key (adaptive execution splits the hot partition)."""
+    return _skewed_join(spark, sf_dir, "plain")
+
+
+@register("skewed_join_salted", SKEWED_JOIN_SQL)
+def q_skewed_join_salted(spark, sf_dir):
+    """The same join salted on the detected hot keys only."""
+    return _skewed_join(spark, sf_dir, "salted")
+
+
+# ----------------------------------------------------------------------------- windows / ordering
+
+LINE_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("silver_dedup", f"""
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate, {', '.join(LINE_COLS)}) AS _rn
+  FROM lineitem) WHERE _rn = 1""")
+def q_dedup(spark, sf_dir):
+    """First line per (order, line number) by ship date; all columns break ties."""
+    return K.dedup_first(domain.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@register("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    """M2, Q2: keys that would make a merge ambiguous."""
+    return K.duplicate_keys(domain.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("sequential_id", """
+SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) + 500000 AS seq_id FROM orders""")
+def q_sequential_id(spark, sf_dir):
+    """Dense ids in (order date, key) order after an offset, without a one-task window."""
+    o = domain.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return O.sequential_id(o, ["o_orderdate", "o_orderkey"], "seq_id", offset=500000)
+
+
+@register("batch_slice", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 200")
+def q_batch_slice(spark, sf_dir):
+    """Rows 201-300 in key order (the next batch)."""
+    return O.batch_slice(domain.table(spark, sf_dir, "orders"), ["o_orderkey"], 100, 200)
+
+
+# ----------------------------------------------------------------------------- versions
+
+CHG = domain.CHANGES_SQL
+
+
+def changes(spark, sf_dir):
+    return domain.event_changes(spark, sf_dir)
+
+
+def _as_of_sql(v: int | None, cols: str = "user_id, event_type, value, ts, version") -> str:
+    where = "" if v is None else f"WHERE version <= {v}"
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY version DESC, seq DESC) AS rn "
+            f"FROM changes {where}) WHERE rn = 1 AND op <> 'delete'")
+
+
+@register("as_of_v5", W(CHG, _as_of_sql(5)))
+def q_as_of(spark, sf_dir):
+    """Table state pinned at version 5."""
+    return Vr.as_of(changes(spark, sf_dir), ["user_id"], 5)
+
+
+@register("as_of_latest", W(CHG, _as_of_sql(None)))
+def q_as_of_latest(spark, sf_dir):
+    """M5: latest state."""
+    return Vr.as_of(changes(spark, sf_dir), ["user_id"])
+
+
+PAYLOAD = ["event_type", "value", "ts"]
+
+
+@register("restore_state", W(CHG, _as_of_sql(3, "user_id, event_type, value, ts")))
+def q_restore_state(spark, sf_dir):
+    """M7: state after restoring version 3 as a new version equals the state at 3."""
+    c = changes(spark, sf_dir)
+    restored = c.unionByName(Vr.restore(c, ["user_id"], 3, PAYLOAD))
+    return Vr.as_of(restored, ["user_id"]).drop("version")
+
+
+@register("restore_changes", W(CHG + f""",
+cur AS ({_as_of_sql(None)}),
+old AS ({_as_of_sql(3)})""", """
+SELECT coalesce(c.user_id, o.user_id) AS user_id, o.event_type, o.value, o.ts,
+       (SELECT max(version) + 1 FROM changes) AS version, CAST(0 AS BIGINT) AS seq,
+       CASE WHEN o.user_id IS NULL THEN 'delete' WHEN c.user_id IS NULL THEN 'insert' ELSE 'update' END AS op
+FROM cur c FULL OUTER JOIN old o ON c.user_id = o.user_id
+WHERE o.user_id IS NULL OR c.user_id IS NULL
+   OR NOT (c.event_type IS NOT DISTINCT FROM o.event_type AND c.value IS NOT DISTINCT FROM o.value
+           AND c.ts IS NOT DISTINCT FROM o.ts)"""))
+def q_restore_changes(spark, sf_dir):
+    """M7: the change rows of the restore commit."""
+    return Vr.restore(changes(spark, sf_dir), ["user_id"], 3, PAYLOAD)
+
+
+@register("history", W(CHG, """
+SELECT version, count(*) AS n_changes,
+       CAST(sum(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) AS BIGINT) AS n_insert,
+       CAST(sum(CASE WHEN op = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS n_update,
+       CAST(sum(CASE WHEN op = 'delete' THEN 1 ELSE 0 END) AS BIGINT) AS n_delete,
+       max(ts) AS committed_at
+FROM changes GROUP BY version"""))
+def q_history(spark, sf_dir):
+    """M6: one row per version."""
+    return Vr.history(changes(spark, sf_dir), "ts")
+
+
+@register("snapshot_diff", W(CHG + f""",
+a AS ({_as_of_sql(3)}),
+b AS ({_as_of_sql(7)})""", """
+SELECT coalesce(a.user_id, b.user_id) AS user_id,
+       CASE WHEN a.user_id IS NULL THEN 'added' WHEN b.user_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM a FULL OUTER JOIN b ON a.user_id = b.user_id
+WHERE a.user_id IS NULL OR b.user_id IS NULL
+   OR NOT (a.event_type IS NOT DISTINCT FROM b.event_type AND a.value IS NOT DISTINCT FROM b.value)"""))
+def q_snapshot_diff(spark, sf_dir):
+    """M9: what changed between versions 3 and 7."""
+    c = changes(spark, sf_dir)
+    return Vr.snapshot_diff(Vr.as_of(c, ["user_id"], 3), Vr.as_of(c, ["user_id"], 7), ["user_id"],
+                            ["event_type", "value"])
+
+
+@register("rows_by_version", W(CHG + """,
+per_kv AS (
+  SELECT user_id, version, op FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, version ORDER BY seq DESC) AS rn FROM changes) WHERE rn = 1
+),
+d AS (
+  SELECT version, CAST(op <> 'delete' AS INTEGER)
+         - coalesce(lag(CAST(op <> 'delete' AS INTEGER)) OVER (PARTITION BY user_id ORDER BY version), 0) AS delta
+  FROM per_kv
+),
+pv AS (SELECT version, sum(delta) AS delta FROM d GROUP BY version)""", """
+SELECT version, CAST(sum(delta) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS live_rows
+FROM pv"""))
+def q_rows_by_version(spark, sf_dir):
+    """Live rows after every version."""
+    return Vr.rows_by_version(changes(spark, sf_dir), ["user_id"])
+
+
+UPSERT_SQL = """
+target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+source AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice,
+                  o_orderdate, o_orderpriority
+           FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')"""
+
+
+def upsert_inputs(spark, sf_dir):
+    o = domain.table(spark, sf_dir, "orders")
+    target = o.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    source = (o.filter(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz"))
+               .withColumn("o_orderstatus", F.lit("U")).withColumn("o_totalprice", F.col("o_totalprice") + 1.0))
+    return target, source
+
+
+@register("upsert", W(UPSERT_SQL, """
+SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM source"""))
+def q_upsert(spark, sf_dir):
+    """1999 orders updated, 2000+ orders inserted, the rest copied."""
+    t, s = upsert_inputs(spark, sf_dir)
+    return Vr.upsert(t, s, ["o_orderkey"])
+
+
+@register("upsert_metrics", W(UPSERT_SQL, """
+SELECT count(s.o_orderkey) AS source_rows,
+       CAST(sum(CASE WHEN t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS updated,
+       CAST(sum(CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS inserted,
+       CAST(sum(CASE WHEN t.o_orderkey IS NOT NULL AND s.o_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS copied
+FROM target t FULL OUTER JOIN source s ON t.o_orderkey = s.o_orderkey"""))
+def q_upsert_metrics(spark, sf_dir):
+    """M3: merge metrics."""
+    t, s = upsert_inputs(spark, sf_dir)
+    return Vr.upsert_metrics(t, s, ["o_orderkey"])
+
+
+@register("silver_incremental", W(SILVER_SQL, "SELECT * FROM silver"))
+def q_silver_incremental(spark, sf_dir):
+    """Silver built up to 1997, then an incremental run over the rest
+    (watermark filter, dedup, upsert) equals a full build."""
+    b = bronze(spark, sf_dir)
+    first = M.silver_trips(b.filter(F.col("tpep_pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")))
+    return M.silver_trips(b, target=first)
+
+
+@register("schema_evolution", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS priority FROM orders
+WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS priority FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+def q_schema_evolution(spark, sf_dir):
+    """An append carrying a new column; old rows read it as NULL."""
+    o = domain.table(spark, sf_dir, "orders")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    old = o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_custkey", "o_totalprice")
+    new = (o.filter(F.col("o_orderdate") >= cut)
+            .select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderpriority").alias("priority")))
+    Vr.check_schema(new, old.schema, evolve=True)
+    return Vr.union_evolving(old, new)
+
+
+GROWTH_MONTH = "1997-06"
+
+
+@register("rerun_growth", W(SILVER_SQL + f""",
+s AS (SELECT * FROM silver WHERE pickup_month = '{GROWTH_MONTH}')""", """
+SELECT 'append' AS strategy, count(*) * 3 AS rows, 3 AS runs FROM s
+UNION ALL SELECT 'upsert', count(*), 3 FROM s"""))
+def q_rerun_growth(spark, sf_dir):
+    """Three re-runs of one month: append triples the rows, upsert does not."""
+    batch = silver(spark, sf_dir).filter(F.col("pickup_month") == GROWTH_MONTH)
+    return Vr.rerun_growth(batch, ["trip_id"], 3)
+
+
+ACT = domain.ACTIONS_SQL
+NOW = "2024-02-07 00:00:00"
+
+
+def actions(spark, sf_dir):
+    return domain.event_actions(spark, sf_dir)
+
+
+@register("live_files_v5", W(ACT, """
+SELECT path, version, size FROM (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC, seq DESC) AS rn
+  FROM actions WHERE version <= 5) WHERE rn = 1 AND action = 'add'"""))
+def q_live_files(spark, sf_dir):
+    """Live files at version 5 from the add/remove log."""
+    return Vr.live_files(actions(spark, sf_dir), 5)
+
+
+VACUUM_SQL = ACT + f""",
+last_action AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC, seq DESC) AS rn FROM actions)
+  WHERE rn = 1
+),
+vac AS (
+  SELECT path, version AS removed_in, ts AS removed_at FROM last_action
+  WHERE action = 'remove' AND ts < TIMESTAMP '{NOW}' - INTERVAL 168 HOUR
+)"""
+
+
+@register("vacuum_candidates", W(VACUUM_SQL, "SELECT * FROM vac"))
+def q_vacuum(spark, sf_dir):
+    """Files a 168 h vacuum would delete (report only)."""
+    return Vr.vacuum_candidates(actions(spark, sf_dir), NOW, 168)
+
+
+@register("broken_versions", W(VACUUM_SQL + """,
+per_pv AS (
+  SELECT path, version, action FROM (
+    SELECT *, row_number() OVER (PARTITION BY path, version ORDER BY seq DESC) AS rn
+    FROM actions WHERE path IN (SELECT path FROM vac)) WHERE rn = 1
+),
+ev AS (
+  SELECT version, CAST(action = 'add' AS INTEGER)
+         - coalesce(lag(CAST(action = 'add' AS INTEGER)) OVER (PARTITION BY path ORDER BY version), 0) AS d
+  FROM per_pv
+),
+pv AS (
+  SELECT v.version, coalesce(e.delta, 0) AS delta
+  FROM (SELECT DISTINCT version FROM actions) v
+  LEFT JOIN (SELECT version, sum(d) AS delta FROM ev GROUP BY version) e ON v.version = e.version
+),
+acc AS (SELECT version, CAST(sum(delta) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+               AS missing_files FROM pv)""", "SELECT * FROM acc WHERE missing_files > 0"))
+def q_broken(spark, sf_dir):
+    """Versions that become unreadable once the vacuum candidates are deleted."""
+    a = actions(spark, sf_dir)
+    return Vr.broken_versions(a, Vr.vacuum_candidates(a, NOW, 168))

@@ -94,8 +94,8 @@ def dq_census(df: DataFrame, rules: Sequence[tuple[str, Column]], digits: int =
                        round_half_up(F.col("rows") / F.col("__total") * 100, digits).alias("pct"))
 
 
-def bronze_census_rules(year_start: str = "1995-01-01", year_end: str = "2000-01-01",
-                        max_miles: float = 500.0, max_hours: int = 8760) -> list[tuple[str, Column]]:
+def bronze_census_rules(year_start: str, year_end: str, max_miles: float = 500.0,
+                        max_hours: int = 12) -> list[tuple[str, Column]]:
     """The nine census rules over raw trip columns (Q7). As in the census being
     rebuilt, they are not one-to-one with the silver filter (``> max_miles`` here vs
     ``>= max_miles`` there; NULL fares are not counted here)."""

@@ -733,3 +733,241 @@ def q_broken(spark, sf_dir):
     """Versions that become unreadable once the vacuum candidates are deleted."""
     a = actions(spark, sf_dir)
     return Vr.broken_versions(a, Vr.vacuum_candidates(a, NOW, 168))
+
+
+# ----------------------------------------------------------------------------- quality
+
+# The boroughs (region names) and payment codes the checks accept.
+BOROUGHS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PAYMENT_CODES = [1, 2, 3, 4, 5, 6]
+
+
+def checks(spark, sf_dir):
+    """The model tests of the pipeline (Q1-Q6) as (name, failing rows)."""
+    s = silver(spark, sf_dir)
+    z = zones(spark, sf_dir)
+    g = gold.daily_zone_revenue(s, z)
+    h = gold.hourly_demand(s, z)
+    return [
+        ("silver_trip_id_unique", Q.unique(s, "trip_id")),
+        ("silver_trip_id_not_null", Q.not_null(s, "trip_id")),
+        ("silver_pickup_at_not_null", Q.not_null(s, "pickup_at")),
+        ("silver_pickup_zone_relationships", Q.relationships(s, "pickup_zone_id", z, "zone_id")),
+        ("silver_payment_type_accepted", Q.accepted(s, "payment_type_id", PAYMENT_CODES)),
+        ("silver_total_amount_not_null", Q.not_null(s, "total_amount")),
+        ("zones_zone_id_unique", Q.unique(z, "zone_id")),
+        ("zones_zone_id_not_null", Q.not_null(z, "zone_id")),
+        ("zones_borough_accepted", Q.accepted(z, "borough", BOROUGHS)),
+        ("gold_pickup_date_not_null", Q.not_null(g, "pickup_date")),
+        ("gold_trip_count_not_null", Q.not_null(g, "trip_count")),
+        ("hourly_pickup_hour_not_null", Q.not_null(h, "pickup_hour")),
+        ("hourly_pickup_hour_accepted", Q.accepted(h, "pickup_hour", list(range(24)))),
+        ("trip_duration_sane", Q.duration_sane(s, V.max_trip_hours)),
+        ("gold_matches_silver", Q.reconcile(s, "total_amount", g, "revenue", 1.0)),
+    ]
+
+
+def _count(name: str, body: str) -> str:
+    return f"SELECT '{name}' AS \"check\", count(*) AS failures FROM ({body})"
+
+
+RUN_CHECKS_SQL = W(GOLD_DAILY_SQL + GOLD_HOURLY_CTE, "\nUNION ALL ".join([
+    _count("silver_trip_id_unique", "SELECT trip_id FROM silver WHERE trip_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
+    _count("silver_trip_id_not_null", "SELECT 1 FROM silver WHERE trip_id IS NULL"),
+    _count("silver_pickup_at_not_null", "SELECT 1 FROM silver WHERE pickup_at IS NULL"),
+    _count("silver_pickup_zone_relationships",
+           "SELECT 1 FROM silver t WHERE t.pickup_zone_id IS NOT NULL AND t.pickup_zone_id NOT IN (SELECT zone_id FROM zones)"),
+    _count("silver_payment_type_accepted",
+           f"SELECT payment_type_id FROM silver WHERE payment_type_id NOT IN ({', '.join(map(str, PAYMENT_CODES))}) GROUP BY 1"),
+    _count("silver_total_amount_not_null", "SELECT 1 FROM silver WHERE total_amount IS NULL"),
+    _count("zones_zone_id_unique", "SELECT zone_id FROM zones WHERE zone_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
+    _count("zones_zone_id_not_null", "SELECT 1 FROM zones WHERE zone_id IS NULL"),
+    _count("zones_borough_accepted",
+           f"SELECT borough FROM zones WHERE borough NOT IN ({', '.join(repr(b) for b in BOROUGHS)}) GROUP BY 1"),
+    _count("gold_pickup_date_not_null", "SELECT 1 FROM gold_daily WHERE pickup_date IS NULL"),
+    _count("gold_trip_count_not_null", "SELECT 1 FROM gold_daily WHERE trip_count IS NULL"),
+    _count("hourly_pickup_hour_not_null", "SELECT 1 FROM gold_hourly WHERE pickup_hour IS NULL"),
+    _count("hourly_pickup_hour_accepted",
+           "SELECT pickup_hour FROM gold_hourly WHERE pickup_hour NOT BETWEEN 0 AND 23 GROUP BY 1"),
+    _count("trip_duration_sane",
+           f"SELECT 1 FROM silver WHERE epoch(dropoff_at) - epoch(pickup_at) > {V.max_trip_hours} * 3600"),
+    _count("gold_matches_silver",
+           f"SELECT 1 FROM (SELECT {_cents_sum('total_amount')} AS a FROM silver), "
+           f"(SELECT {_cents_sum('revenue')} AS b FROM gold_daily) WHERE abs(a - b) / 100.0::DOUBLE > 1.0"),
+]))
+
+
+@register("run_checks", RUN_CHECKS_SQL)
+def q_run_checks(spark, sf_dir):
+    """Q1-Q6, Q10: every model test with its failure count (0 = pass)."""
+    return Q.run_checks(checks(spark, sf_dir))
+
+
+def census_rules():
+    return Q.bronze_census_rules(V.start_date, V.end_date, V.max_miles, V.max_trip_hours)
+
+
+CENSUS_RULES_SQL = [
+    ("pickup_out_of_range", f"tpep_pickup_datetime < TIMESTAMP '{V.start_date}' OR tpep_pickup_datetime >= TIMESTAMP '{V.end_date}'"),
+    ("dropoff_not_after_pickup", "tpep_dropoff_datetime <= tpep_pickup_datetime"),
+    ("zero_distance", "trip_distance <= 0"),
+    ("distance_over_limit", f"trip_distance > {V.max_miles}"),
+    ("negative_fare", "fare_amount < 0"),
+    ("negative_total", "total_amount < 0"),
+    ("no_passengers", "passenger_count IS NULL OR passenger_count <= 0"),
+    ("zone_out_of_range", "PULocationID NOT BETWEEN 1 AND 265 OR DOLocationID NOT BETWEEN 1 AND 265"),
+    ("too_long", f"epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime) > {V.max_trip_hours} * 3600"),
+]
+
+
+@register("dq_census", W(BRONZE_SQL, "SELECT rule, rows, floor(rows / total * 100 * 1000 + 0.5) / 1000 AS pct FROM ("
+                         + "\nUNION ALL ".join(
+                             f"SELECT '{n}' AS rule, CAST(sum(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS rows, "
+                             f"count(*) AS total FROM bronze" for n, p in CENSUS_RULES_SQL) + ")"))
+def q_dq_census(spark, sf_dir):
+    """Nine junk rules counted in one pass, unpivoted."""
+    return Q.dq_census(bronze(spark, sf_dir), census_rules())
+
+
+@register("reject_reasons", W(RENAMED_SQL, "SELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS reason, count(*) AS rows FROM renamed WHERE NOT coalesce({p}, false)" for n, p in RULES_SQL)
+    + ") WHERE rows > 0"))
+def q_reject_reasons(spark, sf_dir):
+    """Q8: rows silver drops, counted per failed rule (a row may fail several)."""
+    r = M.rejects(M.silver_rename(bronze(spark, sf_dir)))
+    return r.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("reconcile", W(GOLD_DAILY_SQL, f"""
+SELECT a / 100.0::DOUBLE AS left_amount, b / 100.0::DOUBLE AS right_amount, abs(a - b) / 100.0::DOUBLE AS gap
+FROM (SELECT {_cents_sum('total_amount')} AS a FROM silver), (SELECT {_cents_sum('revenue')} AS b FROM gold_daily)"""))
+def q_reconcile(spark, sf_dir):
+    """Silver total vs gold total, both in cents."""
+    s = silver(spark, sf_dir)
+    return Q.reconcile(s, "total_amount", gold.daily_zone_revenue(s, zones(spark, sf_dir)), "revenue",
+                       failing_only=False)
+
+
+# ----------------------------------------------------------------------------- layout and sources
+
+from keelson.operators import layout as L  # noqa: E402
+from keelson.session import scratch_path  # noqa: E402
+from keelson.sources import readers as R  # noqa: E402
+from keelson.sources import sinks as S  # noqa: E402
+
+
+def _lineitem(spark, sf_dir):
+    return domain.table(spark, sf_dir, "lineitem")
+
+
+@register("compaction", "SELECT * FROM lineitem")
+def q_compaction(spark, sf_dir):
+    """Lineitem written as 64 small files, compacted into 4 files sorted by
+    ship date; the compacted table holds exactly the input rows."""
+    li = _lineitem(spark, sf_dir)
+    small = scratch_path(spark, "small")
+    L.write_small_batches(li, small, 64)
+    return L.compact(spark, small, scratch_path(spark, "compacted"), 4, "l_shipdate").select(*li.columns)
+
+
+@register("zorder_layout", "SELECT * FROM lineitem")
+def q_zorder(spark, sf_dir):
+    """Z-ordered on (part, supplier) into 16 files; same rows as the input."""
+    li = _lineitem(spark, sf_dir)
+    path = scratch_path(spark, "zorder")
+    S.rebuild(L.zorder(li, ["l_partkey", "l_suppkey"], 16), path)
+    return spark.read.parquet(path).select(*li.columns)
+
+
+@register("skipping_report")
+def q_skipping(spark, sf_dir):
+    """Files a narrow range predicate must read per layout
+    (random, sorted on part, z-order on part x supplier). Rows-only: file splits
+    depend on the writer."""
+    li = _lineitem(spark, sf_dir)
+    layouts = {}
+    p = scratch_path(spark, "random")
+    L.write_shuffled(li, p, 16)
+    layouts["random"] = p
+    p = scratch_path(spark, "sorted")
+    L.write_sorted(li, p, "l_partkey", 16)
+    layouts["sorted"] = p
+    p = scratch_path(spark, "zorder")
+    S.rebuild(L.zorder(li, ["l_partkey", "l_suppkey"], 16), p)
+    layouts["zorder"] = p
+    q = li.approxQuantile(["l_partkey", "l_suppkey"], [0.45, 0.5], 0.0)
+    out = None
+    for name, path in layouts.items():
+        for col, (lo, hi) in zip(["l_partkey", "l_suppkey"], q):
+            r = L.files_to_read(L.file_stats(spark, path, col), lo, hi).select(
+                F.lit(name).alias("layout"), F.lit(col).alias("column"), "files_read", "files_total")
+            out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("layout_summary")
+def q_layout_summary(spark, sf_dir):
+    """File census of the small-file and the compacted layout (rows-only)."""
+    li = _lineitem(spark, sf_dir)
+    small, comp = scratch_path(spark, "small"), scratch_path(spark, "compacted")
+    L.write_small_batches(li, small, 64)
+    L.compact(spark, small, comp, 4, "l_shipdate")
+    return (L.layout_summary(spark, small).withColumn("layout", F.lit("small_files"))
+            .unionByName(L.layout_summary(spark, comp).withColumn("layout", F.lit("compacted"))))
+
+
+@register("format_footprint")
+def q_footprint(spark, sf_dir):
+    """Bytes of orders as CSV, NDJSON, Parquet none/snappy/zstd (rows-only)."""
+    return L.format_footprint(spark, domain.table(spark, sf_dir, "orders"), scratch_path(spark, "footprint"))
+
+
+@register("csv_roundtrip", "SELECT * FROM orders")
+def q_csv(spark, sf_dir):
+    """Orders written as CSV with header, read back with declared types."""
+    o = domain.table(spark, sf_dir, "orders")
+    p = scratch_path(spark, "csv")
+    S.write_as(o, p, "csv")
+    return R.load_seed(spark, p, o.schema)
+
+
+@register("json_roundtrip", "SELECT * FROM orders")
+def q_json(spark, sf_dir):
+    """Orders as NDJSON, read back with the schema (no inference pass)."""
+    o = domain.table(spark, sf_dir, "orders")
+    p = scratch_path(spark, "json")
+    S.write_as(o, p, "json")
+    return R.read_json(spark, p, o.schema).select(*o.columns)
+
+
+@register("partitioned_roundtrip", "SELECT * FROM orders")
+def q_partitioned(spark, sf_dir):
+    """Orders partitioned by status; the partition column comes back from
+    the path with its declared type."""
+    o = domain.table(spark, sf_dir, "orders")
+    p = scratch_path(spark, "by_status")
+    S.write_partitioned(o, p, ["o_orderstatus"])
+    return R.read_partitioned(spark, p, schema=o.schema).select(*o.columns)
+
+
+REPLACE_MONTHS = ["1997-01", "1997-02"]
+
+
+@register("replace_partition", W(BRONZE_SQL, f"""
+SELECT _pickup_month, count(*) AS rows FROM bronze
+WHERE _pickup_month IN ({', '.join(repr(m) for m in REPLACE_MONTHS)}) GROUP BY 1"""))
+def q_replace_partition(spark, sf_dir):
+    """G1, K3: two months ingested, the first re-ingested twice; each month keeps
+    exactly its rows (dynamic partition overwrite is idempotent)."""
+    raw = domain.raw_trips(spark, sf_dir)
+    p = scratch_path(spark, "bronze")
+    for m in REPLACE_MONTHS + REPLACE_MONTHS[:1] * 2:
+        M.ingest_month(raw, p, m, "lineitem.parquet", M.RUN_TS)
+    b = R.read_partitioned(spark, p, schema=bronze(spark, sf_dir).schema)
+    return b.groupBy("_pickup_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("partition_profile")
+def q_partition_profile(spark, sf_dir):
+    """Rows per input partition of lineitem (rows-only: depends on file splits)."""
+    return X.partition_profile(_lineitem(spark, sf_dir))

@@ -971,3 +971,28 @@ def q_replace_partition(spark, sf_dir):
 def q_partition_profile(spark, sf_dir):
     """Rows per input partition of lineitem (rows-only: depends on file splits)."""
     return X.partition_profile(_lineitem(spark, sf_dir))
+
+
+# ----------------------------------------------------------------------------- streaming
+
+from keelson.streaming import jobs as T  # noqa: E402
+
+
+@register("stream_event_windows", """
+WITH w AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS events,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents
+  FROM events GROUP BY 1, 2
+)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, events, value_cents FROM w
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def q_stream_windows(spark, sf_dir):
+    """Events streamed from Parquet files (availableNow), hourly windows per event
+    type with a 1-hour watermark, append mode; the result is every window the final
+    watermark has closed."""
+    ev = domain.table(spark, sf_dir, "events")
+    src = scratch_path(spark, "events_src")
+    ev.repartitionByRange(4, "ts").write.parquet(src)
+    out, ck = scratch_path(spark, "event_windows"), scratch_path(spark, "event_windows_ckpt")
+    T.run_windowed_demand(spark, src, ev.schema, out, ck).awaitTermination()
+    return spark.read.parquet(out)

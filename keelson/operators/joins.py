@@ -18,9 +18,25 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+_PROVEN: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1 rows.
+
+    The answer is remembered per (plan, exact input file list): rewriting a table
+    produces new file names, so a changed dimension is probed again.
+    """
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a stable hash or file list are always probed
+        key = None
+    if key is not None and key in _PROVEN:
+        return _PROVEN[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROVEN[key] = ok
+    return ok
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

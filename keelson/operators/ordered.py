@@ -95,6 +95,13 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "ru
     return tagged.mapInPandas(local_cumsum, out_schema).drop(_PID)
 
 
+def row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Arbitrary unique 64-bit ids (W3, ``row_number() over ()``): no shuffle, no
+    order; ids are increasing per partition but NOT dense. Use ``sequential_id`` for
+    dense, ordered numbers."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def batch_slice(df: DataFrame, order: Sequence[str | Column], n: int, offset: int) -> DataFrame:
     """``order by ... limit n offset m`` (O5): the next batch of a unique order.
     Planned as a top-(n+m) per task, so no task holds more than n+m rows."""

@@ -114,6 +114,12 @@ def bronze_census_rules(year_start: str, year_end: str, max_miles: float = 500.0
     ]
 
 
+def null_coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``count(*)`` next to ``count(col)`` for each column (A2): one row
+    ``rows, <col>_non_null...``; shows how an evolved column is back-filled."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"{c}_non_null") for c in columns])
+
+
 def share_by(df: DataFrame, key: str, flag: Column, digits: int = 1) -> DataFrame:
     """Percent of rows per ``key`` where ``flag`` holds."""
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(flag, 1).otherwise(0)).alias("__hit"))

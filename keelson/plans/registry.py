@@ -996,3 +996,13 @@ def q_stream_windows(spark, sf_dir):
     out, ck = scratch_path(spark, "event_windows"), scratch_path(spark, "event_windows_ckpt")
     T.run_windowed_demand(spark, src, ev.schema, out, ck).awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("null_coverage", """
+SELECT count(*) AS rows, count(priority) AS priority_non_null FROM (
+  SELECT o_orderkey, CAST(NULL AS VARCHAR) AS priority FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+  UNION ALL
+  SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')""")
+def q_null_coverage(spark, sf_dir):
+    """count(*) next to count(new column) after a schema-evolving append."""
+    return Q.null_coverage(q_schema_evolution(spark, sf_dir), ["priority"])

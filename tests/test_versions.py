@@ -130,3 +130,18 @@ def test_rerun_growth(spark):
     b = spark.range(0, 10).withColumn("v", F.lit(1))
     got = {r["strategy"]: r["rows"] for r in V.rerun_growth(b, ["id"], 3).collect()}
     assert got == {"append": 30, "upsert": 10}
+
+
+def test_pinned_reader_does_not_see_later_commits(spark):
+    # M8: a reader pinned at version v sees the same rows after new commits land
+    c = changes(spark)
+    pinned = rows(V.as_of(c, ["k"], 1))
+    later = c.unionByName(spark.createDataFrame([(9, "z", 4, 7, "insert"), (1, "a9", 4, 8, "update")], CHG_SCHEMA))
+    assert rows(V.as_of(later, ["k"], 1)) == pinned
+    assert rows(V.as_of(later, ["k"])) != rows(V.as_of(c, ["k"]))
+
+
+def test_row_ids_unique(spark):
+    from keelson.operators.ordered import row_ids
+    df = row_ids(spark.range(0, 1000).repartition(7))
+    assert df.select("row_id").distinct().count() == 1000

@@ -64,12 +64,17 @@ def compact(spark: SparkSession, src: str, dst: str, files: int, order: str | No
 
 
 def _bucket(column: str, splits: Sequence) -> Column:
-    """Index of the quantile bucket of ``column`` (0..len(splits))."""
+    """Index of the quantile bucket of ``column`` (0..len(splits)), as a balanced
+    tree of comparisons: log2(len(splits)) comparisons per row, not len(splits)."""
     c = F.col(column)
-    idx = F.lit(0)
-    for s in splits:
-        idx = idx + F.when(c >= F.lit(s), 1).otherwise(0)
-    return idx
+
+    def node(lo: int, hi: int) -> Column:       # bucket index in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2                 # values >= splits[mid - 1] go right
+        return F.when(c < F.lit(splits[mid - 1]), node(lo, mid - 1)).otherwise(node(mid, hi))
+
+    return node(0, len(splits))
 
 
 def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: float = 0.001) -> Column:

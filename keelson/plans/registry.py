@@ -279,8 +279,10 @@ UNION ALL SELECT 'silver', count(*) FROM silver
 UNION ALL SELECT 'gold_daily_zone_revenue', count(*) FROM gold_daily
 UNION ALL SELECT 'gold_hourly_demand', count(*) FROM gold_hourly"""))
 def q_funnel(spark, sf_dir):
-    """G13, U1."""
-    s = silver(spark, sf_dir)
+    """Silver is written once and both gold tables read it."""
+    from keelson.session import scratch_path
+    from keelson.sources.sinks import materialize
+    s = materialize(silver(spark, sf_dir), scratch_path(spark, "silver"))
     z = zones(spark, sf_dir)
     return gold.funnel({"bronze": bronze(spark, sf_dir), "silver": s,
                         "gold_daily_zone_revenue": gold.daily_zone_revenue(s, z),
@@ -673,7 +675,10 @@ SELECT 'append' AS strategy, count(*) * 3 AS rows, 3 AS runs FROM s
 UNION ALL SELECT 'upsert', count(*), 3 FROM s"""))
 def q_rerun_growth(spark, sf_dir):
     """Three re-runs of one month: append triples the rows, upsert does not."""
-    batch = silver(spark, sf_dir).filter(F.col("pickup_month") == GROWTH_MONTH)
+    from keelson.session import scratch_path
+    from keelson.sources.sinks import materialize
+    batch = materialize(silver(spark, sf_dir).filter(F.col("pickup_month") == GROWTH_MONTH),
+                        scratch_path(spark, "growth_batch"))
     return Vr.rerun_growth(batch, ["trip_id"], 3)
 
 
@@ -743,11 +748,12 @@ PAYMENT_CODES = [1, 2, 3, 4, 5, 6]
 
 
 def checks(spark, sf_dir):
-    """The model tests of the pipeline (Q1-Q6) as (name, failing rows)."""
-    s = silver(spark, sf_dir)
+    """The model tests of the pipeline (Q1-Q6) as (name, failing rows). Each layer
+    is written once and every check reads the written table."""
+    s = S.materialize(silver(spark, sf_dir), scratch_path(spark, "silver"))
     z = zones(spark, sf_dir)
-    g = gold.daily_zone_revenue(s, z)
-    h = gold.hourly_demand(s, z)
+    g = S.materialize(gold.daily_zone_revenue(s, z), scratch_path(spark, "gold_daily"))
+    h = S.materialize(gold.hourly_demand(s, z), scratch_path(spark, "gold_hourly"))
     return [
         ("silver_trip_id_unique", Q.unique(s, "trip_id")),
         ("silver_trip_id_not_null", Q.not_null(s, "trip_id")),
@@ -842,8 +848,8 @@ def q_reject_reasons(spark, sf_dir):
 SELECT a / 100.0::DOUBLE AS left_amount, b / 100.0::DOUBLE AS right_amount, abs(a - b) / 100.0::DOUBLE AS gap
 FROM (SELECT {_cents_sum('total_amount')} AS a FROM silver), (SELECT {_cents_sum('revenue')} AS b FROM gold_daily)"""))
 def q_reconcile(spark, sf_dir):
-    """Silver total vs gold total, both in cents."""
-    s = silver(spark, sf_dir)
+    """Silver total vs gold total, both in cents (silver written once)."""
+    s = S.materialize(silver(spark, sf_dir), scratch_path(spark, "silver"))
     return Q.reconcile(s, "total_amount", gold.daily_zone_revenue(s, zones(spark, sf_dir)), "revenue",
                        failing_only=False)
 

@@ -68,6 +68,18 @@ def save_named(df: DataFrame, name: str, path: str | None = None, mode: str = "o
     w.saveAsTable(name)
 
 
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once as Parquet under a shared folder and return a reader of it.
+
+    Used when several downstream plans consume the same expensive intermediate (a
+    layer and its checks): it is computed once, lineage is cut (a lost executor
+    re-reads files instead of recomputing the chain), and later reads get column
+    pruning and filter pushdown again.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def run_noop(df: DataFrame) -> None:
     """Compute everything, write nothing (K10): the benchmark sink."""
     df.write.format("noop").mode("overwrite").save()

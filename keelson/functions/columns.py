@@ -36,9 +36,30 @@ def surrogate_key(*cols: ColumnOrName, sep: str = "|") -> Column:
     return F.md5(F.concat_ws(sep, *[col(c).cast("string") for c in cols]))
 
 
+def epoch_seconds(ts: ColumnOrName) -> Column:
+    """Seconds since 1970-01-01 00:00 of a ``timestamp_ntz`` wall-clock value, read as
+    UTC, with the fraction kept (decimal). Built from calendar fields only, so the
+    session time zone never enters (a cast to ``timestamp`` would apply it)."""
+    c = col(ts)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("SECOND"), c)
+
+
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Whole seconds from ``start`` to ``end`` (F3); time-zone free on NTZ values."""
-    return F.timestamp_diff("SECOND", col(start), col(end))
+    """Whole seconds from ``start`` to ``end`` (F3), truncated toward zero like
+    ``timestampdiff(SECOND, ...)``; time-zone free on NTZ values."""
+    return (epoch_seconds(end) - epoch_seconds(start)).cast("bigint")
+
+
+def instant_from_ntz(ts: ColumnOrName) -> Column:
+    """The ``timestamp`` instant of an NTZ wall-clock value read as UTC (for event
+    time in streaming), independent of the session time zone."""
+    return F.timestamp_micros((epoch_seconds(ts) * 1_000_000).cast("bigint"))
+
+
+def ntz_from_instant(ts: ColumnOrName) -> Column:
+    """Inverse of ``instant_from_ntz``: the UTC wall clock of an instant as NTZ."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def minutes_between(start: ColumnOrName, end: ColumnOrName, digits: int = 2) -> Column:
@@ -89,14 +110,20 @@ def count_if(pred: Column) -> Column:
     return F.sum(F.when(pred, 1).otherwise(0)).cast("bigint")
 
 
+# English weekday names in ``dayofweek`` order (1 = Sunday).
+WEEKDAY_BY_DOW = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
 def weekday_name(ts: ColumnOrName) -> Column:
-    """Full English weekday name, 'Monday'..'Sunday' (F8)."""
-    return F.date_format(col(ts), "EEEE")
+    """Full English weekday name (F8), like ``date_format(ts, 'EEEE')`` but from the
+    calendar date, so no time zone is applied to NTZ values."""
+    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_BY_DOW]), F.dayofweek(F.to_date(col(ts))))
 
 
 def year_month(ts: ColumnOrName) -> Column:
-    """'yyyy-MM' (F7)."""
-    return F.date_format(col(ts), "yyyy-MM")
+    """'yyyy-MM' (F7) from the calendar fields (time-zone free on NTZ values)."""
+    c = col(ts)
+    return F.format_string("%04d-%02d", F.year(c), F.month(c))
 
 
 def day_range(ts: ColumnOrName, day: str | _dt.date) -> Column:

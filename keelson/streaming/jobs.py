@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from keelson.functions.columns import cents
+from keelson.functions.columns import cents, instant_from_ntz, ntz_from_instant, year_month
 from keelson.operators.keyed import dedup_first
 from keelson.operators.versions import upsert
 
@@ -32,7 +32,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, br
     s = reader.parquet(source_dir)
     out = (s.withColumn("_source_file", F.col("_metadata.file_name"))
              .withColumn("_ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-             .withColumn("_pickup_month", F.date_format(pickup_col, "yyyy-MM")))
+             .withColumn("_pickup_month", year_month(pickup_col)))
     return (out.writeStream.format("parquet").option("path", bronze_path)
                .option("checkpointLocation", checkpoint).partitionBy("_pickup_month")
                .trigger(availableNow=True).start())
@@ -44,12 +44,11 @@ def windowed_demand(stream: DataFrame, ts_col: str = "ts", group_col: str = "eve
     group. Rows later than ``delay`` behind the newest event are dropped, and in
     append mode a window is emitted once the watermark passes its end. State per
     window is bounded by the watermark."""
-    ts = F.col(ts_col).cast("timestamp")
-    s = stream.withColumn("__ts", ts).withWatermark("__ts", delay)
+    s = stream.withColumn("__ts", instant_from_ntz(ts_col)).withWatermark("__ts", delay)
     g = s.groupBy(F.window("__ts", window).alias("w"), F.col(group_col)).agg(
         F.count(F.lit(1)).alias("events"), F.sum(cents(value_col)).alias("value_cents"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+    return g.select(ntz_from_instant("w.start").alias("window_start"),
+                    ntz_from_instant("w.end").alias("window_end"),
                     group_col, "events", "value_cents")
 
 

@@ -133,6 +133,5 @@ def format_footprint(spark: SparkSession, df: DataFrame, directory: str) -> Data
                     .filter(~F.col("path").rlike(r"/(_|\.)[^/]*$"))
                     .agg(F.sum("length").alias("bytes")).select(F.lit(name).alias("format"), "bytes"))
         parts = one if parts is None else parts.unionByName(one)
-    base = parts.filter(F.col("format") == "csv").select(F.col("bytes").alias("__csv"))
-    return parts.crossJoin(base).select("format", "bytes",
-                                        F.round(F.col("__csv") / F.col("bytes"), 2).alias("ratio_to_csv"))
+    csv_bytes = parts.filter(F.col("format") == "csv").first()["bytes"]   # one scalar
+    return parts.select("format", "bytes", F.round(F.lit(csv_bytes) / F.col("bytes"), 2).alias("ratio_to_csv"))

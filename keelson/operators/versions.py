@@ -125,10 +125,11 @@ def restore(changes: DataFrame, keys: Sequence[str], version: int, payload: Sequ
         same = same & F.col(p).eqNullSafe(F.col(f"__c_{p}"))
     op = (F.when(F.col("__o").isNull(), "delete").when(F.col("__c").isNull(), "insert")
            .when(~same, "update"))
-    nxt = changes.agg((F.max("version") + 1).alias("__next"))   # one row, joined, never collected
-    out = (j.withColumn("op", op).filter(F.col("op").isNotNull()).crossJoin(nxt)
-             .select(*keys, *payload, F.col("__next").alias("version"), F.lit(0).cast("bigint").alias("seq"), "op"))
-    return out
+    nxt = changes.agg(F.max("version")).first()[0]   # one scalar: the new version number
+    nxt = 0 if nxt is None else nxt + 1
+    return (j.withColumn("op", op).filter(F.col("op").isNotNull())
+             .select(*keys, *payload, F.lit(nxt).cast("bigint").alias("version"),
+                     F.lit(0).cast("bigint").alias("seq"), "op"))
 
 
 def rows_by_version(changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1012,3 +1012,15 @@ SELECT count(*) AS rows, count(priority) AS priority_non_null FROM (
 def q_null_coverage(spark, sf_dir):
     """count(*) next to count(new column) after a schema-evolving append."""
     return Q.null_coverage(q_schema_evolution(spark, sf_dir), ["priority"])
+
+
+@register("action_log_replay", W(ACT, """
+SELECT path, version, size FROM (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC, seq DESC) AS rn FROM actions)
+WHERE rn = 1 AND action = 'add'"""))
+def q_action_log_replay(spark, sf_dir):
+    """The events action log written as JSON commit folders, read back as
+    action rows and replayed to the live file set of the latest version."""
+    log = scratch_path(spark, "action_log")
+    R.write_action_log(actions(spark, sf_dir), log)
+    return Vr.live_files(R.read_action_log(spark, log))

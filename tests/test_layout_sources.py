@@ -69,3 +69,24 @@ def test_inferred_csv_and_footprint(spark, sf_dir):
     assert dict(back.dtypes) == {"o_orderkey": "int", "o_totalprice": "double"}
     fp = {r["format"]: r["bytes"] for r in L.format_footprint(spark, o, scratch_path(spark, "fp")).collect()}
     assert fp["parquet_zstd"] < fp["csv"] < fp["json"]
+
+
+def test_two_column_partitions_and_named_table(spark, sf_dir):
+    ev = domain.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("hour", F.hour("ts"))
+    p = scratch_path(spark, "day_hour")
+    S.write_partitioned(ev, p, ["day", "hour"])
+    back = R.read_partitioned(spark, p)
+    assert back.count() == ev.count()
+    assert back.select("day", "hour").distinct().count() == ev.select("day", "hour").distinct().count()
+    S.save_named(ev.select("event_id", "user_id"), "keelson_test_events", path=scratch_path(spark, "named"))
+    try:
+        assert R.read_named(spark, "keelson_test_events").count() == ev.count()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS keelson_test_events")
+
+
+def test_partition_count_and_profile(spark):
+    from keelson.operators import skew as X
+    df = spark.range(0, 1000, numPartitions=5)
+    assert X.partition_count(df).first()["partitions"] == 5
+    assert sorted(r["rows"] for r in X.partition_profile(df).collect()) == [200] * 5

@@ -47,8 +47,9 @@ def epoch_seconds(ts: ColumnOrName) -> Column:
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole seconds from ``start`` to ``end`` (F3), truncated toward zero like
-    ``timestampdiff(SECOND, ...)``; time-zone free on NTZ values."""
-    return (epoch_seconds(end) - epoch_seconds(start)).cast("bigint")
+    ``timestampdiff(SECOND, ...)``. NTZ minus NTZ is a day-time interval computed
+    without any time zone; it is read as whole seconds."""
+    return (col(end) - col(start)).cast("interval second").cast("bigint")
 
 
 def instant_from_ntz(ts: ColumnOrName) -> Column:
@@ -123,7 +124,8 @@ def weekday_name(ts: ColumnOrName) -> Column:
 def year_month(ts: ColumnOrName) -> Column:
     """'yyyy-MM' (F7) from the calendar fields (time-zone free on NTZ values)."""
     c = col(ts)
-    return F.format_string("%04d-%02d", F.year(c), F.month(c))
+    return F.concat(F.lpad(F.year(c).cast("string"), 4, "0"), F.lit("-"),
+                    F.lpad(F.month(c).cast("string"), 2, "0"))
 
 
 def day_range(ts: ColumnOrName, day: str | _dt.date) -> Column:

@@ -33,7 +33,10 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
         key = None
     if key is not None and key in _PROVEN:
         return _PROVEN[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    # ``take`` scans partitions incrementally and stops once max_rows + 1 rows are
+    # seen, so probing a large table by mistake costs one or a few tasks, not a job
+    # over every partition; only constant one-column rows reach the driver.
+    ok = len(df.select(F.lit(1).alias("x")).take(max_rows + 1)) <= max_rows
     if key is not None:
         _PROVEN[key] = ok
     return ok

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from keelson.functions.columns import count_if
-from keelson.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast
+from keelson.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast
 from keelson.operators.keyed import assert_unique, latest_by_key
 from keelson.operators.ordered import running_sum
 
@@ -53,13 +53,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check_uniq
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def upsert_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: source_rows, updated, inserted, copied (M3).
+def upsert_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """One row: source_rows, updated, inserted, copied (M3), for a target with
+    unique keys.
 
     ``copied`` counts target rows not matched - what a row-level rewrite copies; a
-    file-level engine copies only rows sharing a file with a match.
+    file-level engine copies only rows sharing a file with a match. When the source
+    keys are proven small, target rows are flagged by a broadcast left join (the
+    target is streamed once, never shuffled) and both sides are counted in one
+    aggregate over a tagged union; otherwise a full outer join on the keys is used.
     """
     keys = list(keys)
+    if fits_broadcast(source.select(*keys), broadcast_max_rows):
+        sk = F.broadcast(source.select(*keys).filter(_not_null(keys)).withColumn("__s", F.lit(1)))
+        t = target.select(*keys).join(sk, keys, "left").select(F.lit(1).alias("__t"), "__s",
+                                                               F.lit(None).cast("int").alias("__src"))
+        s = source.select(F.lit(None).cast("int").alias("__t"), F.lit(None).cast("int").alias("__s"),
+                          F.lit(1).alias("__src"))
+        u = t.unionByName(s)
+        ts, ss = F.col("__t").isNotNull(), F.col("__s").isNotNull()
+        g = u.agg(count_if(F.col("__src").isNotNull()).alias("source_rows"),
+                  count_if(ts & ss).alias("updated"), count_if(ts & ~ss).alias("copied"))
+        return g.select("source_rows", "updated", (F.col("source_rows") - F.col("updated")).alias("inserted"),
+                        "copied")
     t = target.select(*keys).withColumn("__t", F.lit(1))
     s = source.select(*keys).withColumn("__s", F.lit(1))
     cond = None

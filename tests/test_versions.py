@@ -145,3 +145,11 @@ def test_row_ids_unique(spark):
     from keelson.operators.ordered import row_ids
     df = row_ids(spark.range(0, 1000).repartition(7))
     assert df.select("row_id").distinct().count() == 1000
+
+
+def test_upsert_metrics_paths_agree(spark):
+    tgt = spark.createDataFrame([(i, "t") for i in range(20)] + [(None, "n")], "k int, v string")
+    src = spark.createDataFrame([(i, "s") for i in range(15, 30)] + [(None, "m")], "k int, v string")
+    small = V.upsert_metrics(tgt, src, ["k"]).first().asDict()
+    big = V.upsert_metrics(tgt, src, ["k"], broadcast_max_rows=0).first().asDict()
+    assert small == big == {"source_rows": 16, "updated": 5, "inserted": 11, "copied": 16}

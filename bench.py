@@ -57,6 +57,7 @@ def main():
     z = lambda: registry.zones(spark, sf)
     q["generous_native"] = timed(lambda: gold.generous_borough(s(), z(), "broadcast", "native"))
     q["generous_pandas_udf"] = timed(lambda: gold.generous_borough(s(), z(), "broadcast", "vectorized"))
+    q["generous_python_udf"] = timed(lambda: gold.generous_borough(s(), z(), "broadcast", "rowwise"))
     q["generous_repartition500"] = timed(lambda: gold.generous_borough(s(), z(), "broadcast", "native", 500))
 
     # 3. Skewed join: 90 % of lineitem on one supplier.

@@ -77,6 +77,18 @@ def borough_totals(gold: DataFrame) -> DataFrame:
                     C.round_half_up(F.col("_tip_t") / F.nullif(F.col("_tip_n"), F.lit(0)) / 10, 1).alias("avg_card_tip_pct"))
 
 
+def borough_card_tip_weighted(trips: DataFrame, zones: DataFrame, strategy: str = "broadcast") -> DataFrame:
+    """Card tip % per borough weighted by fare (card tips / card fares over all the
+    borough's trips), next to the unweighted mean of zone-day percentages that
+    ``borough_totals`` keeps for compatibility."""
+    j = _zone_join(trips, zones, "inner", strategy)
+    card = F.col("payment_type_id") == 1
+    g = j.groupBy("borough").agg(
+        F.sum(F.when(card, C.cents("tip_amount")).otherwise(0)).alias("_tip_c"),
+        F.sum(F.when(card, C.cents("fare_amount")).otherwise(0)).alias("_fare_c"))
+    return g.select("borough", C.round_half_up(C.ratio_pct("_tip_c", "_fare_c"), 1).alias("weighted_card_tip_pct"))
+
+
 def payment_tipping(trips: DataFrame) -> DataFrame:
     """Tipping by payment label (G7): trips, average tip, percent of trips with a tip."""
     g = trips.groupBy(C.payment_label("payment_type_id").alias("payment")).agg(

@@ -1024,3 +1024,14 @@ def q_action_log_replay(spark, sf_dir):
     log = scratch_path(spark, "action_log")
     R.write_action_log(actions(spark, sf_dir), log)
     return Vr.live_files(R.read_action_log(spark, log))
+
+
+@register("borough_card_tip_weighted", W(SILVER_SQL, """
+SELECT z.borough,
+       floor(CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.tip_amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT)
+             / nullif(CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.fare_amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT), 0)
+             * 100 * 10 + 0.5) / 10 AS weighted_card_tip_pct
+FROM silver t JOIN zones z ON t.pickup_zone_id = z.zone_id GROUP BY 1"""))
+def q_borough_weighted(spark, sf_dir):
+    """G6 companion: fare-weighted card tip % per borough."""
+    return gold.borough_card_tip_weighted(silver(spark, sf_dir), zones(spark, sf_dir))

@@ -93,7 +93,7 @@ def from_cents(c: ColumnOrName) -> Column:
 
 
 def ratio_pct(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """num / nullif(den, 0) * 100 (A8); NULL, not an error, when ``den`` is 0."""
+    """num / nullif(den, 0) * 100 (A8, F13, F16); NULL, not an error, when ``den`` is 0."""
     return col(num) / F.nullif(col(den), F.lit(0)) * 100
 
 
@@ -141,7 +141,8 @@ def in_window(ts: ColumnOrName, start: str, end: str) -> Column:
 
 
 def tip_pct(tip: ColumnOrName, total: ColumnOrName) -> Column:
-    """Native tip percentage (D1): NULL when either side is NULL or total is 0."""
+    """Native tip percentage (D1, searched CASE F14): NULL when either side is NULL or
+    total is 0."""
     return F.when(col(total) != 0, col(tip) / col(total) * 100)
 
 

@@ -65,7 +65,8 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: Column | str | Sequence[str],
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (J8 / relationships test Q4)."""
+    """Child rows whose non-NULL key has no parent (J8 / relationships test Q4); the
+    parent keys are made DISTINCT (U3) before the anti-join."""
     p = parent.select(F.col(parent_key).alias("__pk")).distinct()
     return (child.filter(F.col(child_key).isNotNull())
                  .join(p, F.col(child_key) == F.col("__pk"), "left_anti"))
@@ -88,7 +89,8 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, salts: int = 16,
                 salt_cols: Sequence[str] | None = None, hot: Sequence | None = None,
                 how: str = "inner") -> DataFrame:
-    """Salted equi-join for a skewed key.
+    """Salted equi-join for a skewed key (J5, X5; F18 salt from a hash, F19 row
+    replication with explode(sequence)).
 
     Each big-side row gets a salt in [0, salts) from a hash of ``salt_cols`` (a unique
     column set, deterministic across retries, unlike ``rand``); the small side is

@@ -15,7 +15,7 @@ QUANTILES = [0.25, 0.5, 0.75, 0.95]
 
 
 def partition_profile(df: DataFrame) -> DataFrame:
-    """Rows per physical partition (X1): (partition, rows)."""
+    """Rows per physical partition (X1, F20 ``spark_partition_id``): (partition, rows)."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
 
 

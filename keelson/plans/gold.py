@@ -3,8 +3,9 @@
 Money is summed in integer cents (exact, independent of summation order) and turned
 into dollars once; averages of doubles are rounded half-up at the end, so the same
 input gives the same output on any engine and any partitioning. Every aggregate
-here is a hash aggregate with a partial (map-side) step: a hot group key is reduced
-inside each input task before the shuffle.
+here is a hash aggregate with a partial (map-side) step (A14): a hot group key is
+reduced inside each input task before the shuffle. Group keys may be derived
+expressions (A12: weekday name, date), computed once in the projection.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def generous_borough(trips: DataFrame, zones: DataFrame, strategy: str = "broadc
 
     ``tip_fn`` picks the native expression (default, stays in codegen), the Arrow
     ``pandas_udf`` twin or the row-at-a-time UDF; all give the same rows.
-    ``repartition`` reproduces the redundant-shuffle anti-pattern for the benchmark.
+    ``repartition`` reproduces the redundant-shuffle anti-pattern (X6) for the benchmark.
     """
     t = trips.select("pickup_zone_id", "tip_amount", "total_amount")
     if repartition:

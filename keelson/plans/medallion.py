@@ -45,7 +45,7 @@ RUN_TS = "2024-06-01 00:00:00"
 
 def to_bronze(df: DataFrame, source_file: str | None = None, ingested_at: str | None = None,
               pickup_col: str = "tpep_pickup_datetime") -> DataFrame:
-    """Raw rows verbatim plus ``_source_file``, ``_ingested_at``, ``_pickup_month``.
+    """Raw rows verbatim plus ``_source_file``, ``_ingested_at``, ``_pickup_month``.
 
     ``source_file=None`` takes the file name from the scan's hidden metadata column
     (only valid directly on a file scan); ``ingested_at=None`` stamps the current time.
@@ -97,7 +97,7 @@ def silver_rename(bronze: DataFrame) -> DataFrame:
 
 
 def silver_rules(v: SilverVars = DEFAULT_VARS) -> list[tuple[str, F.Column]]:
-    """The validity rules (P6-P9, P13) as (name, predicate); a row passes a rule only
+    """The validity rules (P6-P9, P13, F22) as (name, predicate); a row passes a rule only
     when its predicate is TRUE (NULL operands fail, as in SQL WHERE)."""
     return [
         ("pickup_before_start", F.col("pickup_at") >= C.ntz(v.start_date)),
@@ -131,7 +131,7 @@ def rejects(renamed: DataFrame, v: SilverVars = DEFAULT_VARS) -> DataFrame:
 
 def since_watermark(bronze: DataFrame, target: DataFrame | None, ts_col: str = "tpep_pickup_datetime",
                     target_ts: str = "pickup_at") -> DataFrame:
-    """High-watermark filter (P14): ``ts >= coalesce(max(target.ts), '1900-01-01')``.
+    """High-watermark filter (P14, F12): ``ts >= coalesce(max(target.ts), '1900-01-01')``.
 
     The max is one aggregate over the target (a single value comes back); it becomes a
     literal so the filter prunes the bronze scan like any range predicate.

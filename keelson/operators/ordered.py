@@ -108,8 +108,10 @@ def batch_slice(df: DataFrame, order: Sequence[str | Column], n: int, offset: in
     return df.orderBy(*_cols(order)).offset(offset).limit(n)
 
 
-def top_groups(df: DataFrame, key: str, k: int, count_name: str = "trips") -> DataFrame:
-    """Top-k groups by row count with a key tie-break (O3). Counting combines map
-    side; only the k best rows per task reach the final sort."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
-              .orderBy(F.desc(count_name), F.asc(key)).limit(k))
+def top_groups(df: DataFrame, key: str, k: int, count_name: str = "trips",
+               extra: dict[str, Column] | None = None) -> DataFrame:
+    """Top-k groups by row count with a key tie-break (O3), plus optional ``extra``
+    aggregates (name -> aggregate column). Counting combines map side; only the k
+    best rows per task reach the final sort."""
+    aggs = [F.count(F.lit(1)).alias(count_name)] + [v.alias(n) for n, v in (extra or {}).items()]
+    return df.groupBy(key).agg(*aggs).orderBy(F.desc(count_name), F.asc(key)).limit(k)

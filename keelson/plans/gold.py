@@ -196,6 +196,21 @@ def daily_trips(df: DataFrame, n: int = 8, ts_col: str = "tpep_pickup_datetime")
              .orderBy("day").limit(n))
 
 
+def avg_total_by_zone(trips: DataFrame) -> DataFrame:
+    """Average total per pickup zone (the wide groupBy + avg of the partitioning demo,
+    A5 grouped): partial averages are combined after one shuffle."""
+    g = trips.groupBy("pickup_zone_id").agg(F.count(F.lit(1)).alias("trips"),
+                                             F.sum(C.cents("total_amount")).alias("_c"))
+    return g.select("pickup_zone_id", "trips", (F.floor(F.col("_c") / F.col("trips") + 0.5) / 100).alias("avg_total"))
+
+
+def top_zones(trips: DataFrame, k: int = 5) -> DataFrame:
+    """Top ``k`` pickup zones by trips with their average ticket."""
+    from keelson.operators.ordered import top_groups
+    t = top_groups(trips, "pickup_zone_id", k, "trips", {"_c": F.sum(C.cents("total_amount"))})
+    return t.select("pickup_zone_id", "trips", (F.floor(F.col("_c") / F.col("trips") + 0.5) / 100).alias("avg_total"))
+
+
 def trips_per_borough(trips: DataFrame, zones: DataFrame, strategy: str = "broadcast",
                       salts: int = 0, hot: list | None = None) -> DataFrame:
     """Trips per borough (G19, X4/X5). ``salts > 0`` uses the salted join; the

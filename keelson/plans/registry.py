@@ -276,6 +276,7 @@ def q_load_audit(spark, sf_dir):
 @register("funnel", W(GOLD_DAILY_SQL + GOLD_HOURLY_CTE, """
 SELECT 'bronze' AS layer, count(*) AS rows FROM bronze
 UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'silver_zones', count(*) FROM zones
 UNION ALL SELECT 'gold_daily_zone_revenue', count(*) FROM gold_daily
 UNION ALL SELECT 'gold_hourly_demand', count(*) FROM gold_hourly"""))
 def q_funnel(spark, sf_dir):
@@ -284,7 +285,7 @@ def q_funnel(spark, sf_dir):
     from keelson.sources.sinks import materialize
     s = materialize(silver(spark, sf_dir), scratch_path(spark, "silver"))
     z = zones(spark, sf_dir)
-    return gold.funnel({"bronze": bronze(spark, sf_dir), "silver": s,
+    return gold.funnel({"bronze": bronze(spark, sf_dir), "silver": s, "silver_zones": z,
                         "gold_daily_zone_revenue": gold.daily_zone_revenue(s, z),
                         "gold_hourly_demand": gold.hourly_demand(s, z)})
 
@@ -330,12 +331,19 @@ def q_daily_trips(spark, sf_dir):
     return gold.daily_trips(domain.raw_trips(spark, sf_dir), 8)
 
 
-@register("most_active_zones", W(SILVER_SQL, """
-SELECT pickup_zone_id, count(*) AS trips FROM silver GROUP BY 1 ORDER BY trips DESC, pickup_zone_id LIMIT 5"""))
+@register("most_active_zones", W(SILVER_SQL, f"""
+SELECT pickup_zone_id, count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
+FROM silver GROUP BY 1 ORDER BY trips DESC, pickup_zone_id LIMIT 5"""))
 def q_most_active(spark, sf_dir):
-    """G18, O3 (top 5 with a key tie-break)."""
-    from keelson.operators.ordered import top_groups
-    return top_groups(silver(spark, sf_dir), "pickup_zone_id", 5)
+    """G18, O3 (top 5 with a key tie-break, plus the average ticket)."""
+    return gold.top_zones(silver(spark, sf_dir), 5)
+
+
+@register("avg_total_by_zone", W(SILVER_SQL, f"""
+SELECT pickup_zone_id, count(*) AS trips, {_avg_cents('total_amount')} AS avg_total FROM silver GROUP BY 1"""))
+def q_avg_by_zone(spark, sf_dir):
+    """A5 grouped: the wide groupBy + avg per pickup zone."""
+    return gold.avg_total_by_zone(silver(spark, sf_dir))
 
 
 TPB_SQL = W(SILVER_SQL, """
@@ -457,6 +465,13 @@ def _skewed_join(spark, sf_dir, mode):
     return j.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@register("skewed_top_keys", W(SKEWED_LINES_SQL, """
+SELECT l_suppkey, count(*) AS lines FROM skewed GROUP BY 1 ORDER BY lines DESC, l_suppkey LIMIT 5"""))
+def q_skewed_top(spark, sf_dir):
+    """The hot key shows up first in a top-5 of rows per key."""
+    return O.top_groups(skewed_lines(spark, sf_dir), "l_suppkey", 5, "lines")
+
+
 @register("skewed_join", SKEWED_JOIN_SQL)
 def q_skewed_join(spark, sf_dir):
     """Sort-merge join on the hot key (adaptive execution splits the hot partition)."""

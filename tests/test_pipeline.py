@@ -58,3 +58,20 @@ def test_append_day_is_not_idempotent(spark, sf_dir):
         pipeline.append_day(b, day, p)
     once = registry.QUERIES["sandbox_day"](spark, sf_dir).count()
     assert spark.read.parquet(p).count() == 3 * once
+
+
+def test_cli_ingest_months_and_rerun(spark, sf_dir, capsys):
+    import json
+
+    from keelson.__main__ import main
+    raw = domain.raw_trips(spark, sf_dir)
+    src = scratch_path(spark, "raw_files")
+    raw.write.parquet(src)
+    bronze = scratch_path(spark, "bronze_cli")
+    for _ in range(2):                                   # re-run: same rows, no duplicates
+        assert main(["ingest", "--raw", src, "--bronze", bronze, "1996-05", "1997-05"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    expect = raw.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM").isin("1996-05", "1997-05")).count()
+    assert out == {"months": ["1996-05", "1997-05"], "bronze_rows": expect}
+    files = spark.read.parquet(bronze).select("_source_file").distinct().collect()
+    assert all(r[0].endswith(".parquet") for r in files)

@@ -37,3 +37,37 @@ def test_watermark_drops_nothing_in_one_batch(spark, sf_dir):
     mark = ev.agg(F.max("ts")).first()[0]
     closed = ev.filter(F.col("ts") < F.lit(mark.replace(minute=0, second=0, microsecond=0)) - F.expr("INTERVAL 1 HOUR"))
     assert w.agg(F.sum("events")).first()[0] >= closed.count()
+
+
+def test_late_rows_behind_watermark_are_dropped(spark, sf_dir):
+    import os
+    import time
+
+    # Spark filters late rows against the previous batch's watermark, so the late
+    # batch comes third: day 20, day 21 (watermark moves), then day 10 (late).
+    ev = domain.table(spark, sf_dir, "events")
+    src = scratch_path(spark, "late_src").replace("file:", "")
+    days = ["2024-01-20", "2024-01-21", "2024-01-10"]
+    flat = os.path.join(src, "flat")
+    os.makedirs(flat)
+    for i, d in enumerate(days):
+        part = f"{src}/d{i}"
+        ev.filter(F.to_date("ts") == F.lit(d).cast("date")).coalesce(1).write.parquet(part)
+        f = [x for x in os.listdir(part) if x.endswith(".parquet")][0]
+        os.link(os.path.join(part, f), os.path.join(flat, f"part-{i}.parquet"))
+        time.sleep(1.2)                               # the file source reads oldest files first
+    out, ck = scratch_path(spark, "late_out"), scratch_path(spark, "late_ck")
+    q = (T.windowed_demand(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(flat))
+         .writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    dropped = sum((p["stateOperators"][0].get("numRowsDroppedByWatermark") or 0)
+                  for p in q.recentProgress if p["stateOperators"])
+    # the metric counts rows after the partial aggregation before the state store:
+    # one per late (hour window, event type) group of the single late file
+    late_groups = (ev.filter(F.to_date("ts") == F.lit(days[2]).cast("date"))
+                     .select(F.date_trunc("hour", "ts"), "event_type").distinct().count())
+    assert dropped == late_groups > 0
+    res = spark.read.parquet(out)
+    assert res.filter(F.to_date("window_start") == F.lit(days[2]).cast("date")).count() == 0
+    assert res.filter(F.to_date("window_start") == F.lit(days[0]).cast("date")).count() > 0

@@ -13,20 +13,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for a dimension that may be broadcast: a few hundred thousand rows of
-# a narrow lookup is a few MB per executor.
+# Default bounds for a side that may be broadcast: at most this many rows AND at most
+# this many estimated bytes (rows x schema row width), whichever is tighter.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+# Estimated bytes per value by type name (variable-width types use a typical size).
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4, "long": 8,
+          "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 32, "binary": 32}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (nested types count 64 bytes)."""
+    total = 16                                   # row header / null bits
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        total += _WIDTH.get(t, 16 if t.startswith("decimal") else 64)
+    return total
 
 
 _PROVEN: dict[tuple, bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1 rows.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``min(max_rows, max_bytes / row width)`` rows;
+    reads at most that many + 1 rows.
 
     The answer is remembered per (plan, exact input file list): rewriting a table
     produces new file names, so a changed dimension is probed again.
     """
+    max_rows = max(0, min(max_rows, max_bytes // row_width(df)))
     try:
         key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
     except Exception:  # plans without a stable hash or file list are always probed
@@ -43,7 +60,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its size is proven small, else ``df`` unchanged."""
+    """``broadcast(df)`` if its size is proven small (rows and estimated bytes), else
+    ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 

@@ -79,3 +79,15 @@ def test_batch_slice_and_top_groups(spark):
     assert [r["id"] for r in O.batch_slice(df, ["id"], 5, 10).collect()] == [10, 11, 12, 13, 14]
     top = [tuple(r) for r in O.top_groups(df, "k", 2).collect()]
     assert top == [(0, 13), (1, 13)]
+
+
+def test_range_partitioning_splits_a_hot_key(spark):
+    from keelson.operators.skew import partition_profile
+    # a third of the rows share key 0; the tie-breaking column spreads them out
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                      F.col("id").alias("u"))
+    ranged = O.range_partitioned(df, ["k", "u"], partitions=8)
+    sizes = [r["rows"] for r in partition_profile(ranged).collect()]
+    assert len(sizes) == 8 and max(sizes) < 0.25 * 30000
+    got = O.sequential_id(df, ["k", "u"], "sid", partitions=8)
+    assert got.agg(F.min("sid"), F.max("sid"), F.countDistinct("sid")).first() == (1, 30000, 30000)

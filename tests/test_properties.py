@@ -85,3 +85,33 @@ def test_dedup_unique_and_first(spark, data):
     assert len(got) == d.count()
     for k in {r[0] for r in data}:
         assert got[k] == min((o, x) for kk, o, x in data if kk == k)
+
+
+@SETTINGS
+@given(chg=changes)
+def test_rows_by_version_model(spark, chg):
+    data = [(k, p, ver, i, op) for i, (k, p, ver, op) in enumerate(chg)]
+    c = spark.createDataFrame(data, "k int, p int, version long, seq long, op string")
+    live, expect = {}, {}
+    for k, p, ver, i, op in sorted(data, key=lambda r: (r[2], r[3])):
+        live[k] = op != "delete"
+        expect[ver] = sum(live.values())
+    got = {r["version"]: r["live_rows"] for r in V.rows_by_version(c, ["k"]).collect()}
+    assert got == expect
+
+
+acts = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 4), st.sampled_from(["add", "remove"])),
+                min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(a=acts, v=st.integers(0, 4))
+def test_live_files_model(spark, a, v):
+    data = [(ver, i, action, f"f{p}", i) for i, (p, ver, action) in enumerate(a)]
+    df = spark.createDataFrame(data, "version long, seq long, action string, path string, size long")
+    state = {}
+    for ver, i, action, path, size in sorted(data, key=lambda r: (r[0], r[1])):
+        if ver <= v:
+            state[path] = action
+    expect = sorted(p for p, act in state.items() if act == "add")
+    assert sorted(r["path"] for r in V.live_files(df, v).collect()) == expect

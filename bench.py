@@ -98,6 +98,11 @@ def main():
     info = {}
     two = orders.filter(F.col("o_orderkey") < 2).withColumn("o_totalprice", F.col("o_totalprice") + 1.0)
     info["merge_2_rows"] = Vr.upsert_metrics(orders, two, ["o_orderkey"]).first().asDict()
+    for lay, writer in (("sorted", lambda d, p: L.write_sorted(d, p, "o_orderkey", 16)),
+                        ("random", lambda d, p: L.write_shuffled(d, p, 16))):
+        p = scratch_path(spark, f"orders_{lay}")
+        writer(orders, p)
+        info[f"merge_2_rows_files_{lay}"] = Vr.merge_file_impact(spark, p, two, ["o_orderkey"]).first().asDict()
 
     # One-day filter on a day-partitioned layout: partitions actually scanned.
     ev = domain.table(spark, sf, "events").withColumn("day", F.to_date("ts"))

@@ -91,6 +91,30 @@ def upsert_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  count_if(ts & ~ss).alias("copied"))
 
 
+def merge_file_impact(spark, target_path: str, source: DataFrame, keys: Sequence[str],
+                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """What a copy-on-write merge into the Parquet files at ``target_path`` rewrites
+    (M3, file level): one row ``files_total, files_touched, rows_matched,
+    rows_copied``. A file is touched when it holds a matched key; every other row of
+    a touched file is copied unchanged. Report only - nothing is written.
+
+    The target is scanned once with its hidden file-path column; source keys are
+    joined (broadcast when proven small) and the per-file counts are aggregated.
+    """
+    keys = list(keys)
+    t = spark.read.parquet(target_path).select(*keys, F.col("_metadata.file_path").alias("__file"))
+    sk = checked_broadcast(source.select(*keys).filter(_not_null(keys)).distinct().withColumn("__m", F.lit(1)),
+                           broadcast_max_rows)
+    per_file = (t.join(sk, keys, "left")
+                 .groupBy("__file").agg(F.count(F.lit(1)).alias("rows"), F.count("__m").alias("matched")))
+    touched = F.col("matched") > 0
+    return per_file.agg(F.count(F.lit(1)).alias("files_total"),
+                        count_if(touched).alias("files_touched"),
+                        F.sum("matched").cast("bigint").alias("rows_matched"),
+                        F.sum(F.when(touched, F.col("rows") - F.col("matched")).otherwise(0)).cast("bigint")
+                         .alias("rows_copied"))
+
+
 # ----------------------------------------------------------------------------- versions
 
 def as_of(changes: DataFrame, keys: Sequence[str], version: int | None = None,

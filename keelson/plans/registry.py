@@ -1073,3 +1073,16 @@ FROM silver t JOIN zones z ON t.pickup_zone_id = z.zone_id GROUP BY 1"""))
 def q_borough_weighted(spark, sf_dir):
     """G6 companion: fare-weighted card tip % per borough."""
     return gold.borough_card_tip_weighted(silver(spark, sf_dir), zones(spark, sf_dir))
+
+
+@register("merge_file_impact")
+def q_merge_file_impact(spark, sf_dir):
+    """M3 at file level: orders written as 16 files sorted on the key, then the files a
+    merge of the year-2000+ orders touches and the unchanged rows it would copy
+    (rows-only: file boundaries depend on the writer)."""
+    from keelson.operators.layout import write_sorted
+    o = domain.table(spark, sf_dir, "orders")
+    p = scratch_path(spark, "orders_sorted")
+    write_sorted(o, p, "o_orderkey", 16)
+    _, source = upsert_inputs(spark, sf_dir)
+    return Vr.merge_file_impact(spark, p, source, ["o_orderkey"])

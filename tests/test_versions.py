@@ -153,3 +153,20 @@ def test_upsert_metrics_paths_agree(spark):
     small = V.upsert_metrics(tgt, src, ["k"]).first().asDict()
     big = V.upsert_metrics(tgt, src, ["k"], broadcast_max_rows=0).first().asDict()
     assert small == big == {"source_rows": 16, "updated": 5, "inserted": 11, "copied": 16}
+
+
+def test_merge_file_impact_depends_on_layout(spark):
+    from keelson.operators.layout import write_shuffled, write_sorted
+    from keelson.session import scratch_path
+    tgt = spark.range(0, 10000).withColumn("v", F.col("id") * 2)
+    src = spark.createDataFrame([(1, 0), (2, 0)], "id long, v long")
+    sorted_p, random_p = scratch_path(spark, "sorted"), scratch_path(spark, "random")
+    write_sorted(tgt, sorted_p, "id", 10)
+    write_shuffled(tgt, random_p, 10)
+    s = V.merge_file_impact(spark, sorted_p, src, ["id"]).first().asDict()
+    r = V.merge_file_impact(spark, random_p, src, ["id"]).first().asDict()
+    assert s["files_total"] == 10 and s["files_touched"] == 1 and s["rows_matched"] == 2
+    f = spark.read.parquet(sorted_p).filter("id = 1").select(F.col("_metadata.file_path")).first()[0]
+    in_file = spark.read.parquet(sorted_p).filter(F.col("_metadata.file_path") == f).count()
+    assert s["rows_copied"] == in_file - 2
+    assert r["files_touched"] >= s["files_touched"] and r["rows_copied"] >= s["rows_copied"]

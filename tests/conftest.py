@@ -12,8 +12,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+    wh = tempfile.mkdtemp(prefix="keelson-warehouse-", dir="/tmp")
     s = build_session("local[4]", "keelson-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g", "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -90,3 +90,20 @@ def test_partition_count_and_profile(spark):
     df = spark.range(0, 1000, numPartitions=5)
     assert X.partition_count(df).first()["partitions"] == 5
     assert sorted(r["rows"] for r in X.partition_profile(df).collect()) == [200] * 5
+
+
+def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
+    li = domain.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    od = domain.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    S.write_bucketed(li, "kt_lines", scratch_path(spark, "b_lines"), ["l_orderkey"], 8)
+    S.write_bucketed(od, "kt_orders", scratch_path(spark, "b_orders"), ["o_orderkey"], 8)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = spark.table("kt_lines").join(spark.table("kt_orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.join(od, F.col("l_orderkey") == F.col("o_orderkey")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.sql("DROP TABLE IF EXISTS kt_lines")
+        spark.sql("DROP TABLE IF EXISTS kt_orders")

@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Reader of one driver table. The driver tables are read-only inputs, so one
     resolved reader per (session, table) is reused instead of resolving the file
     and its schema again for every query built in the session."""
-    key = (spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir.rstrip("/"), name)
     df = _READERS.get(key)
     if df is None:
         df = read_table(spark, sf_dir, name)

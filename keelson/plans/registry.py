@@ -40,7 +40,7 @@ _PLANS: dict[tuple, DataFrame] = {}
 
 
 def _plan(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    k = (spark._jsparkSession.hashCode(),) + key
+    k = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode()) + key
     df = _PLANS.get(k)
     if df is None:
         df = build()

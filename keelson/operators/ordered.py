@@ -42,15 +42,14 @@ def range_partitioned(df: DataFrame, order: Sequence[str | Column], partitions:
     return ranged
 
 
-def _partition_offsets(tagged: DataFrame, weight: Column | None = None) -> Column:
-    """Prefix offsets per partition as an array literal (one entry per partition)."""
+def _partition_starts(tagged: DataFrame, weight: Column | None = None) -> list[int]:
+    """Prefix offset of every partition (one count per partition reaches the driver)."""
     agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
     rows = tagged.groupBy(_PID).agg(agg.alias("n")).collect()  # <= partition count rows
     sizes = [0] * (max([r[_PID] for r in rows], default=0) + 1)
     for r in rows:
         sizes[r[_PID]] = r["n"] or 0
-    starts = [0] + list(accumulate(sizes))[:-1]
-    return F.array(*[F.lit(s).cast("bigint") for s in starts])
+    return [0] + list(accumulate(sizes))[:-1]
 
 
 def sequential_id(df: DataFrame, order: Sequence[str | Column], name: str = "seq_id", offset: int = 0,
@@ -61,10 +60,14 @@ def sequential_id(df: DataFrame, order: Sequence[str | Column], name: str = "seq
     """
     ranged = range_partitioned(df, order, partitions, checkpoint)
     tagged = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MONO, F.monotonically_increasing_id())
-    starts = _partition_offsets(tagged)
+    starts = _partition_starts(tagged)
+    # One row per partition: bounded by construction, so it is broadcast; the join
+    # streams the big side and keeps its partitioning and order.
+    offs = df.sparkSession.createDataFrame([(i, s) for i, s in enumerate(starts)], f"{_PID} int, __start long")
     local = F.col(_MONO) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
-    return (tagged.withColumn(name, starts[F.col(_PID)] + local + 1 + F.lit(offset))
-                  .drop(_PID, _MONO))
+    return (tagged.join(F.broadcast(offs), _PID)
+                  .withColumn(name, F.col("__start") + local + 1 + F.lit(offset))
+                  .drop(_PID, _MONO, "__start"))
 
 
 def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "running",
@@ -73,11 +76,7 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "ru
     range partition in Arrow batches plus a per-partition prefix offset."""
     ranged = range_partitioned(df, order, partitions, True)
     tagged = ranged.withColumn(_PID, F.spark_partition_id())
-    starts_rows = tagged.groupBy(_PID).agg(F.sum(value).alias("n")).collect()  # <= partition count
-    sizes = [0] * (max([r[_PID] for r in starts_rows], default=0) + 1)
-    for r in starts_rows:
-        sizes[r[_PID]] = r["n"] or 0
-    starts = [0] + list(accumulate(sizes))[:-1]
+    starts = _partition_starts(tagged, F.col(value))          # shipped with the task closure
     out_schema = T.StructType(list(tagged.schema.fields) + [T.StructField(name, T.LongType())])
 
     def local_cumsum(batches):

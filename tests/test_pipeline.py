@@ -75,3 +75,19 @@ def test_cli_ingest_months_and_rerun(spark, sf_dir, capsys):
     assert out == {"months": ["1996-05", "1997-05"], "bronze_rows": expect}
     files = spark.read.parquet(bronze).select("_source_file").distinct().collect()
     assert all(r[0].endswith(".parquet") for r in files)
+
+
+def test_stale_rows_stay_with_watermark_but_not_with_partitions(spark, sf_dir):
+    b = registry.bronze(spark, sf_dir)
+    loose = M.SilverVars()
+    strict = M.SilverVars(max_trip_hours=24 * 60)           # tighten the duration cap
+    target = M.silver_trips(b, loose)
+    months = [r[0] for r in target.select("pickup_month").distinct().collect()]
+    too_long = F.expr("timestampdiff(SECOND, pickup_at, dropoff_at)") > strict.max_trip_hours * 3600
+    stale = target.filter(too_long).count()
+    assert stale > 0
+    wm = pipeline.run_incremental(b, target, strict, mode="watermark")
+    assert wm.filter(too_long).count() > 0                    # merge has no delete branch
+    part = pipeline.run_incremental(b, target, strict, mode="partitions", months=months)
+    assert part.filter(too_long).count() == 0
+    assert part.count() == M.silver_trips(b, strict).count()

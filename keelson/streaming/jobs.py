@@ -66,20 +66,23 @@ def upsert_batches(target_path_of: Callable[[int], str], keys: Sequence[str], or
     """foreachBatch function for a per-micro-batch upsert.
 
     Each batch is deduplicated by key (first by ``order``) and upserted into the
-    previous version of the table; the result is written to a *new* directory
-    ``target_path_of(batch_id)`` (a table is never overwritten while being read).
-    Re-running a batch id rewrites the same directory with the same rows.
+    version written by the previous batch, ``target_path_of(batch_id - 1)`` (or
+    ``initial`` for batch 0); the result goes to a *new* directory
+    ``target_path_of(batch_id)``, so a table is never overwritten while being read.
+    No state is kept in the driver: a query restarted from its checkpoint continues
+    from the durable previous version, and a re-run batch id rewrites the same
+    directory with the same rows. ``fn.latest(batch_id)`` names a batch's table.
     """
-    state = {"current": initial}
+
+    def previous(batch_id: int) -> str | None:
+        return initial if batch_id == 0 else target_path_of(batch_id - 1)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         src = dedup_first(batch, keys, order)
-        cur = state["current"]
-        out = src if cur is None else upsert(spark.read.parquet(cur), src, keys, check_unique=False)
-        path = target_path_of(batch_id)
-        out.write.mode("overwrite").parquet(path)
-        state["current"] = path
+        prev = previous(batch_id)
+        out = src if prev is None else upsert(spark.read.parquet(prev), src, keys, check_unique=False)
+        out.write.mode("overwrite").parquet(target_path_of(batch_id))
 
-    fn.state = state
+    fn.latest = target_path_of
     return fn

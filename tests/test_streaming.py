@@ -23,12 +23,24 @@ def test_foreach_batch_upsert(spark, sf_dir):
     s.repartition(3).write.parquet(src)
     base = scratch_path(spark, "tbl")
     fn = T.upsert_batches(lambda i: f"{base}/v{i}", ["trip_id"], ["_ingested_at"])
+    ck = scratch_path(spark, "ck")
     q = (spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
-         .writeStream.foreachBatch(fn).option("checkpointLocation", scratch_path(spark, "ck"))
+         .writeStream.foreachBatch(fn).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    final = spark.read.parquet(fn.state["current"])
+    last = q.lastProgress["batchId"]
+    final = spark.read.parquet(fn.latest(last))
     assert rows(final) == rows(s)
+    # restart from the checkpoint with one more file: continues from the durable version
+    extra = s.orderBy("trip_id").limit(5).withColumn("total_amount", F.col("total_amount") + 1)
+    extra.write.mode("append").parquet(src)
+    q2 = (spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+          .writeStream.foreachBatch(T.upsert_batches(lambda i: f"{base}/v{i}", ["trip_id"], ["_ingested_at"]))
+          .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q2.awaitTermination()
+    after = spark.read.parquet(fn.latest(q2.lastProgress["batchId"]))
+    assert after.count() == s.count()
+    assert after.join(extra.select("trip_id", "total_amount"), ["trip_id", "total_amount"]).count() == 5
 
 
 def test_watermark_drops_nothing_in_one_batch(spark, sf_dir):

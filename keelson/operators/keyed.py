@@ -17,15 +17,10 @@ from pyspark.sql import functions as F
 _PACK = "__pack"
 
 
-def _ordered_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                    tiebreak_rest: bool) -> tuple[Column, list[str]]:
-    order_cols = []
-    names = []
-    for i, o in enumerate(order):
-        c = F.col(o) if isinstance(o, str) else o
-        nm = f"__o{i}"
-        order_cols.append(c.alias(nm))
-        names.append(nm)
+def _ordered_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> tuple[Column, list[str]]:
+    """struct(order..., every non-key column...): compared field by field, so the
+    order decides first and the remaining columns break ties."""
+    order_cols = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]
     rest = [c for c in df.columns if c not in keys]
     fields = order_cols + [F.col(c).alias(f"__v_{c}") for c in rest]
     return F.struct(*fields), rest
@@ -33,11 +28,10 @@ def _ordered_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
 
 def _first_or_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool) -> DataFrame:
     keys = list(keys)
-    packed, rest = _ordered_struct(df, keys, order, True)
+    packed, rest = _ordered_struct(df, keys, order)
     agg = F.max(packed) if last else F.min(packed)
     out = df.groupBy(*keys).agg(agg.alias(_PACK))
-    return out.select(*[F.col(k) for k in keys],
-                      *[F.col(f"{_PACK}.__v_{c}").alias(c) for c in rest]).select(*df.columns)
+    return out.select(*[F.col(c) if c in keys else F.col(f"{_PACK}.__v_{c}").alias(c) for c in df.columns])
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

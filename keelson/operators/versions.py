@@ -218,9 +218,11 @@ def broken_versions(actions: DataFrame, deleted: DataFrame) -> DataFrame:
     """Versions that can no longer be read once ``deleted`` paths are gone.
 
     Every add of a deleted path opens a live interval, every remove closes it; a
-    version is broken while at least one interval is open. +1/-1 events are summed
-    per version and accumulated with ``running_sum`` - no range join, no per-path
-    window. Output: version, missing_files.
+    version is broken while at least one interval is open. Actions are first folded to
+    one row per (path, version) (aggregate, skew-safe); the state change per path then
+    comes from a lag over that path's versions (at most one row per version). +1/-1
+    events are summed per version and accumulated with ``running_sum`` - no range join
+    of intervals against versions. Output: version, missing_files.
     """
     a = (actions.filter(F.col("action").isin("add", "remove"))
                 .join(deleted.select("path").distinct(), "path", "left_semi"))

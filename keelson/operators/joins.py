@@ -35,11 +35,23 @@ def row_width(df: DataFrame) -> int:
 _PROVEN: dict[tuple, bool] = {}
 
 
+def needs_shuffle(df: DataFrame) -> bool:
+    """True when computing ``df`` involves a shuffle exchange (read from its physical
+    plan; nothing runs). Broadcast exchanges of small sides do not count."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return any(f"Exchange {p}" in plan for p in ("hashpartitioning", "rangepartitioning",
+                                                  "RoundRobinPartitioning", "SinglePartition"))
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """True when ``df`` has at most ``min(max_rows, max_bytes / row width)`` rows;
     reads at most that many + 1 rows.
 
+    The probe is only run when ``df`` streams from its scans without a shuffle, so
+    ``take`` can stop after the first tasks; a candidate that would need a shuffle to
+    even be counted (a join or aggregate of large inputs) is "not proven" without
+    running anything - the planner and AQE then decide from measured sizes.
     The answer is remembered per (plan, exact input file list): rewriting a table
     produces new file names, so a changed dimension is probed again.
     """
@@ -50,6 +62,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
         key = None
     if key is not None and key in _PROVEN:
         return _PROVEN[key]
+    if needs_shuffle(df):
+        return False
     # ``take`` scans partitions incrementally and stops once max_rows + 1 rows are
     # seen, so probing a large table by mistake costs one or a few tasks, not a job
     # over every partition; only constant one-column rows reach the driver.

@@ -47,3 +47,11 @@ def test_orphans_ignore_null_keys(spark):
     child = spark.createDataFrame([(1, "a"), (2, "b"), (99, "c"), (None, "d")], "z int, t string")
     parent = spark.createDataFrame([(1,), (2,)], "zid int")
     assert [r["t"] for r in J.orphans(child, parent, "z", "zid").collect()] == ["c"]
+
+
+def test_probe_refuses_plans_that_shuffle(spark):
+    big = spark.range(0, 5000).withColumn("k", F.col("id") % 10)
+    agg = big.groupBy("k").count()                      # would need a shuffle to count
+    assert J.needs_shuffle(agg) and not J.needs_shuffle(big)
+    assert not J.fits_broadcast(agg)
+    assert J.fits_broadcast(big)

@@ -2,7 +2,7 @@
 
 Subpackages: ``sources`` (readers, writers), ``functions`` (column expressions, the
 UDF twins), ``operators`` (joins, keyed selection, ordering, versions, layout,
-quality, skew), ``plans`` (trip domain, bronze/silver/gold, reports, pipeline,
+quality, skew), ``plans`` (trip domain, bronze/silver/gold, reports, layer runner,
 query registry), ``streaming`` (incremental jobs).
 """
 

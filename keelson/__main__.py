@@ -2,7 +2,7 @@
 
 ingest    raw trip Parquet -> bronze, one month partition replaced per month given
           (default: every month present), idempotent on re-runs (G1, §3.1)
-pipeline  one gated bronze -> silver -> gold run over the driver tables (§3.2)
+run       one gated bronze -> silver -> gold run over the driver tables (§3.2)
 queries   list the registered queries (name, oracle-checked or rows-only)
 
 The session is taken from the environment (spark-submit / defaults); only a local
@@ -38,12 +38,12 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--bronze", required=True, help="bronze table directory (partitioned by month)")
     ing.add_argument("months", nargs="*", help="yyyy-MM months (default: all present)")
 
-    pipe = sub.add_parser("pipeline", help="gated bronze -> silver -> gold run over the driver tables")
-    pipe.add_argument("--sf-dir", required=True)
-    pipe.add_argument("--root", required=True, help="shared folder for the layer tables")
-    pipe.add_argument("--run-id", required=True)
-    pipe.add_argument("--previous-silver", default=None)
-    pipe.add_argument("--months", nargs="*", default=None)
+    run = sub.add_parser("run", help="gated bronze -> silver -> gold run over the driver tables")
+    run.add_argument("--sf-dir", required=True)
+    run.add_argument("--root", required=True, help="shared folder for the layer tables")
+    run.add_argument("--run-id", required=True)
+    run.add_argument("--previous-silver", default=None)
+    run.add_argument("--months", nargs="*", default=None)
 
     sub.add_parser("queries", help="list registered queries")
     args = ap.parse_args(argv)
@@ -56,14 +56,14 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session(args.master)
     if args.cmd == "ingest":
-        from keelson.plans import pipeline
+        from keelson.plans import runner
         raw = spark.read.parquet(args.raw)
-        done = pipeline.ingest(raw, args.bronze, args.months or None)
+        done = runner.ingest(raw, args.bronze, args.months or None)
         rows = spark.read.parquet(args.bronze).count()
         print(json.dumps({"months": done, "bronze_rows": rows}))
-    elif args.cmd == "pipeline":
-        from keelson.plans import domain, pipeline
-        res = pipeline.run_pipeline(spark, domain.raw_trips(spark, args.sf_dir), domain.zone_seed(spark, args.sf_dir),
+    elif args.cmd == "run":
+        from keelson.plans import domain, runner
+        res = runner.run_layers(spark, domain.raw_trips(spark, args.sf_dir), domain.zone_seed(spark, args.sf_dir),
                                     args.root, args.run_id, previous_silver=args.previous_silver,
                                     months=args.months, source_file="lineitem.parquet")
         print(json.dumps({"silver": res.silver, "gold_daily": res.gold_daily, "gold_hourly": res.gold_hourly,

@@ -1,4 +1,4 @@
-"""Pipeline orchestration.
+"""Layer runs: orchestration of bronze -> silver -> gold.
 
 A plain function sequence: bronze -> zones -> silver -> checks -> gold -> checks.
 Each layer run writes a *new* directory and readers are handed the new path, so a
@@ -99,7 +99,7 @@ def gold_checks(silver: DataFrame, daily: DataFrame, hourly: DataFrame) -> list[
     ]
 
 
-def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str, run_id: str,
+def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str, run_id: str,
                  v: M.SilverVars = M.DEFAULT_VARS, previous_silver: str | None = None,
                  months: list[str] | None = None, duration_hours: int | None = None,
                  source_file: str | None = None, ingested_at: str | None = None) -> RunResult:

@@ -2,22 +2,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelson.operators.quality import GateFailed
-from keelson.plans import domain, pipeline, registry
+from keelson.plans import domain, registry, runner
 from keelson.plans import medallion as M
 from keelson.session import scratch_path
 
 
-def test_pipeline_runs_gates_and_is_idempotent(spark, sf_dir):
+def test_layer_run_gates_and_is_idempotent(spark, sf_dir):
     raw = domain.raw_trips(spark, sf_dir)
     seed = domain.zone_seed(spark, sf_dir)
     root = scratch_path(spark, "lake")
     months = ["1996-05", "1997-05"]
-    r1 = pipeline.run_pipeline(spark, raw, seed, root, "1", months=months, source_file="lineitem.parquet",
+    r1 = runner.run_layers(spark, raw, seed, root, "1", months=months, source_file="lineitem.parquet",
                                 ingested_at=M.RUN_TS)
     assert all(n == 0 for _, n in r1.checks) and len(r1.checks) == 15
     s1 = spark.read.parquet(r1.silver)
     # second run: incremental on run 1, same input -> same silver rows, bronze unchanged
-    r2 = pipeline.run_pipeline(spark, raw, seed, root, "2", previous_silver=r1.silver, months=months,
+    r2 = runner.run_layers(spark, raw, seed, root, "2", previous_silver=r1.silver, months=months,
                                source_file="lineitem.parquet", ingested_at=M.RUN_TS)
     s2 = spark.read.parquet(r2.silver)
     assert s2.count() == s1.count() > 0
@@ -33,7 +33,7 @@ def test_gate_stops_gold(spark, sf_dir):
     root = scratch_path(spark, "lake")
     loose = M.SilverVars(max_trip_hours=99999)
     with pytest.raises(GateFailed):
-        pipeline.run_pipeline(spark, raw, seed, root, "1", v=loose, months=["1996-05"], duration_hours=8760,
+        runner.run_layers(spark, raw, seed, root, "1", v=loose, months=["1996-05"], duration_hours=8760,
                               source_file="lineitem.parquet")
     with pytest.raises(Exception):
         spark.read.parquet(f"{root}/gold_daily/run=1").count()
@@ -44,9 +44,9 @@ def test_incremental_partitions_mode_repairs_backfill(spark, sf_dir):
     full = M.silver_trips(b)
     late = F.col("_pickup_month") == "1996-03"
     target = M.silver_trips(b.filter(~late))              # month 1996-03 arrives late
-    wm = pipeline.run_incremental(b, target, mode="watermark")
+    wm = runner.run_incremental(b, target, mode="watermark")
     assert wm.count() < full.count()                      # the watermark misses the back-fill
-    part = pipeline.run_incremental(b, target, mode="partitions", months=["1996-03"])
+    part = runner.run_incremental(b, target, mode="partitions", months=["1996-03"])
     assert part.count() == full.count() and part.exceptAll(full).count() == 0
 
 
@@ -55,7 +55,7 @@ def test_append_day_is_not_idempotent(spark, sf_dir):
     p = scratch_path(spark, "sandbox")
     day = "1997-06-02"
     for _ in range(3):
-        pipeline.append_day(b, day, p)
+        runner.append_day(b, day, p)
     once = registry.QUERIES["sandbox_day"](spark, sf_dir).count()
     assert spark.read.parquet(p).count() == 3 * once
 
@@ -86,8 +86,8 @@ def test_stale_rows_stay_with_watermark_but_not_with_partitions(spark, sf_dir):
     too_long = F.expr("timestampdiff(SECOND, pickup_at, dropoff_at)") > strict.max_trip_hours * 3600
     stale = target.filter(too_long).count()
     assert stale > 0
-    wm = pipeline.run_incremental(b, target, strict, mode="watermark")
+    wm = runner.run_incremental(b, target, strict, mode="watermark")
     assert wm.filter(too_long).count() > 0                    # merge has no delete branch
-    part = pipeline.run_incremental(b, target, strict, mode="partitions", months=months)
+    part = runner.run_incremental(b, target, strict, mode="partitions", months=months)
     assert part.filter(too_long).count() == 0
     assert part.count() == M.silver_trips(b, strict).count()

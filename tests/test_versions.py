@@ -170,3 +170,23 @@ def test_merge_file_impact_depends_on_layout(spark):
     in_file = spark.read.parquet(sorted_p).filter(F.col("_metadata.file_path") == f).count()
     assert s["rows_copied"] == in_file - 2
     assert r["files_touched"] >= s["files_touched"] and r["rows_copied"] >= s["rows_copied"]
+
+
+def test_upsert_partitions_leaves_untouched_partitions_alone(spark, sf_dir):
+    from keelson.plans import domain
+    from keelson.session import scratch_path
+    from keelson.sources import sinks
+
+    o = domain.table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    path = scratch_path(spark, "by_year")
+    sinks.write_partitioned(o, path, ["o_year"])
+    files = lambda y: sorted(r[0] for r in spark.read.parquet(path).filter(F.col("o_year") == y)
+                             .select(F.col("_metadata.file_path")).distinct().collect())
+    before_1996 = files(1996)
+    src = o.filter(F.year("o_orderdate") == 2000).withColumn("o_totalprice", F.lit(-1.0))
+    touched = V.upsert_partitions(spark, path, src, ["o_orderkey"], "o_year", scratch_path(spark, "stage"))
+    assert touched == [2000]
+    assert files(1996) == before_1996                       # not rewritten
+    after = spark.read.parquet(path)
+    assert after.count() == o.count()
+    assert after.filter("o_year = 2000 and o_totalprice <> -1.0").count() == 0

@@ -39,7 +39,11 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("months", nargs="*", help="yyyy-MM months (default: all present)")
 
     run = sub.add_parser("run", help="gated bronze -> silver -> gold run over the driver tables")
-    run.add_argument("--sf-dir", required=True)
+    run.add_argument("--sf-dir", default=None, help="driver tables (trip domain); or give --raw and --zones-csv")
+    run.add_argument("--raw", default=None, help="raw trip Parquet file(s) or directory (taxi columns)")
+    run.add_argument("--zones-csv", default=None, help="zone seed CSV: LocationID,Borough,Zone,service_zone")
+    run.add_argument("--var", action="append", default=[], metavar="KEY=VALUE",
+                     help="silver variable, e.g. start_date=2024-01-01 max_trip_hours=12")
     run.add_argument("--root", required=True, help="shared folder for the layer tables")
     run.add_argument("--run-id", required=True)
     run.add_argument("--previous-silver", default=None)
@@ -62,10 +66,27 @@ def main(argv: list[str] | None = None) -> int:
         rows = spark.read.parquet(args.bronze).count()
         print(json.dumps({"months": done, "bronze_rows": rows}))
     elif args.cmd == "run":
+        import dataclasses
+
         from keelson.plans import domain, runner
-        res = runner.run_layers(spark, domain.raw_trips(spark, args.sf_dir), domain.zone_seed(spark, args.sf_dir),
-                                    args.root, args.run_id, previous_silver=args.previous_silver,
-                                    months=args.months, source_file="lineitem.parquet")
+        from keelson.plans.medallion import DEFAULT_VARS
+        from keelson.sources.readers import load_seed
+        fields = {f.name: f.type for f in dataclasses.fields(DEFAULT_VARS)}
+        conv = {"int": int, "float": float, "str": str}
+        vars_ = dataclasses.replace(DEFAULT_VARS, **{
+            k: conv.get(str(fields[k]), str)(v) for k, v in (kv.split("=", 1) for kv in args.var)})
+        if args.raw:
+            if not args.zones_csv:
+                ap.error("--raw needs --zones-csv")
+            raw = spark.read.parquet(args.raw)
+            seed = load_seed(spark, args.zones_csv, "LocationID int, Borough string, Zone string, service_zone string")
+            source = None
+        elif args.sf_dir:
+            raw, seed, source = domain.raw_trips(spark, args.sf_dir), domain.zone_seed(spark, args.sf_dir), "lineitem.parquet"
+        else:
+            ap.error("give --sf-dir, or --raw with --zones-csv")
+        res = runner.run_layers(spark, raw, seed, args.root, args.run_id, v=vars_,
+                                previous_silver=args.previous_silver, months=args.months, source_file=source)
         print(json.dumps({"silver": res.silver, "gold_daily": res.gold_daily, "gold_hourly": res.gold_hourly,
                           "checks": res.checks}))
     return 0

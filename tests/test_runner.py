@@ -91,3 +91,21 @@ def test_stale_rows_stay_with_watermark_but_not_with_partitions(spark, sf_dir):
     part = runner.run_incremental(b, target, strict, mode="partitions", months=months)
     assert part.filter(too_long).count() == 0
     assert part.count() == M.silver_trips(b, strict).count()
+
+
+def test_cli_run_on_raw_files_and_zone_csv(spark, sf_dir, capsys, tmp_path):
+    import json
+
+    from keelson.__main__ import main
+    raw = domain.raw_trips(spark, sf_dir)
+    src = scratch_path(spark, "raw_files")
+    raw.write.parquet(src)
+    zones = domain.zone_seed(spark, sf_dir).toPandas()
+    csv = tmp_path / "zones.csv"
+    zones.to_csv(csv, index=False)
+    root = scratch_path(spark, "lake_cli")
+    assert main(["run", "--raw", src, "--zones-csv", str(csv), "--root", root, "--run-id", "1",
+                 "--months", "1996-05", "--var", "max_trip_hours=8760", "--var", "start_date=1996-01-01"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert all(n == 0 for _, n in out["checks"])
+    assert spark.read.parquet(out["gold_daily"]).count() > 0

@@ -1105,3 +1105,31 @@ def q_upsert_partitions(spark, sf_dir):
                .withColumn("o_totalprice", F.col("o_totalprice") + 1.0))
     Vr.upsert_partitions(spark, path, source, ["o_orderkey"], "o_year", scratch_path(spark, "staging"))
     return spark.read.parquet(path).select(*o.columns)
+
+
+GENEROUS_RAW_SQL = W(domain.RAW_TRIPS_SQL + "," + domain.ZONES_SQL, """
+SELECT z.borough,
+       floor(avg(CASE WHEN t.total_amount <> 0 THEN t.tip_amount / t.total_amount * 100 END) * 100 + 0.5) / 100 AS avg_tip_pct,
+       count(*) AS trips
+FROM raw t JOIN zones z ON t.PULocationID = z.zone_id
+WHERE t.total_amount > 0 AND t.tip_amount >= 0
+GROUP BY 1""")
+
+
+def raw_for_tips(spark, sf_dir):
+    """Raw trips as the tip analysis reads them: positive total, non-negative tip."""
+    return (raw(spark, sf_dir).filter((F.col("total_amount") > 0) & (F.col("tip_amount") >= 0))
+            .select(F.col("PULocationID").alias("pickup_zone_id"), "tip_amount", "total_amount"))
+
+
+@register("generous_borough_raw", GENEROUS_RAW_SQL)
+def q_generous_raw(spark, sf_dir):
+    """G11 on raw trips: checked broadcast of the zones, native tip expression."""
+    return gold.generous_borough(raw_for_tips(spark, sf_dir), zones(spark, sf_dir), "broadcast", "native")
+
+
+@register("generous_borough_raw_slow", GENEROUS_RAW_SQL)
+def q_generous_raw_slow(spark, sf_dir):
+    """G11's deliberately slow twin (row UDF, redundant repartition(500), sort-merge
+    join); it must return the same rows as the fast one."""
+    return gold.generous_borough(raw_for_tips(spark, sf_dir), zones(spark, sf_dir), "merge", "rowwise", 500)

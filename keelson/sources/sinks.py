@@ -25,16 +25,19 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w.parquet(path)
 
 
-def replace_partition(df: DataFrame, path: str, column: str, value) -> None:
+def replace_partition(df: DataFrame, path: str, column: str, value, check: bool = True) -> None:
     """Replace exactly one partition ``column=value`` and keep the others (K3).
 
     Dynamic partition overwrite replaces every partition present in the frame, so
-    the frame is first checked to hold only ``value`` (a bounded ``limit(1)`` probe,
-    no full collect). Re-running with the same input leaves the table unchanged.
+    with ``check`` the frame is first verified to hold only ``value`` (a ``limit(1)``
+    probe; it reads the frame once more when it is clean). Callers that derive the
+    column from the same filter that selects the rows pass ``check=False``.
+    Re-running with the same input leaves the table unchanged.
     """
-    stray = df.filter(~F.col(column).eqNullSafe(F.lit(value))).limit(1)
-    if not stray.isEmpty():
-        raise ValueError(f"frame holds rows outside partition {column}={value!r}")
+    if check:
+        stray = df.filter(~F.col(column).eqNullSafe(F.lit(value))).limit(1)
+        if not stray.isEmpty():
+            raise ValueError(f"frame holds rows outside partition {column}={value!r}")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(column).parquet(path))
 

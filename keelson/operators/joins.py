@@ -80,13 +80,21 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: Column | str | Sequence[str], how: str = "inner",
-             strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact x dimension equi-join (J1, J2) with a strategy.
+             strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS, keys: tuple[str, str] | None = None,
+             salts: int = 16, min_share: float = 0.01) -> DataFrame:
+    """Fact x dimension equi-join (J1, J2) with a strategy.
 
     ``auto``: no hint, the planner/adaptive execution decide. ``broadcast``: broadcast
     the dimension if ``fits_broadcast`` proves it small, else fall back to ``auto``.
-    ``merge``: sort-merge join hint (both sides shuffle on the key).
+    ``merge``: sort-merge join hint (both sides shuffle on the key). ``salted``: find
+    the fact keys holding at least ``min_share`` of the rows and salt only those
+    (``keys`` = (fact key, dimension key); inner/left only).
     """
+    if strategy == "salted":
+        if keys is None:
+            raise ValueError("salted strategy needs keys=(fact_key, dim_key)")
+        hot = hot_keys(fact, keys[0], min_share)
+        return salted_join(fact, dim, keys[0], keys[1], salts, hot=hot, how=how)
     if strategy == "broadcast":
         dim = checked_broadcast(dim, max_rows)
     elif strategy == "merge":

@@ -55,3 +55,11 @@ def test_probe_refuses_plans_that_shuffle(spark):
     assert J.needs_shuffle(agg) and not J.needs_shuffle(big)
     assert not J.fits_broadcast(agg)
     assert J.fits_broadcast(big)
+
+
+def test_join_dim_salted_strategy(spark):
+    big = J.with_hot_key(spark.range(0, 10000).withColumn("k", F.col("id") % 20), "k", 4, 60, by="id")
+    dim = spark.range(0, 20).select(F.col("id").alias("dk"), (F.col("id") * 3).alias("w"))
+    plain = big.join(dim, big.k == dim.dk)
+    salted = J.join_dim(big, dim, None, "inner", "salted", keys=("k", "dk"), salts=8)
+    assert rows(salted) == rows(plain)

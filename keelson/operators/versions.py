@@ -180,13 +180,13 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
     return j.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
 
 
-def restore(changes: DataFrame, keys: Sequence[str], version: int, payload: Sequence[str]) -> DataFrame:
-    """Change rows of a new version (max + 1) that bring the latest state back to
-    ``version`` (M7). Append them to ``changes``: history only grows, and
-    ``as_of(changes + restore)`` equals ``as_of(changes, version)``."""
+def changes_to(changes: DataFrame, keys: Sequence[str], state: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """Change rows of a new version (max + 1) that turn the latest state into ``state``:
+    delete keys ``state`` lacks, insert new keys, update changed payloads. Keys and
+    payloads are compared NULL-safely; unchanged rows produce no change row."""
     keys, payload = list(keys), list(payload)
     cur = as_of(changes, keys).select(*keys, *[F.col(p).alias(f"__c_{p}") for p in payload], F.lit(1).alias("__c"))
-    old = as_of(changes, keys, version).select(*keys, *payload, F.lit(1).alias("__o"))
+    old = state.select(*keys, *payload, F.lit(1).alias("__o"))
     j = cur.join(old, keys, "full_outer")
     same = F.lit(True)
     for p in payload:
@@ -200,6 +200,21 @@ def restore(changes: DataFrame, keys: Sequence[str], version: int, payload: Sequ
                      F.lit(0).cast("bigint").alias("seq"), "op"))
 
 
+def restore(changes: DataFrame, keys: Sequence[str], version: int, payload: Sequence[str]) -> DataFrame:
+    """Change rows of a new version (max + 1) that bring the latest state back to
+    ``version`` (M7). Append them to ``changes``: history only grows, and
+    ``as_of(changes + restore)`` equals ``as_of(changes, version)``."""
+    return changes_to(changes, keys, as_of(changes, keys, version), payload)
+
+
+def overwrite(changes: DataFrame, keys: Sequence[str], rows: DataFrame, payload: Sequence[str]) -> DataFrame:
+    """A whole-table overwrite recorded as a new version (§2.10): keys missing from
+    ``rows`` are deleted, the others inserted or updated. Earlier versions stay
+    readable with ``as_of``. ``rows`` must have unique keys."""
+    assert_unique(rows, keys)
+    return changes_to(changes, keys, rows, payload)
+
+
 def rows_by_version(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Live row count after every version.
 

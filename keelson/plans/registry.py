@@ -1133,3 +1133,21 @@ def q_generous_raw_slow(spark, sf_dir):
     """G11's deliberately slow twin (row UDF, redundant repartition(500), sort-merge
     join); it must return the same rows as the fast one."""
     return gold.generous_borough(raw_for_tips(spark, sf_dir), zones(spark, sf_dir), "merge", "rowwise", 500)
+
+
+@register("overwrite_changes", W(CHG + f""",
+cur AS ({_as_of_sql(None)}),
+new AS (SELECT user_id, event_type, value + 1.0 AS value, ts FROM ({_as_of_sql(7)}))""", """
+SELECT coalesce(c.user_id, n.user_id) AS user_id, n.event_type, n.value, n.ts,
+       (SELECT max(version) + 1 FROM changes) AS version, CAST(0 AS BIGINT) AS seq,
+       CASE WHEN n.user_id IS NULL THEN 'delete' WHEN c.user_id IS NULL THEN 'insert' ELSE 'update' END AS op
+FROM cur c FULL OUTER JOIN new n ON c.user_id = n.user_id
+WHERE n.user_id IS NULL OR c.user_id IS NULL
+   OR NOT (c.event_type IS NOT DISTINCT FROM n.event_type AND c.value IS NOT DISTINCT FROM n.value
+           AND c.ts IS NOT DISTINCT FROM n.ts)"""))
+def q_overwrite_changes(spark, sf_dir):
+    """§2.10 whole overwrite: the table replaced by a new snapshot (state at version 7
+    with every value changed) is recorded as deletes, inserts and updates."""
+    c = changes(spark, sf_dir)
+    new = Vr.as_of(c, ["user_id"], 7).select("user_id", "event_type", (F.col("value") + 1.0).alias("value"), "ts")
+    return Vr.overwrite(c, ["user_id"], new, PAYLOAD)

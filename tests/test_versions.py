@@ -190,3 +190,17 @@ def test_upsert_partitions_leaves_untouched_partitions_alone(spark, sf_dir):
     after = spark.read.parquet(path)
     assert after.count() == o.count()
     assert after.filter("o_year = 2000 and o_totalprice <> -1.0").count() == 0
+
+
+def test_overwrite_pair_keeps_history(spark):
+    # FIXTURES overwrite pair: ids [1, 2, 3] then a whole overwrite with [4, 5, 6]
+    first = spark.createDataFrame([(i, "a", 0, i, "insert") for i in (1, 2, 3)], CHG_SCHEMA)
+    new = spark.createDataFrame([(i, "b") for i in (4, 5, 6)], "k int, p string")
+    ow = V.overwrite(first, ["k"], new, ["p"])
+    assert sorted((r["k"], r["op"]) for r in ow.collect()) == [(1, "delete"), (2, "delete"), (3, "delete"),
+                                                               (4, "insert"), (5, "insert"), (6, "insert")]
+    log = first.unionByName(ow)
+    assert sorted(r["k"] for r in V.as_of(log, ["k"]).collect()) == [4, 5, 6]
+    assert sorted(r["k"] for r in V.as_of(log, ["k"], 0).collect()) == [1, 2, 3]
+    h = {r["version"]: (r["n_insert"], r["n_delete"]) for r in V.history(log).collect()}
+    assert h == {0: (3, 0), 1: (3, 3)}

@@ -44,6 +44,12 @@ def dirty(spark):
         "dropoff_zone_invalid": trip(doz=0),
         "too_long": trip(do="2024-01-10 22:00:01"),
         "null_fare": trip(fare=None),
+        "null_pickup": trip(pu=None),
+        "null_dropoff": trip(do=None),
+        "null_miles": trip(miles=None),
+        "null_total": trip(total=None),
+        "null_pickup_zone": trip(puz=None),
+        "null_dropoff_zone": trip(doz=None),
     }
     df = spark.createDataFrame(list(data.values()), RAW_SCHEMA)
     return M.to_bronze(df, "f.parquet", "2024-03-01 00:00:00"), data
@@ -53,8 +59,11 @@ def test_silver_filter_boundaries(spark):
     bronze, _ = dirty(spark)
     s = M.silver_trips(bronze, VARS)
     assert sorted(r["total_amount"] for r in s.collect()) == [13.0, 14.0, 15.0]
-    reasons = {r["reason"] for r in M.rejects(M.silver_rename(bronze), VARS).collect()}
+    rejected = M.rejects(M.silver_rename(bronze), VARS)
+    reasons = {r["reason"] for r in rejected.collect()}
     assert {n for n, _ in M.silver_rules(VARS)} <= reasons
+    # every row silver drops has at least one reason, every kept row has none
+    assert rejected.drop("reason").distinct().count() == bronze.count() - 3
 
 
 def test_census_counts_nulls_like_reference(spark):

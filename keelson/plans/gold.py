@@ -75,7 +75,8 @@ def borough_totals(gold: DataFrame) -> DataFrame:
         F.count("card_tip_pct").alias("_tip_n"))
     return g.select("borough", "trips",
                     C.round_half_up(F.col("_rev_c") / 1e8, 1).alias("revenue_millions"),
-                    C.round_half_up(F.col("_tip_t") / F.nullif(F.col("_tip_n"), F.lit(0)) / 10, 1).alias("avg_card_tip_pct"))
+                    C.round_half_up(F.col("_tip_t") / F.nullif(F.col("_tip_n"), F.lit(0)) / 10, 1).alias("avg_card_tip_pct")
+                    ).orderBy(F.desc("trips"), "borough")
 
 
 def borough_card_tip_weighted(trips: DataFrame, zones: DataFrame, strategy: str = "broadcast") -> DataFrame:

@@ -3,6 +3,8 @@
 ingest    raw trip Parquet -> bronze, one month partition replaced per month given
           (default: every month present), idempotent on re-runs (G1, §3.1)
 run       one gated bronze -> silver -> gold run over the driver tables (§3.2)
+check     run the silver and gold checks on tables of an earlier run, rebuild nothing
+sandbox   append one pickup day from bronze to the sandbox table (not idempotent, G20)
 queries   list the registered queries (name, oracle-checked or rows-only)
 
 The session is taken from the environment (spark-submit / defaults); only a local
@@ -49,6 +51,16 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--previous-silver", default=None)
     run.add_argument("--months", nargs="*", default=None)
 
+    chk = sub.add_parser("check", help="checks on existing layer tables (exit 1 on failure)")
+    chk.add_argument("--root", required=True)
+    chk.add_argument("--run-id", required=True)
+    chk.add_argument("--duration-hours", type=int, default=None)
+
+    sbx = sub.add_parser("sandbox", help="append one pickup day to the sandbox table")
+    sbx.add_argument("--bronze", required=True)
+    sbx.add_argument("--day", required=True)
+    sbx.add_argument("--path", required=True)
+
     sub.add_parser("queries", help="list registered queries")
     args = ap.parse_args(argv)
 
@@ -89,6 +101,27 @@ def main(argv: list[str] | None = None) -> int:
                                 previous_silver=args.previous_silver, months=args.months, source_file=source)
         print(json.dumps({"silver": res.silver, "gold_daily": res.gold_daily, "gold_hourly": res.gold_hourly,
                           "checks": res.checks}))
+    elif args.cmd == "check":
+        from keelson.operators.quality import GateFailed, run_checks
+        from keelson.plans import runner
+        from keelson.plans.medallion import DEFAULT_VARS
+        root = args.root.rstrip("/")
+        silver = spark.read.parquet(f"{root}/silver_trips/run={args.run_id}")
+        zones = spark.read.parquet(f"{root}/silver_zones/run={args.run_id}")
+        daily = spark.read.parquet(f"{root}/gold_daily/run={args.run_id}")
+        hourly = spark.read.parquet(f"{root}/gold_hourly/run={args.run_id}")
+        hours = args.duration_hours if args.duration_hours is not None else DEFAULT_VARS.max_trip_hours
+        checks = runner.silver_checks(silver, zones, hours) + runner.gold_checks(silver, daily, hourly)
+        rows = [(r["check"], r["failures"]) for r in run_checks(checks).collect()]
+        print(json.dumps({"checks": rows}))
+        if any(n for _, n in rows):
+            print(str(GateFailed([c for c, n in rows if n])), file=sys.stderr)
+            return 1
+    elif args.cmd == "sandbox":
+        from keelson.plans import runner
+        from keelson.sources.readers import read_partitioned
+        runner.append_day(read_partitioned(spark, args.bronze), args.day, args.path)
+        print(json.dumps({"sandbox_rows": spark.read.parquet(args.path).count()}))
     return 0
 
 

@@ -109,3 +109,22 @@ def test_cli_run_on_raw_files_and_zone_csv(spark, sf_dir, capsys, tmp_path):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert all(n == 0 for _, n in out["checks"])
     assert spark.read.parquet(out["gold_daily"]).count() > 0
+
+
+def test_cli_check_and_sandbox(spark, sf_dir, capsys):
+    import json
+
+    from keelson.__main__ import main
+    raw = domain.raw_trips(spark, sf_dir)
+    seed = domain.zone_seed(spark, sf_dir)
+    root = scratch_path(spark, "lake_chk")
+    r = runner.run_layers(spark, raw, seed, root, "7", months=["1996-05"], source_file="lineitem.parquet")
+    assert main(["check", "--root", root, "--run-id", "7"]) == 0
+    assert main(["check", "--root", root, "--run-id", "7", "--duration-hours", "12"]) == 1   # mutation fails
+    sandbox = scratch_path(spark, "sandbox_cli")
+    for _ in range(2):
+        assert main(["sandbox", "--bronze", r.bronze, "--day", "1996-05-02", "--path", sandbox]) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
+    once = registry.bronze(spark, sf_dir).filter(
+        F.to_date("tpep_pickup_datetime") == F.lit("1996-05-02").cast("date")).count()
+    assert out[-1] == {"sandbox_rows": 2 * once}

@@ -128,3 +128,21 @@ def test_cli_check_and_sandbox(spark, sf_dir, capsys):
     once = registry.bronze(spark, sf_dir).filter(
         F.to_date("tpep_pickup_datetime") == F.lit("1996-05-02").cast("date")).count()
     assert out[-1] == {"sandbox_rows": 2 * once}
+
+
+def test_watermark_prunes_partitions(spark, sf_dir):
+    raw = domain.raw_trips(spark, sf_dir)
+    root = scratch_path(spark, "lake_wm")
+    months = ["1996-05", "1997-05", "1998-05"]
+    r1 = runner.run_layers(spark, raw, domain.zone_seed(spark, sf_dir), root, "1", months=months,
+                           source_file="lineitem.parquet", ingested_at=M.RUN_TS)
+    silver = spark.read.parquet(r1.silver)
+    bronze = spark.read.parquet(r1.bronze)
+    assert M._newest_partition(silver, "pickup_month") == "1998-05"
+    f = M.since_watermark(bronze, silver)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_pickup_month" in plan.split("PartitionFilters")[1][:200]
+    expect = bronze.filter(F.col("tpep_pickup_datetime") >= silver.agg(F.max("pickup_at")).first()[0])
+    assert f.count() == expect.count()
+    assert f.select(F.col("_metadata.file_path")).distinct().count() == \
+        bronze.filter("_pickup_month = '1998-05'").select(F.col("_metadata.file_path")).distinct().count()

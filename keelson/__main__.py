@@ -50,6 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--run-id", required=True)
     run.add_argument("--previous-silver", default=None)
     run.add_argument("--months", nargs="*", default=None)
+    run.add_argument("--silver-mode", choices=["snapshot", "merge"], default="snapshot",
+                     help="merge: one silver table, each run rewrites only the months it touches")
 
     chk = sub.add_parser("check", help="checks on existing layer tables (exit 1 on failure)")
     chk.add_argument("--root", required=True)
@@ -98,7 +100,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             ap.error("give --sf-dir, or --raw with --zones-csv")
         res = runner.run_layers(spark, raw, seed, args.root, args.run_id, v=vars_,
-                                previous_silver=args.previous_silver, months=args.months, source_file=source)
+                                previous_silver=args.previous_silver, months=args.months, source_file=source,
+                                silver_mode=args.silver_mode)
         print(json.dumps({"silver": res.silver, "gold_daily": res.gold_daily, "gold_hourly": res.gold_hourly,
                           "checks": res.checks}))
     elif args.cmd == "check":
@@ -106,7 +109,8 @@ def main(argv: list[str] | None = None) -> int:
         from keelson.plans import runner
         from keelson.plans.medallion import DEFAULT_VARS
         root = args.root.rstrip("/")
-        silver = spark.read.parquet(f"{root}/silver_trips/run={args.run_id}")
+        sp = f"{root}/silver_trips/run={args.run_id}"
+        silver = spark.read.parquet(sp if runner._table_exists(spark, sp) else f"{root}/silver_trips/table")
         zones = spark.read.parquet(f"{root}/silver_zones/run={args.run_id}")
         daily = spark.read.parquet(f"{root}/gold_daily/run={args.run_id}")
         hourly = spark.read.parquet(f"{root}/gold_hourly/run={args.run_id}")

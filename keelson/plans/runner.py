@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions import columns as C
 from keelson.operators import quality as Q
+from keelson.operators.versions import upsert_partitions
 from keelson.plans import gold
 from keelson.plans import medallion as M
 from keelson.sources import readers as R
@@ -99,10 +100,19 @@ def gold_checks(silver: DataFrame, daily: DataFrame, hourly: DataFrame) -> list[
     ]
 
 
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:
+        return False
+
+
 def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str, run_id: str,
                  v: M.SilverVars = M.DEFAULT_VARS, previous_silver: str | None = None,
                  months: list[str] | None = None, duration_hours: int | None = None,
-                 source_file: str | None = None, ingested_at: str | None = None) -> RunResult:
+                 source_file: str | None = None, ingested_at: str | None = None,
+                 silver_mode: str = "snapshot") -> RunResult:
     """One pipeline run (§3.2): bronze (month replace) -> zones -> silver (full, or
     incremental on ``previous_silver``) -> silver gate -> gold tables -> gold gate.
 
@@ -111,6 +121,13 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     silver cap); raising ``v.max_trip_hours`` above it makes the gate stop the run
     before gold is written. ``source_file`` names the input when ``raw`` is not a
     plain file scan (its hidden file-name column is then not available).
+
+    ``silver_mode="snapshot"`` writes a complete silver table per run (incremental on
+    ``previous_silver``). ``silver_mode="merge"`` keeps one month-partitioned silver
+    table at ``{root}/silver_trips/table``: the first run builds it, later runs
+    transform only bronze rows past the watermark (newest months, partitions pruned)
+    and merge them with ``upsert_partitions`` - only the months they touch are read
+    and rewritten, which is what keeps a recurring run cheap when silver is huge.
     """
     root = root.rstrip("/")
     res = RunResult(bronze=f"{root}/bronze", zones=f"{root}/silver_zones/run={run_id}",
@@ -120,8 +137,20 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     bronze = R.read_partitioned(spark, res.bronze)
     sinks.rebuild(M.silver_zones(seed), res.zones)
     zones = spark.read.parquet(res.zones)
-    target = spark.read.parquet(previous_silver) if previous_silver else None
-    sinks.rebuild(M.silver_trips(bronze, v, target), res.silver, partition_by=["pickup_month"])
+    if silver_mode == "merge":
+        res.silver = f"{root}/silver_trips/table"
+        if _table_exists(spark, res.silver):
+            current = R.read_partitioned(spark, res.silver)
+            fresh = M.silver_trips(M.since_watermark(bronze, current), v)
+            upsert_partitions(spark, res.silver, fresh, ["trip_id"], "pickup_month",
+                              f"{root}/_staging/silver/run={run_id}")
+        else:
+            sinks.rebuild(M.silver_trips(bronze, v), res.silver, partition_by=["pickup_month"])
+    elif silver_mode == "snapshot":
+        target = spark.read.parquet(previous_silver) if previous_silver else None
+        sinks.rebuild(M.silver_trips(bronze, v, target), res.silver, partition_by=["pickup_month"])
+    else:
+        raise ValueError(f"unknown silver_mode {silver_mode!r}")
     silver = R.read_partitioned(spark, res.silver)
     hours = duration_hours if duration_hours is not None else v.max_trip_hours
     res.checks += Q.gate(silver_checks(silver, zones, hours))

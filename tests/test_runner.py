@@ -146,3 +146,22 @@ def test_watermark_prunes_partitions(spark, sf_dir):
     assert f.count() == expect.count()
     assert f.select(F.col("_metadata.file_path")).distinct().count() == \
         bronze.filter("_pickup_month = '1998-05'").select(F.col("_metadata.file_path")).distinct().count()
+
+
+def test_merge_mode_rewrites_only_new_months(spark, sf_dir):
+    raw = domain.raw_trips(spark, sf_dir)
+    seed = domain.zone_seed(spark, sf_dir)
+    root = scratch_path(spark, "lake_merge")
+    kw = dict(source_file="lineitem.parquet", ingested_at=M.RUN_TS, silver_mode="merge")
+    r1 = runner.run_layers(spark, raw, seed, root, "1", months=["1996-05", "1997-05"], **kw)
+    files = lambda m: sorted(r[0] for r in spark.read.parquet(r1.silver).filter(F.col("pickup_month") == m)
+                             .select(F.col("_metadata.file_path")).distinct().collect())
+    old = files("1996-05")
+    r2 = runner.run_layers(spark, raw, seed, root, "2", months=["1997-05", "1998-05"], **kw)
+    assert r2.silver == r1.silver and all(n == 0 for _, n in r2.checks)
+    assert files("1996-05") == old                         # untouched month not rewritten
+    full = M.silver_trips(M.to_bronze(raw, "lineitem.parquet", M.RUN_TS).filter(
+        F.col("_pickup_month").isin("1996-05", "1997-05", "1998-05")))
+    got = spark.read.parquet(r2.silver)
+    assert got.count() == full.count()
+    assert got.select("trip_id").exceptAll(full.select("trip_id")).count() == 0

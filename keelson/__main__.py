@@ -112,7 +112,9 @@ def main(argv: list[str] | None = None) -> int:
         sp = f"{root}/silver_trips/run={args.run_id}"
         silver = spark.read.parquet(sp if runner._table_exists(spark, sp) else f"{root}/silver_trips/table")
         zones = spark.read.parquet(f"{root}/silver_zones/run={args.run_id}")
-        daily = spark.read.parquet(f"{root}/gold_daily/run={args.run_id}")
+        gp = f"{root}/gold_daily/run={args.run_id}"
+        daily = (spark.read.parquet(gp) if runner._table_exists(spark, gp)
+                 else spark.read.parquet(f"{root}/gold_daily/table").drop("pickup_month"))
         hourly = spark.read.parquet(f"{root}/gold_hourly/run={args.run_id}")
         hours = args.duration_hours if args.duration_hours is not None else DEFAULT_VARS.max_trip_hours
         checks = runner.silver_checks(silver, zones, hours) + runner.gold_checks(silver, daily, hourly)

@@ -137,13 +137,14 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     bronze = R.read_partitioned(spark, res.bronze)
     sinks.rebuild(M.silver_zones(seed), res.zones)
     zones = spark.read.parquet(res.zones)
+    touched: list[str] | None = None          # None = every month (full build)
     if silver_mode == "merge":
         res.silver = f"{root}/silver_trips/table"
         if _table_exists(spark, res.silver):
             current = R.read_partitioned(spark, res.silver)
             fresh = M.silver_trips(M.since_watermark(bronze, current), v)
-            upsert_partitions(spark, res.silver, fresh, ["trip_id"], "pickup_month",
-                              f"{root}/_staging/silver/run={run_id}")
+            touched = upsert_partitions(spark, res.silver, fresh, ["trip_id"], "pickup_month",
+                                        f"{root}/_staging/silver/run={run_id}")
         else:
             sinks.rebuild(M.silver_trips(bronze, v), res.silver, partition_by=["pickup_month"])
     elif silver_mode == "snapshot":
@@ -154,9 +155,24 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     silver = R.read_partitioned(spark, res.silver)
     hours = duration_hours if duration_hours is not None else v.max_trip_hours
     res.checks += Q.gate(silver_checks(silver, zones, hours))
-    sinks.rebuild(gold.daily_zone_revenue(silver, zones), res.gold_daily)
+    if silver_mode == "merge":
+        # gold daily groups by date, so it is kept month-partitioned and only the months
+        # this run touched are recomputed (from pruned silver partitions) and replaced.
+        res.gold_daily = f"{root}/gold_daily/table"
+        part = silver if touched is None else silver.filter(F.col("pickup_month").isin(touched))
+        g = gold.daily_zone_revenue(part, zones).withColumn("pickup_month", C.year_month("pickup_date"))
+        if touched is None:
+            sinks.rebuild(g, res.gold_daily, partition_by=["pickup_month"])
+        elif touched:
+            (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("pickup_month").parquet(res.gold_daily))
+        daily = R.read_partitioned(spark, res.gold_daily).drop("pickup_month")
+    else:
+        sinks.rebuild(gold.daily_zone_revenue(silver, zones), res.gold_daily)
+        daily = spark.read.parquet(res.gold_daily)
+    # gold hourly aggregates across all dates (weekday x hour): always a full rebuild.
     sinks.rebuild(gold.hourly_demand(silver, zones), res.gold_hourly)
-    daily, hourly = spark.read.parquet(res.gold_daily), spark.read.parquet(res.gold_hourly)
+    hourly = spark.read.parquet(res.gold_hourly)
     res.checks += Q.gate(gold_checks(silver, daily, hourly))
     return res
 

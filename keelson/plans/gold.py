@@ -65,6 +65,28 @@ def hourly_demand(trips: DataFrame, zones: DataFrame, strategy: str = "broadcast
                     (F.col("_rev_c") / 100.0).alias("revenue"))
 
 
+def hourly_demand_parts(trips: DataFrame, zones: DataFrame, strategy: str = "broadcast") -> DataFrame:
+    """Additive per-month partials of ``hourly_demand``: pickup_month, borough,
+    day_of_week, pickup_hour, trip_count, miles_sum, revenue_cents. Months can be
+    recomputed independently and rolled up with ``hourly_from_parts``."""
+    j = _zone_join(trips, zones, "left", strategy)
+    return j.groupBy("pickup_month", "borough", C.weekday_name("pickup_at").alias("day_of_week"), "pickup_hour").agg(
+        F.count(F.lit(1)).alias("trip_count"), F.sum("trip_miles").alias("miles_sum"),
+        F.sum(C.cents("total_amount")).alias("revenue_cents"))
+
+
+def hourly_from_parts(parts: DataFrame) -> DataFrame:
+    """Roll the per-month partials up to ``gold_hourly_demand`` (same columns and
+    values as ``hourly_demand`` over all months; the mile sums are exact for the
+    whole-number distances of the trip domain and within float rounding otherwise)."""
+    g = parts.groupBy("borough", "day_of_week", "pickup_hour").agg(
+        F.sum("trip_count").alias("trip_count"), F.sum("miles_sum").alias("_miles"),
+        F.sum("revenue_cents").alias("_rev_c"))
+    return g.select("borough", "day_of_week", "pickup_hour", "trip_count",
+                    C.round_half_up(F.col("_miles") / F.col("trip_count"), 2).alias("avg_miles"),
+                    (F.col("_rev_c") / 100.0).alias("revenue"))
+
+
 def borough_totals(gold: DataFrame) -> DataFrame:
     """Borough totals from gold (G6, A13): trips, revenue in millions, and the
     *unweighted* mean of the zone-day ``card_tip_pct`` (as the dashboard shows it)."""

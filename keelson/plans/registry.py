@@ -1151,3 +1151,10 @@ def q_overwrite_changes(spark, sf_dir):
     c = changes(spark, sf_dir)
     new = Vr.as_of(c, ["user_id"], 7).select("user_id", "event_type", (F.col("value") + 1.0).alias("value"), "ts")
     return Vr.overwrite(c, ["user_id"], new, PAYLOAD)
+
+
+@register("gold_hourly_from_parts", W(GOLD_HOURLY_SQL, "SELECT * FROM gold_hourly"))
+def q_gold_hourly_parts(spark, sf_dir):
+    """G5 through additive per-month partials rolled up (the incremental form used by
+    merge-mode runs); must equal the direct aggregate."""
+    return gold.hourly_from_parts(gold.hourly_demand_parts(silver(spark, sf_dir), zones(spark, sf_dir)))

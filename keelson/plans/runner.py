@@ -170,8 +170,19 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     else:
         sinks.rebuild(gold.daily_zone_revenue(silver, zones), res.gold_daily)
         daily = spark.read.parquet(res.gold_daily)
-    # gold hourly aggregates across all dates (weekday x hour): always a full rebuild.
-    sinks.rebuild(gold.hourly_demand(silver, zones), res.gold_hourly)
+    if silver_mode == "merge":
+        # gold hourly spans all dates, so additive per-month partials are kept (only
+        # touched months recomputed) and the small partial table is rolled up.
+        parts_path = f"{root}/gold_hourly_parts/table"
+        p = gold.hourly_demand_parts(part, zones)
+        if touched is None:
+            sinks.rebuild(p, parts_path, partition_by=["pickup_month"])
+        elif touched:
+            (p.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("pickup_month").parquet(parts_path))
+        sinks.rebuild(gold.hourly_from_parts(R.read_partitioned(spark, parts_path)), res.gold_hourly)
+    else:
+        sinks.rebuild(gold.hourly_demand(silver, zones), res.gold_hourly)
     hourly = spark.read.parquet(res.gold_hourly)
     res.checks += Q.gate(gold_checks(silver, daily, hourly))
     return res

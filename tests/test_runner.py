@@ -170,3 +170,6 @@ def test_merge_mode_rewrites_only_new_months(spark, sf_dir):
     rebuilt = G.daily_zone_revenue(got, spark.read.parquet(r2.zones))
     gd = spark.read.parquet(r2.gold_daily).drop("pickup_month")
     assert gd.count() == rebuilt.count() and gd.exceptAll(rebuilt).count() == 0
+    hourly = spark.read.parquet(r2.gold_hourly)
+    full_hourly = G.hourly_demand(got, spark.read.parquet(r2.zones))
+    assert hourly.count() == full_hourly.count() and hourly.exceptAll(full_hourly).count() == 0

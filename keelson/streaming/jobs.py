@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keelson.functions.columns import cents, instant_from_ntz, ntz_from_instant, year_month
 from keelson.operators.keyed import dedup_first
-from keelson.operators.versions import upsert
+from keelson.operators.versions import upsert, upsert_partitions
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, bronze_path: str,
@@ -86,3 +86,27 @@ def upsert_batches(target_path_of: Callable[[int], str], keys: Sequence[str], or
 
     fn.latest = target_path_of
     return fn
+
+
+def upsert_batches_partitioned(table_path: str, keys: Sequence[str], order: Sequence[str], partition_col: str,
+                               staging_root: str):
+    """foreachBatch function for a per-micro-batch upsert into ONE partitioned table
+    (T3 at scale): each batch is deduplicated by key and merged with
+    ``upsert_partitions``, so only the partitions the batch touches are read and
+    rewritten. Replaying a batch id applies the same upsert again (idempotent). The
+    partition column must not change for a key."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        src = dedup_first(batch, keys, order)
+        try:
+            spark.read.parquet(table_path).schema
+            exists = True
+        except Exception:
+            exists = False
+        if exists:
+            upsert_partitions(spark, table_path, src, keys, partition_col, f"{staging_root.rstrip('/')}/batch={batch_id}")
+        else:
+            src.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)
+
+    return fn

@@ -83,3 +83,20 @@ def test_late_rows_behind_watermark_are_dropped(spark, sf_dir):
     res = spark.read.parquet(out)
     assert res.filter(F.to_date("window_start") == F.lit(days[2]).cast("date")).count() == 0
     assert res.filter(F.to_date("window_start") == F.lit(days[0]).cast("date")).count() > 0
+
+
+def test_foreach_batch_partitioned_upsert(spark, sf_dir):
+    s = registry.silver(spark, sf_dir)
+    src = scratch_path(spark, "silver_src_p")
+    s.repartition(3).write.parquet(src)
+    table = scratch_path(spark, "silver_tbl")
+    fn = T.upsert_batches_partitioned(table, ["trip_id"], ["_ingested_at"], "pickup_month",
+                                      scratch_path(spark, "stage"))
+    q = (spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(src)
+         .writeStream.foreachBatch(fn).option("checkpointLocation", scratch_path(spark, "ck_p"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(table).select(*s.columns)
+    assert rows(got) == rows(s)
+    fn(s.limit(0), 99)                                  # an empty batch changes nothing
+    assert spark.read.parquet(table).count() == s.count()

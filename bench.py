@@ -125,7 +125,7 @@ def main():
 
     # 5. Layout: a narrow part-key range over random / sorted / z-order / small files / compacted.
     li = domain.table(spark, sf, "lineitem")
-    lo, hi = li.approxQuantile("l_partkey", [0.45, 0.5], 0.0)
+    lo, hi = li.approxQuantile("l_partkey", [0.45, 0.5], 0.001)
     paths = {"random": scratch_path(spark, "random"), "sorted": scratch_path(spark, "sorted"),
              "zorder": scratch_path(spark, "zorder"), "small_files": scratch_path(spark, "small"),
              "compacted": scratch_path(spark, "compacted")}

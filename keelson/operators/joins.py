@@ -33,6 +33,7 @@ def row_width(df: DataFrame) -> int:
 
 
 _PROVEN: dict[tuple, bool] = {}
+_MEMO_MAX_FILES = 1_000
 
 
 def needs_shuffle(df: DataFrame) -> bool:
@@ -56,8 +57,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     produces new file names, so a changed dimension is probed again.
     """
     max_rows = max(0, min(max_rows, max_bytes // row_width(df)))
+    key = None
     try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+        files = df._jdf.inputFiles()            # JVM array: its length is read without copying
+        if len(files) <= _MEMO_MAX_FILES:       # only small inputs are memoized (lookups)
+            key = (df.semanticHash(), tuple(sorted(files)), max_rows)
     except Exception:  # plans without a stable hash or file list are always probed
         key = None
     if key is not None and key in _PROVEN:

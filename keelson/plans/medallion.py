@@ -8,7 +8,6 @@ Nothing here aggregates; every function returns a lazy DataFrame.
 from __future__ import annotations
 
 import datetime as _dt
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -133,32 +132,22 @@ def rejects(renamed: DataFrame, v: SilverVars = DEFAULT_VARS) -> DataFrame:
     return renamed.withColumn("reason", F.explode(failed))
 
 
-def _newest_partition(df: DataFrame, column: str) -> str | None:
-    """Largest ``column=value`` directory among the files ``df`` reads (file listing
-    only, no scan); None when ``df`` is not a partitioned file scan."""
-    try:
-        files = df.inputFiles()
-    except Exception:
-        return None
-    found = {m.group(1) for f in files for m in [re.search(rf"/{re.escape(column)}=([^/]+)/", f)] if m}
-    return max(found) if found else None
-
-
 def since_watermark(bronze: DataFrame, target: DataFrame | None, ts_col: str = "tpep_pickup_datetime",
                     target_ts: str = "pickup_at", target_month: str = "pickup_month",
                     bronze_month: str = "_pickup_month") -> DataFrame:
     """High-watermark filter (P14, F12): ``ts >= coalesce(max(target.ts), '1900-01-01')``.
 
-    The max is one aggregate (a single value comes back). When the target is a
-    month-partitioned table it is taken inside the newest month only (found from the
-    file listing), so the target is not scanned in full. The mark becomes a literal,
+    The max is taken inside the newest month only: ``max(month)`` first (on a
+    month-partitioned table that reads partition values, no data columns), then
+    ``max(ts)`` with a month predicate that prunes to one partition - the target is
+    never scanned in full, and one value comes back each time. The mark becomes a literal,
     and when bronze carries its month partition column an explicit
     ``month >= month(mark)`` predicate is added, so the bronze scan skips every older
     month partition instead of reading it to evaluate the timestamp filter.
     """
     if target is None:
         return bronze
-    newest = _newest_partition(target, target_month) if target_month in target.columns else None
+    newest = target.agg(F.max(target_month)).first()[0] if target_month in target.columns else None
     scope = target.filter(F.col(target_month) == newest) if newest else target
     mark = scope.agg(F.max(target_ts).alias("m")).first()["m"]
     mark = mark if mark is not None else _dt.datetime(1900, 1, 1)

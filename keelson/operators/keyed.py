@@ -1,10 +1,13 @@
-"""Per-key selection without key-partitioned windows.
-
-``row_number() over (partition by key order by ...) = 1`` sends every row of a key to
-one task; a key holding a third of the data then runs in a single task. Here the
-same result is an aggregate: ``min(struct(order..., rest...))`` per key. Aggregates
-combine map-side (partial aggregation), so a hot key is reduced inside every input
-task before the shuffle and the reducer sees one partial row per task.
+"""Per-key selection as an aggregate.
+
+A plain key-partitioned window sends every row of a key to one task; a key holding a
+third of the data then runs in a single task. Here "first/last row per key" is an
+aggregate, ``min/max(struct(order..., rest...))``, which always combines map-side
+(partial aggregation): a hot key is reduced inside every input task before the
+shuffle and the reducer sees one partial row per task. (Spark 3.5+ plans the same
+shape for a literal ``row_number() ... = 1`` filter via a partial WindowGroupLimit;
+the aggregate form does not depend on that rule recognizing the filter, and also
+serves the "last" fold of time travel and log replay.)
 """
 
 from __future__ import annotations

@@ -115,3 +115,17 @@ def test_live_files_model(spark, a, v):
             state[path] = action
     expect = sorted(p for p, act in state.items() if act == "add")
     assert sorted(r["path"] for r in V.live_files(df, v).collect()) == expect
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=st.lists(st.tuples(st.integers(0, 20), st.integers(-5, 5)), min_size=1, max_size=25, unique_by=lambda t: t[0]),
+       source=st.lists(st.tuples(st.integers(0, 30), st.integers(-5, 5)), max_size=12, unique_by=lambda t: t[0]))
+def test_upsert_partitions_equals_upsert(spark, target, source):
+    from keelson.session import scratch_path
+    t = spark.createDataFrame([(k, v, k % 3) for k, v in target], "k int, v int, p int")
+    s = spark.createDataFrame([(k, v, k % 3) for k, v in source], "k int, v int, p int")
+    path = scratch_path(spark, "prop_parts")
+    t.write.partitionBy("p").parquet(path)
+    V.upsert_partitions(spark, path, s, ["k"], "p", scratch_path(spark, "prop_stage"))
+    got = spark.read.parquet(path).select("k", "v", "p")
+    assert rows(got) == rows(V.upsert(t, s, ["k"]).select("k", "v", "p"))

@@ -74,7 +74,7 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "ru
                 partitions: int | None = None) -> DataFrame:
     """Cumulative ``sum(value)`` in a unique ``order`` (rows frame; NULL counts as 0).
 
-    Numeric leading order column: every row gets the quantile bucket of that value
+    Single numeric order column: every row gets the quantile bucket of that value
     (bounds from a bounded ``approxQuantile`` sketch, so the assignment is a pure
     function of the value and identical on any retry), rows are hash-partitioned by
     bucket, one total per bucket reaches the driver for the prefix offsets, and a
@@ -88,7 +88,10 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "ru
     from keelson.operators.layout import _bucket
     n = partitions or default_parallelism(df.sparkSession)
     first = order[0]
-    if isinstance(df.schema[first].dataType, T.NumericType):
+    # Single numeric order column (unique by contract, so no bucket can hold a heavy
+    # value): JVM bucket path. Composite orders use range partitions, which split a
+    # heavy leading value across partitions by the tie-breaking columns.
+    if len(order) == 1 and isinstance(df.schema[first].dataType, T.NumericType):
         qs = [i / n for i in range(1, n)]
         splits = sorted({v for v in df.approxQuantile(first, qs, 0.001) if v is not None})
         b = df.withColumn("__b", _bucket(first, splits)).repartition(n, "__b")

@@ -91,3 +91,9 @@ def test_range_partitioning_splits_a_hot_key(spark):
     assert len(sizes) == 8 and max(sizes) < 0.25 * 30000
     got = O.sequential_id(df, ["k", "u"], "sid", partitions=8)
     assert got.agg(F.min("sid"), F.max("sid"), F.countDistinct("sid")).first() == (1, 30000, 30000)
+
+
+def test_running_sum_composite_order_uses_range_path(spark):
+    df = spark.createDataFrame([(i // 10, i % 10, 1) for i in range(100)], "a long, b long, d long")
+    got = {(r["a"], r["b"]): r["running"] for r in O.running_sum(df, ["a", "b"], "d", partitions=4).collect()}
+    assert got[(0, 0)] == 1 and got[(9, 9)] == 100 and got[(5, 0)] == 51

@@ -33,6 +33,21 @@ def files_to_read(stats: DataFrame, lo, hi) -> DataFrame:
                      F.count(F.lit(1)).alias("files_total"))
 
 
+def files_to_read_avg(stats: DataFrame, ranges: Sequence[tuple]) -> DataFrame:
+    """Average files a half-open range predicate must read over several ``ranges``
+    (L2): one row (files_read_avg, files_total), computed in one aggregate over the
+    per-file statistics - a fairer layout measure than a single range, whose result
+    depends on where it falls relative to file boundaries."""
+    reads = []
+    for lo, hi in ranges:
+        skip = (F.col("max_value") < F.lit(lo)) | (F.col("min_value") >= F.lit(hi))
+        reads.append(F.sum(F.when(F.coalesce(skip, F.lit(False)), 0).otherwise(1)))
+    total = reads[0]
+    for r in reads[1:]:
+        total = total + r
+    return stats.agg((total / len(ranges)).alias("files_read_avg"), F.count(F.lit(1)).alias("files_total"))
+
+
 def sorted_layout(df: DataFrame, column: str | Column, files: int) -> DataFrame:
     """Range partition into ``files`` partitions on ``column``, sorted inside."""
     c = F.col(column) if isinstance(column, str) else column

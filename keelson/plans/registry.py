@@ -925,9 +925,9 @@ def q_zorder(spark, sf_dir):
 
 @register("skipping_report")
 def q_skipping(spark, sf_dir):
-    """Files a narrow range predicate must read per layout
-    (random, sorted on part, z-order on part x supplier). Rows-only: file splits
-    depend on the writer."""
+    """Average files a 5 % range predicate must read (nine ranges
+    per column) for each layout (random, sorted on part, z-order on part x supplier).
+    Rows-only: file splits depend on the writer."""
     li = _lineitem(spark, sf_dir)
     layouts = {}
     p = scratch_path(spark, "random")
@@ -939,12 +939,17 @@ def q_skipping(spark, sf_dir):
     p = scratch_path(spark, "zorder")
     S.rebuild(L.zorder(li, ["l_partkey", "l_suppkey"], 16), p)
     layouts["zorder"] = p
-    q = li.approxQuantile(["l_partkey", "l_suppkey"], [0.45, 0.5], 0.001)   # bounded sketch
+    # nine 5 % ranges at the deciles of each column (bounded quantile sketch)
+    starts = [0.05 + 0.1 * i for i in range(9)]
+    probs = sorted(set(starts + [x + 0.05 for x in starts]))
+    qs = li.approxQuantile(["l_partkey", "l_suppkey"], probs, 0.001)
     out = None
     for name, path in layouts.items():
-        for col, (lo, hi) in zip(["l_partkey", "l_suppkey"], q):
-            r = L.files_to_read(L.file_stats(spark, path, col), lo, hi).select(
-                F.lit(name).alias("layout"), F.lit(col).alias("column"), "files_read", "files_total")
+        for col, vals in zip(["l_partkey", "l_suppkey"], qs):
+            at = dict(zip(probs, vals))
+            ranges = [(at[x], at[x + 0.05]) for x in starts]
+            r = L.files_to_read_avg(L.file_stats(spark, path, col), ranges).select(
+                F.lit(name).alias("layout"), F.lit(col).alias("column"), "files_read_avg", "files_total")
             out = r if out is None else out.unionByName(r)
     return out
 

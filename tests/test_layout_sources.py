@@ -107,3 +107,15 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.sql("DROP TABLE IF EXISTS kt_lines")
         spark.sql("DROP TABLE IF EXISTS kt_orders")
+
+
+def test_read_paths_names_only_wanted_files(spark, sf_dir):
+    ev = domain.table(spark, sf_dir, "events")
+    root = scratch_path(spark, "by_day_files")
+    days = ["2024-01-03", "2024-01-04", "2024-01-05"]
+    for d in days:
+        ev.filter(F.to_date("ts") == F.lit(d).cast("date")).write.parquet(f"{root}/{d}")
+    two = R.read_paths(spark, [f"{root}/{d}" for d in days[:2]])
+    assert two.count() == ev.filter(F.to_date("ts").isin(days[:2])).count()
+    assert two.select(F.col("_metadata.file_path")).distinct().filter(
+        F.col("file_path").contains(days[2])).count() == 0

@@ -13,8 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.operators import joins as J
+from keelson.operators import keyed as K
+from keelson.operators import layout as L
+from keelson.operators import ordered as O
+from keelson.operators import quality as Q
+from keelson.operators import skew as X
+from keelson.operators import versions as Vr
 from keelson.plans import domain, gold
 from keelson.plans import medallion as M
+from keelson.session import scratch_path
+from keelson.sources import readers as R
+from keelson.sources import sinks as S
+from keelson.streaming import jobs as T
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -304,9 +315,7 @@ UNION ALL SELECT 'gold_daily_zone_revenue', count(*) FROM gold_daily
 UNION ALL SELECT 'gold_hourly_demand', count(*) FROM gold_hourly"""))
 def q_funnel(spark, sf_dir):
     """Silver is written once and both gold tables read it."""
-    from keelson.session import scratch_path
-    from keelson.sources.sinks import materialize
-    s = materialize(silver(spark, sf_dir), scratch_path(spark, "silver"))
+    s = S.materialize(silver(spark, sf_dir), scratch_path(spark, "silver"))
     z = zones(spark, sf_dir)
     return gold.funnel({"bronze": bronze(spark, sf_dir), "silver": s, "silver_zones": z,
                         "gold_daily_zone_revenue": gold.daily_zone_revenue(s, z),
@@ -418,12 +427,6 @@ def q_revenue_total(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- joins and skew
 
-from keelson.operators import joins as J  # noqa: E402
-from keelson.operators import keyed as K  # noqa: E402
-from keelson.operators import ordered as O  # noqa: E402
-from keelson.operators import quality as Q  # noqa: E402
-from keelson.operators import skew as X  # noqa: E402
-from keelson.operators import versions as Vr  # noqa: E402
 
 MISSING_ZONE = 24
 
@@ -713,10 +716,8 @@ SELECT 'append' AS strategy, count(*) * 3 AS rows, 3 AS runs FROM s
 UNION ALL SELECT 'upsert', count(*), 3 FROM s"""))
 def q_rerun_growth(spark, sf_dir):
     """Three re-runs of one month: append triples the rows, upsert does not."""
-    from keelson.session import scratch_path
-    from keelson.sources.sinks import materialize
-    batch = materialize(silver(spark, sf_dir).filter(F.col("pickup_month") == GROWTH_MONTH),
-                        scratch_path(spark, "growth_batch"))
+    batch = S.materialize(silver(spark, sf_dir).filter(F.col("pickup_month") == GROWTH_MONTH),
+                          scratch_path(spark, "growth_batch"))
     return Vr.rerun_growth(batch, ["trip_id"], 3)
 
 
@@ -894,10 +895,6 @@ def q_reconcile(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- layout and sources
 
-from keelson.operators import layout as L  # noqa: E402
-from keelson.session import scratch_path  # noqa: E402
-from keelson.sources import readers as R  # noqa: E402
-from keelson.sources import sinks as S  # noqa: E402
 
 
 def _lineitem(spark, sf_dir):
@@ -1024,7 +1021,6 @@ def q_partition_profile(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- streaming
 
-from keelson.streaming import jobs as T  # noqa: E402
 
 
 @register("stream_event_windows", """
@@ -1085,10 +1081,9 @@ def q_merge_file_impact(spark, sf_dir):
     """M3 at file level: orders written as 16 files sorted on the key, then the files a
     merge of the year-2000+ orders touches and the unchanged rows it would copy
     (rows-only: file boundaries depend on the writer)."""
-    from keelson.operators.layout import write_sorted
     o = domain.table(spark, sf_dir, "orders")
     p = scratch_path(spark, "orders_sorted")
-    write_sorted(o, p, "o_orderkey", 16)
+    L.write_sorted(o, p, "o_orderkey", 16)
     _, source = upsert_inputs(spark, sf_dir)
     return Vr.merge_file_impact(spark, p, source, ["o_orderkey"])
 

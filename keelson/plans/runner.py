@@ -109,11 +109,11 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str, run_id: str,
-                 v: M.SilverVars = M.DEFAULT_VARS, previous_silver: str | None = None,
-                 months: list[str] | None = None, duration_hours: int | None = None,
-                 source_file: str | None = None, ingested_at: str | None = None,
-                 silver_mode: str = "snapshot") -> RunResult:
-    """One pipeline run (§3.2): bronze (month replace) -> zones -> silver (full, or
+               v: M.SilverVars = M.DEFAULT_VARS, previous_silver: str | None = None,
+               months: list[str] | None = None, duration_hours: int | None = None,
+               source_file: str | None = None, ingested_at: str | None = None,
+               silver_mode: str = "snapshot") -> RunResult:
+    """One layer run (§3.2): bronze (month replace) -> zones -> silver (full, or
     incremental on ``previous_silver``) -> silver gate -> gold tables -> gold gate.
 
     Every model lands in ``{root}/{layer}/run={run_id}``; bronze is one partitioned
@@ -128,6 +128,10 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     transform only bronze rows past the watermark (newest months, partitions pruned)
     and merge them with ``upsert_partitions`` - only the months they touch are read
     and rewritten, which is what keeps a recurring run cheap when silver is huge.
+    Daily gold is then month-partitioned and recomputed for the touched months only,
+    hourly gold is rolled up from per-month partials. As with an incremental model
+    updated in place, merge-mode tables are written before their gate runs; a failing
+    gate still stops everything downstream.
     """
     root = root.rstrip("/")
     res = RunResult(bronze=f"{root}/bronze", zones=f"{root}/silver_zones/run={run_id}",
@@ -167,10 +171,6 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
             (g.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("pickup_month").parquet(res.gold_daily))
         daily = R.read_partitioned(spark, res.gold_daily).drop("pickup_month")
-    else:
-        sinks.rebuild(gold.daily_zone_revenue(silver, zones), res.gold_daily)
-        daily = spark.read.parquet(res.gold_daily)
-    if silver_mode == "merge":
         # gold hourly spans all dates, so additive per-month partials are kept (only
         # touched months recomputed) and the small partial table is rolled up.
         parts_path = f"{root}/gold_hourly_parts/table"
@@ -182,6 +182,8 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
               .partitionBy("pickup_month").parquet(parts_path))
         sinks.rebuild(gold.hourly_from_parts(R.read_partitioned(spark, parts_path)), res.gold_hourly)
     else:
+        sinks.rebuild(gold.daily_zone_revenue(silver, zones), res.gold_daily)
+        daily = spark.read.parquet(res.gold_daily)
         sinks.rebuild(gold.hourly_demand(silver, zones), res.gold_hourly)
     hourly = spark.read.parquet(res.gold_hourly)
     res.checks += Q.gate(gold_checks(silver, daily, hourly))

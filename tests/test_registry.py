@@ -46,3 +46,14 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
 def test_rows_only_queries_run(spark, sf_dir, name):
     df = E.queries()[name](spark, sf_dir)
     assert df.count() >= 1
+
+
+PYTHON_ALLOWED = {"generous_borough_pandas_udf", "generous_borough_raw_slow"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_plan_has_no_pairwise_joins_or_stray_python(spark, sf_dir, name):
+    plan = E.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if name not in PYTHON_ALLOWED:
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -58,23 +58,29 @@ def upsert_partitions(spark, target_path: str, source: DataFrame, keys: Sequence
     """MERGE into a partitioned Parquet table rewriting only the touched partitions
     (M1 at scale).
 
-    The partitions named by the source are listed (one small distinct aggregate, at
-    most the number of partitions), the target is read with partition pruning, merged
-    with ``upsert``, written to ``staging_path`` (a table is never read and
+    The source is written once to ``staging_path/source`` (it is the small side; a
+    computed source - e.g. deduplicated new rows - is then not recomputed by every
+    step, and being a plain scan it can be proven small and broadcast). The
+    partitions it names are listed (one small distinct aggregate, at most the number
+    of partitions), the target is read with partition pruning, merged with
+    ``upsert``, written to ``staging_path/merged`` (a table is never read and
     overwritten by one job), and copied over the target with dynamic partition
     overwrite, so untouched partitions are not read or written at all. The partition
     column must not change for a key (a key moving partitions would leave its old
     copy behind). Returns the touched partition values.
     """
     keys = list(keys)
+    staging_path = staging_path.rstrip("/")
+    source.write.mode("overwrite").parquet(f"{staging_path}/source")
+    source = spark.read.parquet(f"{staging_path}/source")
     touched = [r[0] for r in source.select(partition_col).distinct().collect()]
     if not touched:
         return []
     target = spark.read.option("basePath", target_path).parquet(target_path)
     part = target.filter(F.col(partition_col).isin(touched))
     merged = upsert(part, source.select(*target.columns), keys, broadcast_max_rows=broadcast_max_rows)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_path)
-    staged = spark.read.parquet(staging_path).select(*target.columns)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging_path}/merged")
+    staged = spark.read.parquet(f"{staging_path}/merged").select(*target.columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
     return touched

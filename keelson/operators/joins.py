@@ -8,6 +8,7 @@ measured shuffle sizes, or split skewed partitions of a sort-merge join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -125,8 +126,10 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
     total = df.count()
     if total == 0:
         return []
+    # n >= ceil(share * total) >= share * total, so at most 1 / share keys qualify
+    threshold = max(1, math.ceil(total * min_share))
     rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") >= F.lit(max(1, int(total * min_share)))).select(key).collect())
+              .filter(F.col("n") >= F.lit(threshold)).select(key).collect())
     return [r[0] for r in rows]
 
 

@@ -2,6 +2,8 @@
 matches a dict model, restore round-trips, salted join equals the plain join,
 sequential ids equal row_number, dedup leaves unique keys."""
 
+import math
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -129,3 +131,28 @@ def test_upsert_partitions_equals_upsert(spark, target, source):
     V.upsert_partitions(spark, path, s, ["k"], "p", scratch_path(spark, "prop_stage"))
     got = spark.read.parquet(path).select("k", "v", "p")
     assert rows(got) == rows(V.upsert(t, s, ["k"]).select("k", "v", "p"))
+
+
+@SETTINGS
+@given(a=st.dictionaries(st.integers(0, 15), st.integers(0, 3), max_size=12),
+       b=st.dictionaries(st.integers(0, 15), st.integers(0, 3), max_size=12))
+def test_snapshot_diff_model(spark, a, b):
+    da = spark.createDataFrame(list(a.items()) or [(0, 0)], "k int, p int")
+    db = spark.createDataFrame(list(b.items()) or [(0, 0)], "k int, p int")
+    a = a or {0: 0}
+    b = b or {0: 0}
+    expect = {k: "removed" for k in a.keys() - b.keys()}
+    expect.update({k: "added" for k in b.keys() - a.keys()})
+    expect.update({k: "changed" for k in a.keys() & b.keys() if a[k] != b[k]})
+    got = {r["k"]: r["change"] for r in V.snapshot_diff(da, db, ["k"]).collect()}
+    assert got == expect
+
+
+@SETTINGS
+@given(keys=st.lists(st.integers(0, 200), min_size=1, max_size=300), share=st.sampled_from([0.05, 0.1, 0.25]))
+def test_hot_keys_bound(spark, keys, share):
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    hot = J.hot_keys(df, "k", share)
+    assert len(hot) <= int(1 / share)
+    counts = {k: keys.count(k) for k in set(keys)}
+    assert set(hot) == {k for k, n in counts.items() if n >= max(1, math.ceil(len(keys) * share))}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning
+from . import cleaning, line_dedup, sharding
+from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +65,33 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over every document, with the counts behind the verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return cleaning.quality_report(docs).select("doc_id", "quality.*").drop("cleaned")
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+l AS (SELECT rid, doc_id, i, ls[i] AS line,
+             translate(regexp_replace(regexp_replace(ls[i], '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM (SELECT rid, doc_id, string_split(t, chr(10)) AS ls, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM d)),
+h AS (SELECT k, max(doc_id) AS top FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT rid) >= 3),
+m AS (SELECT l.*, h.k IS NOT NULL AND l.doc_id < h.top AS gone FROM l LEFT JOIN h USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid
+"""
+
+
+@query("op10_line_runs", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that three documents share go from all but the last of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select(
+        "doc_id", "lines.n_lines", "lines.n_dropped", F.sha2(utf8(F.col("lines.kept")), 256).alias("kept_sha256"))
+
+
+@query("op5_hash_ring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document on a ring of 24 shards with bounded loads; row counts at most one apart."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, line_dedup, sharding
+from . import cleaning, line_dedup, packing, preference, sharding
 from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,40 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_best_fit")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2048 words; copies never share a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM t),
+a AS (SELECT conv_id, max(i) AS last FROM k WHERE role = 'assistant' GROUP BY conv_id),
+p AS (SELECT x.conv_id AS pair_id, y.conv_id AS rejected_id, x.last, z.role AS other_role, z.text AS other_text
+      FROM a x JOIN a y ON y.conv_id = x.conv_id + 1 JOIN k z ON z.conv_id = y.conv_id AND z.i = y.last),
+s AS (SELECT p.*, k.i, k.role, k.text, '<|' || k.role || '|>' || chr(10) || k.text || '<|end|>' || chr(10) AS shown,
+             k.i < p.last OR (k.role = p.other_role AND k.text = p.other_text) AS shared
+      FROM p JOIN k ON k.conv_id = p.pair_id AND k.i <= p.last),
+r AS (SELECT pair_id, any_value(rejected_id) AS rejected_id, any_value(other_role) AS role, any_value(other_text) AS text,
+             count(*) FILTER (WHERE shared) AS n, bool_and(shared) AS same,
+             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE shared), '') AS prompt,
+             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE NOT shared), '') AS chosen_text FROM s GROUP BY pair_id),
+o AS (SELECT *, CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || text || '<|end|>' || chr(10) END AS rejected_text FROM r)
+SELECT pair_id, pair_id AS chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, prompt, chosen_text, rejected_text,
+       CASE WHEN same THEN '' ELSE '14-' || CAST(length(chosen_text) AS VARCHAR) END AS chosen_mask,
+       CASE WHEN same THEN '' ELSE '14-' || CAST(length(rejected_text) AS VARCHAR) END AS rejected_mask
+FROM o
+"""
+
+
+@query("op9_preference_pairs", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with an answer, against the same history with its neighbour's answer."""
+    pairs = preference.mismatched_pairs(preference.conversations(table(spark, sf_dir, "conversations")))
+    shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    rows = preference.preference_rows(pairs)
+    return rows.withColumns({c: shown(F.col(c)) for c in ("chosen_mask", "rejected_mask")})

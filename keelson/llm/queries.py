@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, line_dedup, packing, preference, sharding
+from . import cleaning, decontaminate, line_dedup, packing, preference, sharding
 from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,37 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
     rows = preference.preference_rows(pairs)
     return rows.withColumns({c: shown(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item,
+             regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+g AS (SELECT DISTINCT item, least(13, len(ws)) AS n, array_to_string(ws[i:i + least(13, len(ws)) - 1], ' ') AS gram
+      FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+s AS (SELECT DISTINCT n FROM g),
+w AS (SELECT rid, i, n, array_to_string(ws[i:i + n - 1], ' ') AS gram
+      FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, s WHERE len(ws) >= n)),
+h AS (SELECT w.rid, w.i, w.n, g.item FROM w JOIN g USING (n, gram)),
+c AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT rid, i, n FROM h)) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
+"""
+
+
+@query("op1_decontaminate", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item: words in a window of 13, and the verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    report = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return report.select(
+        "doc_id", "contamination.n_words", "contamination.n_hit",
+        F.size("contamination.items").cast("long").alias("n_items"),
+        F.sha2(utf8(F.array_join("contamination.items", ",")), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, decontaminate, line_dedup, packing, preference, sharding
+from . import cleaning, decontaminate, line_dedup, ngram_join, packing, preference, sharding
 from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("contamination.items").cast("long").alias("n_items"),
         F.sha2(utf8(F.array_join("contamination.items", ",")), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"))
+
+
+@query("op2_partenum_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set of 3-word shingles and its component at a similarity of 0.9."""
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))

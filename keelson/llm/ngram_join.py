@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from . import textkit as tk
 from .components import components
+from .tables import small_side, written
 
 
 @dataclass
@@ -127,12 +127,6 @@ def feature_rows(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "fp long, features array<long>")
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _fits(n_a: Column, n_b: Column, s: PartEnum) -> Column:
     return F.least(n_a, n_b) * s.den >= F.greatest(n_a, n_b) * s.num
 
@@ -161,7 +155,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links found so far leave the nodes of a signature in several components are the remaining
     pairs across components checked, too; pairs within a component are never made."""
     scheme = PartEnum(num, den, growth or max(1.25, (den / num) ** 2))
-    rows = _kept(profiles(docs, doc_id, text, n, scheme), "ngram-profiles")
+    rows = written(profiles(docs, doc_id, text, n, scheme), "ngram-profiles")
     # Members of the signatures that several nodes share, without each one's first node, the hub.
     w = Window.partitionBy("sig").orderBy("fp")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -169,22 +163,22 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               .withColumns({"hub": F.first("fp").over(running), "hub_n": F.first("n").over(running),
                             "prev": F.lag("fp").over(w)})
               .filter("fp != hub AND fp != prev").drop("prev"))
-    members = _kept(shared, "ngram-members")
+    members = written(shared, "ngram-members")
     nodes = members.select("fp").union(members.select("hub")).distinct()
     classes = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    wanted = classes.join(nodes, "fp", "left_semi").select("least").distinct()
+    wanted = written(classes.join(nodes, "fp", "left_semi").select("least").distinct(), "ngram-wanted")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = _kept(feature_rows(texts.join(wanted, F.col("id").eqNullSafe(F.col("least")), "left_semi"), n)
+    sets = written(feature_rows(texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("least")), "left_semi"), n)
                  .dropDuplicates(["fp"]), "ngram-sets")
-    tested = _kept(members.filter(_fits(F.col("n"), F.col("hub_n"), scheme))
+    tested = written(members.filter(_fits(F.col("n"), F.col("hub_n"), scheme))
                    .select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), "ngram-pairs")
-    links = _kept(_linked(tested, sets, scheme), "ngram-links")
-    labels = _kept(components(links), "ngram-labels")
+    links = written(_linked(tested, sets, scheme), "ngram-links")
+    labels = written(components(links), "ngram-labels")
     rest = _across(members, labels, tested, scheme)
     if not rest.isEmpty():
-        more = _kept(_linked(rest, sets, scheme), "ngram-links")
+        more = written(_linked(rest, sets, scheme), "ngram-links")
         if not more.isEmpty():
-            labels = _kept(components(links.union(more)), "ngram-labels")
+            labels = written(components(links.union(more)), "ngram-labels")
     named = classes.join(labels, classes["fp"] == labels["node"]).select("fp", "label", "least")
     names = named.groupBy("label").agg(F.min("least").alias("component"))
     by_set = classes.join(named.join(names, "label").select("fp", "component"), "fp", "left").select(
@@ -203,21 +197,21 @@ def _across(members: DataFrame, labels: DataFrame, tested: DataFrame, s: PartEnu
         "sig", "fp", "n", F.coalesce("label", "fp").alias("label"))
     open_ = known.groupBy("sig").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y")) \
         .filter("c > 2 AND x != y").select("sig")
-    left = _kept(known.join(open_, "sig", "left_semi"), "ngram-open")
+    left = written(known.join(open_, "sig", "left_semi"), "ngram-open")
     other = left.select("sig", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
     pairs = (left.withColumnRenamed("fp", "a").join(other, "sig")
              .filter((F.col("label") != F.col("label_b")) & (F.col("a") < F.col("b")) & _fits(F.col("n"), F.col("n_b"), s))
              .select("a", "b").distinct())
-    return _kept(pairs.join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
+    return written(pairs.join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
 
 
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100,
                  **options) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id, with all
     columns. Rows without doc_id stay. Of several rows with one doc_id in a group one stays."""
-    groups = _kept(similar_groups(docs, doc_id, text, n, num, den, **options).filter("doc_id IS NOT NULL"), "ngram-groups")
-    losers = groups.filter("component_id != doc_id").select(F.col("doc_id").alias("__loser")).distinct()
-    kept = docs.join(losers, docs[doc_id] == F.col("__loser"), "left_anti")
+    groups = written(similar_groups(docs, doc_id, text, n, num, den, **options).filter("doc_id IS NOT NULL"), "ngram-groups")
+    losers = written(groups.filter("component_id != doc_id").select(F.col("doc_id").alias("__loser")).distinct(), "ngram-losers")
+    kept = docs.join(small_side(losers), docs[doc_id] == F.col("__loser"), "left_anti")
     repeated = groups.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias("__again"))
     if repeated.isEmpty():
         return kept

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, decontaminate, line_dedup, ngram_join, packing, preference, sharding
+from . import cleaning, decontaminate, line_dedup, ngram_join, packing, preference, sharding, substring_dedup
 from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set of 3-word shingles and its component at a similarity of 0.9."""
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS gram
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) > 1 AS again FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM f WHERE again),
+k AS (SELECT doc_id, list(k) AS ks FROM c GROUP BY doc_id),
+w AS (SELECT doc_id, ws[k] AS word, k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS k FROM d) LEFT JOIN c USING (doc_id, k) WHERE c.k IS NULL),
+t AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept FROM w GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ks), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op7_repeated_passages", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of every document that lies in 20 words which stand earlier in the corpus goes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs).select(
+        "doc_id", "substrings.n_words", "substrings.n_removed",
+        F.sha2(utf8(F.col("substrings.kept")), 256).alias("kept_sha256"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, decontaminate, line_dedup, ngram_join, packing, preference, sharding, substring_dedup
+from . import cleaning, decontaminate, license_scan, line_dedup, ngram_join, packing, preference, sharding, substring_dedup
 from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_repeats(docs).select(
         "doc_id", "substrings.n_words", "substrings.n_removed",
         F.sha2(utf8(F.col("substrings.kept")), 256).alias("kept_sha256"))
+
+
+@query("op3_license_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and the labels of the signature rules."""
+    report = license_scan.license_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("license.base", lambda x: x["start"])
+    return report.select(
+        "doc_id", "license.n_words", F.size("license.base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.sort_array(F.array_distinct(F.transform("license.base", lambda x: x["label"]))), ",").alias("base_labels"),
+        F.array_join("license.labels", ",").alias("labels"), "license.score")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, decontaminate, license_scan, line_dedup, ngram_join, packing, preference, sharding, substring_dedup
+from . import cleaning, decontaminate, license_scan, line_dedup, ngram_join, packing, preference, quality_cnn, sharding
+from . import substring_dedup
 from .columns import utf8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +209,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         F.array_join(F.sort_array(F.array_distinct(F.transform("license.base", lambda x: x["label"]))), ",").alias("base_labels"),
         F.array_join("license.labels", ",").alias("labels"), "license.score")
+
+
+@query("op4_byte_cnn")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score by a network fitted on documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_cnn.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality_cnn.quality_scores(docs, model).select(
+        "doc_id", quality_cnn.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -3,7 +3,8 @@
 A document is a run of chunks of ``2 * BLOCK`` bytes, each beginning ``BLOCK`` bytes after the
 one before, so chunks overlap and cover the whole text. Learned filters over ``WIDTH`` bytes move
 over each chunk in steps of ``STRIDE``; their largest responses are the chunk's features. The
-largest and the mean of a document's chunk features give one probability.
+largest and the mean of a document's chunk features, and how much text there is, give one
+probability.
 
 The model is fitted in the driver on a bounded sample of labelled texts and broadcast; scoring
 passes over the documents once, without a shuffle."""
@@ -23,8 +24,10 @@ from . import textkit as tk
 
 WIDTH, STRIDE, FILTERS, BLOCK = 8, 4, 24, 256
 # The fitting sample: rows of each label, and the longest text that may be in it.
-SAMPLE_ROWS, SAMPLE_BYTES = 600, 16_000
+SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 16_000
 TILE = 1 << 15
+# A text shorter than this many bytes has had less chance to show any pattern: its share of each.
+FILLS = (64, 256, 1024)
 
 
 class ByteCNN:
@@ -33,7 +36,7 @@ class ByteCNN:
         self.table = rng.normal(0, 0.25, (WIDTH, 256, FILTERS)).astype(np.float32)
         self.table[:, 0] = 0                      # padding says nothing
         self.bias = np.zeros(FILTERS, np.float32)
-        self.weights = rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32)
+        self.weights = rng.normal(0, 0.1, 2 * FILTERS + len(FILLS)).astype(np.float32)
         self.offset = np.zeros(1, np.float32)
 
     @staticmethod
@@ -74,16 +77,20 @@ class ByteCNN:
         after[~follows] = -1
         return np.maximum(most, after), after > most
 
-    def features(self, text: np.ndarray, first: np.ndarray) -> np.ndarray:
-        chunk, _ = self.chunks(self.blocks(text)[0], first)
+    @staticmethod
+    def pooled(chunk: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The largest and the mean chunk features of each text, and how full it is."""
         mean = np.add.reduceat(chunk, first[:-1]) / np.diff(first)[:, None].astype(np.float32)
-        return np.concatenate([np.maximum.reduceat(chunk, first[:-1]), mean], axis=1)
+        fill = np.minimum(sizes[:, None] / np.array(FILLS, np.float32), 1).astype(np.float32)
+        return np.concatenate([np.maximum.reduceat(chunk, first[:-1]), mean, fill], axis=1)
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """One probability for each text; a text without bytes is one block of padding."""
         if len(offsets) < 2:
             return np.zeros(0)
-        z = (self.features(*self.padded(data, offsets)) * self.weights).sum(1, dtype=np.float64) + self.offset[0]
+        text, first = self.padded(data, offsets)
+        chunk, _ = self.chunks(self.blocks(text)[0], first)
+        z = (self.pooled(chunk, first, np.diff(offsets)) * self.weights).sum(1, dtype=np.float64) + self.offset[0]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def fit(self, texts: list[bytes], labels: list[int], epochs: int = 10, batch: int = 48, rate: float = 0.02, seed: int = 5) -> None:
@@ -106,24 +113,24 @@ class ByteCNN:
                 rows, step = order[low:low + batch], step + 1
                 offsets = np.concatenate([[0], np.cumsum([len(texts[r]) for r in rows])]).astype(np.int64)
                 data = np.frombuffer(b"".join(texts[r] for r in rows), np.uint8)
-                grads = self._gradients(*self.padded(data, offsets), y[rows], weight[rows] / len(rows))
+                grads = self._gradients(*self.padded(data, offsets), np.diff(offsets), y[rows], weight[rows] / len(rows))
                 for p, g, (m, v) in zip(params, grads, moments, strict=True):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     p -= pace * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
                 self.table[:, 0] = 0
 
-    def _gradients(self, text: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+    def _gradients(self, text: np.ndarray, first: np.ndarray, sizes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
         most, place = self.blocks(text, where=True)
         chunk, later = self.chunks(most, first)
         counts = np.diff(first)
-        top = np.maximum.reduceat(chunk, first[:-1])
-        feats = np.concatenate([top, np.add.reduceat(chunk, first[:-1]) / counts[:, None]], axis=1)
+        feats = self.pooled(chunk, first, sizes)
+        top = feats[:, :FILTERS]
         p = 1 / (1 + np.exp(-np.clip(feats @ self.weights + self.offset[0], -30, 30)))
         dz = (p - y) * weight
         df = dz[:, None] * self.weights
         doc = np.repeat(np.arange(len(counts)), counts)
-        dchunk = (df[:, FILTERS:] / counts[:, None])[doc]
+        dchunk = (df[:, FILTERS:2 * FILTERS] / counts[:, None])[doc]
         best = chunk == top[doc]
         ties = np.add.reduceat(best.astype(np.float32), first[:-1])
         dchunk += best * (df[:, :FILTERS] / ties)[doc]

@@ -15,13 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
 from . import textkit as tk
 from .automaton import SuffixAutomaton
+from .tables import fresh, written
 
 # Words in one automaton: about 100 MB in the driver and in each Python worker.
 BLOCK_WORDS = 150_000
@@ -171,47 +171,42 @@ def _report(docs: DataFrame, bench, text: str, name: str) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = 13, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """All columns of ``docs`` and the struct ``contamination``: n_words, n_hit (words in a
+                  item_text: str = "text", window: int = 13, block_words: int = BLOCK_WORDS,
+                  name: str = "contamination") -> DataFrame:
+    """All columns of ``docs`` and the struct ``name``: n_words, n_hit (words in a
     window), longest (words of the longest run that was looked at), spans (of hit words), items
     (ids as strings, sorted) and cleaned (the text without its hit spans; null if there is none).
 
     Null and empty texts have no words and no hits; items without words have no window; repeated
-    items count once, and repeated rows get equal results. A column of ``docs`` that is called
-    ``contamination`` is replaced. An empty table on either side gives no hits."""
+    items count once, and repeated rows get equal results. A column of ``docs`` of that name is
+    replaced. An empty table on either side gives no hits."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")) \
         .filter("item IS NOT NULL AND text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.size(F.split("text", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_words))
-    docs = docs.drop("contamination")
+    docs = docs.drop(name)
+    more = fresh(docs, name + "_more")
     sc = docs.sparkSession.sparkContext
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
         bench = sc.broadcast(cloudpickle.dumps(Benchmark([tuple(r) for r in part.collect()], window)))
         if b == 0:
-            docs = _report(docs, bench, text, "contamination")
+            docs = _report(docs, bench, text, name)
             continue
-        docs = _merge(_report(_written(docs), bench, text, "__more"), text)
+        docs = _merge(_report(written(docs, "contamination"), bench, text, more), text)
     return docs
 
 
-def _written(docs: DataFrame) -> DataFrame:
-    path = scratch_path(docs.sparkSession, "contamination")
-    docs.write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
-
-
 def _merge(docs: DataFrame, text: str) -> DataFrame:
-    """Join the findings of two blocks of items; overlapping spans become one."""
+    """The last two columns are the findings of earlier blocks of items and of one more: join
+    them into one column; overlapping spans become one."""
     at = docs.columns.index(text)
-    schema = T.StructType([f for f in docs.schema.fields if f.name != "__more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
             rows = []
-            for x, y, body in zip(batch.column(names.index("contamination")).to_pylist(),
-                                  batch.column(names.index("__more")).to_pylist(), batch.column(at).to_pylist(), strict=True):
+            for x, y, body in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(),
+                                  batch.column(at).to_pylist(), strict=True):
                 spans: list[list[int]] = []
                 for a, b in sorted((s["start"], s["end"]) for s in x["spans"] + y["spans"]):
                     if spans and a <= spans[-1][1]:
@@ -221,11 +216,10 @@ def _merge(docs: DataFrame, text: str) -> DataFrame:
                 rows.append({"n_words": x["n_words"], "n_hit": sum(b - a for a, b in spans), "longest": max(x["longest"], y["longest"]),
                              "spans": [{"start": a, "end": b} for a, b in spans],
                              "items": sorted({*x["items"], *y["items"]}), "cleaned": _cut(body, spans) if spans else None})
-            kept = [c for n, c in zip(names, batch.columns, strict=True) if n not in ("contamination", "__more")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, batch.column(names.index("contamination")).type)],
-                                             [n for n in names if n not in ("contamination", "__more")] + ["contamination"])
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(rows, batch.column(batch.num_columns - 2).type)], names[:-1])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields[:-1]))
 
 
 def _cut(body: str, spans: list[list[int]]) -> str:
@@ -237,9 +231,9 @@ def _cut(body: str, spans: list[list[int]]) -> str:
     return (b"".join(kept) + raw[end:]).decode()
 
 
-def is_contaminated(report=None, percent: int = 5):
+def is_contaminated(name: str = "contamination", percent: int = 5) -> Column:
     """At least one hit, and hits in at least ``percent`` of 100 words."""
-    c = F.col("contamination") if report is None else report
+    c = F.col(name)
     return (c["n_hit"] > 0) & (100 * c["n_hit"] >= percent * c["n_words"])
 
 
@@ -247,6 +241,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", per
                   cut_spans: bool = False, **options) -> DataFrame:
     """The documents below the coverage limit, with the columns of ``docs``; with ``cut_spans``
     the hit spans are also cut from the text of those that stay."""
-    reported = contamination(docs, benchmark, text, **options).filter(~is_contaminated(percent=percent))
-    return reported.select(*[F.coalesce("contamination.cleaned", F.col(f"`{c}`")).alias(c) if cut_spans and c == text
+    name = fresh(docs, "contamination")
+    reported = contamination(docs, benchmark, text, name=name, **options).filter(~is_contaminated(name, percent))
+    return reported.select(*[F.coalesce(F.col(name)["cleaned"], F.col(f"`{c}`")).alias(c) if cut_spans and c == text
                              else F.col(f"`{c}`") for c in docs.columns])

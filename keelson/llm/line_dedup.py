@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .columns import ascii_lower, strip, whole
+from .tables import fresh
 
 KEY = ["h1", "h2"]
 # Stands for a null doc_id: below every other.
@@ -99,28 +100,32 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20,
-                        **options) -> DataFrame:
-    """All columns of ``docs`` and the struct ``lines``: n_lines, n_dropped, kept (the text that
+                        name: str = "lines", **options) -> DataFrame:
+    """All columns of ``docs`` and the struct ``name``: n_lines, n_dropped, kept (the text that
     stays, lines joined by a newline).
 
     A null or empty text is one empty line, kept as an empty text. A null doc_id ranks below
     every other. Each row counts as a document of its own, so repeated rows count repeatedly,
-    and all rows with the largest doc_id keep the line. An empty table gives an empty result."""
+    and all rows with the largest doc_id keep the line. A column of that name is replaced. An
+    empty table gives an empty result."""
+    docs = docs.drop(name)
+    holder, dropped, left = (fresh(docs, x) for x in ("holder", "dropped", "left"))
     drops = repeated_lines(docs, doc_id, text, min_chars, **options).select(
-        F.col("doc_id").alias("__id"), F.col("dropped").alias("__dropped"))
+        F.col("doc_id").alias(holder), F.col("dropped").alias(dropped))
     lines = F.split(whole(text), "\n", -1)
-    stays = F.when(F.col("__dropped").isNull(), lines).otherwise(F.filter(lines, lambda x: ~(
+    stays = F.when(F.col(dropped).isNull(), lines).otherwise(F.filter(lines, lambda x: ~(
         (F.char_length(strip(x)) >= min_chars)
-        & F.array_contains(F.col("__dropped"), line_hash(ascii_lower(x))))))
+        & F.array_contains(F.col(dropped), line_hash(ascii_lower(x))))))
     report = F.struct(F.size(lines).cast("long").alias("n_lines"),
-                      (F.size(lines) - F.size(F.col("__stays"))).cast("long").alias("n_dropped"),
-                      F.array_join("__stays", "\n").alias("kept"))
-    return (docs.join(drops, F.coalesce(docs[doc_id], F.lit(NO_ID)) == F.col("__id"), "left")
-            .withColumn("__stays", stays).withColumn("lines", report).drop("__id", "__dropped", "__stays"))
+                      (F.size(lines) - F.size(F.col(left))).cast("long").alias("n_dropped"),
+                      F.array_join(left, "\n").alias("kept"))
+    return (docs.join(drops, F.coalesce(docs[doc_id], F.lit(NO_ID)) == F.col(holder), "left")
+            .withColumn(left, stays).withColumn(name, report).drop(holder, dropped, left))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with its columns, repeated lines removed from the text (null stays null)."""
-    columns = [F.when(F.col(f"`{c}`").isNull(), None).otherwise(F.col("lines.kept")).alias(c) if c == text
+    name = fresh(docs, "lines")
+    columns = [F.when(F.col(f"`{c}`").isNotNull(), F.col(name)["kept"]).alias(c) if c == text
                else F.col(f"`{c}`") for c in docs.columns]
-    return drop_repeated_lines(docs, doc_id, text, **options).select(*columns)
+    return drop_repeated_lines(docs, doc_id, text, name=name, **options).select(*columns)

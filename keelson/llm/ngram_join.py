@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .components import components
-from .tables import small_side, written
+from .tables import fresh, small_side, written
 
 
 @dataclass
@@ -209,11 +209,12 @@ def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n:
                  **options) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id, with all
     columns. Rows without doc_id stay. Of several rows with one doc_id in a group one stays."""
+    loser = fresh(docs, "loser")
     groups = written(similar_groups(docs, doc_id, text, n, num, den, **options).filter("doc_id IS NOT NULL"), "ngram-groups")
-    losers = written(groups.filter("component_id != doc_id").select(F.col("doc_id").alias("__loser")).distinct(), "ngram-losers")
-    kept = docs.join(small_side(losers), docs[doc_id] == F.col("__loser"), "left_anti")
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias("__again"))
+    losers = written(groups.filter("component_id != doc_id").select(F.col("doc_id").alias(loser)).distinct(), "ngram-losers")
+    kept = docs.join(small_side(losers), docs[doc_id] == F.col(loser), "left_anti")
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias(loser))
     if repeated.isEmpty():
         return kept
-    again = kept.join(repeated, kept[doc_id] == F.col("__again"), "left_semi")
-    return kept.join(repeated, kept[doc_id] == F.col("__again"), "left_anti").union(again.dropDuplicates([doc_id]))
+    again = kept.join(repeated, kept[doc_id] == F.col(loser), "left_semi")
+    return kept.join(repeated, kept[doc_id] == F.col(loser), "left_anti").union(again.dropDuplicates([doc_id]))

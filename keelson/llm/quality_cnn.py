@@ -50,9 +50,9 @@ class ByteCNN:
         out[np.arange(len(data)) + np.repeat(first[:-1] * BLOCK - offsets[:-1], sizes)] = data
         return out, first
 
-    def blocks(self, text: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    def blocks(self, text: np.ndarray, first: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """The largest response of each filter in each block (0 at least), and its place."""
-        steps, n = BLOCK // STRIDE, (len(text) - WIDTH) // BLOCK
+        steps, n = BLOCK // STRIDE, int(first[-1])
         most = np.zeros((n, FILTERS), np.float32)
         place = np.zeros((n, FILTERS), np.int64) if where else None
         per = TILE // steps
@@ -62,6 +62,8 @@ class ByteCNN:
             for j in range(WIDTH):
                 sums += self.table[j].take(text[low * BLOCK + j:high * BLOCK + j:STRIDE], axis=0)
             sums = sums.reshape(high - low, steps, FILTERS)
+            ends = first[1:] - 1            # the last window of a text is all padding, but reaches into the next one
+            sums[ends[(ends >= low) & (ends < high)] - low, -1] = 0
             if where:
                 place[low:high] = sums.argmax(1)
             np.maximum(sums.max(1) + self.bias, 0, out=most[low:high])
@@ -89,7 +91,7 @@ class ByteCNN:
         if len(offsets) < 2:
             return np.zeros(0)
         text, first = self.padded(data, offsets)
-        chunk, _ = self.chunks(self.blocks(text)[0], first)
+        chunk, _ = self.chunks(self.blocks(text, first)[0], first)
         z = (self.pooled(chunk, first, np.diff(offsets)) * self.weights).sum(1, dtype=np.float64) + self.offset[0]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -121,7 +123,7 @@ class ByteCNN:
                 self.table[:, 0] = 0
 
     def _gradients(self, text: np.ndarray, first: np.ndarray, sizes: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-        most, place = self.blocks(text, where=True)
+        most, place = self.blocks(text, first, where=True)
         chunk, later = self.chunks(most, first)
         counts = np.diff(first)
         feats = self.pooled(chunk, first, sizes)

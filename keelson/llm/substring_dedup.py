@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from . import textkit as tk
 from .automaton import SuffixAutomaton
-from .tables import small_side, written
+from .tables import fresh, small_side, written
 
 NO_ID = -(1 << 63)
 # Reference words in one shard's automaton, and the segments of one anchor that may share one.
@@ -203,24 +203,26 @@ def repeated_windows(docs: DataFrame, window: int, tell_apart: bool) -> DataFram
     return later if found is None else later.union(found)
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20) -> DataFrame:
-    """(the columns of ``docs``, with the struct ``substrings``): n_words, n_removed, removed
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20,
+                    name: str = "substrings") -> DataFrame:
+    """(the columns of ``docs``, with the struct ``name``): n_words, n_removed, removed
     (maximal spans of removed words) and kept (the words that stay, joined by one space).
 
     Words are runs of anything but ASCII white space. Windows are judged on the input; earlier
     means a smaller doc_id, or the same doc_id and an earlier start. Texts with fewer words than
     a window, empty and null ones keep all they have (kept is empty, not null). A null doc_id
     ranks below every other. Rows that repeat exactly are the same document and get equal
-    results; different texts under one doc_id compare by start only. A column of ``docs`` that
-    is called ``substrings`` is replaced. An empty table gives an empty result. Words and
+    results; different texts under one doc_id compare by start only. A column of ``docs`` of
+    that name is replaced. An empty table gives an empty result. Words and
     windows are known by 64-bit hashes, reference segments by anchor and content, 128 bits."""
-    docs = docs.drop("substrings")
+    docs = docs.drop(name)
+    holder, marked = fresh(docs, "holder"), fresh(docs, "marks")
     slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
     tell_apart = not slim.groupBy("id").agg(F.count("*").alias("c")).filter(f"c > 1 OR id = {NO_ID}").isEmpty()
     marks = repeated_windows(slim, window, tell_apart).groupBy("id").agg(
-        F.collect_list(F.struct("tid", "start", "n")).alias("__marks")).withColumnRenamed("id", "__id")
+        F.collect_list(F.struct("tid", "start", "n")).alias(marked)).withColumnRenamed("id", holder)
     own_id = F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID))
-    joined = docs.join(marks, own_id == F.col("__id"), "left").drop("__id")
+    joined = docs.join(marks, own_id == F.col(holder), "left")
     at = docs.columns.index(text)
     report = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
@@ -255,8 +257,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     kept += words[end:]
                     out.append({"n_words": n, "n_removed": n - len(kept), "removed": [{"start": a, "end": b} for a, b in spans],
                                 "kept": b" ".join(kept).decode()})
-            columns = [c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name != "__marks"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], [*docs_columns, "substrings"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], [*docs_columns, name])
 
     docs_columns = docs.columns
-    return joined.select(*docs_columns, "__marks").mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("substrings", report)]))
+    return joined.select(*docs_columns, marked).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, report)]))

@@ -11,6 +11,14 @@ from ..session import scratch_path
 BROADCAST_ROWS = 1_000_000
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not use yet."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and read again by an executor that
     takes over a lost one's work."""

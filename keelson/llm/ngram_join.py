@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,10 @@ from .components import components
 from .tables import fresh, small_side, written
 
 
+# Groups of up to so many nodes are joined pair by pair; larger ones in chunks of so many nodes.
+SMALL_GROUP, CHUNK_NODES = 8, 400
+
+
 @dataclass
 class PartEnum:
     num: int = 90
@@ -152,8 +157,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     it is null). An empty table gives an empty result. Sets are known by 64-bit hashes.
 
     Nodes that share a signature are checked against one of them, the hub, first. Only where the
-    links found so far leave the nodes of a signature in several components are the remaining
-    pairs across components checked, too; pairs within a component are never made."""
+    links found so far leave the nodes of a signature in several components are further pairs
+    checked, across components only (see ``_across``)."""
     scheme = PartEnum(num, den, growth or max(1.25, (den / num) ** 2))
     rows = written(profiles(docs, doc_id, text, n, scheme), "ngram-profiles")
     # Members of the signatures that several nodes share, without each one's first node, the hub.
@@ -174,35 +179,112 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    .select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), "ngram-pairs")
     links = written(_linked(tested, sets, scheme), "ngram-links")
     labels = written(components(links), "ngram-labels")
-    rest = _across(members, labels, tested, scheme)
-    if not rest.isEmpty():
-        more = written(_linked(rest, sets, scheme), "ngram-links")
-        if not more.isEmpty():
-            labels = written(components(links.union(more)), "ngram-labels")
+    more = _across(members, labels, sets, scheme)
+    if more is not None:
+        labels = written(components(links.union(more)), "ngram-labels")
     named = classes.join(labels, classes["fp"] == labels["node"]).select("fp", "label", "least")
     names = named.groupBy("label").agg(F.min("least").alias("component"))
-    by_set = classes.join(named.join(names, "label").select("fp", "component"), "fp", "left").select(
-        F.col("fp").alias("set"), F.coalesce("component", "least").alias("component"))
+    # A table of its own, so that the join splits the partition of a set with very many copies.
+    by_set = written(classes.join(named.join(names, "label").select("fp", "component"), "fp", "left").select(
+        F.col("fp").alias("set"), F.coalesce("component", "least").alias("component")), "ngram-names")
     return (rows.select("doc_id", "n_shingles", "fp").join(by_set, F.col("fp") == F.col("set"), "left")
             .select("doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id"))
                     .otherwise(F.col("component")).alias("component_id")))
 
 
-def _across(members: DataFrame, labels: DataFrame, tested: DataFrame, s: PartEnum) -> DataFrame:
-    """(a, b): the pairs of nodes that share a signature, fit in size, are in different
-    components and have not been tested."""
-    everyone = members.select("sig", "fp", "n").union(
-        members.select("sig", F.col("hub").alias("fp"), F.col("hub_n").alias("n")).distinct())
-    known = everyone.join(labels, F.col("fp") == F.col("node"), "left").select(
-        "sig", "fp", "n", F.coalesce("label", "fp").alias("label"))
-    open_ = known.groupBy("sig").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y")) \
+def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, s: PartEnum) -> DataFrame | None:
+    """Further links (a, b), enough to connect whatever similar pairs share a signature.
+
+    Nodes that share signatures with more than one component among them form a group. In a
+    group, nodes outside its largest component (the strays) are checked against all its nodes.
+    Small groups are joined; large ones are dealt into chunks, and each pair of chunks is one
+    matrix product in a task that returns a spanning forest: no pairs are made, and no task
+    holds more than two chunks."""
+    everyone = members.select("sig", "fp").union(members.select("sig", "hub").distinct())
+    known = written(everyone.join(labels, F.col("fp") == F.col("node"), "left").select(
+        "sig", "fp", F.coalesce("label", "fp").alias("label")), "ngram-known")
+    mixed = known.groupBy("sig").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y")) \
         .filter("c > 2 AND x != y").select("sig")
-    left = written(known.join(open_, "sig", "left_semi"), "ngram-open")
-    other = left.select("sig", F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    pairs = (left.withColumnRenamed("fp", "a").join(other, "sig")
-             .filter((F.col("label") != F.col("label_b")) & (F.col("a") < F.col("b")) & _fits(F.col("n"), F.col("n_b"), s))
-             .select("a", "b").distinct())
-    return written(pairs.join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
+    mates = written(members.join(mixed, "sig", "left_semi").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), "ngram-mates")
+    if mates.isEmpty():
+        return None
+    nodes = written(components(mates).select(F.col("node").alias("fp"), F.col("label").alias("g"))
+                    .join(known.select("fp", "label").distinct(), "fp"), "ngram-nodes")
+    largest = nodes.groupBy("g", "label").agg(F.count("*").alias("c")).groupBy("g").agg(
+        F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("main"))
+    grouped = written(nodes.join(largest, "g").select(
+        "g", "fp", "label", "m", (F.col("label") != F.col("main.label")).alias("stray"), (F.col("m") - F.col("main.c")).alias("strays")),
+        "ngram-groups")
+    small = grouped.filter(F.col("m") <= SMALL_GROUP)
+    pairs = (small.filter("stray").select("g", F.col("fp").alias("a"), "label").join(
+        small.select("g", F.col("fp").alias("b"), F.col("label").alias("label_b")), "g")
+        .filter("label != label_b").select("a", "b").distinct())
+    links = written(_linked(pairs, sets, s), "ngram-links")
+    large = written(grouped.filter(F.col("m") > SMALL_GROUP), "ngram-large")
+    if large.isEmpty():
+        return links
+    chunk = lambda n: F.ceil(F.col(n) / CHUNK_NODES).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("int")
+    dealt = large.withColumn("ni", chunk("strays")).withColumn("nj", chunk("m")).join(sets, "fp")
+    rows = dealt.filter("stray").withColumns({"i": deal("ni"), "j": F.explode(F.sequence(F.lit(0), F.col("nj") - 1))})
+    others = dealt.withColumns({"j": deal("nj"), "i": F.explode(F.sequence(F.lit(0), F.col("ni") - 1))})
+    num, den = s.num, s.den
+
+    def forest(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return spanning_links(left, right, num, den)
+
+    # Aliases, as both sides come from one table.
+    cells = [x.select(*[F.col(c).alias(c) for c in ("g", "i", "j", "fp", "label", "features")]).groupBy("g", "i", "j")
+             for x in (rows, others)]
+    return written(links.union(cells[0].cogroup(cells[1]).applyInPandas(forest, "a long, b long")), "ngram-links")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """How many features each set on the left shares with each on the right: products of 0/1
+    matrices over ``width`` features at a time."""
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    out = np.zeros((len(left), len(right)), np.float32)
+    sides = []
+    for sets, values in zip((left, right), flat, strict=True):
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(both, values), max(len(both) - 1, 0))
+        ok = both[at] == values if len(both) else np.zeros(len(values), bool)
+        order = np.argsort(at[ok], kind="stable")
+        sides.append((row[ok][order], at[ok][order]))
+    for low in range(0, len(both), width):
+        parts = []
+        for sets, (row, at) in zip((left, right), sides, strict=True):
+            a, b = np.searchsorted(at, [low, low + width])
+            x = np.zeros((len(sets), width), np.float32)
+            x[row[a:b], at[a:b] - low] = 1
+            parts.append(x)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def spanning_links(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links between similar nodes (fp, label, features) of two chunks that join components which
+    neither the labels nor earlier links of the chunks join."""
+    out: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        sizes = [np.array([len(x) for x in side["features"]], np.float32) for side in (left, right)]
+        shared = shared_counts(list(left["features"]), list(right["features"]))
+        close = np.argwhere(shared * den >= (sizes[0][:, None] + sizes[1][None, :] - shared) * num)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        fps, labels = ([side[c].to_numpy() for side in (left, right)] for c in ("fp", "label"))
+        for i, j in close:
+            a, b = root(int(labels[0][i])), root(int(labels[1][j]))
+            if a != b:
+                parent[a] = b
+                out.append((int(fps[0][i]), int(fps[1][j])))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100,

@@ -349,3 +349,23 @@ def test_line_runs_compact_and_find_what_is_new(spark, empty):
     assert [len(level) for level in runs.levels] == [1, 1, 1]
     assert sorted(r.n_docs for r in runs.merged().collect()) == [1, 2, 2, 2, 7]
     assert line_dedup.drop_repeated_lines(empty).count() == 0
+
+
+@pytest.mark.parametrize("small, chunk", [(8, 400), (0, 5), (2, 40)])
+def test_groups_around_the_limit(spark, monkeypatch, small, chunk):
+    """Near copies of one text whose similarity lies around the limit, so that hubs miss many."""
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", small)
+    monkeypatch.setattr(ngram_join, "CHUNK_NODES", chunk)
+    rng = random.Random(11)
+    rows = []
+    for g in range(4):
+        base = [f"w{rng.randrange(500)}" for _ in range(140)]
+        for d in range(30):
+            ws = list(base)
+            for _ in range(rng.choice([1, 2, 3, 4])):
+                ws[rng.randrange(len(ws))] = f"new{rng.randrange(10_000)}"
+            rows.append((1000 * g + d, " ".join(ws)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.similar_groups(docs)
+    want = brute.groups(rows)
+    assert len({c for _, _, c in want}) > 8 and rows_of(got) == key(want)

@@ -65,7 +65,7 @@ def ntz_from_instant(ts: ColumnOrName) -> Column:
 
 def minutes_between(start: ColumnOrName, end: ColumnOrName, digits: int = 2) -> Column:
     """Duration in minutes rounded half-up to ``digits`` (F4), as double."""
-    return round_half_up(seconds_between(start, end) / 60.0, digits)
+    return half_up(seconds_between(start, end), F.lit(60), digits)
 
 
 def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
@@ -73,14 +73,20 @@ def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return seconds_between(start, end) / 3600.0
 
 
-def round_half_up(c: ColumnOrName, digits: int = 0) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d.
+def half_up(num: ColumnOrName, den: ColumnOrName, digits: int = 0) -> Column:
+    """``num / den`` of two whole numbers, rounded HALF_UP (away from zero, as SQL ``round``) to
+    ``digits`` places (F10), as double; NULL when ``den`` is 0. Computed in whole numbers, so
+    halves are exact on both signs: 201 / 200 is 1.01 and -25 / 10 is -3."""
+    n, d = col(num).cast("bigint"), F.nullif(col(den).cast("bigint"), F.lit(0).cast("bigint"))
+    twice = F.abs(n) * (2 * 10 ** digits) + F.abs(d)
+    whole = F.call_function("div", twice, 2 * F.abs(d))
+    return F.signum(n.cast("double")) * F.signum(d.cast("double")) * whole / 10 ** digits + 0.0
 
-    Gives the same double on every engine for the same input, which ``round`` does
-    not (decimal vs binary rounding of doubles near .5).
-    """
-    scale = 10 ** digits
-    return F.floor(col(c) * scale + 0.5) / scale
+
+def round_half_up(c: ColumnOrName, digits: int = 0) -> Column:
+    """SQL ``round`` of a double: HALF_UP on its decimal digits, on both signs (F10). Ratios of
+    whole numbers use ``half_up``, which is exact."""
+    return F.round(col(c).cast("double"), digits)
 
 
 def cents(c: ColumnOrName) -> Column:
@@ -88,23 +94,14 @@ def cents(c: ColumnOrName) -> Column:
     return F.round(col(c) * 100).cast("bigint")
 
 
-def from_cents(c: ColumnOrName) -> Column:
-    return col(c) / 100.0
-
-
 def ratio_pct(num: ColumnOrName, den: ColumnOrName) -> Column:
     """num / nullif(den, 0) * 100 (A8, F13, F16); NULL, not an error, when ``den`` is 0."""
     return col(num) / F.nullif(col(den), F.lit(0)) * 100
 
 
-def share_pct(flag: ColumnOrName) -> Column:
-    """Aggregate: percent of rows where ``flag`` holds."""
-    return F.sum(F.when(col(flag), 1).otherwise(0)) / F.count(F.lit(1)) * 100
-
-
-def sum_if(pred: Column, value: ColumnOrName) -> Column:
-    """Aggregate: sum(case when pred then value else 0 end)."""
-    return F.sum(F.when(pred, col(value)).otherwise(0))
+def hundredths(c: ColumnOrName) -> Column:
+    """A quantity of two decimals in whole hundredths (bigint), for exact sums."""
+    return F.round(col(c) * 100).cast("bigint")
 
 
 def count_if(pred: Column) -> Column:
@@ -118,7 +115,8 @@ WEEKDAY_BY_DOW = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Frida
 def weekday_name(ts: ColumnOrName) -> Column:
     """Full English weekday name (F8), like ``date_format(ts, 'EEEE')`` but from the
     calendar date, so no time zone is applied to NTZ values."""
-    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_BY_DOW]), F.dayofweek(F.to_date(col(ts))))
+    names = F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_BY_DOW]), F.dayofweek(F.to_date(col(ts))))
+    return F.when(col(ts).isNotNull(), names)      # a null index would read the last element
 
 
 def year_month(ts: ColumnOrName) -> Column:

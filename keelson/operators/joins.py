@@ -98,8 +98,8 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: Column | str | Sequence[str],
     if strategy == "salted":
         if keys is None:
             raise ValueError("salted strategy needs keys=(fact_key, dim_key)")
-        hot = hot_keys(fact, keys[0], min_share)
-        return salted_join(fact, dim, keys[0], keys[1], salts, hot=hot, how=how)
+        hot = hot_key_rows(fact, keys[0], min_share)
+        return salted_join(fact, dim, keys[0], keys[1], max(salts, salts_for(hot)), hot=list(hot), how=how)
     if strategy == "broadcast":
         dim = checked_broadcast(dim, max_rows)
     elif strategy == "merge":
@@ -117,20 +117,30 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
                  .join(p, F.col(child_key) == F.col("__pk"), "left_anti"))
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
-    """Keys holding at least ``min_share`` of the rows.
+def hot_key_rows(df: DataFrame, key: str, min_share: float = 0.01) -> dict:
+    """Keys holding at least ``min_share`` of the rows, with their rows; NULL may be one.
 
-    At most ``1/min_share`` keys can qualify, so the collected list is bounded no
-    matter how large the data is. Counting combines map side.
+    One pass: keys are counted (combined map side), then all counts are added up next to
+    the largest 1 / ``min_share`` of them, and no more keys than that can qualify.
     """
-    total = df.count()
-    if total == 0:
-        return []
-    # n >= ceil(share * total) >= share * total, so at most 1 / share keys qualify
-    threshold = max(1, math.ceil(total * min_share))
-    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") >= F.lit(threshold)).select(key).collect())
-    return [r[0] for r in rows]
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    most = math.ceil(1 / min_share)
+    top = counts.orderBy(F.desc("n")).limit(most).select(F.col(key).alias("k"), "n")
+    rows = top.withColumn("t", F.lit(None).cast("bigint")).unionByName(
+        counts.agg(F.sum("n").alias("t")).select(F.lit(None).cast(df.schema[key].dataType).alias("k"),
+                                                 F.lit(None).cast("bigint").alias("n"), "t")).collect()
+    total = sum(r["t"] or 0 for r in rows)
+    return {r["k"]: r["n"] for r in rows if r["n"] and r["n"] >= max(1, math.ceil(total * min_share))}
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
+    """The keys of ``hot_key_rows``."""
+    return list(hot_key_rows(df, key, min_share))
+
+
+def salts_for(hot: dict, task_rows: int = 2_000_000, least: int = 2) -> int:
+    """Salts that leave a task about ``task_rows`` rows of the hottest key."""
+    return max(least, *(-(-n // task_rows) for n in hot.values())) if hot else 1
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, salts: int = 16,
@@ -144,6 +154,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     replicated once per salt and the join runs on (key, salt), spreading one hot key
     over ``salts`` tasks. With ``hot`` given, only those keys are salted and only
     their small-side rows replicated; every other key joins with salt 0.
+    NULL keys of a left join are spread, too. The join is hinted as a sort-merge join: a
+    salted broadcast would only replicate for nothing.
     Inner or left (from the big side) only; the result equals the plain join.
     """
     if how not in ("inner", "left"):
@@ -151,8 +163,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     cols = list(salt_cols) if salt_cols else big.columns
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)).cast("int")
     if hot is not None:
-        hot = list(hot)
-        is_hot_big = F.col(big_key).isin(hot) if hot else F.lit(False)
+        hot = [k for k in hot if k is not None]
+        is_hot_big = F.col(big_key).isNull() | (F.col(big_key).isin(hot) if hot else F.lit(False))
         is_hot_small = F.col(small_key).isin(hot) if hot else F.lit(False)
         b = big.withColumn("__salt", F.when(is_hot_big, salt).otherwise(F.lit(0)))
         s = small.withColumn("__salt", F.explode(
@@ -162,7 +174,7 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
         s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     s = s.withColumnRenamed("__salt", "__salt_s")
     cond = (F.col(big_key) == F.col(small_key)) & (F.col("__salt") == F.col("__salt_s"))
-    return b.join(s, cond, how).drop("__salt", "__salt_s")
+    return b.join(s.hint("merge"), cond, how).drop("__salt", "__salt_s")
 
 
 def with_hot_key(df: DataFrame, key: str, hot_value, share_pct: int = 90, by: str | None = None) -> DataFrame:

@@ -16,38 +16,6 @@ from pyspark.sql import functions as F
 from keelson.sources import sinks
 
 
-def file_stats(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """Rows, min and max of ``column`` per file (L1): (file, rows, min_value, max_value)."""
-    df = spark.read.parquet(path)
-    return (df.select(F.col("_metadata.file_path").alias("file"), F.col(column).alias("__v"))
-              .groupBy("file").agg(F.count(F.lit(1)).alias("rows"),
-                                   F.min("__v").alias("min_value"), F.max("__v").alias("max_value")))
-
-
-def files_to_read(stats: DataFrame, lo, hi) -> DataFrame:
-    """Skipping report for the half-open predicate [lo, hi) (L2): one row
-    (files_read, files_total). A file is skipped only when its statistics prove it
-    holds no match (``max < lo`` or ``min >= hi``); missing statistics mean read."""
-    skip = (F.col("max_value") < F.lit(lo)) | (F.col("min_value") >= F.lit(hi))
-    return stats.agg(F.sum(F.when(F.coalesce(skip, F.lit(False)), 0).otherwise(1)).cast("bigint").alias("files_read"),
-                     F.count(F.lit(1)).alias("files_total"))
-
-
-def files_to_read_avg(stats: DataFrame, ranges: Sequence[tuple]) -> DataFrame:
-    """Average files a half-open range predicate must read over several ``ranges``
-    (L2): one row (files_read_avg, files_total), computed in one aggregate over the
-    per-file statistics - a fairer layout measure than a single range, whose result
-    depends on where it falls relative to file boundaries."""
-    reads = []
-    for lo, hi in ranges:
-        skip = (F.col("max_value") < F.lit(lo)) | (F.col("min_value") >= F.lit(hi))
-        reads.append(F.sum(F.when(F.coalesce(skip, F.lit(False)), 0).otherwise(1)))
-    total = reads[0]
-    for r in reads[1:]:
-        total = total + r
-    return stats.agg((total / len(ranges)).alias("files_read_avg"), F.count(F.lit(1)).alias("files_total"))
-
-
 def sorted_layout(df: DataFrame, column: str | Column, files: int) -> DataFrame:
     """Range partition into ``files`` partitions on ``column``, sorted inside."""
     c = F.col(column) if isinstance(column, str) else column
@@ -92,8 +60,8 @@ def _bucket(column: str, splits: Sequence) -> Column:
     return node(0, len(splits))
 
 
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: float = 0.001) -> Column:
-    """Z-order (Morton) value over quantile buckets of each column.
+def with_zorder_key(df: DataFrame, cols: Sequence[str], name: str, bits: int = 8, rel_error: float = 0.001) -> DataFrame:
+    """``df`` with the z-order (Morton) value over quantile buckets of each column.
 
     Each column is first mapped to one of ``2**bits`` quantile buckets (so columns of
     different ranges weigh the same), then the bucket bits are interleaved. Only
@@ -102,22 +70,22 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: flo
     """
     probs = [i / (2 ** bits) for i in range(1, 2 ** bits)]
     splits = df.approxQuantile(list(cols), probs, rel_error)
-    buckets = [_bucket(c, sorted(set(s))) for c, s in zip(cols, splits)]
+    # Each bucket is a column of its own, so its comparison tree is in the plan once.
+    names = [f"__bucket_{i}" for i in range(len(cols))]
+    df = df.withColumns({n: _bucket(c, sorted(set(s))).cast("bigint") for n, c, s in zip(names, cols, splits)})
     z = F.lit(0).cast("bigint")
-    k = len(cols)
     for b in range(bits):
-        for i, bc in enumerate(buckets):
-            bit = F.shiftright(bc.cast("bigint"), b).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, b * k + i))
-    return z
+        for i, n in enumerate(names):
+            bit = F.shiftright(F.col(n), b).bitwiseAND(F.lit(1))
+            z = z.bitwiseOR(F.shiftleft(bit, b * len(cols) + i))
+    return df.withColumn(name, z).drop(*names)
 
 
 def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 8) -> DataFrame:
     """Z-ordered layout (L5): range partition on the Morton value into ``files``
     partitions, sorted inside; a filter on any one of ``cols`` then touches a
     fraction of the files."""
-    z = zorder_key(df, cols, bits)
-    return (df.withColumn("__z", z).repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z"))
+    return (with_zorder_key(df, cols, "__z", bits).repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z"))
 
 
 def layout_summary(spark: SparkSession, path: str) -> DataFrame:

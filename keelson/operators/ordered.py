@@ -86,7 +86,8 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, name: str = "ru
     from pyspark.sql.window import Window
 
     from keelson.operators.layout import _bucket
-    n = partitions or default_parallelism(df.sparkSession)
+    # The buckets are a comparison tree in the plan: bounded, whatever the partition count.
+    n = min(partitions or default_parallelism(df.sparkSession), 64)
     first = order[0]
     # Single numeric order column (unique by contract, so no bucket can hold a heavy
     # value): JVM bucket path. Composite orders use range partitions, which split a
@@ -133,9 +134,10 @@ def row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
 
 
 def batch_slice(df: DataFrame, order: Sequence[str | Column], n: int, offset: int) -> DataFrame:
-    """``order by ... limit n offset m`` (O5): the next batch of a unique order.
-    Planned as a top-(n+m) per task, so no task holds more than n+m rows."""
-    return df.orderBy(*_cols(order)).offset(offset).limit(n)
+    """``order by ... limit n offset m`` (O5): the next batch of a unique order, taken by
+    dense sequence numbers, so that no task gathers the rows before the batch."""
+    return sequential_id(df, order, "__seq", offset=0).filter(
+        (F.col("__seq") > offset) & (F.col("__seq") <= offset + n)).drop("__seq")
 
 
 def top_groups(df: DataFrame, key: str, k: int, count_name: str = "trips",

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.columns import round_half_up, seconds_between
+from keelson.functions.columns import half_up, seconds_between
 from keelson.operators.joins import orphans as _orphans
 
 
@@ -95,7 +95,7 @@ def dq_census(df: DataFrame, rules: Sequence[tuple[str, Column]], digits: int =
                                   for i, (n, _) in enumerate(rules)]))
     long = wide.select("__total", stacked.alias("s")).select("s.rule", "s.rows", "__total")
     return long.select("rule", "rows",
-                       round_half_up(F.col("rows") / F.col("__total") * 100, digits).alias("pct"))
+                       half_up(F.col("rows") * 100, "__total", digits).alias("pct"))
 
 
 def bronze_census_rules(year_start: str, year_end: str, max_miles: float = 500.0,
@@ -122,9 +122,3 @@ def null_coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``count(*)`` next to ``count(col)`` for each column (A2): one row
     ``rows, <col>_non_null...``; shows how an evolved column is back-filled."""
     return df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"{c}_non_null") for c in columns])
-
-
-def share_by(df: DataFrame, key: str, flag: Column, digits: int = 1) -> DataFrame:
-    """Percent of rows per ``key`` where ``flag`` holds."""
-    g = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(flag, 1).otherwise(0)).alias("__hit"))
-    return g.select(key, "rows", round_half_up(F.col("__hit") / F.col("rows") * 100, digits).alias("pct"))

@@ -31,11 +31,11 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 
 def skew_profile(df: DataFrame, key: str) -> DataFrame:
     """Distribution of rows per key (X2, A15): keys, min, p25, p50, p75, p95, max and
-    max/median. ``percentile`` is exact; its buffer holds one entry per distinct
-    *count value*. Distinct counts c1 < c2 < ... < ck add up to at most the row count
-    N, so k <= sqrt(2N): about 1.4 million entries at 10^12 rows, however many keys."""
-    kc = key_counts(df, key)
-    qs = {f"p{int(q * 100)}": F.percentile(F.col("n"), F.lit(q)) for q in QUANTILES}
-    g = kc.agg(F.count(F.lit(1)).alias("keys"), F.min("n").alias("min_rows"),
+    max/median. Keys are first counted per count value, so the exact ``percentile``, weighted
+    by that, sees one row per distinct *count value* c1 < c2 < ... < ck. They add up to at
+    most the row count N, so k <= sqrt(2N), however many keys there are."""
+    kc = key_counts(df, key).groupBy("n").agg(F.count(F.lit(1)).alias("f"))
+    qs = {f"p{int(q * 100)}": F.percentile(F.col("n"), F.lit(q), F.col("f")) for q in QUANTILES}
+    g = kc.agg(F.sum("f").alias("keys"), F.min("n").alias("min_rows"),
                *[v.alias(k) for k, v in qs.items()], F.max("n").alias("max_rows"))
     return g.withColumn("max_over_median", F.col("max_rows") / F.col("p50"))

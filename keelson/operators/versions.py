@@ -58,31 +58,38 @@ def upsert_partitions(spark, target_path: str, source: DataFrame, keys: Sequence
     """MERGE into a partitioned Parquet table rewriting only the touched partitions
     (M1 at scale).
 
-    The source is written once to ``staging_path/source`` (it is the small side; a
-    computed source - e.g. deduplicated new rows - is then not recomputed by every
-    step, and being a plain scan it can be proven small and broadcast). The
-    partitions it names are listed (one small distinct aggregate, at most the number
-    of partitions), the target is read with partition pruning, merged with
-    ``upsert``, written to ``staging_path/merged`` (a table is never read and
-    overwritten by one job), and copied over the target with dynamic partition
-    overwrite, so untouched partitions are not read or written at all. The partition
-    column must not change for a key (a key moving partitions would leave its old
-    copy behind). Returns the touched partition values.
+    The source is written once to ``staging_path/source``. Touched are the partitions the
+    source names and those where the target holds one of its keys (a semi-join that reads
+    the target's key columns only), so a key that moves to another partition leaves no copy
+    behind. These are read, merged with ``upsert``, written to ``staging_path/merged`` (a
+    table is never read and overwritten by one job) and copied over with dynamic partition
+    overwrite; a partition that has lost its last row is emptied. Untouched partitions are
+    not written. Columns that only the source has are kept (NULL in older rows); read the
+    table with merged schemas then. Returns the touched partition values, sorted.
     """
     keys = list(keys)
     staging_path = staging_path.rstrip("/")
     source.write.mode("overwrite").parquet(f"{staging_path}/source")
     source = spark.read.parquet(f"{staging_path}/source")
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+    target = spark.read.option("basePath", target_path).option("mergeSchema", True).parquet(target_path)
+    src_keys = checked_broadcast(source.select(*keys).filter(_not_null(keys)), broadcast_max_rows)
+    held = target.select(*keys, partition_col).join(src_keys, keys, "left_semi").select(partition_col)
+    touched = sorted({r[0] for r in source.select(partition_col).union(held).distinct().collect()},
+                     key=lambda v: (v is None, v))
     if not touched:
         return []
-    target = spark.read.option("basePath", target_path).parquet(target_path)
-    part = target.filter(F.col(partition_col).isin(touched))
-    merged = upsert(part, source.select(*target.columns), keys, broadcast_max_rows=broadcast_max_rows)
+    part = target.filter(F.col(partition_col).isin([v for v in touched if v is not None])
+                         | (F.col(partition_col).isNull() if None in touched else F.lit(False)))
+    merged = upsert(part, source, keys, broadcast_max_rows=broadcast_max_rows)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging_path}/merged")
-    staged = spark.read.parquet(f"{staging_path}/merged").select(*target.columns)
+    staged = spark.read.schema(merged.schema).parquet(f"{staging_path}/merged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
+    left = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    for value in touched:
+        if value not in left:
+            staged.limit(0).drop(partition_col).write.mode("overwrite").parquet(
+                f"{target_path.rstrip('/')}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
     return touched
 
 
@@ -124,30 +131,6 @@ def upsert_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  count_if(ts & ~ss).alias("copied"))
 
 
-def merge_file_impact(spark, target_path: str, source: DataFrame, keys: Sequence[str],
-                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """What a copy-on-write merge into the Parquet files at ``target_path`` rewrites
-    (M3, file level): one row ``files_total, files_touched, rows_matched,
-    rows_copied``. A file is touched when it holds a matched key; every other row of
-    a touched file is copied unchanged. Report only - nothing is written.
-
-    The target is scanned once with its hidden file-path column; source keys are
-    joined (broadcast when proven small) and the per-file counts are aggregated.
-    """
-    keys = list(keys)
-    t = spark.read.parquet(target_path).select(*keys, F.col("_metadata.file_path").alias("__file"))
-    sk = checked_broadcast(source.select(*keys).filter(_not_null(keys)).distinct().withColumn("__m", F.lit(1)),
-                           broadcast_max_rows)
-    per_file = (t.join(sk, keys, "left")
-                 .groupBy("__file").agg(F.count(F.lit(1)).alias("rows"), F.count("__m").alias("matched")))
-    touched = F.col("matched") > 0
-    return per_file.agg(F.count(F.lit(1)).alias("files_total"),
-                        count_if(touched).alias("files_touched"),
-                        F.sum("matched").cast("bigint").alias("rows_matched"),
-                        F.sum(F.when(touched, F.col("rows") - F.col("matched")).otherwise(0)).cast("bigint")
-                         .alias("rows_copied"))
-
-
 # ----------------------------------------------------------------------------- versions
 
 def as_of(changes: DataFrame, keys: Sequence[str], version: int | None = None,
@@ -242,51 +225,6 @@ def rows_by_version(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # ----------------------------------------------------------------------------- action log
 
-def live_files(actions: DataFrame, version: int | None = None) -> DataFrame:
-    """Files live at ``version`` (M11): last add/remove per path in (version, seq)
-    order wins. Output: path, version (of the winning add), size."""
-    a = actions.filter(F.col("action").isin("add", "remove"))
-    if version is not None:
-        a = a.filter(F.col("version") <= F.lit(version))
-    last = latest_by_key(a.select("path", "version", "seq", "action", "size"), ["path"], ["version", "seq"])
-    return last.filter(F.col("action") == "add").select("path", "version", "size")
-
-
-def vacuum_candidates(actions: DataFrame, now: str, retention_hours: int = 168, ts_col: str = "ts") -> DataFrame:
-    """Files a vacuum would delete (M12), report only: not live in the latest
-    snapshot and removed longer than ``retention_hours`` before ``now``."""
-    a = actions.filter(F.col("action").isin("add", "remove"))
-    last = latest_by_key(a.select("path", "version", "seq", "action", ts_col), ["path"], ["version", "seq"])
-    cutoff = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(retention_hours))
-    return (last.filter((F.col("action") == "remove") & (F.col(ts_col) < cutoff))
-                .select("path", F.col("version").alias("removed_in"), F.col(ts_col).alias("removed_at")))
-
-
-def broken_versions(actions: DataFrame, deleted: DataFrame) -> DataFrame:
-    """Versions that can no longer be read once ``deleted`` paths are gone.
-
-    Every add of a deleted path opens a live interval, every remove closes it; a
-    version is broken while at least one interval is open. Actions are first folded to
-    one row per (path, version) (aggregate, skew-safe); the state change per path then
-    comes from a lag over that path's versions (at most one row per version). +1/-1
-    events are summed per version and accumulated with ``running_sum`` - no range join
-    of intervals against versions. Output: version, missing_files.
-    """
-    a = (actions.filter(F.col("action").isin("add", "remove"))
-                .join(deleted.select("path").distinct(), "path", "left_semi"))
-    # State per (path, version): the last action of that commit decides.
-    per_pv = latest_by_key(a.select("path", "version", "seq", "action"), ["path", "version"], ["seq"])
-    live = (F.col("action") == "add").cast("int")
-    w = Window.partitionBy("path").orderBy("version")
-    ev = (per_pv.withColumn("__live", live)
-                .withColumn("__d", F.col("__live") - F.coalesce(F.lag("__live").over(w), F.lit(0))))
-    versions = actions.select("version").distinct()
-    per_v = (versions.join(ev.groupBy("version").agg(F.sum("__d").cast("bigint").alias("delta")), "version", "left")
-                     .fillna(0, ["delta"]))
-    acc = running_sum(per_v, ["version"], "delta", name="missing_files")
-    return acc.filter(F.col("missing_files") > 0).select("version", "missing_files")
-
-
 # ----------------------------------------------------------------------------- schema
 
 def check_schema(df: DataFrame, target: T.StructType, evolve: bool = False) -> T.StructType:

@@ -7,20 +7,25 @@ schema instead, so one line item becomes one trip:
 raw trip column        built from
 =====================  ==========================================================
 VendorID               l_linenumber
-tpep_pickup_datetime   o_orderdate (order placed = trip start)
-tpep_dropoff_datetime  l_shipdate (can be before the order: real junk rows)
+tpep_pickup_datetime   o_orderdate at a minute of the day drawn from the order and line
+tpep_dropoff_datetime  pickup plus -2 to 117 minutes, drawn from the days to l_shipdate
 passenger_count        l_quantity
 trip_distance          l_quantity
-PULocationID           customer nation
-DOLocationID           supplier nation
+PULocationID           customer nation + 1
+DOLocationID           supplier nation + 1
 payment_type           l_returnflag A/N/R -> 1 (card) / 2 (cash) / 3
-fare_amount            l_extendedprice
+fare_amount            l_extendedprice / 250 (whole cents)
 tip_amount             fare * discount   (integer cents, floored)
 tolls_amount           fare * tax        (integer cents, floored)
 total_amount           fare + tip + tolls
 =====================  ==========================================================
 
-Zones are nations (zone name) with their region (borough). All money columns are
+Some rows are junk of every kind the cleaning rules know, by divisibility of their keys (see
+``JUNK``): stray years, missing pickups, trips of no or too many miles, without passengers,
+from no zone, longer than twelve hours, and refunds with negative amounts. The rest, and the
+few trips that end before they start, are what a real month holds.
+
+Zones are nations (zone name) with their region (borough), numbered from 1. All money columns are
 derived in integer cents first, so every engine produces the same doubles.
 
 Scale notes: orders x customer is joined first, then line items join that on the
@@ -40,6 +45,17 @@ from keelson.operators.joins import checked_broadcast
 from keelson.sources.readers import read_table
 
 
+# A row is junk of a kind if its key is divisible by the number.
+JUNK = {"stray_year": ("l_orderkey", 401), "no_pickup": ("l_orderkey", 409), "no_miles": ("l_partkey", 61),
+        "many_miles": ("l_partkey", 67), "no_passengers": ("l_partkey", 59), "no_zone": ("l_partkey", 71),
+        "long_trip": ("l_partkey", 83), "refund": ("l_partkey", 53)}
+
+
+def _junk(kind: str):
+    key, n = JUNK[kind]
+    return F.col(key) % n == 0
+
+
 _READERS: dict[tuple, DataFrame] = {}
 
 
@@ -59,12 +75,19 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip rows with the taxi column names (the ingest input). Each scan selects
     only the columns used (P1), so Parquet reads just those."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    fare_c = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    price_c = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    fare_c = F.floor(price_c / 250).cast("bigint") * F.when(_junk("refund"), -1).otherwise(1)
+    at = F.timestamp_add("MINUTE", (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 211) % 1440, F.col("o_orderdate"))
+    pickup = (F.when(_junk("no_pickup"), F.lit(None).cast("timestamp_ntz"))
+              .when(_junk("stray_year"), F.timestamp_add("YEAR", F.lit(100), at)).otherwise(at))
+    minutes = (F.pmod(F.datediff("l_shipdate", "o_orderdate") * 7 + F.col("l_linenumber"), F.lit(120)) - 2
+               + F.when(_junk("long_trip"), 1000).otherwise(0))
+    miles = F.col("l_quantity").cast("double")
     disc = F.round(F.col("l_discount") * 100).cast("bigint")
     tax = F.round(F.col("l_tax") * 100).cast("bigint")
     # orders x customer first: at scale that join shuffles orders (4x smaller than
@@ -78,12 +101,12 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(su, F.col("l_suppkey") == su.s_suppkey)
            .select(
                F.col("l_linenumber").cast("int").alias("VendorID"),
-               F.col("o_orderdate").alias("tpep_pickup_datetime"),
-               F.col("l_shipdate").alias("tpep_dropoff_datetime"),
-               F.col("l_quantity").alias("passenger_count"),
-               F.col("l_quantity").alias("trip_distance"),
-               F.col("c_nationkey").alias("PULocationID"),
-               F.col("s_nationkey").alias("DOLocationID"),
+               pickup.alias("tpep_pickup_datetime"),
+               F.timestamp_add("MINUTE", minutes, pickup).alias("tpep_dropoff_datetime"),
+               F.when(_junk("no_passengers"), 0.0).otherwise(miles).alias("passenger_count"),
+               F.when(_junk("no_miles"), 0.0).when(_junk("many_miles"), miles + 500).otherwise(miles).alias("trip_distance"),
+               F.when(_junk("no_zone"), 0).otherwise(F.col("c_nationkey") + 1).cast("bigint").alias("PULocationID"),
+               (F.col("s_nationkey") + 1).cast("bigint").alias("DOLocationID"),
                F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
                 .when(F.col("l_returnflag") == "R", 3).otherwise(4).alias("payment_type"),
                fare_c.alias("_fare_c"), disc.alias("_disc"), tax.alias("_tax")))
@@ -104,7 +127,7 @@ def zone_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     return (n.join(r, n.n_regionkey == r.r_regionkey)
-             .select(F.col("n_nationkey").cast("int").alias("LocationID"),
+             .select((F.col("n_nationkey") + 1).cast("int").alias("LocationID"),
                      F.col("r_name").alias("Borough"),
                      F.col("n_name").alias("Zone"),
                      F.concat(F.lit("region_"), F.col("r_regionkey").cast("string")).alias("service_zone")))
@@ -112,22 +135,34 @@ def zone_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The SQL twin of ``raw_trips`` / ``zone_seed`` for the DuckDB oracle.
 RAW_TRIPS_SQL = """
+raw_j AS (
+  SELECT l.*, o.o_orderdate, c.c_nationkey, s.s_nationkey,
+         o.o_orderdate + to_minutes((l.l_orderkey * 37 + l.l_linenumber * 211) % 1440) AS started,
+         ((date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) * 7 + l.l_linenumber) % 120 + 120) % 120 - 2
+           + CASE WHEN l.l_partkey % 83 = 0 THEN 1000 ELSE 0 END AS minutes
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+),
+raw_p AS (
+  SELECT *, CASE WHEN l_orderkey % 409 = 0 THEN NULL WHEN l_orderkey % 401 = 0 THEN started + INTERVAL 100 YEAR ELSE started END AS pickup
+  FROM raw_j
+),
 raw_c AS (
   SELECT CAST(l.l_linenumber AS INTEGER) AS VendorID,
-         o.o_orderdate AS tpep_pickup_datetime,
-         l.l_shipdate AS tpep_dropoff_datetime,
-         l.l_quantity AS passenger_count,
-         l.l_quantity AS trip_distance,
-         c.c_nationkey AS PULocationID,
-         s.s_nationkey AS DOLocationID,
+         pickup AS tpep_pickup_datetime,
+         pickup + to_minutes(CAST(minutes AS BIGINT)) AS tpep_dropoff_datetime,
+         CASE WHEN l_partkey % 59 = 0 THEN 0 ELSE CAST(l_quantity AS DOUBLE) END AS passenger_count,
+         CASE WHEN l_partkey % 61 = 0 THEN 0 WHEN l_partkey % 67 = 0 THEN CAST(l_quantity AS DOUBLE) + 500
+              ELSE CAST(l_quantity AS DOUBLE) END AS trip_distance,
+         CAST(CASE WHEN l_partkey % 71 = 0 THEN 0 ELSE c_nationkey + 1 END AS BIGINT) AS PULocationID,
+         CAST(s_nationkey + 1 AS BIGINT) AS DOLocationID,
          CASE l.l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 ELSE 4 END AS payment_type,
-         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS fare_c,
+         CAST(round(l.l_extendedprice * 100) AS BIGINT) // 250 * CASE WHEN l_partkey % 53 = 0 THEN -1 ELSE 1 END AS fare_c,
          CAST(round(l.l_discount * 100) AS BIGINT) AS disc,
          CAST(round(l.l_tax * 100) AS BIGINT) AS tax
-  FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  FROM raw_p l
 ),
 raw_t AS (
   SELECT *, CAST(floor(fare_c * disc / 100) AS BIGINT) AS tip_c,
@@ -146,7 +181,7 @@ raw AS (
 
 ZONES_SQL = """
 zones AS (
-  SELECT CAST(n.n_nationkey AS INTEGER) AS zone_id, r.r_name AS borough, n.n_name AS zone_name,
+  SELECT CAST(n.n_nationkey + 1 AS INTEGER) AS zone_id, r.r_name AS borough, n.n_name AS zone_name,
          'region_' || CAST(r.r_regionkey AS VARCHAR) AS service_zone
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
@@ -169,18 +204,6 @@ def event_changes(spark: SparkSession, sf_dir: str, commit_size: int = COMMIT_SI
                     F.col("event_id").alias("seq"), op.alias("op"))
 
 
-def event_actions(spark: SparkSession, sf_dir: str, commit_size: int = COMMIT_SIZE) -> DataFrame:
-    """Action log over ``events``: one data file per user (``part-<user>.parquet``);
-    an error event removes the file, any other event (re-)adds it."""
-    e = table(spark, sf_dir, "events")
-    return e.select(F.floor(F.col("event_id") / commit_size).cast("bigint").alias("version"),
-                    F.col("event_id").alias("seq"),
-                    F.when(F.col("event_type") == "error", "remove").otherwise("add").alias("action"),
-                    F.concat(F.lit("part-"), F.col("user_id").cast("string"), F.lit(".parquet")).alias("path"),
-                    F.round(F.col("value") * 100).cast("bigint").alias("size"),
-                    "ts")
-
-
 CHANGES_SQL = f"""
 changes AS (
   SELECT user_id, event_type, value, ts, CAST(floor(event_id / {COMMIT_SIZE}) AS BIGINT) AS version,
@@ -188,12 +211,3 @@ changes AS (
          CASE WHEN event_type = 'signup' THEN 'insert' WHEN event_type = 'error' THEN 'delete' ELSE 'update' END AS op
   FROM events
 )"""
-
-ACTIONS_SQL = f"""
-actions AS (
-  SELECT CAST(floor(event_id / {COMMIT_SIZE}) AS BIGINT) AS version, event_id AS seq,
-         CASE WHEN event_type = 'error' THEN 'remove' ELSE 'add' END AS action,
-         'part-' || CAST(user_id AS VARCHAR) || '.parquet' AS path,
-         CAST(round(value * 100) AS BIGINT) AS size, ts
-  FROM events
-)"""

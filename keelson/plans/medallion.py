@@ -23,12 +23,12 @@ from keelson.sources import sinks
 class SilverVars:
     """Run variables of the silver model.
 
-    Defaults fit the driver's trip domain: orders span 1995-2001 and ship dates are
-    midnight-only, so a 12-hour cap would keep nothing; the cap is one year here.
+    The window covers every order date of the trip domain (1995 to 2001), so it only
+    removes stray years.
     """
-    start_date: str = "1996-01-01"
-    end_date: str = "2000-01-01"
-    max_trip_hours: int = 8760
+    start_date: str = "1995-01-01"
+    end_date: str = "2002-01-01"
+    max_trip_hours: int = 12
     min_zone: int = 1
     max_zone: int = 265
     max_miles: float = 500.0
@@ -43,10 +43,17 @@ RUN_TS = "2024-06-01 00:00:00"
 
 # ----------------------------------------------------------------------------- bronze
 
+# Fixed value: the month label of rows without a pickup time.
+NO_MONTH = "unknown"
+
+
 def to_bronze(df: DataFrame, source_file: str | None = None, ingested_at: str | None = None,
-              pickup_col: str = "tpep_pickup_datetime") -> DataFrame:
+              pickup_col: str = "tpep_pickup_datetime", month: str | None = None) -> DataFrame:
     """Raw rows verbatim plus ``_source_file``, ``_ingested_at``, ``_pickup_month``.
 
+    ``month`` labels the whole input, as a monthly file is labelled, whatever stray or
+    missing pickups it holds; without it each row goes by its own pickup.
+
     ``source_file=None`` takes the file name from the scan's hidden metadata column
     (only valid directly on a file scan); ``ingested_at=None`` stamps the current time.
     """
@@ -54,21 +61,20 @@ def to_bronze(df: DataFrame, source_file: str | None = None, ingested_at: str |
     ts = C.ntz(ingested_at) if ingested_at is not None else F.current_timestamp().cast("timestamp_ntz")
     return (df.withColumn("_source_file", src)
               .withColumn("_ingested_at", ts)
-              .withColumn("_pickup_month", C.year_month(pickup_col)))
+              .withColumn("_pickup_month", F.lit(month) if month else month_label(pickup_col)))
+
+
+def month_label(pickup_col: str = "tpep_pickup_datetime"):
+    return F.coalesce(C.year_month(pickup_col), F.lit(NO_MONTH))
 
 
 def ingest_month(raw: DataFrame, bronze_path: str, month: str, source_file: str | None = None,
                  ingested_at: str | None = None) -> None:
-    """Ingest one ``yyyy-MM`` month into bronze (G1): prune to the month with a
-    pushed-down range, stamp metadata, replace only that partition (K3). Re-running
-    the same month leaves the table unchanged (idempotent)."""
-    first = _dt.date.fromisoformat(month + "-01")
-    nxt = (first.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
-    part = raw.filter(C.in_window("tpep_pickup_datetime", first.isoformat(), nxt.isoformat()))
-    # _pickup_month is computed from the same timestamp the range selected, so every
-    # row belongs to ``month`` by construction: no verification pass over the data.
-    sinks.replace_partition(to_bronze(part, source_file, ingested_at), bronze_path, "_pickup_month", month,
-                            check=False)
+    """Ingest the input of one ``yyyy-MM`` month into bronze (G1): every row is kept as it is
+    and labelled with ``month``, and the month's partition is replaced (K3). Re-running
+    the same month leaves the table unchanged; an empty input empties the month."""
+    sinks.replace_partition(to_bronze(raw, source_file, ingested_at, month=month), bronze_path, "_pickup_month",
+                            month, check=False)
 
 
 # ----------------------------------------------------------------------------- silver

@@ -20,7 +20,7 @@ from keelson.operators import ordered as O
 from keelson.operators import quality as Q
 from keelson.operators import skew as X
 from keelson.operators import versions as Vr
-from keelson.plans import domain, gold
+from keelson.plans import domain, gold, runner
 from keelson.plans import medallion as M
 from keelson.session import scratch_path
 from keelson.sources import readers as R
@@ -91,10 +91,16 @@ V = M.DEFAULT_VARS
 BRONZE_SQL = domain.RAW_TRIPS_SQL + f""",
 bronze AS (
   SELECT *, 'lineitem.parquet' AS _source_file, TIMESTAMP '{M.RUN_TS}' AS _ingested_at,
-         strftime(tpep_pickup_datetime, '%Y-%m') AS _pickup_month
+         coalesce(strftime(tpep_pickup_datetime, '%Y-%m'), 'unknown') AS _pickup_month
   FROM raw
 )"""
 
+def half(num: str, den: str, digits: int) -> str:
+    """SQL twin of ``half_up``: decimal rounding of num / den, exact in 128-bit integers."""
+    n, d = f"CAST(({num}) AS HUGEINT)", f"nullif(CAST(({den}) AS HUGEINT), 0)"
+    return f"(CAST(sign({n}) * sign({d}) * ((abs({n}) * {2 * 10 ** digits} + abs({d})) // (2 * abs({d}))) AS DOUBLE) / {10 ** digits} + 0.0)"
+
+
 RENAMED_SQL = BRONZE_SQL + """,
 renamed AS (
   SELECT md5(concat_ws('|', CAST(VendorID AS VARCHAR), CAST(tpep_pickup_datetime AS VARCHAR),
@@ -109,13 +115,13 @@ renamed AS (
          CAST(trip_distance AS DOUBLE) AS trip_miles,
          CAST(payment_type AS INTEGER) AS payment_type_id,
          fare_amount, tip_amount, tolls_amount, total_amount,
-         floor((epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60.0::DOUBLE * 100 + 0.5) / 100 AS trip_minutes,
+         {minutes} AS trip_minutes,
          CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
          strftime(tpep_pickup_datetime, '%Y-%m') AS pickup_month,
          CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
          _source_file, _ingested_at
   FROM bronze
-)"""
+)""".replace("{minutes}", half("CAST(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime) AS BIGINT)", "60", 2))
 
 RULES_SQL = [
     ("pickup_before_start", f"pickup_at >= TIMESTAMP '{V.start_date}'"),
@@ -146,27 +152,37 @@ silver AS (
     FROM cleaned) WHERE _rn = 1
 ),""" + domain.ZONES_SQL
 
-GOLD_DAILY_SQL = SILVER_SQL + """,
+def _cents_sum(col: str) -> str:
+    return f"CAST(sum(CAST(round({col} * 100) AS BIGINT)) AS BIGINT)"
+
+
+def _avg_cents(col: str) -> str:
+    return half(_cents_sum(col), "count(*) * 100", 2)
+
+
+def _card_cents(col: str) -> str:
+    return f"CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.{col} * 100) AS BIGINT) ELSE 0 END) AS BIGINT)"
+
+
+GOLD_DAILY_SQL = SILVER_SQL + f""",
 gold_daily AS (
   SELECT t.pickup_date, z.borough, z.zone_name,
          count(*) AS trip_count,
-         CAST(sum(CAST(round(t.total_amount * 100) AS BIGINT)) AS BIGINT) / 100.0::DOUBLE AS revenue,
-         floor(CAST(sum(CAST(round(t.total_amount * 100) AS BIGINT)) AS BIGINT) / count(*) + 0.5) / 100 AS avg_ticket,
-         floor(sum(t.trip_miles) / count(*) * 100 + 0.5) / 100 AS avg_miles,
-         floor(sum(t.trip_minutes) / count(*) * 10 + 0.5) / 10 AS avg_minutes,
-         floor(CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.tip_amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT)
-               / nullif(CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.fare_amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT), 0)
-               * 100 * 10 + 0.5) / 10 AS card_tip_pct
+         {_cents_sum('t.total_amount')} / 100.0::DOUBLE AS revenue,
+         {_avg_cents('t.total_amount')} AS avg_ticket,
+         {_avg_cents('t.trip_miles')} AS avg_miles,
+         {half(_cents_sum('t.trip_minutes'), 'count(*) * 100', 1)} AS avg_minutes,
+         {half(_card_cents('tip_amount') + ' * 100', _card_cents('fare_amount'), 1)} AS card_tip_pct
   FROM silver t LEFT JOIN zones z ON t.pickup_zone_id = z.zone_id
   GROUP BY 1, 2, 3
 )"""
 
-GOLD_HOURLY_CTE = """,
+GOLD_HOURLY_CTE = f""",
 gold_hourly AS (
   SELECT z.borough, dayname(t.pickup_at) AS day_of_week, t.pickup_hour,
          count(*) AS trip_count,
-         floor(sum(t.trip_miles) / count(*) * 100 + 0.5) / 100 AS avg_miles,
-         CAST(sum(CAST(round(t.total_amount * 100) AS BIGINT)) AS BIGINT) / 100.0::DOUBLE AS revenue
+         {_avg_cents('t.trip_miles')} AS avg_miles,
+         {_cents_sum('t.total_amount')} / 100.0::DOUBLE AS revenue
   FROM silver t LEFT JOIN zones z ON t.pickup_zone_id = z.zone_id
   GROUP BY 1, 2, 3
 )"""
@@ -217,19 +233,10 @@ def q_gold_hourly(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- reports
 
-def _cents_sum(col: str) -> str:
-    return f"CAST(sum(CAST(round({col} * 100) AS BIGINT)) AS BIGINT)"
-
-
-def _avg_cents(col: str) -> str:
-    return f"floor({_cents_sum(col)} / count(*) + 0.5) / 100"
-
-
 @register("borough_totals", W(GOLD_DAILY_SQL, f"""
 SELECT borough, CAST(sum(trip_count) AS BIGINT) AS trips,
-       floor({_cents_sum('revenue')} / 1e8 * 10 + 0.5) / 10 AS revenue_millions,
-       floor(CAST(sum(CAST(round(card_tip_pct * 10) AS BIGINT)) AS BIGINT) / nullif(count(card_tip_pct), 0) / 10 * 10 + 0.5) / 10
-         AS avg_card_tip_pct
+       {half(_cents_sum('revenue'), '100000000', 1)} AS revenue_millions,
+       {half('CAST(sum(CAST(round(card_tip_pct * 10) AS BIGINT)) AS BIGINT)', 'count(card_tip_pct) * 10', 1)} AS avg_card_tip_pct
 FROM gold_daily WHERE borough IS NOT NULL GROUP BY borough"""))
 def q_borough_totals(spark, sf_dir):
     """G6, A13, O2."""
@@ -239,7 +246,7 @@ def q_borough_totals(spark, sf_dir):
 @register("payment_tipping", W(SILVER_SQL, f"""
 SELECT CASE payment_type_id WHEN 1 THEN 'Card' WHEN 2 THEN 'Cash' ELSE 'Other' END AS payment,
        count(*) AS trips, {_avg_cents('tip_amount')} AS avg_tip,
-       floor(CAST(sum(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) / count(*) * 100 * 10 + 0.5) / 10 AS pct_with_tip
+       {half('CAST(sum(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END) AS BIGINT) * 100', 'count(*)', 1)} AS pct_with_tip
 FROM silver GROUP BY 1"""))
 def q_payment_tipping(spark, sf_dir):
     """G7, F15, A9."""
@@ -257,7 +264,7 @@ WEEKDAY_HOUR_SQL = domain.RAW_TRIPS_SQL + f""",
 wh AS (
   SELECT dayname(tpep_pickup_datetime) AS day_of_week, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
          count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
-  FROM raw WHERE total_amount BETWEEN 0 AND 50000 GROUP BY 1, 2
+  FROM raw WHERE total_amount BETWEEN 0 AND 500 GROUP BY 1, 2
 )"""
 
 
@@ -277,7 +284,7 @@ def q_weekday_pivot(spark, sf_dir):
 
 GENEROUS_SQL = W(SILVER_SQL, """
 SELECT z.borough,
-       floor(avg(CASE WHEN t.total_amount <> 0 THEN t.tip_amount / t.total_amount * 100 END) * 100 + 0.5) / 100 AS avg_tip_pct,
+       round(avg(CASE WHEN t.total_amount <> 0 THEN t.tip_amount / t.total_amount * 100 END), 2) AS avg_tip_pct,
        count(*) AS trips
 FROM silver t JOIN zones z ON t.pickup_zone_id = z.zone_id GROUP BY 1""")
 
@@ -322,8 +329,8 @@ def q_funnel(spark, sf_dir):
                         "gold_hourly_demand": gold.hourly_demand(s, z)})
 
 
-@register("format_count", W(domain.RAW_TRIPS_SQL, """
-SELECT count(*) AS rows, floor(avg(trip_distance) * 10000 + 0.5) / 10000 AS avg_distance FROM raw"""))
+@register("format_count", W(domain.RAW_TRIPS_SQL, f"""
+SELECT count(*) AS rows, {half(_cents_sum('trip_distance'), 'count(*) * 100', 4)} AS avg_distance FROM raw"""))
 def q_format_count(spark, sf_dir):
     """G14 (queries 1-2), A1, A5."""
     return gold.format_count(raw(spark, sf_dir))
@@ -341,7 +348,7 @@ ONE_DAY = "1998-03-15"
 
 
 @register("one_day", W(domain.RAW_TRIPS_SQL, f"""
-SELECT count(*) AS trips, floor({_cents_sum('total_amount')} / nullif(count(*), 0) + 0.5) / 100 AS avg_total
+SELECT count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
 FROM raw WHERE tpep_pickup_datetime >= TIMESTAMP '{ONE_DAY}' AND tpep_pickup_datetime < TIMESTAMP '{ONE_DAY}' + INTERVAL 1 DAY"""))
 def q_one_day(spark, sf_dir):
     """G15, P10 (as a pushed-down range)."""
@@ -357,7 +364,7 @@ def q_payment_summary(spark, sf_dir):
 
 @register("daily_trips", W(domain.RAW_TRIPS_SQL, f"""
 SELECT CAST(tpep_pickup_datetime AS DATE) AS day, count(*) AS trips, {_avg_cents('total_amount')} AS avg_amount
-FROM raw GROUP BY 1 ORDER BY 1 LIMIT 8"""))
+FROM raw WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1 ORDER BY 1 LIMIT 8"""))
 def q_daily_trips(spark, sf_dir):
     """G17, F6, O1, O4 (first 8 days; the limit is the report)."""
     return gold.daily_trips(raw(spark, sf_dir), 8)
@@ -484,8 +491,9 @@ def _skewed_join(spark, sf_dir, mode):
     k = skewed_lines(spark, sf_dir)
     s = domain.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     if mode == "salted":
-        j = J.salted_join(k, s, "l_suppkey", "s_suppkey", 16, salt_cols=["l_orderkey", "l_linenumber"],
-                          hot=J.hot_keys(k, "l_suppkey", 0.01))
+        hot = J.hot_key_rows(k, "l_suppkey", 0.01)
+        j = J.salted_join(k, s, "l_suppkey", "s_suppkey", max(16, J.salts_for(hot)),
+                          salt_cols=["l_orderkey", "l_linenumber"], hot=list(hot))
     else:
         j = J.join_dim(k, s, F.col("l_suppkey") == F.col("s_suppkey"), "inner", "merge")
     return j.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("lines"))
@@ -687,7 +695,7 @@ def q_silver_incremental(spark, sf_dir):
     (watermark filter, dedup, upsert) equals a full build."""
     b = bronze(spark, sf_dir)
     first = M.silver_trips(b.filter(F.col("tpep_pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")))
-    return M.silver_trips(b, target=first)
+    return M.silver_trips(b, target=S.materialize(first, scratch_path(spark, "silver_first")))
 
 
 @register("schema_evolution", """
@@ -710,73 +718,70 @@ def q_schema_evolution(spark, sf_dir):
 GROWTH_MONTH = "1997-06"
 
 
-@register("rerun_growth", W(SILVER_SQL + f""",
-s AS (SELECT * FROM silver WHERE pickup_month = '{GROWTH_MONTH}')""", """
-SELECT 'append' AS strategy, count(*) * 3 AS rows, 3 AS runs FROM s
-UNION ALL SELECT 'upsert', count(*), 3 FROM s"""))
+@register("rerun_growth", W(SILVER_SQL, """
+SELECT 'append' AS strategy, count(*) * 3 AS rows, 3 AS runs FROM silver
+UNION ALL SELECT 'upsert', count(*), 3 FROM silver"""))
 def q_rerun_growth(spark, sf_dir):
-    """Three re-runs of one month: append triples the rows, upsert does not."""
-    batch = S.materialize(silver(spark, sf_dir).filter(F.col("pickup_month") == GROWTH_MONTH),
-                          scratch_path(spark, "growth_batch"))
-    return Vr.rerun_growth(batch, ["trip_id"], 3)
-
-
-ACT = domain.ACTIONS_SQL
-NOW = "2024-02-07 00:00:00"
-
-
-def actions(spark, sf_dir):
-    return domain.event_actions(spark, sf_dir)
-
-
-@register("live_files_v5", W(ACT, """
-SELECT path, version, size FROM (
-  SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC, seq DESC) AS rn
-  FROM actions WHERE version <= 5) WHERE rn = 1 AND action = 'add'"""))
-def q_live_files(spark, sf_dir):
-    """Live files at version 5 from the add/remove log."""
-    return Vr.live_files(actions(spark, sf_dir), 5)
-
-
-VACUUM_SQL = ACT + f""",
-last_action AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC, seq DESC) AS rn FROM actions)
-  WHERE rn = 1
-),
-vac AS (
-  SELECT path, version AS removed_in, ts AS removed_at FROM last_action
-  WHERE action = 'remove' AND ts < TIMESTAMP '{NOW}' - INTERVAL 168 HOUR
-)"""
-
-
-@register("vacuum_candidates", W(VACUUM_SQL, "SELECT * FROM vac"))
-def q_vacuum(spark, sf_dir):
-    """Files a 168 h vacuum would delete (report only)."""
-    return Vr.vacuum_candidates(actions(spark, sf_dir), NOW, 168)
+    """The same batch loaded three times into a table that appends and one that
+    upserts, each run written: the first holds every row three times, the second once."""
+    batch = S.materialize(silver(spark, sf_dir), scratch_path(spark, "growth_batch"))
+    appended, upserted = scratch_path(spark, "appended"), None
+    for run in range(3):
+        S.append(batch, appended)
+        now = batch if upserted is None else Vr.upsert(upserted, batch, ["trip_id"], check_unique=False)
+        upserted = S.materialize(now, scratch_path(spark, f"upserted_{run}"))
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(name).alias("strategy"), "rows", F.lit(3).alias("runs"))
+    return count(spark.read.parquet(appended), "append").unionByName(count(upserted, "upsert"))
+
+
+@register("sandbox_append", W(BRONZE_SQL, f"""
+SELECT tpep_pickup_datetime AS pickup_at, total_amount FROM bronze, range(2)
+WHERE tpep_pickup_datetime >= TIMESTAMP '{SANDBOX_DAY}' AND tpep_pickup_datetime < TIMESTAMP '{SANDBOX_DAY}' + INTERVAL 1 DAY"""))
+def q_sandbox_append(spark, sf_dir):
+    """The sandbox day appended by two runs; its rows are there twice."""
+    p = scratch_path(spark, "sandbox")
+    for _ in range(2):
+        runner.append_day(bronze(spark, sf_dir), SANDBOX_DAY, p)
+    return spark.read.parquet(p)
+
+
+@register("upsert_moved_keys", """
+WITH target AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year, CAST(NULL AS VARCHAR) AS note FROM orders),
+source AS (SELECT * REPLACE (CAST(year(o_orderdate) + 1 AS INTEGER) AS o_year, 'moved' AS note)
+           FROM target WHERE o_orderkey % 10 = 0 OR o_year = 2001)
+SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM source)
+UNION ALL SELECT * FROM source""")
+def q_upsert_moved_keys(spark, sf_dir):
+    """A partitioned merge whose source moves keys to the next year, a whole year
+    among them, and brings a new column: one row per key is left."""
+    o = domain.table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    path = scratch_path(spark, "orders_moved")
+    S.write_partitioned(o, path, ["o_year"])
+    source = (o.filter((F.col("o_orderkey") % 10 == 0) | (F.col("o_year") == 2001))
+              .withColumn("o_year", F.col("o_year") + 1).withColumn("note", F.lit("moved")))
+    Vr.upsert_partitions(spark, path, source, ["o_orderkey"], "o_year", scratch_path(spark, "staging"))
+    return R.read_partitioned(spark, path, evolve=True).select(*source.columns)
 
 
-@register("broken_versions", W(VACUUM_SQL + """,
-per_pv AS (
-  SELECT path, version, action FROM (
-    SELECT *, row_number() OVER (PARTITION BY path, version ORDER BY seq DESC) AS rn
-    FROM actions WHERE path IN (SELECT path FROM vac)) WHERE rn = 1
-),
-ev AS (
-  SELECT version, CAST(action = 'add' AS INTEGER)
-         - coalesce(lag(CAST(action = 'add' AS INTEGER)) OVER (PARTITION BY path ORDER BY version), 0) AS d
-  FROM per_pv
-),
-pv AS (
-  SELECT v.version, coalesce(e.delta, 0) AS delta
-  FROM (SELECT DISTINCT version FROM actions) v
-  LEFT JOIN (SELECT version, sum(d) AS delta FROM ev GROUP BY version) e ON v.version = e.version
-),
-acc AS (SELECT version, CAST(sum(delta) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
-               AS missing_files FROM pv)""", "SELECT * FROM acc WHERE missing_files > 0"))
-def q_broken(spark, sf_dir):
-    """Versions that become unreadable once the vacuum candidates are deleted."""
-    a = actions(spark, sf_dir)
-    return Vr.broken_versions(a, Vr.vacuum_candidates(a, NOW, 168))
+@register("schema_evolution_files", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS priority FROM orders
+WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS priority FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01'""")
+def q_schema_evolution_files(spark, sf_dir):
+    """A table on disk gets an append with a new column; the merged schema reads
+    it as NULL in the older files."""
+    o = domain.table(spark, sf_dir, "orders")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    p = scratch_path(spark, "evolving")
+    old = o.filter(F.col("o_orderdate") < cut).select("o_orderkey", "o_custkey", "o_totalprice")
+    new = o.filter(F.col("o_orderdate") >= cut).select(*old.columns, F.col("o_orderpriority").alias("priority"))
+    S.rebuild(old, p)
+    Vr.check_schema(new, old.schema, evolve=True)
+    S.append(new, p)
+    return R.read_partitioned(spark, p, evolve=True).select(*new.columns)
 
 
 # ----------------------------------------------------------------------------- quality
@@ -865,7 +870,7 @@ CENSUS_RULES_SQL = [
 ]
 
 
-@register("dq_census", W(BRONZE_SQL, "SELECT rule, rows, floor(rows / total * 100 * 1000 + 0.5) / 1000 AS pct FROM ("
+@register("dq_census", W(BRONZE_SQL, f"SELECT rule, rows, {half('rows * 100', 'total', 3)} AS pct FROM ("
                          + "\nUNION ALL ".join(
                              f"SELECT '{n}' AS rule, CAST(sum(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS rows, "
                              f"count(*) AS total FROM bronze" for n, p in CENSUS_RULES_SQL) + ")"))
@@ -920,36 +925,6 @@ def q_zorder(spark, sf_dir):
     return spark.read.parquet(path).select(*li.columns)
 
 
-@register("skipping_report")
-def q_skipping(spark, sf_dir):
-    """Average files a 5 % range predicate must read (nine ranges
-    per column) for each layout (random, sorted on part, z-order on part x supplier).
-    Rows-only: file splits depend on the writer."""
-    li = _lineitem(spark, sf_dir)
-    layouts = {}
-    p = scratch_path(spark, "random")
-    L.write_shuffled(li, p, 16)
-    layouts["random"] = p
-    p = scratch_path(spark, "sorted")
-    L.write_sorted(li, p, "l_partkey", 16)
-    layouts["sorted"] = p
-    p = scratch_path(spark, "zorder")
-    S.rebuild(L.zorder(li, ["l_partkey", "l_suppkey"], 16), p)
-    layouts["zorder"] = p
-    # nine 5 % ranges at the deciles of each column (bounded quantile sketch)
-    starts = [0.05 + 0.1 * i for i in range(9)]
-    probs = sorted(set(starts + [x + 0.05 for x in starts]))
-    qs = li.approxQuantile(["l_partkey", "l_suppkey"], probs, 0.001)
-    out = None
-    for name, path in layouts.items():
-        for col, vals in zip(["l_partkey", "l_suppkey"], qs):
-            at = dict(zip(probs, vals))
-            ranges = [(at[x], at[x + 0.05]) for x in starts]
-            r = L.files_to_read_avg(L.file_stats(spark, path, col), ranges).select(
-                F.lit(name).alias("layout"), F.lit(col).alias("column"), "files_read_avg", "files_total")
-            out = r if out is None else out.unionByName(r)
-    return out
-
 
 @register("layout_summary")
 def q_layout_summary(spark, sf_dir):
@@ -996,21 +971,33 @@ def q_partitioned(spark, sf_dir):
     return R.read_partitioned(spark, p, schema=o.schema).select(*o.columns)
 
 
-REPLACE_MONTHS = ["1997-01", "1997-02"]
+RELOADED, EMPTIED = "1997-01", "1997-02"
 
 
-@register("replace_partition", W(BRONZE_SQL, f"""
-SELECT _pickup_month, count(*) AS rows FROM bronze
-WHERE _pickup_month IN ({', '.join(repr(m) for m in REPLACE_MONTHS)}) GROUP BY 1"""))
-def q_replace_partition(spark, sf_dir):
-    """G1, K3: two months ingested, the first re-ingested twice; each month keeps
-    exactly its rows (dynamic partition overwrite is idempotent)."""
+@register("bronze_reload", W(BRONZE_SQL, f"""
+SELECT * REPLACE (CASE WHEN _pickup_month = '{RELOADED}' THEN 'again.parquet' ELSE _source_file END AS _source_file)
+FROM bronze WHERE _pickup_month <> '{EMPTIED}'"""))
+def q_bronze_reload(spark, sf_dir):
+    """G1, K3: all months ingested in one write, rows without a pickup and with stray years
+    included; then one month's file is loaded again twice, and another month's turns out
+    empty. Every other month is as it was."""
     trips = raw(spark, sf_dir)
     p = scratch_path(spark, "bronze")
-    for m in REPLACE_MONTHS + REPLACE_MONTHS[:1] * 2:
-        M.ingest_month(trips, p, m, "lineitem.parquet", M.RUN_TS)
-    b = R.read_partitioned(spark, p, schema=bronze(spark, sf_dir).schema)
-    return b.groupBy("_pickup_month").agg(F.count(F.lit(1)).alias("rows"))
+    runner.ingest(trips, p, None, "lineitem.parquet", M.RUN_TS)
+    again = trips.filter(M.month_label() == RELOADED)
+    for _ in range(2):
+        M.ingest_month(again, p, RELOADED, "again.parquet", M.RUN_TS)
+    M.ingest_month(trips.limit(0), p, EMPTIED, "lineitem.parquet", M.RUN_TS)
+    return R.read_partitioned(spark, p, schema=bronze(spark, sf_dir).schema)
+
+
+@register("bronze_file_label", W(BRONZE_SQL, "SELECT * REPLACE ('1998-05' AS _pickup_month) FROM bronze"))
+def q_bronze_file_label(spark, sf_dir):
+    """The whole input labelled as one month's file keeps every row, whatever its
+    pickup; read back by month path (S6)."""
+    p = scratch_path(spark, "bronze_file")
+    M.ingest_month(raw(spark, sf_dir), p, "1998-05", "lineitem.parquet", M.RUN_TS)
+    return R.read_months(spark, p, ["1998-05"]).select(*bronze(spark, sf_dir).columns)
 
 
 @register("partition_profile")
@@ -1053,40 +1040,15 @@ def q_null_coverage(spark, sf_dir):
     return Q.null_coverage(q_schema_evolution(spark, sf_dir), ["priority"])
 
 
-@register("action_log_replay", W(ACT, """
-SELECT path, version, size FROM (
-  SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC, seq DESC) AS rn FROM actions)
-WHERE rn = 1 AND action = 'add'"""))
-def q_action_log_replay(spark, sf_dir):
-    """The events action log written as JSON commit folders, read back as
-    action rows and replayed to the live file set of the latest version."""
-    log = scratch_path(spark, "action_log")
-    R.write_action_log(actions(spark, sf_dir), log)
-    return Vr.live_files(R.read_action_log(spark, log))
-
 
-@register("borough_card_tip_weighted", W(SILVER_SQL, """
-SELECT z.borough,
-       floor(CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.tip_amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT)
-             / nullif(CAST(sum(CASE WHEN t.payment_type_id = 1 THEN CAST(round(t.fare_amount * 100) AS BIGINT) ELSE 0 END) AS BIGINT), 0)
-             * 100 * 10 + 0.5) / 10 AS weighted_card_tip_pct
+@register("borough_card_tip_weighted", W(SILVER_SQL, f"""
+SELECT z.borough, {half(_card_cents('tip_amount') + ' * 100', _card_cents('fare_amount'), 1)} AS weighted_card_tip_pct
 FROM silver t JOIN zones z ON t.pickup_zone_id = z.zone_id GROUP BY 1"""))
 def q_borough_weighted(spark, sf_dir):
     """G6 companion: fare-weighted card tip % per borough."""
     return gold.borough_card_tip_weighted(silver(spark, sf_dir), zones(spark, sf_dir))
 
 
-@register("merge_file_impact")
-def q_merge_file_impact(spark, sf_dir):
-    """M3 at file level: orders written as 16 files sorted on the key, then the files a
-    merge of the year-2000+ orders touches and the unchanged rows it would copy
-    (rows-only: file boundaries depend on the writer)."""
-    o = domain.table(spark, sf_dir, "orders")
-    p = scratch_path(spark, "orders_sorted")
-    L.write_sorted(o, p, "o_orderkey", 16)
-    _, source = upsert_inputs(spark, sf_dir)
-    return Vr.merge_file_impact(spark, p, source, ["o_orderkey"])
-
 
 @register("upsert_partitions", """
 WITH target AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders),
@@ -1109,7 +1071,7 @@ def q_upsert_partitions(spark, sf_dir):
 
 GENEROUS_RAW_SQL = W(domain.RAW_TRIPS_SQL + "," + domain.ZONES_SQL, """
 SELECT z.borough,
-       floor(avg(CASE WHEN t.total_amount <> 0 THEN t.tip_amount / t.total_amount * 100 END) * 100 + 0.5) / 100 AS avg_tip_pct,
+       round(avg(CASE WHEN t.total_amount <> 0 THEN t.tip_amount / t.total_amount * 100 END), 2) AS avg_tip_pct,
        count(*) AS trips
 FROM raw t JOIN zones z ON t.PULocationID = z.zone_id
 WHERE t.total_amount > 0 AND t.tip_amount >= 0
@@ -1128,12 +1090,6 @@ def q_generous_raw(spark, sf_dir):
     return gold.generous_borough(raw_for_tips(spark, sf_dir), zones(spark, sf_dir), "broadcast", "native")
 
 
-@register("generous_borough_raw_slow", GENEROUS_RAW_SQL)
-def q_generous_raw_slow(spark, sf_dir):
-    """G11's deliberately slow twin (row UDF, redundant repartition(500), sort-merge
-    join); it must return the same rows as the fast one."""
-    return gold.generous_borough(raw_for_tips(spark, sf_dir), zones(spark, sf_dir), "merge", "rowwise", 500)
-
 
 @register("overwrite_changes", W(CHG + f""",
 cur AS ({_as_of_sql(None)}),
@@ -1158,3 +1114,167 @@ def q_gold_hourly_parts(spark, sf_dir):
     """G5 through additive per-month partials rolled up (the incremental form used by
     merge-mode runs); must equal the direct aggregate."""
     return gold.hourly_from_parts(gold.hourly_demand_parts(silver(spark, sf_dir), zones(spark, sf_dir)))
+
+
+# ----------------------------------------------------------------------------- sources, sinks and formats
+
+@register("csv_inferred", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+def q_csv_inferred(spark, sf_dir):
+    """S3: orders as CSV, read back with inferred column types."""
+    o = domain.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    p = scratch_path(spark, "csv_inferred")
+    S.write_as(o, p, "csv")
+    got = R.read_csv_inferred(spark, p)
+    return got.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+                      "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+@register("path_list", """
+SELECT o_orderstatus, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1""")
+def q_path_list(spark, sf_dir):
+    """One folder per status, read as a list of paths."""
+    o = domain.table(spark, sf_dir, "orders")
+    paths = []
+    for status in [r[0] for r in o.select("o_orderstatus").distinct().collect()]:
+        paths.append(scratch_path(spark, "orders_of"))
+        S.rebuild(o.filter(F.col("o_orderstatus") == status), paths[-1])
+    return R.read_paths(spark, paths).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("key_sum"))
+
+
+@register("two_level_partitions", "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders")
+def q_two_levels(spark, sf_dir):
+    """K5: orders partitioned by year and status; all rows come back."""
+    o = domain.table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    p = scratch_path(spark, "by_year_status")
+    S.write_partitioned(o, p, ["o_year", "o_orderstatus"])
+    return R.read_partitioned(spark, p, schema=o.schema).select(*o.columns)
+
+
+CODECS = ["none", "snappy", "gzip", "zstd"]
+
+
+@register("codec_readback", "SELECT c AS codec, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, "
+          f"count(DISTINCT o_custkey) AS customers FROM orders, (SELECT unnest({CODECS!r}) AS c) GROUP BY 1")
+def q_codec_readback(spark, sf_dir):
+    """K7: orders as Parquet in each codec hold the same rows."""
+    o = domain.table(spark, sf_dir, "orders")
+    out = None
+    for codec in CODECS:
+        p = scratch_path(spark, f"codec_{codec}")
+        S.write_as(o, p, "parquet", codec)
+        one = spark.read.parquet(p).agg(F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("key_sum"),
+                                        F.countDistinct("o_custkey").alias("customers")).withColumn("codec", F.lit(codec))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("named_table", "SELECT * FROM nation")
+def q_named_table(spark, sf_dir):
+    """Nation saved as a catalog table over an external path and read by name."""
+    n = domain.table(spark, sf_dir, "nation")
+    p = scratch_path(spark, "named_nation")
+    name = "keelson_" + p.rpartition("-")[2]
+    S.save_named(n, name, p)
+    return R.read_named(spark, name)
+
+
+FORMAT_SQL = W(domain.RAW_TRIPS_SQL, f"""
+SELECT format, payment_type, count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
+FROM raw, (SELECT unnest(['csv', 'json', 'parquet']) AS format) WHERE trip_distance > 5 GROUP BY 1, 2""")
+
+
+@register("format_trio", FORMAT_SQL)
+def q_format_trio(spark, sf_dir):
+    """G14 on all three formats: the raw trips written once as CSV, NDJSON and Parquet, the
+    grouped query on each."""
+    trips = S.materialize(raw(spark, sf_dir), scratch_path(spark, "trips"))
+    out = None
+    for fmt in ("csv", "json", "parquet"):
+        p = scratch_path(spark, f"trips_{fmt}")
+        S.write_as(trips, p, fmt)
+        reader = spark.read.schema(trips.schema)
+        back = (reader.option("header", True).csv(p) if fmt == "csv" else reader.json(p) if fmt == "json" else reader.parquet(p))
+        one = gold.format_grouped(back).withColumn("format", F.lit(fmt))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("one_day_layouts", W(domain.RAW_TRIPS_SQL, f"""
+SELECT layout, count(*) AS trips, {_avg_cents('total_amount')} AS avg_total
+FROM raw, (SELECT unnest(['partitioned', 'shuffled', 'sorted']) AS layout)
+WHERE tpep_pickup_datetime >= TIMESTAMP '{ONE_DAY}' AND tpep_pickup_datetime < TIMESTAMP '{ONE_DAY}' + INTERVAL 1 DAY GROUP BY 1"""))
+def q_one_day_layouts(spark, sf_dir):
+    """The one-day report on the trips partitioned by day, shuffled and sorted."""
+    trips = raw(spark, sf_dir).withColumn("day", F.to_date("tpep_pickup_datetime").cast("string"))
+    paths = {x: scratch_path(spark, f"trips_{x}") for x in ("partitioned", "shuffled", "sorted")}
+    S.write_partitioned(trips, paths["partitioned"], ["day"])
+    L.write_shuffled(trips, paths["shuffled"], 8)
+    L.write_sorted(trips, paths["sorted"], "tpep_pickup_datetime", 8)
+    out = None
+    for layout, p in paths.items():
+        df = R.read_partitioned(spark, p)
+        df = df.filter(F.col("day") == ONE_DAY) if layout == "partitioned" else df
+        one = gold.one_day(df, ONE_DAY).withColumn("layout", F.lit(layout))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("row_id_check", "SELECT count(*) AS rows, count(*) AS ids, true AS all_there FROM orders")
+def q_row_ids(spark, sf_dir):
+    """Every row has an id of its own, and no row is lost."""
+    o = domain.table(spark, sf_dir, "orders")
+    ids = O.row_ids(o).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("row_id").alias("ids"),
+                           F.count("row_id").alias("given"))
+    return ids.select("rows", "ids", (F.col("given") == F.col("rows")).alias("all_there"))
+
+
+@register("partition_totals", "SELECT count(*) AS rows, true AS within FROM lineitem")
+def q_partition_totals(spark, sf_dir):
+    """The rows of all partitions add up to the table's, and there are as many
+    profile rows as non-empty partitions."""
+    li = _lineitem(spark, sf_dir)
+    p = X.partition_profile(li).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("n"))
+    n = X.partition_count(li).select(F.col("partitions"))
+    return p.unionByName(n.select(F.lit(None).cast("bigint").alias("rows"), (-F.col("partitions")).alias("n"))).agg(
+        F.sum("rows").alias("rows"), (F.sum("n") == 0).alias("within"))
+
+
+@register("footprint_order", "SELECT 'parquet_zstd' AS smallest, 5 AS formats")
+def q_footprint_order(spark, sf_dir):
+    """Which of the five formats takes the least room for lineitem."""
+    f = L.format_footprint(spark, _lineitem(spark, sf_dir), scratch_path(spark, "footprint"))
+    return f.agg(F.min_by("format", "bytes").alias("smallest"), F.count(F.lit(1)).cast("int").alias("formats"))
+
+
+@register("gate_report", RUN_CHECKS_SQL)
+def q_gate(spark, sf_dir):
+    """Q9: the gate over every model test; it returns its report only if all of them pass."""
+    return spark.createDataFrame(Q.gate(checks(spark, sf_dir)), "check string, failures long")
+
+
+@register("stream_ingest", "SELECT event_type, count(*) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1")
+def q_stream_ingest(spark, sf_dir):
+    """Events arriving as files, ingested by a file stream into a Parquet table."""
+    ev = domain.table(spark, sf_dir, "events")
+    src, out, ck = (scratch_path(spark, x) for x in ("events_in", "events_out", "events_ck"))
+    ev.repartition(4).write.parquet(src)
+    T.ingest_stream(spark, src, ev.schema, out, ck, pickup_col="ts").awaitTermination()
+    return R.read_partitioned(spark, out).groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_sum"))
+
+
+@register("stream_upsert", """
+SELECT user_id, count(*) AS rows, max(event_id) AS event_id FROM (
+  SELECT user_id, max(event_id) AS event_id FROM events GROUP BY user_id) GROUP BY user_id""")
+def q_stream_upsert(spark, sf_dir):
+    """Events streamed in two batches by id, each upserted by user; the last one stays."""
+    ev = domain.table(spark, sf_dir, "events").select("event_id", "user_id", (-F.col("event_id")).alias("newest"))
+    half = ev.agg(F.max("event_id")).first()[0] // 2
+    table_path = scratch_path(spark, "users")
+    fn = T.upsert_batches(lambda b: f"{table_path}/batch={b}", ["user_id"], ["newest"])
+    for b, part in enumerate((ev.filter(F.col("event_id") <= half), ev.filter(F.col("event_id") > half))):
+        src, ck = scratch_path(spark, "users_in"), scratch_path(spark, "users_ck")
+        part.coalesce(1).write.parquet(src)
+        (spark.readStream.schema(ev.schema).parquet(src).writeStream.trigger(availableNow=True)
+         .option("checkpointLocation", ck).foreachBatch(lambda df, _, b=b: fn(df, b)).start().awaitTermination())
+    return spark.read.parquet(fn.latest(1)).groupBy("user_id").agg(F.count(F.lit(1)).alias("rows"), F.max("event_id").alias("event_id"))

@@ -52,10 +52,12 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str | None = None,
-                     base_path: str | None = None) -> DataFrame:
+                     base_path: str | None = None, evolve: bool = False) -> DataFrame:
     """Hive-style ``col=value`` directory tree (S6); partition columns come from the
-    path. Declare ``schema`` when a partition value must stay a string ('1996')."""
-    reader = spark.read.option("basePath", base_path or root)
+    path. Declare ``schema`` when a partition value must stay a string ('1996'). With
+    ``evolve`` the columns of all files are merged (an appended column is NULL in older
+    files); that reads every footer, so it is off where the schema is known not to change."""
+    reader = spark.read.option("basePath", base_path or root).option("mergeSchema", evolve)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.parquet(root)
@@ -64,72 +66,3 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str
 def read_named(spark: SparkSession, name: str) -> DataFrame:
     """Catalog table by name."""
     return spark.table(name)
-
-
-# The action kinds of a transaction-log line, in log order.
-ACTION_KINDS = ["protocol", "metaData", "add", "remove", "commitInfo"]
-
-ACTION_LOG_SCHEMA = T.StructType([
-    T.StructField("protocol", T.StructType([
-        T.StructField("minReaderVersion", T.IntegerType()),
-        T.StructField("minWriterVersion", T.IntegerType())])),
-    T.StructField("metaData", T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("schemaString", T.StringType())])),
-    T.StructField("add", T.StructType([
-        T.StructField("path", T.StringType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("modificationTime", T.LongType()),
-        T.StructField("dataChange", T.BooleanType()),
-        T.StructField("stats", T.StringType())])),
-    T.StructField("remove", T.StructType([
-        T.StructField("path", T.StringType()),
-        T.StructField("deletionTimestamp", T.LongType()),
-        T.StructField("dataChange", T.BooleanType())])),
-    T.StructField("commitInfo", T.StructType([
-        T.StructField("timestamp", T.LongType()),
-        T.StructField("operation", T.StringType())])),
-])
-
-
-def read_action_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    """Transaction-log JSON files as action rows.
-
-    Each line holds exactly one action struct. The commit version is the numeric
-    file name (``00000000000000000003.json`` -> 3), or the ``version=N`` directory
-    when commits are stored one per folder; ``seq`` is the line's position in the
-    log (file order, then line order; a commit file is read by one task), so a
-    later fold can order the actions of a commit.
-    Output: version, seq, action, path, size, timestamp_ms, operation.
-    """
-    raw = (spark.read.schema(ACTION_LOG_SCHEMA).option("recursiveFileLookup", True).json(log_dir)
-           .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_row", F.monotonically_increasing_id()))   # increasing in line order per file
-    kind = F.coalesce(*[F.when(F.col(k).isNotNull(), F.lit(k)) for k in ACTION_KINDS])
-    from_name = F.regexp_extract("_file", r"/(\d+)\.json$", 1)
-    from_dir = F.regexp_extract("_file", r"/version=(\d+)/", 1)
-    version = F.when(from_name != "", from_name).otherwise(from_dir).cast("bigint")
-    return raw.select(
-        version.alias("version"),
-        F.col("_row").alias("seq"),
-        kind.alias("action"),
-        F.coalesce("add.path", "remove.path").alias("path"),
-        F.col("add.size").alias("size"),
-        F.coalesce("add.modificationTime", "remove.deletionTimestamp", "commitInfo.timestamp").alias("timestamp_ms"),
-        F.col("commitInfo.operation").alias("operation"),
-    )
-
-
-def write_action_log(actions: DataFrame, log_dir: str) -> None:
-    """Write (version, seq, action, path, size, ts) rows as one JSON commit folder per
-    version (``version=N``), one action struct per line in ``seq`` order."""
-    from keelson.functions.columns import epoch_seconds
-    ms = ((epoch_seconds("ts") * 1000).cast("bigint") if "ts" in actions.columns
-          else F.lit(None).cast("bigint"))
-    add = F.when(F.col("action") == "add", F.struct(F.col("path").alias("path"), F.col("size").alias("size"),
-                                                   ms.alias("modificationTime"), F.lit(True).alias("dataChange")))
-    rem = F.when(F.col("action") == "remove", F.struct(F.col("path").alias("path"), ms.alias("deletionTimestamp"),
-                                                      F.lit(True).alias("dataChange")))
-    out = actions.select("version", "seq", add.alias("add"), rem.alias("remove"))
-    (out.repartition("version").sortWithinPartitions("version", "seq").drop("seq")
-        .write.mode("overwrite").partitionBy("version").json(log_dir))

@@ -11,10 +11,17 @@ from pyspark.sql import functions as F
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full overwrite (K1), the gold strategy. Never point ``path`` at a table this
     plan reads: write a new directory and switch readers to it."""
-    w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        clustered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def clustered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows dealt by the partition columns for a partitioned write. A rebalance, not a plain
+    repartition: adaptive execution merges small values into one task and splits the value
+    that holds most rows over several, so files are few and no task grows with one value."""
+    return df.hint("rebalance", *[F.col(c) for c in cols])
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -28,25 +35,23 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 def replace_partition(df: DataFrame, path: str, column: str, value, check: bool = True) -> None:
     """Replace exactly one partition ``column=value`` and keep the others (K3).
 
-    Dynamic partition overwrite replaces every partition present in the frame, so
-    with ``check`` the frame is first verified to hold only ``value`` (a ``limit(1)``
-    probe; it reads the frame once more when it is clean). Callers that derive the
-    column from the same filter that selects the rows pass ``check=False``.
-    Re-running with the same input leaves the table unchanged.
+    The partition's own folder is overwritten, so an empty frame empties it and no other
+    partition can be touched. With ``check`` the frame is first verified to hold only
+    ``value`` (a ``limit(1)`` probe; it reads the frame once more when it is clean).
+    Callers that set the column themselves pass ``check=False``. Re-running with the same
+    input leaves the table unchanged.
     """
     if check:
         stray = df.filter(~F.col(column).eqNullSafe(F.lit(value))).limit(1)
         if not stray.isEmpty():
             raise ValueError(f"frame holds rows outside partition {column}={value!r}")
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(column).parquet(path))
+    df.drop(column).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
 
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "overwrite") -> None:
-    """Hive-style layout by one or more columns (K4, K5). Rows are clustered by the
-    partition columns first so each task writes few files per partition."""
-    (df.repartition(*[F.col(c) for c in cols]).write.mode(mode)
-       .partitionBy(*cols).parquet(path))
+    """Hive-style layout by one or more columns (K4, K5), few files per partition value and
+    several tasks for a large one."""
+    clustered(df, cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def write_as(df: DataFrame, path: str, fmt: str = "parquet", codec: str | None = None,

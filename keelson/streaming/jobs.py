@@ -93,8 +93,7 @@ def upsert_batches_partitioned(table_path: str, keys: Sequence[str], order: Sequ
     """foreachBatch function for a per-micro-batch upsert into ONE partitioned table
     (T3 at scale): each batch is deduplicated by key and merged with
     ``upsert_partitions``, so only the partitions the batch touches are read and
-    rewritten. Replaying a batch id applies the same upsert again (idempotent). The
-    partition column must not change for a key."""
+    rewritten. Replaying a batch id applies the same upsert again (idempotent)."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import layout as L
 from keelson.plans import medallion as M
-from keelson.plans import domain
+from keelson.plans import domain, runner
 from keelson.session import scratch_path
 from keelson.sources import readers as R
 from keelson.sources import sinks as S
@@ -23,26 +23,11 @@ def test_zorder_and_compaction_keep_rows(spark, sf_dir):
     assert L.layout_summary(spark, small).first()["files"] == 20
 
 
-def test_files_to_read_semantics(spark):
-    stats = spark.createDataFrame([("a", 10, 0, 9), ("b", 10, 10, 19), ("c", 10, 20, 29), ("d", 0, None, None)],
-                                  "file string, rows long, min_value int, max_value int")
-    r = L.files_to_read(stats, 10, 20).first()
-    assert (r["files_read"], r["files_total"]) == (2, 4)   # b, plus d (no stats)
-
-
-def test_sorted_layout_skips(spark, sf_dir):
-    li = domain.table(spark, sf_dir, "lineitem")
-    p = scratch_path(spark, "sorted")
-    L.write_sorted(li, p, "l_partkey", 8)
-    r = L.files_to_read(L.file_stats(spark, p, "l_partkey"), 0, 10).first()
-    assert r["files_read"] == 1 and r["files_total"] == 8
-
-
 def test_partition_pruning_and_replace(spark, sf_dir):
     raw = domain.raw_trips(spark, sf_dir)
     p = scratch_path(spark, "bronze")
     for m in ["1997-01", "1997-02", "1997-01"]:
-        M.ingest_month(raw, p, m, "x", M.RUN_TS)
+        runner.ingest(raw, p, [m], "x", M.RUN_TS)
     b = R.read_months(spark, p, ["1997-01"])
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "_pickup_month" in plan

@@ -102,21 +102,6 @@ def test_rows_by_version_model(spark, chg):
     assert got == expect
 
 
-acts = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 4), st.sampled_from(["add", "remove"])),
-                min_size=1, max_size=30)
-
-
-@SETTINGS
-@given(a=acts, v=st.integers(0, 4))
-def test_live_files_model(spark, a, v):
-    data = [(ver, i, action, f"f{p}", i) for i, (p, ver, action) in enumerate(a)]
-    df = spark.createDataFrame(data, "version long, seq long, action string, path string, size long")
-    state = {}
-    for ver, i, action, path, size in sorted(data, key=lambda r: (r[0], r[1])):
-        if ver <= v:
-            state[path] = action
-    expect = sorted(p for p, act in state.items() if act == "add")
-    assert sorted(r["path"] for r in V.live_files(df, v).collect()) == expect
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))

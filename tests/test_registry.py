@@ -48,7 +48,7 @@ def test_rows_only_queries_run(spark, sf_dir, name):
     assert df.count() >= 1
 
 
-PYTHON_ALLOWED = {"generous_borough_pandas_udf", "generous_borough_raw_slow"}
+PYTHON_ALLOWED = {"generous_borough_pandas_udf"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

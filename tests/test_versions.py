@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelson.operators import versions as V
-from keelson.sources.readers import read_action_log
 from tests.helpers import rows
 
 CHG_SCHEMA = "k int, p string, version long, seq long, op string"
@@ -71,48 +70,6 @@ def test_snapshot_diff(spark):
     assert d == {1: "changed", 2: "removed", 3: "added"}
 
 
-def actions(spark):
-    # add, remove, re-add same path, remove+add in one commit, old removed file
-    t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
-    return spark.createDataFrame([
-        (0, 0, "add", "f1", 10, t(0)), (0, 1, "add", "f2", 20, t(0)),
-        (1, 2, "remove", "f1", None, t(1)), (1, 3, "add", "f3", 30, t(1)),
-        (2, 4, "remove", "f2", None, t(2)), (2, 5, "add", "f2", 21, t(2)),
-        (3, 6, "remove", "f3", None, t(300)),
-    ], "version long, seq long, action string, path string, size long, ts timestamp_ntz")
-
-
-def test_live_files_vacuum_broken(spark):
-    a = actions(spark)
-    live = lambda v: sorted(r["path"] for r in V.live_files(a, v).collect())
-    assert live(0) == ["f1", "f2"] and live(1) == ["f2", "f3"] and live(2) == ["f2", "f3"] and live(None) == ["f2"]
-    vac = V.vacuum_candidates(a, "2024-01-20 00:00:00", 168)
-    assert [r["path"] for r in vac.collect()] == ["f1"]  # f3 removed too recently, f2 re-added
-    broken = [tuple(r) for r in V.broken_versions(a, vac).orderBy("version").collect()]
-    assert broken == [(0, 1)]
-
-
-def test_read_action_log(spark, tmp_path):
-    d = str(tmp_path / "log")
-    os.makedirs(d)
-    commits = [
-        [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 2}},
-         {"metaData": {"id": "t", "schemaString": "{}"}},
-         {"add": {"path": "a.parquet", "size": 5, "modificationTime": 1, "dataChange": True}},
-         {"commitInfo": {"timestamp": 1, "operation": "WRITE"}}],
-        [{"remove": {"path": "a.parquet", "deletionTimestamp": 2, "dataChange": True}},
-         {"add": {"path": "b.parquet", "size": 7, "modificationTime": 2, "dataChange": True}},
-         {"commitInfo": {"timestamp": 2, "operation": "OPTIMIZE"}}],
-    ]
-    for v, acts in enumerate(commits):
-        with open(f"{d}/{v:020d}.json", "w") as fh:
-            fh.write("\n".join(json.dumps(x) for x in acts) + "\n")
-    log = read_action_log(spark, d)
-    assert log.filter("action = 'commitInfo'").count() == 2
-    assert [r["path"] for r in V.live_files(log).collect()] == ["b.parquet"]
-    assert [r["path"] for r in V.live_files(log, 0).collect()] == ["a.parquet"]
-
-
 def test_check_schema(spark):
     base = spark.createDataFrame([(1, 2.0)], "id long, amt double")
     evo = spark.createDataFrame([(1, 2.0, 0.5)], "id long, amt double, tip double")
@@ -155,23 +112,6 @@ def test_upsert_metrics_paths_agree(spark):
     assert small == big == {"source_rows": 16, "updated": 5, "inserted": 11, "copied": 16}
 
 
-def test_merge_file_impact_depends_on_layout(spark):
-    from keelson.operators.layout import write_shuffled, write_sorted
-    from keelson.session import scratch_path
-    tgt = spark.range(0, 10000).withColumn("v", F.col("id") * 2)
-    src = spark.createDataFrame([(1, 0), (2, 0)], "id long, v long")
-    sorted_p, random_p = scratch_path(spark, "sorted"), scratch_path(spark, "random")
-    write_sorted(tgt, sorted_p, "id", 10)
-    write_shuffled(tgt, random_p, 10)
-    s = V.merge_file_impact(spark, sorted_p, src, ["id"]).first().asDict()
-    r = V.merge_file_impact(spark, random_p, src, ["id"]).first().asDict()
-    assert s["files_total"] == 10 and s["files_touched"] == 1 and s["rows_matched"] == 2
-    f = spark.read.parquet(sorted_p).filter("id = 1").select(F.col("_metadata.file_path")).first()[0]
-    in_file = spark.read.parquet(sorted_p).filter(F.col("_metadata.file_path") == f).count()
-    assert s["rows_copied"] == in_file - 2
-    assert r["files_touched"] >= s["files_touched"] and r["rows_copied"] >= s["rows_copied"]
-
-
 def test_upsert_partitions_leaves_untouched_partitions_alone(spark, sf_dir):
     from keelson.plans import domain
     from keelson.session import scratch_path

@@ -1,11 +1,18 @@
-"""Connected components of links between 64-bit ids, by alternating large and small stars."""
+"""Connected components of links between 64-bit ids: joined within tasks first, then across them
+by alternating large and small stars."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from .tables import written
+
+# Links that one task joins by itself.
+TASK_LINKS = 500_000
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -24,25 +31,48 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a > b").distinct()
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, label) for every node of ``links`` (a, b): label is the smallest node it reaches.
+def _forest(edges: DataFrame) -> DataFrame:
+    """Each partition's edges (a, b) replaced by (node, least node of its component there)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
 
-    Links may come in either direction, repeat, or join a node to itself. Each round writes its
-    edges to the shared folder, so lineage stays short; only a count and a checksum reach the
-    driver. Rounds grow with the logarithm of the longest path."""
-    spark = links.sparkSession
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        if parent:
+            yield pa.RecordBatch.from_pydict({"a": list(parent), "b": [root(x) for x in parent]},
+                                             pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return edges.mapInArrow(run, "a long, b long")
+
+
+def components(links: DataFrame, max_rounds: int = 60, task_links: int = TASK_LINKS) -> DataFrame:
+    """(node, label) for every node of ``links`` (a, b): label is the smallest node it reaches.
 
-    def written(df: DataFrame) -> tuple[DataFrame, tuple]:
-        path = scratch_path(spark, "components")
-        df.write.parquet(path)
-        back = spark.read.schema("a long, b long").parquet(path)
-        return back, tuple(back.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    Links may come in either direction, repeat, or join a node to itself. First each task joins
+    its own ``task_links`` links; with more than one task, rounds of stars then join the tasks'
+    components. Each round writes its edges to the shared folder, so lineage stays short; only
+    counts and a checksum reach the driver. Rounds grow with the logarithm of the longest path."""
+    def kept(df: DataFrame) -> DataFrame:
+        return written(df.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")), "components")
 
-    loops = links.filter("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
-    edges, seen = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                          .filter("a > b").distinct())
+    edges = kept(links)
+    tasks = max(1, -(-edges.count() // task_links))
+    local = kept(_forest(edges.coalesce(tasks)))
+    if edges.coalesce(tasks).rdd.getNumPartitions() <= 1:
+        return local.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    loops = local.filter("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
+    edges, seen = local.filter("a > b").distinct(), None
     for _ in range(max_rounds):
-        edges, now = written(_star(_star(edges, True), False))
+        edges = kept(_star(_star(edges, True), False))
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:
             break
         seen = now

@@ -195,8 +195,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, s: PartEnum) -> DataFrame | None:
     """Further links (a, b), enough to connect whatever similar pairs share a signature.
 
-    Nodes that share signatures with more than one component among them form a group. In a
-    group, nodes outside its largest component (the strays) are checked against all its nodes.
+    The nodes of all signatures with one hub form a group if they are in several components. In
+    a group, nodes outside its largest component (the strays) are checked against all its nodes.
     Small groups are joined; large ones are dealt into chunks, and each pair of chunks is one
     matrix product in a task that returns a spanning forest: no pairs are made, and no task
     holds more than two chunks."""
@@ -205,14 +205,15 @@ def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, s: PartEnum)
         "sig", "fp", F.coalesce("label", "fp").alias("label")), "ngram-known")
     mixed = known.groupBy("sig").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y")) \
         .filter("c > 2 AND x != y").select("sig")
-    mates = written(members.join(mixed, "sig", "left_semi").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), "ngram-mates")
+    # A group is named by the hub of its signatures, which any two nodes of one signature share.
+    mates = written(members.join(mixed, "sig", "left_semi").select(F.col("hub").alias("g"), "fp").distinct(), "ngram-mates")
     if mates.isEmpty():
         return None
-    nodes = written(components(mates).select(F.col("node").alias("fp"), F.col("label").alias("g"))
-                    .join(known.select("fp", "label").distinct(), "fp"), "ngram-nodes")
+    nodes = mates.union(mates.select("g", "g").distinct()).join(labels, F.col("fp") == F.col("node"), "left").select(
+        "g", "fp", F.coalesce("label", "fp").alias("label"))
     largest = nodes.groupBy("g", "label").agg(F.count("*").alias("c")).groupBy("g").agg(
         F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("main"))
-    grouped = written(nodes.join(largest, "g").select(
+    grouped = written(nodes.join(largest, "g").filter("m > main.c").select(
         "g", "fp", "label", "m", (F.col("label") != F.col("main.label")).alias("stray"), (F.col("m") - F.col("main.c")).alias("strays")),
         "ngram-groups")
     small = grouped.filter(F.col("m") <= SMALL_GROUP)

@@ -85,11 +85,13 @@ def test_one_of_each_group_stays(edge, edge_rows, empty):
     assert ngram_join.drop_similar(empty).count() == 0
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("task_links", [500_000, 15])
+def test_components_of_chains_stars_and_loops(spark, task_links):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(9, 9), (160, 100), (-5, 3), (3, -5)]
     rng.shuffle(links)
-    got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.node: r.label for r in components.components(
+        spark.createDataFrame(links, "a long, b long").repartition(9), task_links=task_links).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in range(500, 560)}, 9: 9, -5: -5, 3: -5}
 
 

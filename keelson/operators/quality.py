@@ -76,6 +76,20 @@ def run_checks(checks: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
+def count_failures(df: DataFrame, rules: Sequence[tuple[str, Column | tuple[Column, str]]]) -> DataFrame:
+    """(check, failures) of many row rules over one table in one pass (Q1, Q3, Q5). A rule is the
+    predicate of its failing rows; with a column name beside it, the failing values count."""
+    aggs = []
+    for i, (_, rule) in enumerate(rules):
+        if isinstance(rule, tuple):
+            aggs.append(F.countDistinct(F.when(rule[0], F.col(rule[1]))).alias(f"r{i}"))
+        else:
+            aggs.append(F.coalesce(F.sum(F.when(rule, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(f"r{i}"))
+    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.col(f"r{i}").alias("failures"))
+                                  for i, (n, _) in enumerate(rules)]))
+    return df.agg(*aggs).select(stacked.alias("s")).select("s.check", "s.failures")
+
+
 def gate(checks: Iterable[tuple[str, DataFrame]]) -> list[tuple[str, int]]:
     """Run the checks; raise ``GateFailed`` if any fails (Q9). Returns the table of
     (check, failures) - one row per check."""

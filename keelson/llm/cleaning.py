@@ -24,7 +24,6 @@ class LineRules:
     separator_share: float = 0.25
     symbol_share: float = 0.5
     shout_share: float = 0.5                  # exclamation and question marks
-    unpunctuated_words: int = 25              # a longer line without any mark of punctuation fails
     boilerplate: str = (r"(?i)\b(cookie (policy|settings|preferences)|accept (all )?cookies|privacy policy|"
                         r"terms of (use|service)|enable javascript|javascript is (disabled|required)|"
                         r"subscribe to our|sign up for our|click here to|back to top|skip to (main )?content|"
@@ -74,10 +73,9 @@ def line_fails(line: Column, rules: LineRules) -> Column:
         return t.rlike(r"[|»›•!?#*$%&<>]") & let(F.size(words(t)), judged)
 
     def judged(t: Column) -> Column:
-        bare = ~t.rlike(r"[.,;:!?…。]") & (F.size(words(t)) >= rules.unpunctuated_words)
         boilerplate = ((F.char_length(t) <= rules.boilerplate_chars) & t.rlike(rules.boilerplate)
                        & (F.size(words(t)) <= rules.boilerplate_words))
-        return bare | marked(t) | boilerplate
+        return marked(t) | boilerplate
     return let(strip(line), lambda t: (t != "") & judged(t))
 
 

@@ -44,7 +44,6 @@ m AS (SELECT rid, raw, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n,
              len(regexp_extract_all(x, '[#*$%&|<>]')) AS syms FROM l),
 v AS (SELECT rid, raw,
              (bars >= 3 AND bars > n * 0.25) OR (shouts >= 3 AND shouts > n * 0.5) OR (syms >= 3 AND syms > n * 0.5)
-             OR (n >= 25 AND NOT regexp_matches(x, '[.,;:!?…。]'))
              OR (length(x) <= 200 AND n <= 20 AND regexp_matches(x, '@BOILERPLATE@')) AS fails FROM m),
 s AS (SELECT rid, count(*) AS n_lines, count(*) FILTER (WHERE fails) AS n_failed_lines, sum(length(raw)) AS line_chars,
              coalesce(sum(length(raw)) FILTER (WHERE NOT fails), 0) AS kept_chars FROM v GROUP BY rid),

@@ -16,7 +16,7 @@ and no similar pair is lost."""
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -92,8 +92,45 @@ def fingerprint(features: np.ndarray) -> int:
     return int(one.view(np.int64)[0])
 
 
-def profiles(docs: DataFrame, doc_id: str, text: str, n: int, scheme: PartEnum) -> DataFrame:
-    """(doc_id, n_shingles, fp, sigs) of every row; fp is null for the empty set."""
+def sketch(features: np.ndarray) -> bytes:
+    """For each bit position, whether an odd number of features hashes to it. Two sketches differ
+    in no more bits than the sets do in features: a check that needs no sets and loses no pair.
+    About two to four bits a feature, a power of two; longer sketches fold onto shorter ones."""
+    bits = max(256, 1 << (2 * len(features) - 1).bit_length())
+    odd = np.bincount((features & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    a, b, n, m = int.from_bytes(x), int.from_bytes(y), len(x), len(y)
+    while n > m:
+        n //= 2
+        a = (a >> 8 * n) ^ (a & (1 << 8 * n) - 1)
+    while m > n:
+        m //= 2
+        b = (b >> 8 * m) ^ (b & (1 << 8 * m) - 1)
+    return (a ^ b).bit_count()
+
+
+def profiles(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
+    """(doc_id, n_shingles, fp, sketch) of every row; fp is null for the empty set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = tk.Hasher(seed=21, fold=True)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                rows = [(len(f), fingerprint(f), sketch(f)) if len(f) else (0, None, None)
+                        for f in shingle_sets(part.column(1), n, hasher)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                     pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "n_shingles", "fp", "sketch"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+        run, "doc_id long, n_shingles long, fp long, sketch binary")
+
+
+def signature_rows(docs: DataFrame, text: str, n: int, scheme: PartEnum) -> DataFrame:
+    """(fp, n, sig) of every row's signatures."""
     num, den, growth, spare_share = scheme.num, scheme.den, scheme.growth, scheme.spare_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,19 +138,14 @@ def profiles(docs: DataFrame, doc_id: str, text: str, n: int, scheme: PartEnum)
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                sizes, fps, sigs = [], [], []
-                for features in shingle_sets(part.column(1), n, hasher):
-                    sizes.append(len(features))
-                    fps.append(fingerprint(features) if len(features) else None)
-                    sigs.append(enum.signatures(features) if len(features) else np.zeros(0, np.uint64))
-                ends = np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32)
-                flat = pa.array(np.concatenate(sigs).view(np.int64) if sigs else np.zeros(0, np.int64))
+                found = [(fingerprint(f), len(f), enum.signatures(f)) for f in shingle_sets(part.column(0), n, hasher) if len(f)]
+                counts = [len(x[2]) for x in found]
+                sigs = np.concatenate([x[2] for x in found]).view(np.int64) if found else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(fps, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends), flat)], ["doc_id", "n_shingles", "fp", "sigs"])
+                    [pa.array(np.repeat(np.array([x[0] for x in found], np.int64), counts)),
+                     pa.array(np.repeat(np.array([x[1] for x in found], np.int64), counts)), pa.array(sigs)], ["fp", "n", "sig"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, fp long, sigs array<long>")
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "fp long, n long, sig long")
 
 
 def feature_rows(docs: DataFrame, n: int) -> DataFrame:
@@ -160,26 +192,33 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links found so far leave the nodes of a signature in several components are further pairs
     checked, across components only (see ``_across``)."""
     scheme = PartEnum(num, den, growth or max(1.25, (den / num) ** 2))
-    rows = written(profiles(docs, doc_id, text, n, scheme), "ngram-profiles")
+    rows = written(profiles(docs, doc_id, text, n), "ngram-profiles")
     # Members of the signatures that several nodes share, without each one's first node, the hub.
     w = Window.partitionBy("sig").orderBy("fp")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shared = (rows.select("fp", F.col("n_shingles").alias("n"), F.explode("sigs").alias("sig"))
+    shared = (signature_rows(docs, text, n, scheme)
               .withColumns({"hub": F.first("fp").over(running), "hub_n": F.first("n").over(running),
                             "prev": F.lag("fp").over(w)})
               .filter("fp != hub AND fp != prev").drop("prev"))
     members = written(shared, "ngram-members")
     nodes = members.select("fp").union(members.select("hub")).distinct()
+    sketches = written(rows.join(nodes, "fp", "left_semi").groupBy("fp").agg(
+        F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "ngram-sketches")
     classes = rows.filter("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    wanted = written(classes.join(nodes, "fp", "left_semi").select("least").distinct(), "ngram-wanted")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = written(feature_rows(texts.join(small_side(wanted), F.col("id").eqNullSafe(F.col("least")), "left_semi"), n)
-                 .dropDuplicates(["fp"]), "ngram-sets")
-    tested = written(members.filter(_fits(F.col("n"), F.col("hub_n"), scheme))
-                   .select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), "ngram-pairs")
+
+    def sets_of(few: DataFrame) -> DataFrame:
+        """(fp, features) of the nodes ``few`` (fp), read from one text of each."""
+        ids = written(classes.join(few, "fp", "left_semi").select("least").distinct(), "ngram-wanted")
+        found = feature_rows(texts.join(small_side(ids), F.col("id").eqNullSafe(F.col("least")), "left_semi"), n)
+        return written(found.join(few, "fp", "left_semi").dropDuplicates(["fp"]), "ngram-sets")
+
+    tested = written(_near(members.filter(_fits(F.col("n"), F.col("hub_n"), scheme))
+                           .select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), sketches, scheme), "ngram-pairs")
+    sets = sets_of(written(tested.select(F.col("a").alias("fp")).union(tested.select("b")).distinct(), "ngram-tested"))
     links = written(_linked(tested, sets, scheme), "ngram-links")
     labels = written(components(links), "ngram-labels")
-    more = _across(members, labels, sets, scheme)
+    more = _across(members, labels, sketches, sets_of, scheme)
     if more is not None:
         labels = written(components(links.union(more)), "ngram-labels")
     named = classes.join(labels, classes["fp"] == labels["node"]).select("fp", "label", "least")
@@ -192,14 +231,31 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     .otherwise(F.col("component")).alias("component_id")))
 
 
-def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, s: PartEnum) -> DataFrame | None:
+def _near(pairs: DataFrame, sketches: DataFrame, s: PartEnum) -> DataFrame:
+    """The pairs (a, b) whose sketches allow them to be similar."""
+    left = sketches.select(F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("fp").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("y"))
+    num, den = s.num, s.den
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "x", "y")), strict=True)
+            near = [sketch_distance(x, y) * (den + num) <= (n_a + n_b) * (den - num) for n_a, n_b, x, y in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _across(members: DataFrame, labels: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
+            s: PartEnum) -> DataFrame | None:
     """Further links (a, b), enough to connect whatever similar pairs share a signature.
 
     The nodes of all signatures with one hub form a group if they are in several components. In
     a group, nodes outside its largest component (the strays) are checked against all its nodes.
     Small groups are joined; large ones are dealt into chunks, and each pair of chunks is one
     matrix product in a task that returns a spanning forest: no pairs are made, and no task
-    holds more than two chunks."""
+    holds more than two chunks. Sketches go first; only nodes that are near one of another
+    component by their sketches have their sets read."""
     everyone = members.select("sig", "fp").union(members.select("sig", "hub").distinct())
     known = written(everyone.join(labels, F.col("fp") == F.col("node"), "left").select(
         "sig", "fp", F.coalesce("label", "fp").alias("label")), "ngram-known")
@@ -220,24 +276,60 @@ def _across(members: DataFrame, labels: DataFrame, sets: DataFrame, s: PartEnum)
     pairs = (small.filter("stray").select("g", F.col("fp").alias("a"), "label").join(
         small.select("g", F.col("fp").alias("b"), F.col("label").alias("label_b")), "g")
         .filter("label != label_b").select("a", "b").distinct())
-    links = written(_linked(pairs, sets, s), "ngram-links")
+    pairs = written(_near(pairs, sketches, s), "ngram-pairs")
+    few = pairs.select(F.col("a").alias("fp")).union(pairs.select("b"))
     large = written(grouped.filter(F.col("m") > SMALL_GROUP), "ngram-large")
     if large.isEmpty():
-        return links
+        return written(_linked(pairs, sets_of(written(few.distinct(), "ngram-few")), s), "ngram-links")
+    num, den = s.num, s.den
+    near = written(_cells(large.join(sketches, "fp"), ["n", "sketch"], lambda key, left, right: near_nodes(
+        left, right, num, den), "g long, fp long").distinct(), "ngram-near")
+    sets = sets_of(written(few.union(near.select("fp")).distinct(), "ngram-few"))
+    links = _linked(pairs, sets, s)
+    chosen = large.join(near, ["g", "fp"]).join(sets, "fp")
+    found = _cells(chosen, ["features"], lambda key, left, right: spanning_links(left, right, num, den), "a long, b long")
+    return written(links.union(found), "ngram-links")
+
+
+def _cells(dealt: DataFrame, payload: list[str], run: Callable, schema: str) -> DataFrame:
+    """``run`` on each pair of chunks of each group: strays on the left, all nodes on the right."""
     chunk = lambda n: F.ceil(F.col(n) / CHUNK_NODES).cast("int")
     deal = lambda n: F.pmod(F.xxhash64("fp"), F.col(n)).cast("int")
-    dealt = large.withColumn("ni", chunk("strays")).withColumn("nj", chunk("m")).join(sets, "fp")
+    dealt = dealt.withColumn("ni", chunk("strays")).withColumn("nj", chunk("m"))
     rows = dealt.filter("stray").withColumns({"i": deal("ni"), "j": F.explode(F.sequence(F.lit(0), F.col("nj") - 1))})
     others = dealt.withColumns({"j": deal("nj"), "i": F.explode(F.sequence(F.lit(0), F.col("ni") - 1))})
-    num, den = s.num, s.den
-
-    def forest(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return spanning_links(left, right, num, den)
-
     # Aliases, as both sides come from one table.
-    cells = [x.select(*[F.col(c).alias(c) for c in ("g", "i", "j", "fp", "label", "features")]).groupBy("g", "i", "j")
+    cells = [x.select(*[F.col(c).alias(c) for c in ("g", "i", "j", "fp", "label", *payload)]).groupBy("g", "i", "j")
              for x in (rows, others)]
-    return written(links.union(cells[0].cogroup(cells[1]).applyInPandas(forest, "a long, b long")), "ngram-links")
+    return cells[0].cogroup(cells[1]).applyInPandas(run, schema)
+
+
+def near_nodes(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """(g, fp) of the nodes (fp, label, n, sketch) of two chunks that are near a node of another
+    component by their sketches."""
+    hit: set[int] = set()
+    bits = [{}, {}]
+    for side, df in enumerate((left, right)):
+        lengths = df["sketch"].str.len().to_numpy()
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            raw = np.frombuffer(b"".join(df["sketch"].iloc[at]), np.uint8).reshape(len(at), length)
+            bits[side][int(length)] = (at, np.unpackbits(raw, axis=1))
+    n, labels, fps = ([df[c].to_numpy() for df in (left, right)] for c in ("n", "label", "fp"))
+    for la, (ia, xa) in bits[0].items():
+        for lb, (ib, xb) in bits[1].items():
+            if max(la, lb) > 4 * min(la, lb) * -(-den // num):
+                continue                                    # too different in size
+            width = 8 * min(la, lb)
+            x, y = ((z.reshape(len(z), -1, width).sum(1) & 1).astype(np.float32) for z in (xa, xb))
+            apart = x.sum(1)[:, None] + y.sum(1)[None, :] - 2 * (x @ y.T)
+            total, least = n[0][ia][:, None] + n[1][ib][None, :], np.minimum(n[0][ia][:, None], n[1][ib][None, :])
+            close = ((apart * (den + num) <= total * (den - num)) & (least * den >= (total - least) * num)
+                     & (labels[0][ia][:, None] != labels[1][ib][None, :]))
+            hit.update(fps[0][ia[close.any(1)]].tolist())
+            hit.update(fps[1][ib[close.any(0)]].tolist())
+    g = int(left["g"].iloc[0]) if len(left) else 0
+    return pd.DataFrame({"g": [g] * len(hit), "fp": list(hit)}).astype("int64")
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .columns import ascii_lower, strip, whole
-from .tables import fresh
+from .tables import fresh, written
 
 KEY = ["h1", "h2"]
 # Stands for a null doc_id: below every other.
@@ -84,7 +84,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Afterwards the merged runs name the keys found in ``min_docs`` documents, and a document
     loses a key unless it is the largest doc_id that holds it. A key that a third of all
     documents share is one row per map task before the shuffle; in the join back, adaptive
-    execution splits its partition."""
+    execution splits its partition, which it can because both sides are plain tables."""
     spark = docs.sparkSession
     path = scratch_path(spark, "line-keys")
     (line_keys(docs, doc_id, text, min_chars)
@@ -94,7 +94,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     runs = LineRuns(spark, fanout)
     for b in range(batches):
         runs.add(keys.filter(F.col("batch") == b).drop("batch"))
-    doomed = runs.merged().filter(F.col("n_docs") >= min_docs).select(*KEY, "top")
+    doomed = written(runs.merged().filter(F.col("n_docs") >= min_docs).select(*KEY, "top"), "line-doomed")
     return (keys.join(doomed.hint("merge"), KEY).filter(F.col("doc_id") < F.col("top"))
             .groupBy("doc_id").agg(F.collect_list(F.struct(*KEY)).alias("dropped")))
 

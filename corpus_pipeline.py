@@ -31,8 +31,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces in sequences of 2048 words, no copies in one sequence."""
-    return packing.pack(docs)
+    """Every document's pieces in sequences of 2048 words, no copies and no two pieces of one source
+    in one sequence."""
+    return packing.pack(docs, one_per_source=True)
 
 
 STAGES = [

@@ -99,8 +99,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_best_fit")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document packed into sequences of 2048 words; copies never share a sequence."""
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Every document packed into sequences of 2048 words; neither copies nor pieces of one source
+    share a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"), one_per_source=True)
 
 
 OP9_SQL = r"""

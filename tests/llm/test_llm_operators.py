@@ -10,8 +10,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from keelson.llm import (cleaning, components, decontaminate, license_scan, line_dedup, ngram_join, packing, preference,
-                         quality_cnn, sharding, substring_dedup)
+                         quality_cnn, queries, sharding, substring_dedup)
 from keelson.llm import textkit as tk
 from tests.llm import brute
 
@@ -234,6 +235,38 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     assert [bins.put(n, s, c) for n, s, c in [(6, 1, 0), (7, 2, 0), (3, 4, 0), (4, 1, 0), (4, 8, 0), (6, 16, 1), (1, 32, 1)]] == [0, 1, 1, 2, 0, 2, 3]
 
 
+def test_blocks_choose_as_one_list_does():
+    rng = random.Random(5)
+    pieces = sorted(((rng.choice([0, 1, 7, 20, rng.randint(1, 60)]), 1 << rng.choice([0, 0, 0, *range(12)]), rng.choice([0, 0, 1, 2])) for _ in range(900)),
+                    reverse=True)
+    order, held, want = [], [], []
+    for n, s, c in pieces:
+        b = next((b for room, b in sorted(order) if room >= n and not (held[b][0] & s or held[b][1] & c)), len(held))
+        if b == len(held):
+            order.append((60, b))
+            held.append((0, 0))
+        room = next(r for r, x in order if x == b)
+        order.remove((room, b))
+        order += [(room - n, b)] if room > n else []
+        held[b] = (held[b][0] | s, held[b][1] | c)
+        want.append(b)
+    bins = packing.Bins(60, block=4)
+    assert [bins.put(*x) for x in pieces] == want
+
+
+def test_registered_packing_keeps_sources_apart(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text number {i}", "hot" if i % 3 else f"s{i % 4}") for i in range(90)] + [(100, "a", None), (101, "b", None)],
+                                 "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    source = {r.doc_id: r.source for r in docs.collect()}
+    for got in (queries.QUERIES["op6_best_fit"](spark, str(tmp_path)), corpus_pipeline.sequences(spark, docs, str(tmp_path))):
+        got = got.toPandas()
+        assert sorted(got.doc_id) == sorted(source)
+        got["source"] = got.doc_id.map(source)
+        assert got[got.source.notna()].groupby(["bin_id", "source"]).size().max() == 1
+        assert got.bin_id.nunique() == 60
+
+
 def test_packing_is_tight_and_empty(spark, empty):
     rng = random.Random(4)
     docs = spark.createDataFrame([(i, " ".join(["w"] * rng.randint(1, 300)) + f" {i}", None) for i in range(800)], "doc_id long, text string, source string")

@@ -75,9 +75,10 @@ def preference_rows(pairs: DataFrame, role: str = "assistant",
 
 
 def mismatched_pairs(convs: DataFrame, role: str = "assistant") -> DataFrame:
-    """(pair_id, chosen_id, rejected_id, chosen, rejected): each conversation with an answer is
-    chosen up to its last answer; rejected is the same history with the last answer of the
-    conversation with the next number, if there is one that has an answer."""
+    """(pair_id, chosen_id, rejected_id, chosen, rejected): a conversation with an answer is chosen
+    up to its last answer if the conversation with exactly the next number has an answer, too;
+    rejected is the same history with that one's last answer. Others give no row, so gaps in the
+    numbers lose conversations, and the two sides part at the last turn or not at all."""
     last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == role, i)))
     own = convs.withColumn("last", last).filter(F.col("last").isNotNull())
     other = own.select((F.col("conv_id") - 1).alias("conv_id"), F.col("conv_id").alias("rejected_id"),

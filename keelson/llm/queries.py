@@ -128,7 +128,8 @@ FROM o
 
 @query("op9_preference_pairs", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation with an answer, against the same history with its neighbour's answer."""
+    """Each conversation with an answer whose next number has one, too, against the same history
+    with that neighbour's answer."""
     pairs = preference.mismatched_pairs(preference.conversations(table(spark, sf_dir, "conversations")))
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
     rows = preference.preference_rows(pairs)

@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textkit as tk
 from .components import components
@@ -178,7 +179,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, s: PartEnum) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 3, num: int = 90, den: int = 100,
-                   growth: float | None = None) -> DataFrame:
+                   growth: float | None = None, sets: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``: component_id is the
     smallest doc_id reachable by links, which join rows whose sets of ``n``-word shingles have a
     Jaccard similarity of num/den or more.
@@ -186,7 +187,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Null and empty texts have the empty set, link with nothing and are their own component. Rows
     with equal sets are one node, so copies cost one row each and no pairs; repeated rows are
     copies. A null doc_id takes part, but never names a component unless nothing else does (then
-    it is null). An empty table gives an empty result. Sets are known by 64-bit hashes.
+    it is null). An empty table gives an empty result. Sets are known by 64-bit hashes; with ``sets``
+    there are also fp, the set's hash, and label, the same for all sets of a component.
 
     Nodes that share a signature are checked against one of them, the hub, first. Only where the
     links found so far leave the nodes of a signature in several components are further pairs
@@ -215,8 +217,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     tested = written(_near(members.filter(_fits(F.col("n"), F.col("hub_n"), scheme))
                            .select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), sketches, scheme), "ngram-pairs")
-    sets = sets_of(written(tested.select(F.col("a").alias("fp")).union(tested.select("b")).distinct(), "ngram-tested"))
-    links = written(_linked(tested, sets, scheme), "ngram-links")
+    features = sets_of(written(tested.select(F.col("a").alias("fp")).union(tested.select("b")).distinct(), "ngram-tested"))
+    links = written(_linked(tested, features, scheme), "ngram-links")
     labels = written(components(links), "ngram-labels")
     more = _across(members, labels, sketches, sets_of, scheme)
     if more is not None:
@@ -224,11 +226,12 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = classes.join(labels, classes["fp"] == labels["node"]).select("fp", "label", "least")
     names = named.groupBy("label").agg(F.min("least").alias("component"))
     # A table of its own, so that the join splits the partition of a set with very many copies.
-    by_set = written(classes.join(named.join(names, "label").select("fp", "component"), "fp", "left").select(
-        F.col("fp").alias("set"), F.coalesce("component", "least").alias("component")), "ngram-names")
+    by_set = written(classes.join(named.join(names, "label").select("fp", "component", "label"), "fp", "left").select(
+        F.col("fp").alias("set"), F.coalesce("component", "least").alias("component"), F.coalesce("label", "fp").alias("label")),
+        "ngram-names")
     return (rows.select("doc_id", "n_shingles", "fp").join(by_set, F.col("fp") == F.col("set"), "left")
             .select("doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component")).alias("component_id")))
+                    .otherwise(F.col("component")).alias("component_id"), *(["fp", "label"] if sets else [])))
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, s: PartEnum) -> DataFrame:
@@ -380,16 +383,42 @@ def spanning_links(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int)
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
+def _fingerprinted(docs: DataFrame, text: str, n: int, name: str) -> DataFrame:
+    """``docs`` with the hash of each row's set as the column ``name``, null for the empty set."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = tk.Hasher(seed=21, fold=True)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 512):
+                part = batch.slice(low, 512)
+                fps = [fingerprint(f) if len(f) else None for f in shingle_sets(part.column(at), n, hasher)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(fps, pa.int64())], [*part.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100,
                  **options) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id, with all
-    columns. Rows without doc_id stay. Of several rows with one doc_id in a group one stays."""
-    loser = fresh(docs, "loser")
-    groups = written(similar_groups(docs, doc_id, text, n, num, den, **options).filter("doc_id IS NOT NULL"), "ngram-groups")
+    columns. Where a doc_id stands on several rows, each goes or stays by its own text: of those
+    in one group one stays, and texts that do not link stay each. Rows without doc_id stay, those
+    with one set of shingles once; empty texts link with nothing, so all of these stay."""
+    loser, held, mark = (fresh(docs, x) for x in ("loser", "held", "mark"))
+    groups = written(similar_groups(docs, doc_id, text, n, num, den, sets=True, **options), "ngram-groups")
     losers = written(groups.filter("component_id != doc_id").select(F.col("doc_id").alias(loser)).distinct(), "ngram-losers")
-    kept = docs.join(small_side(losers), docs[doc_id] == F.col(loser), "left_anti")
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias(loser))
+    repeated = written(groups.groupBy("doc_id").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("doc_id").alias(loser)), "ngram-repeated")
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, kept[doc_id] == F.col(loser), "left_semi")
-    return kept.join(repeated, kept[doc_id] == F.col(loser), "left_anti").union(again.dropDuplicates([doc_id]))
+        return docs.join(small_side(losers), docs[doc_id] == F.col(loser), "left_anti")
+    named = repeated.filter(F.col(loser).isNotNull())
+    known = docs.filter(F.col(doc_id).isNotNull())
+    gone = written(losers.union(named).distinct(), "ngram-gone")
+    once = known.join(small_side(gone), known[doc_id] == F.col(loser), "left_anti")
+    # One set of each group that a repeated doc_id names; groups are told apart by label.
+    stays = (groups.filter("component_id = doc_id").join(named, F.col("doc_id") == F.col(loser), "left_semi")
+             .groupBy("doc_id", "label").agg(F.min("fp").alias("fp")).select(F.col("doc_id").alias(loser), F.col("fp").alias(held)))
+    again = _fingerprinted(known.join(named, known[doc_id] == F.col(loser), "left_semi"), text, n, mark).dropDuplicates([doc_id, mark])
+    again = again.join(stays, (again[doc_id] == F.col(loser)) & again[mark].eqNullSafe(F.col(held)), "left_semi")
+    unnamed = _fingerprinted(docs.filter(F.col(doc_id).isNull()), text, n, mark)
+    unnamed = unnamed.filter(F.col(mark).isNull()).union(unnamed.filter(F.col(mark).isNotNull()).dropDuplicates([mark]))
+    return once.union(again.drop(mark)).union(unnamed.drop(mark))

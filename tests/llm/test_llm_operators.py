@@ -86,6 +86,18 @@ def test_one_of_each_group_stays(edge, edge_rows, empty):
     assert ngram_join.drop_similar(empty).count() == 0
 
 
+def test_rows_of_one_id_go_by_their_own_text(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"}
+    rows = [(1, "a"), (2, "a"), (2, "b"), (3, "c"), (3, "d"), (3, "d"), (4, "e"), (4, "e2"), (None, "f"), (None, "f"), (None, None), (None, None),
+            (5, None), (5, None), (5, "g")]
+    texts |= {"e2": texts["e"] + " more", "g": "some other text", None: None}
+    docs = spark.createDataFrame([(d, texts[k]) for d, k in rows], "doc_id long, text string")
+    name = {v: k for k, v in texts.items()}
+    got = [(r.doc_id, name[r.text]) for r in ngram_join.drop_similar(docs).collect()]
+    assert [k for d, k in got if d == 4] in (["e"], ["e2"])
+    assert key(x for x in got if x[0] != 4) == key([(1, "a"), (2, "b"), (3, "c"), (3, "d"), (None, "f"), (None, None), (None, None), (5, None), (5, "g")])
+
+
 @pytest.mark.parametrize("task_links", [500_000, 15])
 def test_components_of_chains_stars_and_loops(spark, task_links):
     rng = random.Random(2)

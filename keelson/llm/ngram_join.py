@@ -131,15 +131,20 @@ def profiles(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
 
 
 def signature_rows(docs: DataFrame, text: str, n: int, scheme: PartEnum) -> DataFrame:
-    """(fp, n, sig) of every row's signatures."""
+    """(fp, n, sig) of every set's signatures, once for each task that meets the set: copies add
+    no rows within a task."""
     num, den, growth, spare_share = scheme.num, scheme.den, scheme.growth, scheme.spare_share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, enum = tk.Hasher(seed=21, fold=True), PartEnum(num, den, growth, spare_share)
+        seen: set[int] = set()
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                found = [(fingerprint(f), len(f), enum.signatures(f)) for f in shingle_sets(part.column(0), n, hasher) if len(f)]
+                part, found = batch.slice(low, 512), []
+                for f in shingle_sets(part.column(0), n, hasher):
+                    if len(f) and (fp := fingerprint(f)) not in seen:
+                        seen.add(fp)
+                        found.append((fp, len(f), enum.signatures(f)))
                 counts = [len(x[2]) for x in found]
                 sigs = np.concatenate([x[2] for x in found]).view(np.int64) if found else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(

@@ -76,6 +76,14 @@ def test_signatures_meet_for_every_similar_pair():
                 assert set(enum.signatures(a).tolist()) & set(enum.signatures(b).tolist())
 
 
+def test_copies_add_no_signatures_within_a_task(spark):
+    one, other = (" ".join(f"{k}{i}" for i in range(50)) for k in "ab")
+    scheme = ngram_join.PartEnum(90, 100, 1.25)
+    docs = spark.createDataFrame([(one,)] * 700 + [(other,), (None,), (one.upper(),)], "text string").coalesce(1)
+    got = Counter(tuple(r) for r in ngram_join.signature_rows(docs, "text", 3, scheme).collect())
+    assert len({fp for fp, _, _ in got}) == 2 and set(got.values()) == {1}
+
+
 def test_one_of_each_group_stays(edge, edge_rows, empty):
     kept = ngram_join.drop_similar(edge)
     want = {(d if c is not None else i) for i, (d, _, c) in enumerate(brute.groups(edge_rows, 5, 80)) if c is None or d == c}

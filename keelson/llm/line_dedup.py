@@ -1,9 +1,11 @@
 """Line deduplication on levelled sorted runs of line hashes.
 
 A run is a Parquet table of (h1, h2, n_docs, top): a line's 128-bit hash, the number of
-documents that hold it and the largest doc_id among them, range-partitioned and sorted by hash.
+documents that hold it and the largest doc_id among them, dealt out and sorted by hash.
 Each batch adds one run at level 0; when a level has ``fanout`` runs they are merged into one
-run of the next level, so a key is rewritten once per level. Lines are compared with the runs
+run of the next level, so a key is rewritten once per level. The rule needs counts over all
+documents and keeps the last one, so the query joins once with the merged runs; ``novel``, the
+anti-join of a batch with the earlier runs, is for keep-first use only. Lines are compared with the runs
 by sort-merge joins on the hash. DataFrame functions only."""
 
 from __future__ import annotations

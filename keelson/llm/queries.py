@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cleaning, decontaminate, license_scan, line_dedup, ngram_join, packing, preference, quality_cnn, sharding
-from . import substring_dedup
+from . import cleaning, decontaminate, importance, license_scan, line_dedup, ngram_join, packing, page_text, preference
+from . import quality_cnn, sharding, substring_dedup, whitening
 from .columns import utf8
+from .tables import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -219,3 +220,62 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_cnn.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality_cnn.quality_scores(docs, model).select(
         "doc_id", quality_cnn.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+# A word's crc32 bit by bit: DuckDB has none.
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+dw AS (SELECT rid, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+v AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+h AS (SELECT w, hex(encode(w)) AS x FROM v),
+y AS (SELECT w, [16 * (instr('0123456789ABCDEF', x[2 * k + 1]) - 1) + instr('0123456789ABCDEF', x[2 * k + 2]) - 1
+                 FOR k IN range(0, length(x) // 2)] AS bytes FROM h),
+f AS (SELECT w, xor(list_reduce(bytes, lambda c, b: list_reduce(range(0, 8),
+               lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(c, b)),
+               CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket FROM y),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN f USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN f USING (w) GROUP BY bucket),
+z AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS s_all, coalesce((SELECT sum(n) FROM t), 0) AS t_all),
+g AS (SELECT b.bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE)
+                                     / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+      FROM (SELECT DISTINCT bucket FROM f) b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), z),
+w AS (SELECT rid, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM dw JOIN f USING (w) JOIN g USING (bucket) GROUP BY rid),
+o AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+             CAST(CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) AS h
+      FROM d LEFT JOIN w USING (rid)),
+p AS (SELECT doc_id, n_features, weight,
+             weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM o),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+             count(*) OVER (PARTITION BY n_features >= 20) AS n FROM p)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM r
+"""
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's words, its noisy score and its place in a draw
+    of a tenth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = importance.importance_scores(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return importance.with_ranks(written(scored, "importance")).select(
+        "doc_id", "importance.n_features", "importance.weight", "importance.score", "rank")
+
+
+@query("op12_page_text")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text by text density."""
+    return page_text.page_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "main.text", "main.n_chars")
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the first eight whitened components. A deviation beyond 64 bits (tables
+    of some ten million vectors) is null as a long and exact as a decimal."""
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    exact = F.col("deviation")
+    return rows.select("vec_id", "component", "n", exact.try_cast("long").alias("deviation"), "whitened", "explained",
+                       "identity_error", exact.alias("deviation_exact"))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.operators.ranks import ENOUGH, locate, typed
 from keelson.session import default_parallelism, ensure_checkpoint_dir
 
 _PID = "__pid"
@@ -133,11 +134,26 @@ def row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def batch_slice(df: DataFrame, order: Sequence[str | Column], n: int, offset: int) -> DataFrame:
-    """``order by ... limit n offset m`` (O5): the next batch of a unique order, taken by
-    dense sequence numbers, so that no task gathers the rows before the batch."""
-    return sequential_id(df, order, "__seq", offset=0).filter(
-        (F.col("__seq") > offset) & (F.col("__seq") <= offset + n)).drop("__seq")
+def batch_slice(df: DataFrame, order: Sequence[str], n: int, offset: int, enough: int = ENOUGH) -> DataFrame:
+    """``order by ... limit n offset m`` (O5) of a unique ascending order, nulls first, without sorting
+    or writing the table.
+
+    ``ranks.locate`` counts its way to the two regions that hold ranks ``m + 1`` and ``m + n``; only
+    rows from the first to the second are read again. Up to ``enough`` rows more than ``n`` are left, and
+    these alone are ordered: by a bounded sort for a small batch, otherwise by ``sequential_id``. Where
+    rows agree in all order columns, any of them may stand at the batch's ends."""
+    first, last = locate(df, order, [offset + 1, offset + n], enough)
+    if n <= 0 or not first.rows:
+        return df.limit(0)
+    columns = typed(df, order)
+    rest = df.filter(first.onwards(columns))
+    if last.rows:
+        rest = rest.filter(last.upto(columns))
+    skip, ascending = offset - first.before, [F.col(c).asc_nulls_first() for c in order]
+    if skip + n <= 2 * enough:
+        return rest.orderBy(*ascending).limit(skip + n).offset(skip)
+    return sequential_id(rest, ascending, "__seq").filter(
+        (F.col("__seq") > skip) & (F.col("__seq") <= skip + n)).drop("__seq")
 
 
 def top_groups(df: DataFrame, key: str, k: int, count_name: str = "trips",

@@ -104,3 +104,50 @@ def test_read_paths_names_only_wanted_files(spark, sf_dir):
     assert two.count() == ev.filter(F.to_date("ts").isin(days[:2])).count()
     assert two.select(F.col("_metadata.file_path")).distinct().filter(
         F.col("file_path").contains(days[2])).count() == 0
+
+
+@pytest.mark.parametrize("target", [30_000, 60_000, 10 ** 9])
+def test_files_have_the_target_size(spark, sf_dir, target):
+    li = domain.table(spark, sf_dir, "lineitem")
+    small, out = scratch_path(spark, "small"), scratch_path(spark, "sized")
+    L.write_small_batches(li, small, 40)
+    comp = L.compact(spark, small, out, order="l_shipdate", target_bytes=target)
+    report = L.size_report(spark, out, target).first()
+    assert report["fits"] and report["rows"] == li.count() and (report["files"] == 1) == (target == 10 ** 9)
+    assert rows(comp.select(*li.columns)) == rows(li)
+    spans = comp.groupBy(F.col("_metadata.file_path")).agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b")).collect()
+    spans.sort(key=lambda r: r["a"])
+    assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))      # files are disjoint ranges
+
+
+def test_sizes_follow_bytes_not_rows(spark):
+    # The last tenth of the keys carries nearly all bytes, one key a third of the rows, some none.
+    text = F.concat_ws("", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 256) for i in range(12)])
+    df = spark.range(0, 12_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(777)).when(F.col("id") % 97 == 0, F.lit(None)).otherwise(F.col("id")).cast("long").alias("k"),
+        F.when(F.col("id") >= 10_800, text).otherwise(F.substring(text, 1, 24)).alias("t"), F.col("id").alias("i"))
+    src, out = scratch_path(spark, "uneven"), scratch_path(spark, "uneven_sized")
+    df.repartition(8).write.parquet(src)
+    comp = L.compact(spark, src, out, order="k", target_bytes=60_000)
+    report = L.size_report(spark, out, 60_000).first()
+    assert report["fits"], report
+    assert rows(comp.select(*df.columns)) == rows(df)
+
+
+def test_plan_of_files():
+    from keelson.operators.ranks import Cell
+    assert L.plan_files([], 10).total == 1
+    one = L.plan_files([Cell(1, 1, 5), Cell(2, 3, 30), Cell(4, 4, 100), Cell(5, 9, 5)], 20)
+    assert one.total >= 6 and max(one.files) == 5                       # the heavy value has files of its own
+    even = L.plan_files([Cell(i, i + 0.5, 1) for i in range(1000)], 100)
+    assert even.total == 10 and all(n == 1 for n in even.files)
+
+
+def test_unordered_compaction_and_empty_tables(spark, sf_dir):
+    li = domain.table(spark, sf_dir, "lineitem")
+    small = scratch_path(spark, "small")
+    L.write_small_batches(li, small, 30)
+    assert rows(L.compact(spark, small, scratch_path(spark, "any"), target_bytes=40_000).select(*li.columns)) == rows(li)
+    none = scratch_path(spark, "none")
+    li.limit(0).write.parquet(none)
+    assert L.compact(spark, none, scratch_path(spark, "none_out"), order="l_partkey").count() == 0

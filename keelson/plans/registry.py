@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import columns as C
+from keelson.operators import bloom as B
+from keelson.operators import digests as D
+from keelson.operators import intervals as I
 from keelson.operators import joins as J
 from keelson.operators import keyed as K
 from keelson.operators import layout as L
@@ -26,6 +29,7 @@ from keelson.plans import medallion as M
 from keelson.session import scratch_path
 from keelson.sources import readers as R
 from keelson.sources import sinks as S
+from keelson.streaming import feeds as Fd
 from keelson.streaming import jobs as T
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -556,6 +560,18 @@ def q_batch_slice(spark, sf_dir):
     return O.batch_slice(domain.table(spark, sf_dir, "orders"), ["o_orderkey"], 100, 200)
 
 
+@register("batch_slice_ties", "SELECT * FROM events ORDER BY event_type, value, event_id LIMIT 150 OFFSET 400")
+def q_batch_slice_ties(spark, sf_dir):
+    """Rows 401-550 in an order of text, doubles and ids whose first columns repeat."""
+    return O.batch_slice(domain.table(spark, sf_dir, "events"), ["event_type", "value", "event_id"], 150, 400, enough=500)
+
+
+@register("batch_slice_far", "SELECT * FROM events ORDER BY ts, event_id LIMIT 100 OFFSET 800")
+def q_batch_slice_far(spark, sf_dir):
+    """Rows 801-900 by time, with few rows left for the last sort."""
+    return O.batch_slice(domain.table(spark, sf_dir, "events"), ["ts", "event_id"], 100, 800, enough=200)
+
+
 # ----------------------------------------------------------------------------- versions
 
 CHG = domain.CHANGES_SQL
@@ -654,6 +670,49 @@ def q_rows_by_version(spark, sf_dir):
     return Vr.rows_by_version(changes(spark, sf_dir), ["user_id"])
 
 
+LIVE_SQL = ORACLE["rows_by_version"]
+
+
+def _interval_table(spark, sf_dir) -> str:
+    """The event changes as a table of validity intervals: those of the first commits folded at
+    once, the later ones folded in."""
+    c = changes(spark, sf_dir)
+    path, early = scratch_path(spark, "intervals"), scratch_path(spark, "intervals_early")
+    I.write(I.fold(c.filter(F.col("version") <= 4), ["user_id"]), early)
+    I.write(I.fold_in(I.read(spark, early).drop("is_open"), c.filter(F.col("version") > 4), ["user_id"]), path)
+    return path
+
+
+@register("interval_state_v5", W(CHG, _as_of_sql(5)))
+def q_interval_state(spark, sf_dir):
+    """The state at version 5 as a range filter on validity intervals."""
+    return I.state_at(I.read(spark, _interval_table(spark, sf_dir)), 5).select("user_id", "event_type", "value", "ts", "version")
+
+
+@register("interval_state_latest", W(CHG, _as_of_sql(None)))
+def q_interval_latest(spark, sf_dir):
+    """M5: the latest state: the folder of open intervals."""
+    return I.state_at(I.read(spark, _interval_table(spark, sf_dir))).select("user_id", "event_type", "value", "ts", "version")
+
+
+@register("interval_live_rows", LIVE_SQL)
+def q_interval_live(spark, sf_dir):
+    """Live rows after every version from the ends of the intervals."""
+    c = changes(spark, sf_dir)
+    return I.live_rows(I.fold(c, ["user_id"]), c.select("version").distinct())
+
+
+@register("snapshot_diff_digests", ORACLE["snapshot_diff"])
+def q_snapshot_digests(spark, sf_dir):
+    """M9: versions 3 and 7 written as snapshots with digests; only ranges whose digests differ are
+    read and joined."""
+    c, paths = changes(spark, sf_dir), {}
+    for v in (3, 7):
+        paths[v] = scratch_path(spark, f"snapshot_{v}")
+        D.write_snapshot(Vr.as_of(c, ["user_id"], v), ["user_id"], paths[v], ["event_type", "value"], width=64, fine=16)
+    return D.diff_snapshots(spark, paths[3], paths[7], ["user_id"], ["event_type", "value"])
+
+
 UPSERT_SQL = """
 target AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
 source AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice,
@@ -678,6 +737,21 @@ def q_upsert(spark, sf_dir):
     return Vr.upsert(t, s, ["o_orderkey"])
 
 
+@register("upsert_reduced", ORACLE["upsert"])
+def q_upsert_reduced(spark, sf_dir):
+    """The same merge with a Bloom filter of the source's keys in front of the shuffle."""
+    t, s = (S.materialize(x, scratch_path(spark, n)) for x, n in zip(upsert_inputs(spark, sf_dir), ("target", "source")))
+    return B.upsert_reduced(t, s, ["o_orderkey"])
+
+
+@register("orphans_reduced", """
+SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01')""")
+def q_orphans_reduced(spark, sf_dir):
+    """Line items without an order of before 1999; most are told by a Bloom filter of the orders."""
+    o = domain.table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    return B.orphans_reduced(_lineitem(spark, sf_dir), o, "l_orderkey", "o_orderkey")
+
+
 @register("upsert_metrics", W(UPSERT_SQL, """
 SELECT count(s.o_orderkey) AS source_rows,
        CAST(sum(CASE WHEN t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS updated,
@@ -931,33 +1005,63 @@ def _lineitem(spark, sf_dir):
     return domain.table(spark, sf_dir, "lineitem")
 
 
+# Files of the compaction and z-order queries: small, so that the test tables make several.
+TARGET_FILE = 128 * 1024
+
+
+def _compacted(spark, sf_dir) -> tuple[str, str]:
+    """Paths of lineitem as 64 small files and compacted by ship date."""
+    small, comp = scratch_path(spark, "small"), scratch_path(spark, "compacted")
+    L.write_small_batches(_lineitem(spark, sf_dir), small, 64)
+    L.compact(spark, small, comp, order="l_shipdate", target_bytes=TARGET_FILE)
+    return small, comp
+
+
+def _zordered(spark, sf_dir) -> str:
+    path = scratch_path(spark, "zorder")
+    S.rebuild(L.zorder(_lineitem(spark, sf_dir), ["l_partkey", "l_suppkey"], target_bytes=TARGET_FILE), path)
+    return path
+
+
 @register("compaction", "SELECT * FROM lineitem")
 def q_compaction(spark, sf_dir):
-    """Lineitem written as 64 small files, compacted into 4 files sorted by
-    ship date; the compacted table holds exactly the input rows."""
-    li = _lineitem(spark, sf_dir)
-    small = scratch_path(spark, "small")
-    L.write_small_batches(li, small, 64)
-    return L.compact(spark, small, scratch_path(spark, "compacted"), 4, "l_shipdate").select(*li.columns)
+    """Lineitem written as 64 small files, compacted into files of a target size that are
+    ranges of the ship date; the compacted table holds exactly the input rows."""
+    _, comp = _compacted(spark, sf_dir)
+    return spark.read.parquet(comp).select(*_lineitem(spark, sf_dir).columns)
+
+
+@register("compaction_sizes", """
+SELECT 'compacted' AS layout, count(*) AS rows, true AS fits FROM lineitem
+UNION ALL SELECT 'zorder', count(*), true FROM lineitem""")
+def q_compaction_sizes(spark, sf_dir):
+    """Every file of the compacted and of the z-ordered table is within a factor of
+    two of the target size, at any table size."""
+    one = lambda name, path: L.size_report(spark, path, TARGET_FILE).select(F.lit(name).alias("layout"), "rows", "fits")
+    return one("compacted", _compacted(spark, sf_dir)[1]).unionByName(one("zorder", _zordered(spark, sf_dir)))
 
 
 @register("zorder_layout", "SELECT * FROM lineitem")
 def q_zorder(spark, sf_dir):
-    """Z-ordered on (part, supplier) into 16 files; same rows as the input."""
-    li = _lineitem(spark, sf_dir)
-    path = scratch_path(spark, "zorder")
-    S.rebuild(L.zorder(li, ["l_partkey", "l_suppkey"], 16), path)
-    return spark.read.parquet(path).select(*li.columns)
+    """Z-ordered on (part, supplier) into files of a target size; same rows as the input."""
+    return spark.read.parquet(_zordered(spark, sf_dir)).select(*_lineitem(spark, sf_dir).columns)
+
 
+@register("layout_census", """
+SELECT 'small_files' AS layout, 64 AS files, true AS adds_up UNION ALL SELECT 'compacted', NULL, true""")
+def q_layout_census(spark, sf_dir):
+    """The census of the small-file and the compacted layout: as many files as were written, and
+    MB a file times files is the total."""
+    adds_up = F.abs(F.col("mb_per_file") * F.col("files") - F.col("total_mb")) <= 0.0005 * (F.col("files") + 1)
+    small, comp = (L.layout_summary(spark, p).select("files", adds_up.alias("adds_up")) for p in _compacted(spark, sf_dir))
+    return (small.select(F.lit("small_files").alias("layout"), F.col("files").cast("int").alias("files"), "adds_up")
+            .unionByName(comp.select(F.lit("compacted").alias("layout"), F.lit(None).cast("int").alias("files"), "adds_up")))
 
 
 @register("layout_summary")
 def q_layout_summary(spark, sf_dir):
     """File census of the small-file and the compacted layout (rows-only)."""
-    li = _lineitem(spark, sf_dir)
-    small, comp = scratch_path(spark, "small"), scratch_path(spark, "compacted")
-    L.write_small_batches(li, small, 64)
-    L.compact(spark, small, comp, 4, "l_shipdate")
+    small, comp = _compacted(spark, sf_dir)
     return (L.layout_summary(spark, small).withColumn("layout", F.lit("small_files"))
             .unionByName(L.layout_summary(spark, comp).withColumn("layout", F.lit("compacted"))))
 
@@ -1303,3 +1407,25 @@ def q_stream_upsert(spark, sf_dir):
         (spark.readStream.schema(ev.schema).parquet(src).writeStream.trigger(availableNow=True)
          .option("checkpointLocation", ck).foreachBatch(lambda df, _, b=b: fn(df, b)).start().awaitTermination())
     return spark.read.parquet(fn.latest(1)).groupBy("user_id").agg(F.count(F.lit(1)).alias("rows"), F.max("event_id").alias("event_id"))
+
+
+@register("stream_change_feed", ORACLE["as_of_latest"])
+def q_change_feed(spark, sf_dir):
+    """The change table as files in no order, folded over several micro-batches by sequence
+    number, deletes and late changes included: the latest state."""
+    c = changes(spark, sf_dir)
+    src, table, ck = (scratch_path(spark, x) for x in ("changes_in", "changes_feed", "changes_ck"))
+    c.repartition(6, F.xxhash64("seq", "version")).write.parquet(src)
+    Fd.run_change_feed(spark, src, c.schema, table, ck, ["user_id"], files_per_trigger=2).awaitTermination()
+    return Fd.feed_state(spark, table, ["user_id"]).select("user_id", "event_type", "value", "ts", "version")
+
+
+@register("stream_windows_corrected", ORACLE["stream_event_windows"])
+def q_windows_corrected(spark, sf_dir):
+    """Events in files without order, most of them behind the watermark when they arrive: first
+    results and corrections together are the batch result."""
+    ev = domain.table(spark, sf_dir, "events")
+    src, table, ck = (scratch_path(spark, x) for x in ("late_in", "late_windows", "late_ck"))
+    ev.repartition(4, "event_id").write.parquet(src)
+    Fd.run_corrected_windows(spark, src, ev.schema, table, ck, files_per_trigger=2).awaitTermination()
+    return Fd.corrected_windows(spark, table)

@@ -15,7 +15,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -45,22 +44,23 @@ class Features:
     def of(self, chunk: tk.Chunk) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(n, row, bucket) of the runs of ``n`` words in a chunk, a block of words at a time. The
         last words of a block start the next one, where only runs that end in new words count."""
-        lower = bytes(tk.LOWER)
         texts = [chunk.text(r) for r in range(chunk.high - chunk.low)]
-        joined = SEPARATOR.join(texts).translate(lower)
+        joined = SEPARATOR.join(texts).translate(bytes(tk.LOWER))
         offsets = chunk.offsets[:-1] + np.arange(len(texts))
-        found, kept = WORD.finditer(joined), []
-        while block := list(islice(found, BLOCK_WORDS)):
-            old, block = len(kept), kept + block
-            words = [m.group() for m in block]
-            row = np.searchsorted(offsets, np.fromiter((m.start() for m in block), np.int64, len(block)), "right") - 1
+        inside = np.concatenate([[False], tk.ALNUM[np.frombuffer(joined, np.uint8)]])
+        starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+        row = np.searchsorted(offsets, starts, "right") - 1
+        for low in range(0, len(starts), BLOCK_WORDS):
+            high = min(low + BLOCK_WORDS, len(starts))
+            begin = max(0, low - self.max_n + 1)                   # words of the block before, for runs that end here
+            words = WORD.findall(joined, starts[begin], starts[high] if high < len(starts) else len(joined))
+            own = row[begin:high]
             for n in range(1, min(self.max_n, len(words)) + 1):
-                whole = row[:len(row) - n + 1] == row[n - 1:]
-                whole[:max(0, old - n + 1)] = False
+                whole = own[:len(own) - n + 1] == own[n - 1:]
+                whole[:max(0, low - begin - n + 1)] = False
                 at = np.flatnonzero(whole)
-                grams = words[old:] if n == 1 else [b" ".join(words[i:i + n]) for i in at.tolist()]
-                yield n, row[at], np.fromiter(map(crc32, grams), np.int64, len(at)) % self.buckets
-            kept = block[len(block) - self.max_n + 1:] if self.max_n > 1 else []
+                grams = words[low - begin:] if n == 1 else [b" ".join(words[i:i + n]) for i in at.tolist()]
+                yield n, own[at], np.fromiter(map(crc32, grams), np.int64, len(at)) % self.buckets
 
 
 def bucket_counts(docs: DataFrame, text: str = "text", features: Features = Features()) -> DataFrame:

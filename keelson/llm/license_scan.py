@@ -134,6 +134,30 @@ def signature_rules() -> list[Rule]:
     return rules + [Rule(p, label, k, re.compile(f"(?<= )(?:{w})(?= )".encode()), 0.5) for p, label, k, w in extra]
 
 
+def uncontained(seen: list[tuple[int, int, int, int, str, float]]) -> list[tuple[int, int, str, float]]:
+    """(start, end, label, weight) of the detections, best first, that lie in none taken before them.
+
+    ``reach[i]`` holds, in the manner of a binary indexed tree over the starts, the farthest end of
+    the taken detections that begin no later: one look tells whether any of them contains a new one."""
+    starts = sorted({s for _, _, s, _, _, _ in seen})
+    place = {s: i + 1 for i, s in enumerate(starts)}
+    reach = [-1] * (len(starts) + 1)
+    taken = []
+    for _, _, start, end, label, weight in seen:
+        i, farthest = place[start], -1
+        while i:
+            farthest = max(farthest, reach[i])
+            i &= i - 1
+        if farthest >= end:
+            continue
+        taken.append((start, end, label, weight))
+        i = place[start]
+        while i < len(reach):
+            reach[i] = max(reach[i], end)
+            i += i & -i
+    return taken
+
+
 class Detector:
     def __init__(self) -> None:
         self.by_keyword: dict[bytes, list[Rule]] = {}
@@ -166,7 +190,8 @@ class Detector:
 
     def scan(self, text: bytes, keywords: set[bytes]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, float]]]:
         line = b" " + b" ".join(text.translate(self.table).split()) + b" "
-        word = lambda at: line.count(b" ", 0, at) - 1
+        blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 0x20)
+        word = lambda at: int(np.searchsorted(blanks, at)) - 1
         base = []
         for phrase, label, keyword in BASE:
             if keyword.encode() in keywords:
@@ -180,11 +205,7 @@ class Detector:
                 for m in rule.pattern.finditer(line):
                     start = word(m.start())
                     seen.append((rule.priority, start - (end := start + m.group().count(b" ") + 1), start, end, rule.label, rule.weight))
-        taken: list[tuple[int, int, str, float]] = []
-        for _, _, start, end, label, weight in sorted(seen):
-            if not any(a <= start and end <= b for a, b, _, _ in taken):
-                taken.append((start, end, label, weight))
-        return sorted(base), sorted(taken)
+        return sorted(base), sorted(uncontained(sorted(seen)))
 
 
 def license_report(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .columns import ascii_lower, strip, whole
+from .columns import ascii_lower, let, strip, whole
 from .tables import fresh, written
 
 KEY = ["h1", "h2"]
@@ -24,19 +24,30 @@ KEY = ["h1", "h2"]
 NO_ID = -(1 << 63)
 
 
-def line_hash(line: Column) -> Column:
-    key = strip(line)
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))
+def _same_rows(doc_id: str, text: str) -> Column:
+    """Tells rows without a doc_id apart by their text (0 where there is an id): nothing that is
+    gathered by document gathers the rows of all of them."""
+    return F.when(F.col(doc_id).isNull(), F.xxhash64(whole(text))).otherwise(F.lit(0).cast("long"))
 
 
 def line_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20) -> DataFrame:
-    """(doc_id, h1, h2): the distinct keys of each document's lines of ``min_chars`` code points
-    or more. Keys are lines stripped of ASCII white space with A-Z lower-cased."""
-    lines = F.filter(F.split(ascii_lower(whole(text)), "\n", -1),
-                     lambda x: F.char_length(strip(x)) >= min_chars)
-    keys = F.array_distinct(F.transform(lines, line_hash))
-    return docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).alias("doc_id"),
-                       F.explode(keys).alias("key")).select("doc_id", "key.h1", "key.h2")
+    """(doc_id, own, place, first, h1, h2): every line of ``min_chars`` code points or more by its key, its
+    number in the text, and whether it is the first of its key there. Keys are lines stripped of ASCII
+    white space with A-Z lower-cased. Equal keys of a text meet by sorting, so the cost of a text of n
+    lines is n log n."""
+    long = F.filter(F.transform(F.split(ascii_lower(whole(text)), "\n", -1), lambda x, i: F.struct(strip(x).alias("x"), i.alias("i"))),
+                    lambda x: F.char_length(x["x"]) >= min_chars)
+    keys = F.sort_array(F.transform(long, lambda x: F.struct(
+        F.xxhash64(x["x"]).alias("h1"), F.xxhash64(F.lit(1), x["x"]).alias("h2"), x["i"].alias("place"))))
+    # The hashes as arrays of their own: a field of an array's element would be taken from all of them.
+    part = lambda s, name: F.transform(s, lambda x: x[name])
+    same = lambda h, x, i: F.coalesce(F.get(h, i - 1) == x, F.lit(False))
+    told = let(keys, lambda s: let(part(s, "h1"), lambda one: let(part(s, "h2"), lambda two: F.transform(s, lambda x, i: F.struct(
+        x["place"].alias("place"), (~(same(one, x["h1"], i) & same(two, x["h2"], i))).alias("first"),
+        x["h1"].alias("h1"), x["h2"].alias("h2"))))))
+    # Told apart before the lines are dealt out, or each line would carry the text along.
+    held = docs.select(F.coalesce(F.col(doc_id), F.lit(NO_ID)).alias("doc_id"), _same_rows(doc_id, text).alias("own"), told.alias("keys"))
+    return held.select("doc_id", "own", F.explode("keys").alias("key")).select("doc_id", "own", "key.*")
 
 
 @dataclass
@@ -49,7 +60,7 @@ class LineRuns:
 
     def add(self, keys: DataFrame) -> None:
         """Add one batch of ``line_keys`` as a run, then compact the levels that are full."""
-        run = keys.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("top"))
+        run = keys.filter("first").groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("top"))
         self._put(run, 0)
 
     def _put(self, run: DataFrame, level: int) -> None:
@@ -75,12 +86,13 @@ class LineRuns:
         """The keys of a batch that no run holds (anti-join with the runs): keep-first use over
         a stream of batches is ``novel(batch)`` and then ``add(batch)``."""
         runs = self.merged()
+        keys = keys.filter("first")
         return keys if runs is None else keys.join(runs.hint("merge"), KEY, "left_anti")
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20,
                    min_docs: int = 3, batches: int = 4, fanout: int = 4) -> DataFrame:
-    """(doc_id, dropped): for each document that loses lines, the hashes of those lines.
+    """(doc_id, own, dropped): for each document that loses lines, the numbers of those lines.
 
     The keys are written once, in ``batches`` parts by doc_id hash; each part becomes a run.
     Afterwards the merged runs name the keys found in ``min_docs`` documents, and a document
@@ -90,15 +102,15 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     path = scratch_path(spark, "line-keys")
     (line_keys(docs, doc_id, text, min_chars)
-     .withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
+     .withColumn("batch", F.pmod(F.xxhash64("doc_id", "own"), F.lit(batches)).cast("int"))
      .write.partitionBy("batch").parquet(path))
-    keys = spark.read.schema("doc_id long, h1 long, h2 long, batch int").parquet(path)
+    keys = spark.read.schema("doc_id long, own long, place int, first boolean, h1 long, h2 long, batch int").parquet(path)
     runs = LineRuns(spark, fanout)
     for b in range(batches):
         runs.add(keys.filter(F.col("batch") == b).drop("batch"))
     doomed = written(runs.merged().filter(F.col("n_docs") >= min_docs).select(*KEY, "top"), "line-doomed")
     return (keys.join(doomed.hint("merge"), KEY).filter(F.col("doc_id") < F.col("top"))
-            .groupBy("doc_id").agg(F.collect_list(F.struct(*KEY)).alias("dropped")))
+            .groupBy("doc_id", "own").agg(F.collect_set("place").alias("dropped")))
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20,
@@ -111,18 +123,18 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     and all rows with the largest doc_id keep the line. A column of that name is replaced. An
     empty table gives an empty result."""
     docs = docs.drop(name)
-    holder, dropped, left = (fresh(docs, x) for x in ("holder", "dropped", "left"))
+    holder, twin, dropped, left = (fresh(docs, x) for x in ("holder", "twin", "dropped", "left"))
     drops = repeated_lines(docs, doc_id, text, min_chars, **options).select(
-        F.col("doc_id").alias(holder), F.col("dropped").alias(dropped))
+        F.col("doc_id").alias(holder), F.col("own").alias(twin), F.col("dropped").alias(dropped))
     lines = F.split(whole(text), "\n", -1)
-    stays = F.when(F.col(dropped).isNull(), lines).otherwise(F.filter(lines, lambda x: ~(
-        (F.char_length(strip(x)) >= min_chars)
-        & F.array_contains(F.col(dropped), line_hash(ascii_lower(x))))))
+    kept = let(lines, lambda ls: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col(dropped)), lambda i: F.get(ls, i)))
+    stays = F.when(F.col(dropped).isNull(), lines).otherwise(kept)
     report = F.struct(F.size(lines).cast("long").alias("n_lines"),
                       (F.size(lines) - F.size(F.col(left))).cast("long").alias("n_dropped"),
                       F.array_join(left, "\n").alias("kept"))
-    return (docs.join(drops, F.coalesce(docs[doc_id], F.lit(NO_ID)) == F.col(holder), "left")
-            .withColumn(left, stays).withColumn(name, report).drop(holder, dropped, left))
+    same = (F.coalesce(docs[doc_id], F.lit(NO_ID)) == F.col(holder)) & (_same_rows(doc_id, text) == F.col(twin))
+    return docs.join(drops, same, "left").withColumn(left, stays).withColumn(name, report).drop(holder, twin, dropped, left)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -69,52 +69,49 @@ def _segments(chunk: tk.Chunk, hasher: tk.Hasher, window: int) -> tuple[np.ndarr
     return row[first], first - found.first[row[first]], count, grams[of[heads]], content, found, hashes
 
 
-def _segment_rows(docs: DataFrame, window: int, tell_apart: bool) -> DataFrame:
-    """(anchor, content, id, tid, start, n) of every segment of ``docs`` (id, text)."""
+def _segment_rows(docs: DataFrame, window: int) -> DataFrame:
+    """(anchor, content, id, tid, start, n) of every segment of ``docs`` (id, tid, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = tk.Hasher(seed=31)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for chunk in tk.chunks(batch.column(1)):
-                row, start, n, anchor, content, found, hashes = _segments(chunk, hasher, window)
-                tid = hasher.grams(hashes, found.first[:-1], found.first[1:]) if tell_apart else np.zeros(
-                    len(found.first) - 1, np.uint64)
+            ids, tids = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            for chunk in tk.chunks(batch.column(2)):
+                row, start, n, anchor, content, _, _ = _segments(chunk, hasher, window)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)),
-                                                  pa.array(ids[chunk.low + row]), pa.array(tid[row].view(np.int64)),
+                                                  pa.array(ids[chunk.low + row]), pa.array(tids[chunk.low + row]),
                                                   pa.array(start, pa.int32()), pa.array(n, pa.int32())],
                                                  ["anchor", "content", "id", "tid", "start", "n"])
 
     return docs.mapInArrow(run, "anchor long, content long, id long, tid long, start int, n int")
 
 
-def _take_words(docs: DataFrame, wanted: DataFrame, window: int, tell_apart: bool) -> DataFrame:
+def _take_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """``wanted`` (anchor, id, tid, start, n) with the words of each segment: text."""
-    per_doc = written(wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "tid", "start", "n")).alias("segments")), "substring-wanted")
-    ids = written(per_doc.select("id"), "substring-ids")
-    texts = docs.join(small_side(ids), "id", "left_semi").join(per_doc, "id")
+    per_doc = written(wanted.groupBy(*DOC).agg(F.collect_list(F.struct("anchor", "start", "n")).alias("segments")), "substring-wanted")
+    ids = written(per_doc.select(*DOC), "substring-ids")
+    # Of rows that repeat exactly one is read.
+    texts = docs.join(small_side(ids), DOC, "left_semi").dropDuplicates(DOC).join(per_doc, DOC)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = tk.Hasher(seed=31)
         for batch in batches:
-            for chunk in tk.chunks(batch.column(1)):
+            for chunk in tk.chunks(batch.column(2)):
                 found = tk.words(chunk, tk.NOT_SPACE)
-                tid = (hasher.grams(hasher.words(chunk, found), found.first[:-1], found.first[1:]).view(np.int64)
-                       if tell_apart else np.zeros(len(found.first) - 1, np.int64))
                 out: dict[str, list] = {c: [] for c in ("anchor", "id", "tid", "start", "n", "text")}
                 for r in range(chunk.high - chunk.low):
-                    i = batch.column(0)[chunk.low + r].as_py()
-                    for s in batch.column(2)[chunk.low + r].as_py():
-                        if s["tid"] == tid[r]:
-                            a = found.first[r] + s["start"]
-                            text = chunk.data[found.starts[a]:found.ends[a + s["n"] + window - 2]].tobytes()
-                            for c, v in (("anchor", s["anchor"]), ("id", i), ("tid", s["tid"]), ("start", s["start"]), ("n", s["n"]), ("text", text)):
-                                out[c].append(v)
+                    i, t = (batch.column(c)[chunk.low + r].as_py() for c in (0, 1))
+                    for s in batch.column(3)[chunk.low + r].as_py():
+                        a = found.first[r] + s["start"]
+                        text = chunk.data[found.starts[a]:found.ends[a + s["n"] + window - 2]].tobytes()
+                        for c, v in (("anchor", s["anchor"]), ("id", i), ("tid", t), ("start", s["start"]), ("n", s["n"]), ("text", text)):
+                            out[c].append(v)
                 yield pa.RecordBatch.from_pydict(out, schema)
 
     schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("tid", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("text", pa.binary())])
-    return texts.select("id", "text", "segments").mapInArrow(run, "anchor long, id long, tid long, start int, n int, text binary")
+    return texts.select(*DOC, "text", "segments").mapInArrow(run, "anchor long, id long, tid long, start int, n int, text binary")
 
 
+# Which text a place is in.
+DOC = ["id", "tid"]
 SEPARATE = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -155,7 +152,7 @@ def _later(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(firsts, key).filter(F.struct("id", "start") > F.col("first")).select("id", "tid", "start", "n")
 
 
-def _contested(docs: DataFrame, entries: DataFrame, window: int, tell_apart: bool) -> DataFrame | None:
+def _contested(docs: DataFrame, entries: DataFrame, window: int) -> DataFrame | None:
     """(id, tid, start, n): repeats among reference entries that share an anchor but not all words."""
     sizes = entries.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1")
     wanted = written(entries.join(sizes, "anchor"), "substring-contested")
@@ -163,7 +160,7 @@ def _contested(docs: DataFrame, entries: DataFrame, window: int, tell_apart: boo
     if not total:
         return None
     shards = math.ceil(total / SHARD_WORDS)
-    texts = written(_take_words(docs, wanted, window, tell_apart), "substring-texts")
+    texts = written(_take_words(docs, wanted, window), "substring-texts")
     crowded = written(wanted.filter(F.col("c") > ANCHOR_SEGMENTS).select("anchor").distinct(), "substring-crowded")
     schema = T.StructType([f for f in texts.schema.fields if f.name in ("id", "tid", "start", "n")])
     usual = texts if crowded.isEmpty() else texts.join(small_side(crowded), "anchor", "left_anti")
@@ -191,14 +188,14 @@ def _contested(docs: DataFrame, entries: DataFrame, window: int, tell_apart: boo
     return found.union(_later(windows, ["own"]))
 
 
-def repeated_windows(docs: DataFrame, window: int, tell_apart: bool) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """(id, tid, start, n): runs of ``n`` windows from word ``start`` on that stand earlier."""
-    rows = _segment_rows(docs, window, tell_apart)
+    rows = _segment_rows(docs, window)
     shared = written(rows.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor"), "substring-anchors")
     kept = written(rows.join(shared.hint("merge"), "anchor"), "substring-segments")
     key = ["anchor", "content"]
     entries = kept.groupBy(*key).agg(F.min(F.struct("id", "start", "tid", "n")).alias("e")).select("anchor", "e.*")
-    found = _contested(docs, entries, window, tell_apart)
+    found = _contested(docs, entries, window)
     later = _later(kept, key)
     return later if found is None else later.union(found)
 
@@ -216,36 +213,35 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     that name is replaced. An empty table gives an empty result. Words and
     windows are known by 64-bit hashes, reference segments by anchor and content, 128 bits."""
     docs = docs.drop(name)
-    holder, marked = fresh(docs, "holder"), fresh(docs, "marks")
-    slim = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text"))
-    tell_apart = not slim.groupBy("id").agg(F.count("*").alias("c")).filter(f"c > 1 OR id = {NO_ID}").isEmpty()
-    marks = repeated_windows(slim, window, tell_apart).groupBy("id").agg(
-        F.collect_list(F.struct("tid", "start", "n")).alias(marked)).withColumnRenamed("id", holder)
-    own_id = F.coalesce(docs[doc_id].cast("long"), F.lit(NO_ID))
-    joined = docs.join(marks, own_id == F.col(holder), "left")
+    holder, twin, marked = fresh(docs, "holder"), fresh(docs, "twin"), fresh(docs, "marks")
+    own_id = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
+    # Texts are told apart only where an id does not: what is gathered is gathered for one text.
+    ids = docs.select(own_id.alias("id"))
+    several = not ids.groupBy("id").agg(F.count("*").alias("c")).filter(f"c > 1 OR id = {NO_ID}").isEmpty()
+    own_text = F.xxhash64(F.coalesce(F.col(text), F.lit(""))) if several else F.lit(0).cast("long")
+    slim = docs.select(own_id.alias("id"), own_text.alias("tid"), F.col(text).alias("text"))
+    marks = repeated_windows(slim, window).groupBy(*DOC).agg(
+        F.collect_set(F.struct("start", "n")).alias(marked)).withColumnsRenamed({"id": holder, "tid": twin})
+    joined = docs.join(marks, (own_id == F.col(holder)) & (own_text == F.col(twin)), "left")
     at = docs.columns.index(text)
     report = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("removed", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                            T.StructField("kept", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = tk.Hasher(seed=31)
         kind = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()),
                           ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
         for batch in batches:
             out = []
             for chunk in tk.chunks(batch.column(at)):
                 found = tk.words(chunk, tk.NOT_SPACE)
-                tid = (hasher.grams(hasher.words(chunk, found), found.first[:-1], found.first[1:]).view(np.int64)
-                       if tell_apart else np.zeros(len(found.first) - 1, np.int64))
                 for r in range(chunk.high - chunk.low):
                     n = int(found.first[r + 1] - found.first[r])
                     marks, spans = batch.column(len(docs_columns))[chunk.low + r], []
                     if marks.is_valid:
-                        tids, starts, counts = (p.to_numpy(zero_copy_only=False) for p in marks.values.flatten())
-                        own = tids == tid[r]
-                        order = np.argsort(starts[own], kind="stable")
-                        for a, b in zip(starts[own][order].tolist(), (starts[own] + counts[own] + window - 1)[order].tolist(), strict=True):
+                        starts, counts = (p.to_numpy(zero_copy_only=False) for p in marks.values.flatten())
+                        order = np.argsort(starts, kind="stable")
+                        for a, b in zip(starts[order].tolist(), (starts + counts + window - 1)[order].tolist(), strict=True):
                             if spans and a <= spans[-1][1]:
                                 spans[-1][1] = max(spans[-1][1], b)
                             else:

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import sequential_id
 from .columns import let
+from .tables import fresh
 
 TEMPLATE = ("<|", "|>\n", "<|end|>\n")
 TURN = "array<struct<role:string,text:string>>"
@@ -63,27 +65,41 @@ def preference_rows(pairs: DataFrame, role: str = "assistant",
     empty masks. A null side counts as a conversation without turns. Each row is formatted by
     itself, so repeated rows give equal results; an empty table gives an empty result."""
     none = F.array().cast(TURN)
+    made = ["n_prompt_turns", "prompt", "chosen_text", "rejected_text", "chosen_mask", "rejected_mask"]
+    pairs = pairs.drop(*(c for c in pairs.columns if c.lower() in made))
+    shared, ours, theirs = (fresh(pairs, x) for x in ("shared", "ours", "theirs"))
     sides = pairs.withColumns({c: F.coalesce(F.col(c), none) for c in ("chosen", "rejected")})
     cut = sides.withColumn("n_prompt_turns", common_prefix(F.col("chosen"), F.col("rejected")))
     rest = lambda c: F.slice(c, F.col("n_prompt_turns") + 1, F.size(c))
-    return (cut.withColumns({"__p": F.slice("chosen", F.lit(1), F.col("n_prompt_turns")),
-                             "__c": rest("chosen"), "__r": rest("rejected")})
-            .withColumns({"prompt": render(F.col("__p"), template),
-                          "chosen_text": render(F.col("__c"), template), "chosen_mask": learnt(F.col("__c"), role, template),
-                          "rejected_text": render(F.col("__r"), template), "rejected_mask": learnt(F.col("__r"), role, template)})
-            .drop("chosen", "rejected", "__p", "__c", "__r"))
+    return (cut.withColumns({shared: F.slice("chosen", F.lit(1), F.col("n_prompt_turns")),
+                             ours: rest("chosen"), theirs: rest("rejected")})
+            .withColumns({"prompt": render(F.col(shared), template),
+                          "chosen_text": render(F.col(ours), template), "chosen_mask": learnt(F.col(ours), role, template),
+                          "rejected_text": render(F.col(theirs), template), "rejected_mask": learnt(F.col(theirs), role, template)})
+            .drop("chosen", "rejected", shared, ours, theirs))
 
 
 def mismatched_pairs(convs: DataFrame, role: str = "assistant") -> DataFrame:
-    """(pair_id, chosen_id, rejected_id, chosen, rejected): a conversation with an answer is chosen
-    up to its last answer if the conversation with exactly the next number has an answer, too;
-    rejected is the same history with that one's last answer. Others give no row, so gaps in the
-    numbers lose conversations, and the two sides part at the last turn or not at all."""
+    """(pair_id, chosen_id, rejected_id, chosen, rejected), one row for each conversation with an answer.
+
+    Chosen is the conversation up to its last answer. Its partner is the next conversation with an
+    answer in the order of their ids, after the last one the first; a single one is its own partner.
+    Rejected begins like chosen and goes on with the partner's turns from turn ``d`` (pair_id modulo the
+    number of chosen turns) up to the partner's last answer; where the partner ends before that, with
+    this answer alone. So pairs part at any turn. Partners are found by dense numbers of the ids, which
+    range partitions make; only ids are sorted."""
     last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == role, i)))
     own = convs.withColumn("last", last).filter(F.col("last").isNotNull())
-    other = own.select((F.col("conv_id") - 1).alias("conv_id"), F.col("conv_id").alias("rejected_id"),
-                       F.get("turns", F.col("last")).alias("answer"))
-    return (own.join(other, "conv_id")
+    numbers = sequential_id(own.select("conv_id"), ["conv_id"], "seq")
+    after = numbers.select(F.col("conv_id").alias("rejected_id"), (F.col("seq") - 1).alias("seq"))
+    total = numbers.agg(F.max("seq")).first()[0]                   # one number; the first one follows the last
+    after = after.withColumn("seq", F.when(F.col("seq") == 0, F.lit(total)).otherwise(F.col("seq")))
+    partners = numbers.join(after, "seq").select("conv_id", "rejected_id")
+    other = own.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("others"), F.col("last").alias("end"))
+    d = F.pmod(F.col("conv_id"), F.col("last") + 1).cast("int")
+    theirs = F.when(F.col("end") >= d, F.slice("others", d + 1, F.greatest(F.col("end") + 1 - d, F.lit(0)))).otherwise(
+        F.array(F.get("others", F.col("end"))))
+    return (own.join(partners, "conv_id").join(other, "rejected_id")
             .select(F.col("conv_id").alias("pair_id"), F.col("conv_id").alias("chosen_id"), "rejected_id",
                     F.slice("turns", F.lit(1), F.col("last") + 1).alias("chosen"),
-                    F.concat(F.slice("turns", F.lit(1), F.col("last")), F.array("answer")).cast(TURN).alias("rejected")))
+                    F.concat(F.slice("turns", F.lit(1), d), theirs).cast(TURN).alias("rejected")))

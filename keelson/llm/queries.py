@@ -109,28 +109,39 @@ OP9_SQL = r"""
 WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM t),
-a AS (SELECT conv_id, max(i) AS last FROM k WHERE role = 'assistant' GROUP BY conv_id),
-p AS (SELECT x.conv_id AS pair_id, y.conv_id AS rejected_id, x.last, z.role AS other_role, z.text AS other_text
-      FROM a x JOIN a y ON y.conv_id = x.conv_id + 1 JOIN k z ON z.conv_id = y.conv_id AND z.i = y.last),
-s AS (SELECT p.*, k.i, k.role, k.text, '<|' || k.role || '|>' || chr(10) || k.text || '<|end|>' || chr(10) AS shown,
-             k.i < p.last OR (k.role = p.other_role AND k.text = p.other_text) AS shared
-      FROM p JOIN k ON k.conv_id = p.pair_id AND k.i <= p.last),
-r AS (SELECT pair_id, any_value(rejected_id) AS rejected_id, any_value(other_role) AS role, any_value(other_text) AS text,
-             count(*) FILTER (WHERE shared) AS n, bool_and(shared) AS same,
-             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE shared), '') AS prompt,
-             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE NOT shared), '') AS chosen_text FROM s GROUP BY pair_id),
-o AS (SELECT *, CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || text || '<|end|>' || chr(10) END AS rejected_text FROM r)
+a AS (SELECT conv_id, max(i) AS last, row_number() OVER (ORDER BY conv_id) AS seq, count(*) OVER () AS n
+      FROM k WHERE role = 'assistant' GROUP BY conv_id),
+p AS (SELECT x.conv_id AS pair_id, y.conv_id AS rejected_id, x.last, y.last AS stop,
+             ((x.conv_id % x.last) + x.last) % x.last AS d FROM a x JOIN a y ON y.seq = x.seq % x.n + 1),
+c AS (SELECT pair_id, i, role, text FROM p JOIN k ON k.conv_id = pair_id AND k.i <= last),
+r AS (SELECT pair_id, i, role, text FROM p JOIN k ON k.conv_id = pair_id AND k.i <= d
+      UNION ALL SELECT pair_id, i, role, text FROM p JOIN k ON k.conv_id = rejected_id AND k.i > d AND k.i <= stop
+      UNION ALL SELECT pair_id, d + 1, role, text FROM p JOIN k ON k.conv_id = rejected_id AND k.i = stop WHERE stop <= d),
+m AS (SELECT pair_id, coalesce(c.i, r.i) AS i, coalesce(c.role = r.role AND c.text = r.text, false) AS same
+      FROM c FULL JOIN r USING (pair_id, i)),
+n AS (SELECT pair_id, coalesce(min(i) FILTER (WHERE NOT same), max(i) + 1) - 1 AS n FROM m GROUP BY pair_id),
+s AS (SELECT pair_id, 'c' AS side, i, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown FROM c
+      UNION ALL SELECT pair_id, 'r', i, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) FROM r),
+e AS (SELECT s.*, n, CAST(sum(length(shown)) OVER (PARTITION BY pair_id, side, i > n ORDER BY i) AS BIGINT) AS stop_at FROM s JOIN n USING (pair_id)),
+o AS (SELECT pair_id, any_value(n) AS n,
+             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE side = 'c' AND i <= n), '') AS prompt,
+             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE side = 'c' AND i > n), '') AS chosen_text,
+             coalesce(string_agg(shown, '' ORDER BY i) FILTER (WHERE side = 'r' AND i > n), '') AS rejected_text,
+             coalesce(string_agg((stop_at - length(shown) + length(role) + 5) || '-' || stop_at, ',' ORDER BY i)
+                      FILTER (WHERE side = 'c' AND i > n AND role = 'assistant'), '') AS chosen_mask,
+             coalesce(string_agg((stop_at - length(shown) + length(role) + 5) || '-' || stop_at, ',' ORDER BY i)
+                      FILTER (WHERE side = 'r' AND i > n AND role = 'assistant'), '') AS rejected_mask
+      FROM e GROUP BY pair_id)
 SELECT pair_id, pair_id AS chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, prompt, chosen_text, rejected_text,
-       CASE WHEN same THEN '' ELSE '14-' || CAST(length(chosen_text) AS VARCHAR) END AS chosen_mask,
-       CASE WHEN same THEN '' ELSE '14-' || CAST(length(rejected_text) AS VARCHAR) END AS rejected_mask
-FROM o
+       chosen_mask, rejected_mask
+FROM o JOIN p USING (pair_id)
 """
 
 
 @query("op9_preference_pairs", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation with an answer whose next number has one, too, against the same history
-    with that neighbour's answer."""
+    """Every conversation with an answer against a conversation that leaves it at some turn for the
+    next one's turns."""
     pairs = preference.mismatched_pairs(preference.conversations(table(spark, sf_dir, "conversations")))
     shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
     rows = preference.preference_rows(pairs)

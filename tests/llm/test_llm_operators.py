@@ -357,13 +357,26 @@ def test_conversations_and_pairs(spark):
     convs = preference.conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
     assert {r.conv_id: len(r.turns) for r in convs.collect()} == {1: 3, 2: 2, 3: 1, 5: 2, 6: 2}
     got = {r.pair_id: r for r in preference.preference_rows(preference.mismatched_pairs(convs)).collect()}
-    assert sorted(got) == [1, 5]
+    assert {k: r.rejected_id for k, r in got.items()} == {1: 2, 2: 5, 5: 6, 6: 1}   # whatever the gaps, and around the end
     one, same = got[1], got[5]
     assert one.n_prompt_turns == 1 and one.prompt == "<|user|>\nhi<|end|>\n"
     assert one.chosen_text == "<|assistant|>\nhello<|end|>\n" and one.rejected_text == "<|assistant|>\nno<|end|>\n"
     (span,) = one.chosen_mask
     assert one.chosen_text[span.start:span.end] == "hello<|end|>\n"
     assert same.n_prompt_turns == 2 and same.chosen_text == same.rejected_text == "" and same.chosen_mask == []
+    assert got[2].n_prompt_turns == 0 and got[2].rejected_text.startswith("<||>\nodd")    # parts at the first turn
+    alone = preference.mismatched_pairs(convs.filter("conv_id = 6")).collect()
+    assert [(r.pair_id, r.rejected_id, r.chosen == r.rejected) for r in alone] == [(6, 6, True)]
+    assert preference.mismatched_pairs(convs.filter("conv_id = 3")).count() == 0
+
+
+def test_every_answered_conversation_is_paired(spark, sf_dir):
+    convs = preference.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet").filter("conv_id % 7 != 3"))
+    answered = convs.filter(F.exists("turns", lambda t: t["role"] == "assistant"))
+    rows = preference.preference_rows(preference.mismatched_pairs(convs)).collect()
+    assert len(rows) == answered.count() and {r.pair_id for r in rows} == {r.conv_id for r in answered.collect()}
+    assert len({r.rejected_id for r in rows}) == len(rows)
+    assert len({r.n_prompt_turns for r in rows}) > 1
 
 
 def test_preference_prefixes(spark):
@@ -382,8 +395,57 @@ def test_preference_prefixes(spark):
     assert preference.preference_rows(pairs.limit(0)).count() == 0
 
 
+def test_preference_rows_replace_clashing_columns(spark):
+    kind = "array<struct<role:string,text:string>>"
+    pairs = spark.createDataFrame([([("user", "a")], [("user", "b")], "x", "y", "z", 1)],
+                                  f"chosen {kind}, rejected {kind}, prompt string, shared string, __p string, n_prompt_turns int")
+    (row,) = preference.preference_rows(pairs).collect()
+    assert row.prompt == "" and row.shared == "y" and row["__p"] == "z" and row.n_prompt_turns == 0
+
+
 # ---- lines
 
+def test_rows_without_ids_are_told_apart(spark):
+    # Many rows without an id: what is gathered for one of them is its own.
+    shared = [f"a line that many of the rows hold, number {i}" for i in range(60)]
+    rows = [(None, "\n".join([f"own line of the row number {i}", *shared[i % 50:i % 50 + 5]])) for i in range(1500)]
+    rows += [(None, rows[0][1])] * 300 + [(7, shared[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    drops = line_dedup.repeated_lines(docs)
+    assert drops.agg(F.max(F.size("dropped"))).first()[0] <= 5 and drops.count() <= 1500
+    got = line_dedup.drop_repeated_lines(docs).select("doc_id", "lines.n_lines", "lines.n_dropped", "lines.kept")
+    assert rows_of(got) == key(brute.lines(rows))
+    words = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    passages = [(None, words(i % 400) + " " + words(1000 + i)) for i in range(800)]
+    spans = substring_dedup.without_repeats(spark.createDataFrame(passages, "doc_id long, text string"))
+    assert rows_of(spans.select("doc_id", "substrings.n_words", "substrings.n_removed", "substrings.kept")) == key(brute.substrings(passages))
+
+
+def test_long_texts_of_many_lines(spark):
+    lines = [f"this is line number {i} of a long text" for i in range(100_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(reversed(lines))), (3, "\n".join(lines + lines))], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped, len(r.kept)) for r in line_dedup.drop_repeated_lines(docs).select("doc_id", "lines.*").collect()}
+    assert got == {1: (100_000, 100_000, 0), 2: (100_000, 100_000, 0), 3: (200_000, 0, 2 * len("\n".join(lines)) + 1)}
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_uncontained_detections(seed):
+    rng = random.Random(seed)
+    seen = sorted((rng.randint(0, 2), -n, a, a + n, rng.choice("xy"), 0.5) for n, a in ((rng.randint(1, 6), rng.randint(0, 25)) for _ in range(30)))
+    taken = []
+    for _, _, start, end, label, weight in seen:
+        if not any(a <= start and end <= b for a, b, _, _ in taken):
+            taken.append((start, end, label, weight))
+    assert license_scan.uncontained(seen) == taken
+
+
+def test_long_texts_of_license_lines():
+    line = "All rights reserved. Licensed under the Apache License, Version 2.0. cc by General Public License, without warranty.\n"
+    ((n, base, taken),) = license_scan.Detector().rows(next(tk.chunks(pa.array([line * 3_000]))))
+    assert len(base) == 9_000 and n == 18 * 3_000 and {(b - a) > 0 for a, b, _, _ in taken} == {True}
+    assert len(taken) % 3_000 == 0                       # every line is like the first
+
+
 @pytest.mark.parametrize("batches, fanout", [(4, 4), (7, 2), (1, 2)])
 def test_lines_match_brute_force(spark, edge, edge_rows, batches, fanout):
     got = line_dedup.drop_repeated_lines(edge, batches=batches, fanout=fanout)

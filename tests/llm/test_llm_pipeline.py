@@ -18,7 +18,7 @@ def test_stages_are_in_order_and_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_runs", "near_duplicates", "benchmark_passages", "sequences"]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.QUERIES) <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and set(queries.QUERIES) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +33,8 @@ def tables(spark, edge, tmp_path_factory):
     spark.createDataFrame([(0, 1, 0), (20, 1, 0), (83, 0, 0), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
     spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", None), (2, 1, "assistant", "no")],
                           "conv_id long, turn long, role string, text string").write.parquet(f"{root}/conversations.parquet")
+    spark.createDataFrame([(1, "u", "<p>some text"), (2, None, None), (2, "u", "")], "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
+    spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 0.5]), (3, None), (4, [float("nan"), 1.0])], "vec_id long, embedding array<float>").write.parquet(f"{root}/embeddings.parquet")
     return root
 
 
@@ -85,7 +87,11 @@ def test_queries_on_edge_tables(spark, tables):
         assert len(set(got.columns)) == len(got.columns)
         n = got.count()
         if name.startswith("op9"):
-            assert n == 1
+            assert n == 2
+        elif name.startswith("op12"):
+            assert n == 3
+        elif name.startswith("op13"):
+            assert n == 2 * 2
         elif name.startswith("op6"):
             assert n >= rows
         else:

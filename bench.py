@@ -48,7 +48,7 @@ def main():
     for _ in range(3):                 # JVM/JIT warm-up before anything is timed
         sinks.run_noop(registry.gold_daily(spark, sf, "broadcast"))
 
-    # 1. Silver from raw, and everything after it from a silver table that is already written:
+    # 1. Silver from the written bronze table, and everything after it from a silver table that is written:
     # the gold tables with a broadcast and with a sort-merge join to the dimension.
     q["silver_trips"] = timed(lambda: registry.silver(spark, sf))
     silver_path = scratch_path(spark, "silver")

@@ -53,10 +53,13 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--silver-mode", choices=["snapshot", "merge"], default="snapshot",
                      help="merge: one silver table, each run rewrites only the months it touches")
 
+    run.add_argument("--publish", default=None, metavar="PREFIX", help="save the tables in the catalog as PREFIX_silver_trips ...")
+
     chk = sub.add_parser("check", help="checks on existing layer tables (exit 1 on failure)")
     chk.add_argument("--root", required=True)
     chk.add_argument("--run-id", required=True)
     chk.add_argument("--duration-hours", type=int, default=None)
+    chk.add_argument("--boroughs", default=None, help="accepted boroughs, comma-separated (default: the trip domain's)")
 
     sbx = sub.add_parser("sandbox", help="append one pickup day to the sandbox table")
     sbx.add_argument("--bronze", required=True)
@@ -83,12 +86,16 @@ def main(argv: list[str] | None = None) -> int:
         import dataclasses
 
         from keelson.plans import domain, runner
-        from keelson.plans.medallion import DEFAULT_VARS
+        from keelson.plans.medallion import DEFAULT_VARS, TAXI_BOROUGHS
         from keelson.sources.readers import load_seed
         fields = {f.name: f.type for f in dataclasses.fields(DEFAULT_VARS)}
-        conv = {"int": int, "float": float, "str": str}
+        conv = {"int": int, "float": float, "str": str, "tuple[str, ...]": lambda x: tuple(x.split(",")),
+                "tuple[int, ...]": lambda x: tuple(int(y) for y in x.split(","))}
+        given = dict(kv.split("=", 1) for kv in args.var)
+        if args.raw:
+            given = {"boroughs": ",".join((*TAXI_BOROUGHS, *DEFAULT_VARS.boroughs))} | given
         vars_ = dataclasses.replace(DEFAULT_VARS, **{
-            k: conv.get(str(fields[k]), str)(v) for k, v in (kv.split("=", 1) for kv in args.var)})
+            k: conv.get(str(fields[k]), str)(v) for k, v in given.items()})
         if args.raw:
             if not args.zones_csv:
                 ap.error("--raw needs --zones-csv")
@@ -101,23 +108,27 @@ def main(argv: list[str] | None = None) -> int:
             ap.error("give --sf-dir, or --raw with --zones-csv")
         res = runner.run_layers(spark, raw, seed, args.root, args.run_id, v=vars_,
                                 previous_silver=args.previous_silver, months=args.months, source_file=source,
-                                silver_mode=args.silver_mode)
+                                silver_mode=args.silver_mode, publish=args.publish)
         print(json.dumps({"silver": res.silver, "gold_daily": res.gold_daily, "gold_hourly": res.gold_hourly,
                           "checks": res.checks}))
     elif args.cmd == "check":
+        import dataclasses
+
         from keelson.operators.quality import GateFailed, run_checks
         from keelson.plans import runner
         from keelson.plans.medallion import DEFAULT_VARS
+        from keelson.session import path_exists
         root = args.root.rstrip("/")
         sp = f"{root}/silver_trips/run={args.run_id}"
-        silver = spark.read.parquet(sp if runner._table_exists(spark, sp) else f"{root}/silver_trips/table")
+        silver = spark.read.parquet(sp if path_exists(spark, sp) else f"{root}/silver_trips/table")
         zones = spark.read.parquet(f"{root}/silver_zones/run={args.run_id}")
         gp = f"{root}/gold_daily/run={args.run_id}"
-        daily = (spark.read.parquet(gp) if runner._table_exists(spark, gp)
+        daily = (spark.read.parquet(gp) if path_exists(spark, gp)
                  else spark.read.parquet(f"{root}/gold_daily/table").drop("pickup_month"))
         hourly = spark.read.parquet(f"{root}/gold_hourly/run={args.run_id}")
         hours = args.duration_hours if args.duration_hours is not None else DEFAULT_VARS.max_trip_hours
-        checks = runner.silver_checks(silver, zones, hours) + runner.gold_checks(silver, daily, hourly)
+        v = dataclasses.replace(DEFAULT_VARS, boroughs=tuple(args.boroughs.split(","))) if args.boroughs else DEFAULT_VARS
+        checks = runner.silver_checks(silver, zones, hours, v) + runner.gold_checks(silver, daily, hourly)
         rows = [(r["check"], r["failures"]) for r in run_checks(checks).collect()]
         print(json.dumps({"checks": rows}))
         if any(n for _, n in rows):

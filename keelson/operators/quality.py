@@ -7,9 +7,9 @@ per check, never the failing rows) and stops the pipeline on any failure.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keelson.functions.columns import half_up, seconds_between
@@ -90,10 +90,23 @@ def count_failures(df: DataFrame, rules: Sequence[tuple[str, Column | tuple[Colu
     return df.agg(*aggs).select(stacked.alias("s")).select("s.check", "s.failures")
 
 
-def gate(checks: Iterable[tuple[str, DataFrame]]) -> list[tuple[str, int]]:
-    """Run the checks; raise ``GateFailed`` if any fails (Q9). Returns the table of
-    (check, failures) - one row per check."""
-    rows = [(r["check"], r["failures"]) for r in run_checks(checks).collect()]
+def observed(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> tuple[DataFrame, Callable[[], list[tuple[str, int]]]]:
+    """``df``, and a function that returns (check, failures) once an action over it has run: the row
+    rules are counted by the write itself, so checking a new table costs no scan of it (Q9).
+
+    A rule is the predicate of its failing rows. Counts are exact unless a shuffle stage above the
+    observation is run again for a lost executor, which may count its rows twice; none stays none, so
+    the gate's verdict holds. The function waits for the action."""
+    seen = Observation()
+    counts = [F.coalesce(F.sum(F.when(p, 1).otherwise(0)), F.lit(0)).cast("bigint").alias(n) for n, p in rules]
+    return df.observe(seen, *counts), lambda: [(n, seen.get[n]) for n, _ in rules]
+
+
+def gate(checks: Iterable[tuple[str, DataFrame]], counted: Sequence[tuple[str, int]] = ()) -> list[tuple[str, int]]:
+    """Run the checks, next to those that are ``counted`` already; raise ``GateFailed`` if any fails
+    (Q9). Returns the table of (check, failures) - one row per check."""
+    checks = list(checks)
+    rows = list(counted) + ([(r["check"], r["failures"]) for r in run_checks(checks).collect()] if checks else [])
     failed = [(c, n) for c, n in rows if n]
     if failed:
         raise GateFailed(f"quality gate failed: {failed}")

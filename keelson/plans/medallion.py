@@ -32,10 +32,16 @@ class SilverVars:
     min_zone: int = 1
     max_zone: int = 265
     max_miles: float = 500.0
+    # What the model tests accept: the zone regions of the trip domain, and payment codes.
+    boroughs: tuple[str, ...] = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+    payments: tuple[int, ...] = (1, 2, 3, 4, 5, 6)
 
 
 DEFAULT_VARS = SilverVars()
 
+# The boroughs of the taxi zones; "Unknown" and "N/A" are legal ones.
+TAXI_BOROUGHS = ("Manhattan", "Queens", "Brooklyn", "Bronx", "Staten Island", "EWR", "Unknown", "N/A")
+
 # Fixed value: ingest time stamped on bronze rows by the registered queries, so their
 # results are reproducible (a live ingest uses current_timestamp()).
 RUN_TS = "2024-06-01 00:00:00"

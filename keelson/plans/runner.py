@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import columns as C
@@ -20,13 +20,9 @@ from keelson.operators.versions import upsert_partitions
 from keelson.plans import gold
 from keelson.plans import medallion as M
 from keelson.sources import readers as R
+from keelson.session import path_exists
 from keelson.sources import sinks
 
-# The boroughs (zone regions) and payment codes the silver tests accept.
-ACCEPTED_BOROUGHS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-ACCEPTED_PAYMENTS = [1, 2, 3, 4, 5, 6]
-
-
 @dataclass
 class RunResult:
     bronze: str
@@ -79,18 +75,50 @@ def run_incremental(bronze: DataFrame, target: DataFrame | None, v: M.SilverVars
     return target.filter(~F.col("pickup_month").isin(months)).unionByName(fresh)
 
 
-def silver_checks(silver: DataFrame, zones: DataFrame, duration_hours: int) -> list[tuple[str, DataFrame]]:
+def silver_row_rules(duration_hours: int, v: M.SilverVars = M.DEFAULT_VARS) -> list[tuple[str, Column]]:
+    """Those of ``silver_checks`` that look at one silver row at a time, as predicates of failing rows."""
+    return [
+        ("silver_trip_id_not_null", F.col("trip_id").isNull()),
+        ("silver_pickup_at_not_null", F.col("pickup_at").isNull()),
+        ("silver_payment_type_accepted", F.col("payment_type_id").isNotNull() & ~F.col("payment_type_id").isin(*v.payments)),
+        ("silver_total_amount_not_null", F.col("total_amount").isNull()),
+        ("trip_duration_sane", C.seconds_between("pickup_at", "dropoff_at") > duration_hours * 3600),
+    ]
+
+
+DAILY_ROW_RULES = [("gold_pickup_date_not_null", "pickup_date"), ("gold_trip_count_not_null", "trip_count")]
+
+
+def hourly_row_rules() -> list[tuple[str, Column]]:
+    hour = F.col("pickup_hour")
+    return [("hourly_pickup_hour_not_null", hour.isNull()), ("hourly_pickup_hour_accepted", hour.isNotNull() & ~hour.between(0, 23))]
+
+
+def _write_observed(df: DataFrame, path: str, rules: list[tuple[str, Column]], partition_by=()) -> list[tuple[str, int]]:
+    """Write ``df`` and return (check, failures) of the rules, counted by the write."""
+    df, counted = Q.observed(df, rules)
+    sinks.rebuild(df, path, partition_by)
+    return counted()
+
+
+def _scanned(df: DataFrame, rules: list[tuple[str, Column]]) -> list[tuple[str, int]]:
+    """The same counts by one scan of a table of which only a part has been written."""
+    return [(r["check"], r["failures"]) for r in Q.count_failures(df, rules).collect()]
+
+
+def silver_checks(silver: DataFrame, zones: DataFrame, duration_hours: int,
+                  v: M.SilverVars = M.DEFAULT_VARS) -> list[tuple[str, DataFrame]]:
     """The silver model tests (Q1-Q5)."""
     return [
         ("silver_trip_id_unique", Q.unique(silver, "trip_id")),
         ("silver_trip_id_not_null", Q.not_null(silver, "trip_id")),
         ("silver_pickup_at_not_null", Q.not_null(silver, "pickup_at")),
         ("silver_pickup_zone_relationships", Q.relationships(silver, "pickup_zone_id", zones, "zone_id")),
-        ("silver_payment_type_accepted", Q.accepted(silver, "payment_type_id", ACCEPTED_PAYMENTS)),
+        ("silver_payment_type_accepted", Q.accepted(silver, "payment_type_id", list(v.payments))),
         ("silver_total_amount_not_null", Q.not_null(silver, "total_amount")),
         ("zones_zone_id_unique", Q.unique(zones, "zone_id")),
         ("zones_zone_id_not_null", Q.not_null(zones, "zone_id")),
-        ("zones_borough_accepted", Q.accepted(zones, "borough", ACCEPTED_BOROUGHS)),
+        ("zones_borough_accepted", Q.accepted(zones, "borough", list(v.boroughs))),
         ("trip_duration_sane", Q.duration_sane(silver, duration_hours)),
     ]
 
@@ -106,19 +134,11 @@ def gold_checks(silver: DataFrame, daily: DataFrame, hourly: DataFrame) -> list[
     ]
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
-
-
 def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str, run_id: str,
                v: M.SilverVars = M.DEFAULT_VARS, previous_silver: str | None = None,
                months: list[str] | None = None, duration_hours: int | None = None,
                source_file: str | None = None, ingested_at: str | None = None,
-               silver_mode: str = "snapshot") -> RunResult:
+               silver_mode: str = "snapshot", publish: str | None = None) -> RunResult:
     """One layer run (§3.2): bronze (month replace) -> zones -> silver (full, or
     incremental on ``previous_silver``) -> silver gate -> gold tables -> gold gate.
 
@@ -138,6 +158,10 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     hourly gold is rolled up from per-month partials. As with an incremental model
     updated in place, merge-mode tables are written before their gate runs; a failing
     gate still stops everything downstream.
+
+    Row checks of a newly written table are counted while it is written. ``publish`` is a prefix: once
+    the last gate has passed, the tables of the run are catalog tables ``<publish>_silver_trips`` and
+    so on, over the run's files.
     """
     root = root.rstrip("/")
     res = RunResult(bronze=f"{root}/bronze", zones=f"{root}/silver_zones/run={run_id}",
@@ -148,9 +172,11 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
     sinks.rebuild(M.silver_zones(seed), res.zones)
     zones = spark.read.parquet(res.zones)
     touched: list[str] | None = None          # None = every month (full build)
+    hours = duration_hours if duration_hours is not None else v.max_trip_hours
+    rules = silver_row_rules(hours, v)
     if silver_mode == "merge":
         res.silver = f"{root}/silver_trips/table"
-        if _table_exists(spark, res.silver):
+        if path_exists(spark, res.silver):
             current = R.read_partitioned(spark, res.silver)
             fresh = M.silver_trips(M.since_watermark(bronze, current), v)
             touched = upsert_partitions(spark, res.silver, fresh, ["trip_id"], "pickup_month",
@@ -159,12 +185,15 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
             sinks.rebuild(M.silver_trips(bronze, v), res.silver, partition_by=["pickup_month"])
     elif silver_mode == "snapshot":
         target = spark.read.parquet(previous_silver) if previous_silver else None
-        sinks.rebuild(M.silver_trips(bronze, v, target), res.silver, partition_by=["pickup_month"])
+        row_counts = _write_observed(M.silver_trips(bronze, v, target), res.silver, rules, ["pickup_month"])
     else:
         raise ValueError(f"unknown silver_mode {silver_mode!r}")
     silver = R.read_partitioned(spark, res.silver)
-    hours = duration_hours if duration_hours is not None else v.max_trip_hours
-    res.checks += Q.gate(silver_checks(silver, zones, hours))
+    if silver_mode == "merge":
+        row_counts = _scanned(silver, rules)
+    done = {name for name, _ in rules}
+    res.checks += Q.gate([c for c in silver_checks(silver, zones, hours, v) if c[0] not in done], row_counts)
+    daily_rules = [(n, F.col(c).isNull()) for n, c in DAILY_ROW_RULES]
     if silver_mode == "merge":
         # gold daily groups by date, so it is kept month-partitioned and only the months
         # this run touched are recomputed (from pruned silver partitions) and replaced.
@@ -186,13 +215,19 @@ def run_layers(spark: SparkSession, raw: DataFrame, seed: DataFrame, root: str,
         elif touched:
             (p.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("pickup_month").parquet(parts_path))
-        sinks.rebuild(gold.hourly_from_parts(R.read_partitioned(spark, parts_path)), res.gold_hourly)
+        row_counts = _scanned(daily, daily_rules)
+        row_counts += _write_observed(gold.hourly_from_parts(R.read_partitioned(spark, parts_path)), res.gold_hourly, hourly_row_rules())
     else:
-        sinks.rebuild(gold.daily_zone_revenue(silver, zones), res.gold_daily)
+        row_counts = _write_observed(gold.daily_zone_revenue(silver, zones), res.gold_daily, daily_rules)
         daily = spark.read.parquet(res.gold_daily)
-        sinks.rebuild(gold.hourly_demand(silver, zones), res.gold_hourly)
+        row_counts += _write_observed(gold.hourly_demand(silver, zones), res.gold_hourly, hourly_row_rules())
     hourly = spark.read.parquet(res.gold_hourly)
-    res.checks += Q.gate(gold_checks(silver, daily, hourly))
+    done = {name for name, _ in row_counts}
+    res.checks += Q.gate([c for c in gold_checks(silver, daily, hourly) if c[0] not in done], row_counts)
+    if publish:
+        for name, path in (("bronze_trips", res.bronze), ("silver_zones", res.zones), ("silver_trips", res.silver),
+                           ("gold_daily_zone_revenue", res.gold_daily), ("gold_hourly_demand", res.gold_hourly)):
+            sinks.publish(spark, f"{publish}_{name}", path)
     return res
 
 

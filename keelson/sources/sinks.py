@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -76,6 +76,15 @@ def save_named(df: DataFrame, name: str, path: str | None = None, mode: str = "o
     w.saveAsTable(name)
 
 
+def publish(spark: SparkSession, name: str, path: str) -> None:
+    """A written table as the external catalog table ``name`` (K8). A table of that name gives way:
+    readers by name see either the old files or the new ones, and no file is touched."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int,
                    sort: bool = True, mode: str = "overwrite") -> None:
     """Catalog table bucketed (and sorted) by ``keys`` at ``path``. Two tables bucketed

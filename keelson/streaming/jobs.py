@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from keelson.functions.columns import cents, instant_from_ntz, ntz_from_instant, year_month
+from keelson.functions.columns import cents, instant_from_ntz, ntz_from_instant
 from keelson.operators.keyed import dedup_first
 from keelson.operators.versions import upsert, upsert_partitions
+from keelson.plans.medallion import month_label
+from keelson.session import path_exists
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, bronze_path: str,
@@ -32,7 +34,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, br
     s = reader.parquet(source_dir)
     out = (s.withColumn("_source_file", F.col("_metadata.file_name"))
              .withColumn("_ingested_at", F.current_timestamp().cast("timestamp_ntz"))
-             .withColumn("_pickup_month", year_month(pickup_col)))
+             .withColumn("_pickup_month", month_label(pickup_col)))
     return (out.writeStream.format("parquet").option("path", bronze_path)
                .option("checkpointLocation", checkpoint).partitionBy("_pickup_month")
                .trigger(availableNow=True).start())
@@ -98,12 +100,7 @@ def upsert_batches_partitioned(table_path: str, keys: Sequence[str], order: Sequ
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         src = dedup_first(batch, keys, order)
-        try:
-            spark.read.parquet(table_path).schema
-            exists = True
-        except Exception:
-            exists = False
-        if exists:
+        if path_exists(spark, table_path):
             upsert_partitions(spark, table_path, src, keys, partition_col, f"{staging_root.rstrip('/')}/batch={batch_id}")
         else:
             src.write.mode("overwrite").partitionBy(partition_col).parquet(table_path)

@@ -174,3 +174,60 @@ def test_merge_mode_rewrites_only_new_months(spark, sf_dir):
     hourly = spark.read.parquet(r2.gold_hourly)
     full_hourly = G.hourly_demand(got, spark.read.parquet(r2.zones))
     assert hourly.count() == full_hourly.count() and hourly.exceptAll(full_hourly).count() == 0
+
+
+TAXI_SEED = [(4, "Manhattan", "Alphabet City", "Yellow Zone"), (2, "Queens", "Jamaica Bay", "Boro Zone"), (11, "Brooklyn", "Bath Beach", "Boro Zone"),
+             (3, "Bronx", "Allerton", "Boro Zone"), (5, "Staten Island", "Arden Heights", "Boro Zone"), (1, "EWR", "Newark Airport", "EWR"),
+             (264, "Unknown", "N/A", "N/A"), (265, "N/A", "Outside of NYC", "N/A")]
+
+
+@pytest.mark.parametrize("mode", ["snapshot", "merge"])
+def test_run_on_own_files_with_taxi_boroughs(spark, sf_dir, tmp_path, capsys, mode):
+    import json
+
+    from keelson.__main__ import main
+
+    zones = [z for z, *_ in TAXI_SEED]
+    pick = lambda c: F.element_at(F.array(*[F.lit(z) for z in zones]), (F.pmod(F.xxhash64(c), F.lit(8)) + 1).cast("int"))
+    raw = domain.raw_trips(spark, sf_dir).withColumn("PULocationID", pick("PULocationID")).withColumn("DOLocationID", pick("DOLocationID"))
+    raw.write.parquet(f"{tmp_path}/raw")
+    with open(f"{tmp_path}/zones.csv", "w") as f:
+        f.write("LocationID,Borough,Zone,service_zone\n" + "".join(",".join(map(str, r)) + "\n" for r in TAXI_SEED))
+    args = ["run", "--raw", f"{tmp_path}/raw", "--zones-csv", f"{tmp_path}/zones.csv", "--root", f"{tmp_path}/lake", "--run-id", "1",
+            "--silver-mode", mode, "--publish", f"own_{mode}"]
+    assert main(args) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(out["checks"]) == 15 and all(n == 0 for _, n in out["checks"])
+    daily = spark.read.parquet(out["gold_daily"])
+    assert {r[0] for r in daily.select("borough").distinct().collect()} == {b for _, b, *_ in TAXI_SEED}
+    assert spark.table(f"own_{mode}_gold_daily_zone_revenue").count() == daily.count()
+    assert spark.table(f"own_{mode}_silver_trips").count() == spark.read.parquet(out["silver"]).count() > 0
+    with pytest.raises(GateFailed):                                  # without the taxi boroughs the same files fail
+        main([*args[:8], "2", "--silver-mode", mode, "--var", "boroughs=Manhattan,Queens"])
+
+
+def test_row_checks_are_counted_while_writing(spark, tmp_path):
+    from keelson.operators import quality as Q
+
+    df = spark.range(0, 1000).select(F.when(F.col("id") % 100 == 0, F.lit(None)).otherwise(F.col("id")).alias("x"), "id").repartition(7)
+    rules = [("x_not_null", F.col("x").isNull()), ("id_small", F.col("id") >= 990), ("id_there", F.col("id").isNull())]
+    seen, counted = Q.observed(df, rules)
+    seen.write.parquet(f"{tmp_path}/t")
+    assert counted() == [("x_not_null", 10), ("id_small", 10), ("id_there", 0)]
+    assert [(r["check"], r["failures"]) for r in Q.count_failures(spark.read.parquet(f"{tmp_path}/t"), rules).collect()] == counted()
+    with pytest.raises(GateFailed):
+        Q.gate([], counted())
+    empty, none = Q.observed(df.limit(0), rules)
+    empty.write.parquet(f"{tmp_path}/e")
+    assert Q.gate([], none()) == [(n, 0) for n, _ in rules]
+
+
+def test_a_table_that_cannot_be_read_is_not_taken_for_missing(spark, tmp_path):
+    from keelson.streaming import jobs
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("no parquet")
+    fn = jobs.upsert_batches_partitioned(f"{tmp_path}/t", ["k"], ["k"], "p", f"{tmp_path}/stage")
+    with pytest.raises(Exception):
+        fn(spark.createDataFrame([(1, "a")], "k int, p string"), 0)
+    assert (tmp_path / "t" / "part-0.parquet").read_text() == "no parquet"

@@ -1446,3 +1446,45 @@ def q_windows_corrected(spark, sf_dir):
     ev.repartition(4, "event_id").write.parquet(src)
     Fd.run_corrected_windows(spark, src, ev.schema, table, ck, files_per_trigger=2).awaitTermination()
     return Fd.corrected_windows(spark, table)
+
+
+# ----------------------------------------------------------------------------- malformed input and sketches
+
+
+@register("csv_quarantine", """
+SELECT 'rows' AS kind, count(*) AS records, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders WHERE o_orderkey % 25 NOT IN (1, 2, 3)
+UNION ALL
+SELECT 'quarantine', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey % 25 IN (1, 2, 3)""")
+def q_csv_quarantine(spark, sf_dir):
+    """Orders as text, some lines cut off, some with N/A for a price, some with a quote that is
+    not closed: every record is a row or in quarantine, word for word."""
+    o = domain.table(spark, sf_dir, "orders")
+    key, rest = F.col("o_orderkey").cast("string"), [F.col(c).cast("string") for c in ("o_custkey", "o_totalprice", "o_orderpriority")]
+    kind = F.pmod("o_orderkey", F.lit(25))
+    line = (F.when(kind == 1, F.concat_ws(",", key, rest[0])).when(kind == 2, F.concat_ws(",", key, rest[0], F.lit("N/A"), rest[2]))
+            .when(kind == 3, F.concat_ws(",", key, F.concat(F.lit('"'), rest[0]), rest[1], rest[2]))
+            .otherwise(F.concat_ws(",", key, *rest)))
+    src = scratch_path(spark, "broken_csv")
+    o.select(line.alias("value")).write.text(src)
+    good, bad = R.read_quarantined(spark, src, "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string",
+                                   scratch_path(spark, "parsed_csv"), header=False)
+    one = lambda df, name, k: df.agg(F.count(F.lit(1)).alias("records"), F.sum(k).alias("key_sum")).select(F.lit(name).alias("kind"), "records", "key_sum")
+    return one(good, "rows", F.col("o_orderkey")).unionByName(one(bad, "quarantine", F.substring_index("record", ",", 1).cast("long")))
+
+
+@register("sketch_profile", """
+SELECT 'hot_key' AS what, count(*) AS rows, true AS within FROM lineitem
+UNION ALL SELECT 'quantile ' || p, (SELECT count(*) FROM lineitem), true FROM (SELECT unnest(['0.25', '0.5', '0.75', '0.95']) AS p)""")
+def q_sketch_profile(spark, sf_dir):
+    """Sketches of the skewed line items, one a line number, merged: the hot key's count is
+    within a thousandth of the exact one, and the rank of every quantile within a fiftieth."""
+    k = skewed_lines(spark, sf_dir)
+    one = X.merged(S.materialize(X.sketches(k, "l_suppkey", "l_orderkey", ["l_linenumber"]), scratch_path(spark, "sketches")))
+    hot = X.heavy_keys(one, 1).first()                             # one value and one a quantile reach the driver
+    points = [(r["p"], r["value"]) for r in X.sketched_quantiles(one).collect()]
+    exact = k.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("l_suppkey") == hot["key"]).alias("hot"),
+                  *[F.count_if(F.col("l_orderkey") <= v).alias(f"q{i}") for i, (_, v) in enumerate(points)])
+    n = F.col("rows")
+    told = [F.struct(F.lit("hot_key").alias("what"), ((F.abs(F.col("hot") - hot["n"]) <= n / 1000) & (F.col("hot") > n / 2)).alias("within"))]
+    told += [F.struct(F.lit(f"quantile {p}").alias("what"), (F.abs(F.col(f"q{i}") / n - p) <= 0.02).alias("within")) for i, (p, _) in enumerate(points)]
+    return exact.select("rows", F.explode(F.array(*told)).alias("x")).select("x.what", "rows", "x.within")

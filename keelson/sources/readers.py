@@ -66,3 +66,28 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str
 def read_named(spark: SparkSession, name: str) -> DataFrame:
     """Catalog table by name."""
     return spark.table(name)
+
+
+def read_quarantined(spark: SparkSession, path: str, schema: T.StructType | str, parsed_path: str,
+                     fmt: str = "csv", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of CSV or NDJSON files with declared types.
+
+    A record that does not fit the schema - too few or too many fields, text such as "N/A" in a
+    numeric column, a quote that swallows the fields behind it, broken JSON - goes to the quarantine as it stands, with
+    its file; every other record is a row. The files are parsed once, into ``parsed_path``: both frames
+    read that table, so they add up to the records of the files and a lost executor cannot change the
+    split. Records are lines: one bad quote cannot swallow the records behind it."""
+    typed = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    bad, file = "_record", "_file"
+    whole = T.StructType([*typed.fields, T.StructField(bad, T.StringType())])
+    reader = spark.read.schema(whole).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad)
+    if fmt == "csv":
+        parsed = reader.option("header", header).option("quote", '"').option("escape", '"').option("multiLine", False).csv(path)
+    elif fmt == "json":
+        parsed = reader.json(path)
+    else:
+        raise ValueError(f"no quarantine for {fmt!r}")
+    parsed.withColumn(file, F.col("_metadata.file_name")).write.mode("overwrite").parquet(parsed_path)
+    stored = spark.read.parquet(parsed_path)
+    return (stored.filter(F.col(bad).isNull()).select(*[F.col(f"`{f.name}`") for f in typed.fields]),
+            stored.filter(F.col(bad).isNotNull()).select(F.col(bad).alias("record"), F.col(file).alias("file")))

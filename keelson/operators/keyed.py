@@ -7,7 +7,7 @@ aggregate, ``min/max(struct(order..., rest...))``, which always combines map-sid
 shuffle and the reducer sees one partial row per task. (Spark 3.5+ plans the same
 shape for a literal ``row_number() ... = 1`` filter via a partial WindowGroupLimit;
 the aggregate form does not depend on that rule recognizing the filter, and also
-serves the "last" fold of time travel and log replay.)
+serves the "last" fold of time travel.)
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ from keelson.functions.columns import count_if
 from keelson.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, fits_broadcast
 from keelson.operators.keyed import assert_unique, latest_by_key
 from keelson.operators.ordered import running_sum
+from keelson.session import path_exists, remove_path
 
 OPS = ("insert", "update", "delete")
 
@@ -66,9 +67,16 @@ def upsert_partitions(spark, target_path: str, source: DataFrame, keys: Sequence
     overwrite; a partition that has lost its last row is emptied. Untouched partitions are
     not written. Columns that only the source has are kept (NULL in older rows); read the
     table with merged schemas then. Returns the touched partition values, sorted.
+
+    Before the first partition is replaced, the touched values are written down next to the merged
+    rows. A run that stops between there and the end leaves a table that ``finish_upsert``, or the next
+    call with the same ``staging_path``, completes from these; use a path per merge otherwise.
     """
     keys = list(keys)
     staging_path = staging_path.rstrip("/")
+    finish_upsert(spark, target_path, partition_col, staging_path)
+    remove_path(spark, f"{staging_path}/touched")
+    remove_path(spark, f"{staging_path}/done")
     source.write.mode("overwrite").parquet(f"{staging_path}/source")
     source = spark.read.parquet(f"{staging_path}/source")
     target = spark.read.option("basePath", target_path).option("mergeSchema", True).parquet(target_path)
@@ -82,7 +90,22 @@ def upsert_partitions(spark, target_path: str, source: DataFrame, keys: Sequence
                          | (F.col(partition_col).isNull() if None in touched else F.lit(False)))
     merged = upsert(part, source, keys, broadcast_max_rows=broadcast_max_rows)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging_path}/merged")
-    staged = spark.read.schema(merged.schema).parquet(f"{staging_path}/merged")
+    value = T.StructType([T.StructField(partition_col, target.schema[partition_col].dataType)])
+    empty = merged.limit(0)
+    empty.write.mode("overwrite").parquet(f"{staging_path}/schema")
+    spark.createDataFrame([(v,) for v in touched], value).write.mode("overwrite").parquet(f"{staging_path}/touched")
+    finish_upsert(spark, target_path, partition_col, staging_path)
+    return touched
+
+
+def finish_upsert(spark, target_path: str, partition_col: str, staging_path: str) -> bool:
+    """Replace the touched partitions by the merged rows of ``staging_path``, if a merge has got that
+    far and not to its end; True if there was something to do. May run any number of times."""
+    staging_path = staging_path.rstrip("/")
+    if not path_exists(spark, f"{staging_path}/touched/_SUCCESS") or path_exists(spark, f"{staging_path}/done"):
+        return False
+    touched = [r[0] for r in spark.read.parquet(f"{staging_path}/touched").collect()]
+    staged = spark.read.schema(spark.read.parquet(f"{staging_path}/schema").schema).parquet(f"{staging_path}/merged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(target_path))
     left = {r[0] for r in staged.select(partition_col).distinct().collect()}
@@ -90,7 +113,8 @@ def upsert_partitions(spark, target_path: str, source: DataFrame, keys: Sequence
         if value not in left:
             staged.limit(0).drop(partition_col).write.mode("overwrite").parquet(
                 f"{target_path.rstrip('/')}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
-    return touched
+    staged.limit(0).write.mode("overwrite").parquet(f"{staging_path}/done")
+    return True
 
 
 def upsert_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -223,8 +247,6 @@ def rows_by_version(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return running_sum(per_v, ["version"], "delta", name="live_rows").select("version", "live_rows")
 
 
-# ----------------------------------------------------------------------------- action log
-
 # ----------------------------------------------------------------------------- schema
 
 def check_schema(df: DataFrame, target: T.StructType, evolve: bool = False) -> T.StructType:

@@ -100,6 +100,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder this library has written, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -151,3 +151,37 @@ def test_unordered_compaction_and_empty_tables(spark, sf_dir):
     none = scratch_path(spark, "none")
     li.limit(0).write.parquet(none)
     assert L.compact(spark, none, scratch_path(spark, "none_out"), order="l_partkey").count() == 0
+
+
+def test_malformed_records_go_to_quarantine(spark, tmp_path):
+    schema = "id long, zone string, fare double"
+    (tmp_path / "c").mkdir()
+    (tmp_path / "j").mkdir()
+    (tmp_path / "c" / "a.csv").write_text('id,zone,fare\n1,"Governor\'s, Island",2.5\n2,N/A,3\nx,A,1\n3,B\n4,C,N/A\n5,"D,1\n6,E,7,8\n7,,\n')
+    (tmp_path / "c" / "b.csv").write_text("id,zone,fare\n8,F,1e3\n")
+    (tmp_path / "j" / "a.json").write_text('{"id": 1, "zone": "A", "fare": 2.5}\n{"id": "x"}\n{broken\n{"id": 2}\n')
+    for fmt, folder, ids, n_bad in (("csv", "c", [1, 2, 7, 8], 5), ("json", "j", [1, 2], 2)):
+        good, bad = R.read_quarantined(spark, f"{tmp_path}/{folder}", schema, scratch_path(spark, "parsed"), fmt)
+        assert good.schema.simpleString() == "struct<id:bigint,zone:string,fare:double>"
+        assert sorted(r["id"] for r in good.collect()) == ids and bad.count() == n_bad
+        assert {r["file"] for r in bad.collect()} == {f"a.{fmt}"}
+    good, bad = R.read_quarantined(spark, f"{tmp_path}/c", schema, scratch_path(spark, "parsed"))
+    got = {r["id"]: (r["zone"], r["fare"]) for r in good.collect()}
+    assert got[1] == ("Governor's, Island", 2.5) and got[2][0] == "N/A" and got[7] == (None, None)
+    assert {r["record"] for r in bad.collect()} == {"x,A,1", "3,B", "4,C,N/A", '5,"D,1', "6,E,7,8"}
+    with pytest.raises(ValueError):
+        R.read_quarantined(spark, str(tmp_path), schema, scratch_path(spark, "parsed"), "orc")
+
+
+def test_sketches_of_parts_merge(spark):
+    from keelson.operators import skew as X
+
+    df = spark.range(0, 60_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                       (F.col("id") * 7919 % 60_000).cast("double").alias("v"), F.pmod("id", F.lit(5)).alias("part"))
+    one = X.merged(X.sketches(df, "k", "v", ["part"]))
+    assert one.first()["rows"] == 60_000
+    (hot,) = X.heavy_keys(one, 1).collect()
+    assert hot["key"] == 7 and abs(hot["n"] - 20_001) <= 60
+    for r in X.sketched_quantiles(one, [0.01, 0.5, 0.99]).collect():
+        assert abs(r["value"] / 60_000 - r["p"]) <= 0.02
+    assert "Exchange hashpartitioning(k" not in X.sketches(df, "k", "v")._jdf.queryExecution().executedPlan().toString()

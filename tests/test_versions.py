@@ -144,3 +144,33 @@ def test_overwrite_pair_keeps_history(spark):
     assert sorted(r["k"] for r in V.as_of(log, ["k"], 0).collect()) == [1, 2, 3]
     h = {r["version"]: (r["n_insert"], r["n_delete"]) for r in V.history(log).collect()}
     assert h == {0: (3, 0), 1: (3, 3)}
+
+
+def test_a_merge_that_stops_half_way_is_finished(spark, monkeypatch):
+    from keelson.session import scratch_path
+
+    path, staging = scratch_path(spark, "half"), scratch_path(spark, "half_stage")
+    base = spark.createDataFrame([(i, i % 3, "old") for i in range(30)], "k int, p int, v string")
+    base.write.partitionBy("p").parquet(path)
+    source = spark.createDataFrame([(k, 7, "new") for k in range(0, 30, 3)], "k int, p int, v string")   # empties p = 0
+    want = rows(V.upsert(base, source, ["k"]))
+    finish = V.finish_upsert
+
+    def stops(spark, target, column, staged):                         # the partitions are replaced, the emptied one is not
+        if not V.path_exists(spark, f"{staged}/touched/_SUCCESS"):
+            return False
+        merged = spark.read.schema(spark.read.parquet(f"{staged}/schema").schema).parquet(f"{staged}/merged")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(target)
+        raise KeyboardInterrupt
+
+    read = lambda: spark.read.parquet(path).select("k", "p", "v")
+    monkeypatch.setattr(V, "finish_upsert", stops)
+    with pytest.raises(KeyboardInterrupt):
+        V.upsert_partitions(spark, path, source, ["k"], "p", staging)
+    assert rows(read()) != want                                       # moved keys are there twice
+    monkeypatch.setattr(V, "finish_upsert", finish)
+    assert V.finish_upsert(spark, path, "p", staging) and rows(read()) == want
+    assert not V.finish_upsert(spark, path, "p", staging)             # nothing left to do
+    again = spark.createDataFrame([(1, 1, "newer")], "k int, p int, v string")
+    assert V.upsert_partitions(spark, path, again, ["k"], "p", staging) == [1]
+    assert rows(read().filter("k = 1")) == [(1, 1, "newer")] and read().count() == 30

@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 from . import textkit as tk
 
 WIDTH, STRIDE, FILTERS, BLOCK = 8, 4, 24, 256
-# The fitting sample: rows of each label, and the longest text that may be in it.
-SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 16_000
+# The fitting sample: rows of each label, and the bytes that all of them may have together. Texts
+# are in it whole, whatever their length.
+SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 32 << 20
 TILE = 1 << 15
 # A text shorter than this many bytes has had less chance to show any pattern: its share of each.
 FILLS = (64, 256, 1024)
@@ -154,23 +155,25 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-                rows: int = SAMPLE_ROWS, longest: int = SAMPLE_BYTES) -> ByteCNN:
-    """A model of ``label`` (0 or 1) from at most ``rows`` documents of each label, the first in
-    the order of a hash of their ids, none held out and none over ``longest`` bytes (a third more
-    are drawn to make up for those). Null ids, texts and labels are not learned from. Without
-    labelled documents every score is one half."""
+                rows: int = SAMPLE_ROWS, budget: int = SAMPLE_BYTES) -> ByteCNN:
+    """A model of ``label`` (0 or 1) from documents that are not held out: of each label the first in
+    the order of a hash of their ids, whole texts of any length, up to ``rows`` of them and until
+    the next one would take the label's sample over ``budget`` bytes (one at least). Null ids, texts and
+    labels are not learned from. Without labelled documents every score is one half."""
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id)) \
         .select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
     drawn = None
     for y in (0, 1):
         part = usable.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(rows * 4 // 3)
         drawn = part if drawn is None else drawn.union(part)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.octet_length("text") <= longest)
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.octet_length(text).alias("size")).filter("text IS NOT NULL")
     found = texts.join(F.broadcast(drawn.groupBy("id").agg(F.max("y").alias("y"))), "id")
     sample = []
     for y in (0, 1):
         best = found.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id", "text").limit(rows)
-        sample += [(r["text"].encode(), y) for r in best.select("text").collect()]
+        sizes = [r["size"] for r in best.select("size").collect()]
+        n = max(1, int(np.searchsorted(np.cumsum(sizes), budget, "right"))) if sizes else 0
+        sample += [(r["text"].encode(), y) for r in best.limit(n).select("text").collect()]
     model = ByteCNN()
     model.fit([t for t, _ in sample], [y for _, y in sample])
     return model

@@ -79,14 +79,8 @@ def line_fails(line: Column, rules: LineRules) -> Column:
     return let(strip(line), lambda t: (t != "") & judged(t))
 
 
-def quality_report(docs: DataFrame, text: str = "text", rules: LineRules = LineRules(), name: str = "quality") -> DataFrame:
-    """All columns of ``docs`` plus the struct ``name``: counts, ``base_failed``, ``kept``,
-    ``cleaned`` (the text without its failing lines, unchanged if none fails).
-
-    A null text counts as empty: no words, fails the base rule, not kept, ``cleaned`` null.
-    Lines without a word never fail and are kept as separators. Each row is judged by itself,
-    so repeated rows get equal results; an empty table gives an empty result. A column of that
-    name is replaced."""
+def report(text: str = "text", rules: LineRules = LineRules()) -> Column:
+    """The struct of ``quality_report``."""
     body = whole(text)
     lines = F.split(body, "\n", -1)
     with_word = lambda ls: F.filter(ls, lambda x: strip(x) != "")
@@ -118,11 +112,24 @@ def quality_report(docs: DataFrame, text: str = "text", rules: LineRules = LineR
             s["line_chars"].alias("line_chars"), s["kept_chars"].alias("kept_chars"),
             base.alias("base_failed"), (~base & enough).alias("kept"), cleaned.alias("cleaned"))
 
-    return docs.withColumn(name, let(counts, lambda c: let(spoken, lambda s: verdict(c, s))))
+    return let(counts, lambda c: let(spoken, lambda s: verdict(c, s)))
+
+
+def quality_report(docs: DataFrame, text: str = "text", rules: LineRules = LineRules(), name: str = "quality") -> DataFrame:
+    """All columns of ``docs`` plus the struct ``name``: counts, ``base_failed``, ``kept``,
+    ``cleaned`` (the text without its failing lines, unchanged if none fails).
+
+    A null text counts as empty: no words, fails the base rule, not kept, ``cleaned`` null.
+    Lines without a word never fail and are kept as separators. Each row is judged by itself,
+    so repeated rows get equal results; an empty table gives an empty result. A column of that
+    name is replaced."""
+    return docs.withColumn(name, report(text, rules))
 
 
 def clean(docs: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
     """The documents that pass, with the columns of ``docs`` and the cleaned text."""
     name = fresh(docs, "quality")
     columns = [F.col(name)["cleaned"].alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return quality_report(docs, text, rules, name).filter(F.col(name)["kept"]).select(*columns)
+    # The verdict comes out of a generator: a filter on it cannot move below, where it would be computed again.
+    kept = F.filter(F.array(report(text, rules)), lambda q: q["kept"])
+    return docs.select("*", F.explode(kept).alias(name)).select(*columns)

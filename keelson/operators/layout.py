@@ -253,10 +253,11 @@ def size_report(spark: SparkSession, path: str, target_bytes: int) -> DataFrame:
     """One row: rows, files, bytes, smallest and largest file, and whether every file has at most twice
     and, but for one of a table below that, at least half the target (L4, L5, L6)."""
     sizes = file_sizes(spark, path).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
-                                        F.min("length").alias("smallest"), F.max("length").alias("largest"))
+                                        F.min("length").alias("smallest"), F.max("length").alias("largest")).first()   # four numbers
+    fits = not sizes["files"] or (sizes["largest"] <= 2 * target_bytes and (sizes["smallest"] * 2 >= target_bytes or sizes["files"] == 1))
     rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-    fits = (F.col("largest") <= 2 * target_bytes) & ((F.col("smallest") * 2 >= target_bytes) | (F.col("files") == 1))
-    return rows.crossJoin(sizes).withColumn("fits", fits)
+    return rows.select("rows", *[F.lit(sizes[c]).cast("long").alias(c) for c in ("files", "bytes", "smallest", "largest")],
+                       F.lit(fits).alias("fits"))
 
 
 # The formats compared by the footprint report, CSV first (the base).

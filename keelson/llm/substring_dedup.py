@@ -85,12 +85,14 @@ def _segment_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, content long, id long, tid long, start int, n int")
 
 
-def _take_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+def _take_words(docs: DataFrame, wanted: DataFrame, window: int, several: bool) -> DataFrame:
     """``wanted`` (anchor, id, tid, start, n) with the words of each segment: text."""
     per_doc = written(wanted.groupBy(*DOC).agg(F.collect_list(F.struct("anchor", "start", "n")).alias("segments")), "substring-wanted")
     ids = written(per_doc.select(*DOC), "substring-ids")
-    # Of rows that repeat exactly one is read.
-    texts = docs.join(small_side(ids), DOC, "left_semi").dropDuplicates(DOC).join(per_doc, DOC)
+    texts = docs.join(small_side(ids), DOC, "left_semi")
+    if several:                                              # of rows that repeat exactly one is read
+        texts = texts.dropDuplicates(DOC)
+    texts = texts.join(per_doc, DOC)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +154,7 @@ def _later(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(firsts, key).filter(F.struct("id", "start") > F.col("first")).select("id", "tid", "start", "n")
 
 
-def _contested(docs: DataFrame, entries: DataFrame, window: int) -> DataFrame | None:
+def _contested(docs: DataFrame, entries: DataFrame, window: int, several: bool) -> DataFrame | None:
     """(id, tid, start, n): repeats among reference entries that share an anchor but not all words."""
     sizes = entries.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1")
     wanted = written(entries.join(sizes, "anchor"), "substring-contested")
@@ -160,7 +162,7 @@ def _contested(docs: DataFrame, entries: DataFrame, window: int) -> DataFrame |
     if not total:
         return None
     shards = math.ceil(total / SHARD_WORDS)
-    texts = written(_take_words(docs, wanted, window), "substring-texts")
+    texts = written(_take_words(docs, wanted, window, several), "substring-texts")
     crowded = written(wanted.filter(F.col("c") > ANCHOR_SEGMENTS).select("anchor").distinct(), "substring-crowded")
     schema = T.StructType([f for f in texts.schema.fields if f.name in ("id", "tid", "start", "n")])
     usual = texts if crowded.isEmpty() else texts.join(small_side(crowded), "anchor", "left_anti")
@@ -188,14 +190,14 @@ def _contested(docs: DataFrame, entries: DataFrame, window: int) -> DataFrame |
     return found.union(_later(windows, ["own"]))
 
 
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int, several: bool) -> DataFrame:
     """(id, tid, start, n): runs of ``n`` windows from word ``start`` on that stand earlier."""
     rows = _segment_rows(docs, window)
     shared = written(rows.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor"), "substring-anchors")
     kept = written(rows.join(shared.hint("merge"), "anchor"), "substring-segments")
     key = ["anchor", "content"]
     entries = kept.groupBy(*key).agg(F.min(F.struct("id", "start", "tid", "n")).alias("e")).select("anchor", "e.*")
-    found = _contested(docs, entries, window)
+    found = _contested(docs, entries, window, several)
     later = _later(kept, key)
     return later if found is None else later.union(found)
 
@@ -220,7 +222,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     several = not ids.groupBy("id").agg(F.count("*").alias("c")).filter(f"c > 1 OR id = {NO_ID}").isEmpty()
     own_text = F.xxhash64(F.coalesce(F.col(text), F.lit(""))) if several else F.lit(0).cast("long")
     slim = docs.select(own_id.alias("id"), own_text.alias("tid"), F.col(text).alias("text"))
-    marks = repeated_windows(slim, window).groupBy(*DOC).agg(
+    marks = repeated_windows(slim, window, several).groupBy(*DOC).agg(
         F.collect_set(F.struct("start", "n")).alias(marked)).withColumnsRenamed({"id": holder, "tid": twin})
     joined = docs.join(marks, (own_id == F.col(holder)) & (own_text == F.col(twin)), "left")
     at = docs.columns.index(text)

@@ -109,6 +109,16 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: Column | str | Sequence[str],
     return fact.join(dim, on, how)
 
 
+def weighed(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+    """``df`` with eight bytes a row that do not compress (a hash of ``cols``, which tell rows apart).
+
+    Adaptive execution goes by compressed bytes. Rows that are alike in all the columns a join keeps
+    take next to nothing in a shuffle, so a hot key's partition looks small however many rows it
+    holds, and is sorted in one task. With the hash kept through the join its bytes tell its rows,
+    and it is split. The hash must be used after the join, or the optimizer drops it."""
+    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in cols]))
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent (J8 / relationships test Q4); the
     parent keys are made DISTINCT (U3) before the anti-join."""

@@ -502,7 +502,11 @@ def _skewed_join(spark, sf_dir, mode):
         j = J.salted_join(k, s, "l_suppkey", "s_suppkey", max(16, J.salts_for(hot)),
                           salt_cols=["l_orderkey", "l_linenumber"], hot=list(hot))
     else:
+        # The largest hash of a group is asked for so that the rows keep their weight through the join.
+        k = J.weighed(k, ["l_orderkey", "l_linenumber"], "__row")
         j = J.join_dim(k, s, F.col("l_suppkey") == F.col("s_suppkey"), "inner", "merge")
+        return (j.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("lines"), F.max("__row").alias("__row"))
+                .filter(F.col("__row").isNotNull()).drop("__row"))
     return j.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("lines"))
 
 

@@ -63,3 +63,23 @@ def test_join_dim_salted_strategy(spark):
     plain = big.join(dim, big.k == dim.dk)
     salted = J.join_dim(big, dim, None, "inner", "salted", keys=("k", "dk"), salts=8)
     assert rows(salted) == rows(plain)
+
+
+def test_hot_key_of_equal_rows_is_split(spark, tmp_path):
+    from keelson.plans import registry
+    spark.range(400_000).select(
+        (F.col("id") % 50).alias("l_suppkey"), F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(2.0).alias("l_quantity")).repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(50).select(F.col("id").alias("s_suppkey"), (F.col("id") % 3).alias("s_nationkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    kept = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k"}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    try:
+        df = registry._skewed_join(spark, str(tmp_path), "plain")
+        got = {r["s_nationkey"]: r["lines"] for r in df.collect()}
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in kept:
+            spark.conf.unset(k)
+    assert got == {r["s_nationkey"]: r["lines"] for r in registry._skewed_join(spark, str(tmp_path), "salted").collect()}
+    assert sum(got.values()) == 400_000

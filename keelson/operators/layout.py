@@ -15,11 +15,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators.ranks import Cell, as_number, cells, doubles, search
+from keelson.operators.ranks import Cell, as_number, cells, doubles, with_position
 from keelson.session import scratch_path
 from keelson.sources import sinks
 
@@ -87,10 +87,11 @@ class SizePlan:
     def total(self) -> int:
         return self.base[-1] + self.files[-1]
 
-    def file(self, number: Column, salt: Column) -> Column:
-        g = search(F.coalesce(number.cast("double"), F.lit(-math.inf)), self.start[1:])
-        share = F.pmod(salt, F.get(doubles(self.files), g).cast("long"))
-        return (F.get(doubles(self.base), g).cast("long") + share).cast("int")
+    def with_file(self, df: DataFrame, name: str, number: str, salt: Column) -> DataFrame:
+        """``df`` with each row's file as the column ``name``."""
+        df = with_position(df, "__g", F.col(number), self.start[1:])
+        share = F.pmod(salt, F.get(doubles(self.files), F.col("__g")).cast("long"))
+        return df.withColumn(name, (F.get(doubles(self.base), F.col("__g")).cast("long") + share).cast("int")).drop("__g")
 
 
 def plan_files(summary: Sequence[Cell], per_file: float) -> SizePlan:
@@ -151,19 +152,23 @@ def sized_layout(df: DataFrame, number: Column, target_bytes: int, pilot_dir: st
     for _ in range(ROUNDS):                                        # from the second round on, pilots are real files
         step = max(1.0, plan.total / pilots)
         chosen = sorted({min(plan.total - 1, int(step / 2 + i * step)) for i in range(pilots)})
-        trial = (keyed.withColumn("__f", plan.file(F.col("__n"), salt)).filter(F.col("__f").isin(chosen))
-                 .withColumn("__slot", (search(F.col("__f").cast("double"), chosen) - 1).cast("int")))
+        trial = plan.with_file(keyed, "__f", "__n", salt).filter(F.col("__f").isin(chosen))
+        trial = with_position(trial, "__slot", F.col("__f"), chosen).withColumn("__slot", F.col("__slot") - 1)
         spot = f"{pilot_dir.rstrip('/')}/pilot-{uuid.uuid4().hex[:12]}"
-        (ordered(trial.repartitionById(len(chosen), "__slot")).select(*df.columns, "__slot")
+        # The weights of the trial files are summed up while they are written: no pass of their own.
+        seen = Observation()
+        sums = [f(F.when(F.col("__slot") == i, v)).alias(f"{name}{i}") for i in range(len(chosen))
+                for name, f, v in (("w", F.sum, F.col("__w")), ("n", F.avg, F.coalesce("__n", F.lit(raw[0].low))))]
+        (ordered(trial.repartitionById(len(chosen), "__slot")).observe(seen, *sums).select(*df.columns, "__slot")
          .write.partitionBy("__slot").parquet(spot))
         slot = F.regexp_extract("path", "__slot=([0-9]+)", 1).cast("int")
         wrote = {r[0]: r[1] for r in file_sizes(spark, spot).groupBy(slot).agg(F.sum("length")).collect()}
-        took = {r[0]: (r[1], r[2]) for r in trial.groupBy("__slot").agg(F.sum("__w"), F.avg(F.coalesce("__n", F.lit(raw[0].low)))).collect()}
+        took = {i: (seen.get[f"w{i}"], seen.get[f"n{i}"]) for i in range(len(chosen))}
         known = sorted((place, wrote[i] / w) for i, (w, place) in took.items() if w and wrote.get(i))
         if all(target_bytes * 0.6 < wrote.get(i, 0) < target_bytes * 1.6 for i in range(len(chosen))):
             break
         plan = plan_files(_scaled(raw, known), target_bytes)
-    return ordered(keyed.repartitionById(plan.total, plan.file(F.col("__n"), salt))).select(*df.columns)
+    return ordered(plan.with_file(keyed, "__f", "__n", salt).repartitionById(plan.total, "__f")).select(*df.columns)
 
 
 def _scaled(summary: Sequence[Cell], known: Sequence[tuple[float, float]]) -> list[Cell]:
@@ -220,9 +225,10 @@ def with_zorder_key(df: DataFrame, cols: Sequence[str], name: str, bits: int = 8
     """
     probs = [i / (2 ** bits) for i in range(1, 2 ** bits)]
     splits = df.approxQuantile(list(cols), probs, rel_error)
-    # A binary search in a literal array: a small expression, so a plan may repeat it.
     names = [f"__bucket_{i}" for i in range(len(cols))]
-    df = df.withColumns({n: search(F.col(c).cast("double"), sorted(set(s))).cast("bigint") for n, c, s in zip(names, cols, splits)})
+    for n, c, s in zip(names, cols, splits):
+        df = with_position(df, n, F.col(c).cast("double"), sorted(set(s)))
+    df = df.withColumns({n: F.col(n).cast("bigint") for n in names})
     z = F.lit(0).cast("bigint")
     for b in range(bits):
         for i, n in enumerate(names):

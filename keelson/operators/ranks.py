@@ -13,6 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -251,6 +252,19 @@ def search(c: Column, splits: Sequence[float]) -> Column:
                        lambda acc, s: F.when(F.coalesce(at(acc + s) <= c, F.lit(False)), acc + s).otherwise(acc))
 
 
+def with_position(df: DataFrame, name: str, c: Column, splits: Sequence[float]) -> DataFrame:
+    """``df`` with ``search(c, splits)`` as the column ``name``, by compiled binary search (Spark's
+    Bucketizer): passes over a large table spend no interpreted steps on a row. Nulls come before
+    all splits, NaN after them. Splits that repeat or are not finite are left to ``search``."""
+    splits = [float(s) for s in splits]
+    if not splits or not all(map(math.isfinite, splits)) or any(a >= b for a, b in zip(splits, splits[1:])):
+        return df.withColumn(name, search(c, splits))
+    value, at = f"{name}_value", f"{name}_at"
+    step = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=value, outputCol=at, handleInvalid="keep")
+    found = step.transform(df.withColumn(value, F.coalesce(c.cast("double"), F.lit(-math.inf))))
+    return found.withColumn(name, F.least(F.col(at), F.lit(float(len(splits)))).cast("int")).drop(value, at)
+
+
 @dataclass(frozen=True)
 class Cell:
     """A range of the order number with its weight."""
@@ -280,9 +294,9 @@ def cells(df: DataFrame, number: str, weight: str, share: float, rounds: int = 3
         kept = [c for c in wide if c not in heavy]
         each = max(2, buckets // len(heavy))
         x = F.col(number).cast("double")
-        which = search(x, [c.low for c in heavy]) - 1
         lows, highs = doubles([c.low for c in heavy]), doubles([c.high for c in heavy])
-        got = df.select(x.alias("x"), F.col(weight).alias("w"), which.alias("g")).filter(F.col("g") >= 0)
+        got = with_position(df.select(x.alias("x"), F.col(weight).alias("w")), "g", F.col("x"), [c.low for c in heavy])
+        got = got.withColumn("g", F.col("g") - 1).filter(F.col("g") >= 0)
         low, high = F.get(lows, F.col("g")), F.get(highs, F.col("g"))
         cell = F.least(F.floor((F.col("x") / 2 - low / 2) / (high / 2 - low / 2) * each), F.lit(each - 1))
         rows = (got.filter(F.col("x") <= high).groupBy("g", cell.alias("cell"))

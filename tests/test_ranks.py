@@ -109,3 +109,23 @@ def test_weighted_cells(spark):
     for c in found:
         assert c.weight == sum(w for x, w in rows if (-math.inf if x is None else x) >= c.low and (-math.inf if x is None else x) <= c.high)
     assert ranks.cells(df.limit(0), "x", "w", 0.1) == []
+
+
+def test_position_is_compiled_search(spark):
+    xs = [None, float("nan"), float("inf"), -float("inf"), -3.0, 0.0, 0.5, 1.0, 7.0, 1e300]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for splits in ([], [0.5], [-3.0, 0.0, 1.0, 7.0], [0.0, 0.0, 1.0], [-float("inf"), 0.0, float("inf")]):
+        got = ranks.with_position(df, "p", F.col("x"), splits).select("p", ranks.search(F.col("x"), splits).alias("q")).collect()
+        assert [r["p"] for r in got] == [r["q"] for r in got], splits
+
+
+def test_layout_passes_hold_no_interpreted_steps(spark):
+    from keelson.operators import layout as L
+    df = spark.range(2000).select("id", (F.col("id") * 7 % 100).alias("v"))
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan(L.with_zorder_key(df, ["id", "v"], "z"))
+    p = L.SizePlan((0.0, 10.0, 20.0), (0, 1, 3), (1, 2, 1))
+    filed = p.with_file(df.withColumn("n", F.col("v").cast("double")), "f", "n", F.xxhash64("id"))
+    assert "lambda" not in plan(filed)
+    for r in filed.collect():
+        assert r["f"] in ({0} if r["v"] < 10 else {1, 2} if r["v"] < 20 else {3})

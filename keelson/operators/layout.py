@@ -25,10 +25,19 @@ from keelson.sources import sinks
 
 # What a file should hold unless the caller says otherwise.
 TARGET_BYTES = 128 * 1024 * 1024
+# Rows a task should sort at once.
+FILE_ROWS = 2_000_000
 # Rounds of trial files at most: each is planned by what the one before has measured.
 ROUNDS = 4
 
 
+def files_for(df: DataFrame, least: int, rows: int = FILE_ROWS) -> int:
+    """Files for a sorted or shuffled layout: ``least`` of them, and so many for a larger table that
+    none holds more than about ``rows`` rows, since each file is one task's sort. Counts ``df``,
+    which should be a table."""
+    return max(least, -(-df.count() // rows))
+
+
 def sorted_layout(df: DataFrame, column: str | Column, files: int) -> DataFrame:
     """Range partition into ``files`` partitions on ``column``, sorted inside."""
     c = F.col(column) if isinstance(column, str) else column

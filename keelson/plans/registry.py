@@ -1356,11 +1356,13 @@ FROM raw, (SELECT unnest(['partitioned', 'shuffled', 'sorted']) AS layout)
 WHERE tpep_pickup_datetime >= TIMESTAMP '{ONE_DAY}' AND tpep_pickup_datetime < TIMESTAMP '{ONE_DAY}' + INTERVAL 1 DAY GROUP BY 1"""))
 def q_one_day_layouts(spark, sf_dir):
     """The one-day report on the trips partitioned by day, shuffled and sorted."""
-    trips = raw(spark, sf_dir).withColumn("day", F.to_date("tpep_pickup_datetime").cast("string"))
+    trips = S.materialize(raw(spark, sf_dir).withColumn("day", F.to_date("tpep_pickup_datetime").cast("string")),
+                          scratch_path(spark, "trips"))
+    files = L.files_for(trips, 8)
     paths = {x: scratch_path(spark, f"trips_{x}") for x in ("partitioned", "shuffled", "sorted")}
     S.write_partitioned(trips, paths["partitioned"], ["day"])
-    L.write_shuffled(trips, paths["shuffled"], 8)
-    L.write_sorted(trips, paths["sorted"], "tpep_pickup_datetime", 8)
+    L.write_shuffled(trips, paths["shuffled"], files)
+    L.write_sorted(trips, paths["sorted"], "tpep_pickup_datetime", files)
     out = None
     for layout, p in paths.items():
         df = R.read_partitioned(spark, p)

@@ -185,3 +185,31 @@ def test_sketches_of_parts_merge(spark):
     for r in X.sketched_quantiles(one, [0.01, 0.5, 0.99]).collect():
         assert abs(r["value"] / 60_000 - r["p"]) <= 0.02
     assert "Exchange hashpartitioning(k" not in X.sketches(df, "k", "v")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_of_a_layout_grow_with_the_table(spark):
+    df = spark.range(25)
+    assert [L.files_for(df, 2, 10), L.files_for(df, 8, 10), L.files_for(df.limit(0), 8, 10)] == [3, 8, 8]
+
+
+def test_one_day_layouts_sort_bounded_files(spark, sf_dir, monkeypatch):
+    from keelson.plans import registry
+    paths = []
+    monkeypatch.setattr(registry, "scratch_path", lambda s, n: paths.append(scratch_path(s, n)) or paths[-1])
+    monkeypatch.setattr(L.files_for, "__defaults__", (500,))
+    assert registry.QUERIES["one_day_layouts"](spark, sf_dir).count() == 3
+    for kind in ("trips_sorted", "trips_shuffled"):
+        path = next(p for p in paths if kind in p)
+        held = [r[0] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().select("count").collect()]
+        assert len(held) > 8 and max(held) < 1500 and sum(held) == domain.raw_trips(spark, sf_dir).count()
+
+
+def test_text_copies_of_the_trips_are_compressed(spark, sf_dir, monkeypatch):
+    from keelson.plans import registry
+    paths = []
+    monkeypatch.setattr(registry, "scratch_path", lambda s, n: paths.append(scratch_path(s, n)) or paths[-1])
+    got = registry.QUERIES["format_trio"](spark, sf_dir).collect()
+    assert {r["format"] for r in got} == {"csv", "json", "parquet"}
+    names = [r[0] for p in paths if "_csv" in p or "_json" in p
+             for r in spark.read.format("binaryFile").load(p).select("path").collect()]
+    assert names and all(n.endswith(".gz") for n in names)

@@ -87,6 +87,10 @@ def ingest_month(raw: DataFrame, bronze_path: str, month: str, source_file: str
 
 def silver_rename(bronze: DataFrame) -> DataFrame:
     """Surrogate key, rename + cast (P2) and derived columns computed once."""
+    return _derived(_renamed(bronze))
+
+
+def _renamed(bronze: DataFrame) -> DataFrame:
     pu, do = "tpep_pickup_datetime", "tpep_dropoff_datetime"
     return bronze.select(
         C.surrogate_key("VendorID", pu, do, "PULocationID", "DOLocationID", "total_amount").alias("trip_id"),
@@ -102,10 +106,18 @@ def silver_rename(bronze: DataFrame) -> DataFrame:
         F.col("tip_amount").cast("double").alias("tip_amount"),
         F.col("tolls_amount").cast("double").alias("tolls_amount"),
         F.col("total_amount").cast("double").alias("total_amount"),
-        C.minutes_between(pu, do, 2).alias("trip_minutes"),
-        F.to_date(pu).alias("pickup_date"),
-        C.year_month(pu).alias("pickup_month"),
-        F.hour(pu).alias("pickup_hour"),
+        "_source_file",
+        "_ingested_at",
+    )
+
+
+def _derived(renamed: DataFrame) -> DataFrame:
+    return renamed.select(
+        *[c for c in renamed.columns if not c.startswith("_")],
+        C.minutes_between("pickup_at", "dropoff_at", 2).alias("trip_minutes"),
+        F.to_date("pickup_at").alias("pickup_date"),
+        C.year_month("pickup_at").alias("pickup_month"),
+        F.hour("pickup_at").alias("pickup_hour"),
         "_source_file",
         "_ingested_at",
     )
@@ -177,9 +189,11 @@ def silver_trips(bronze: DataFrame, v: SilverVars = DEFAULT_VARS, target: DataFr
     rows at/after the target's watermark are transformed, then upserted into the
     target by ``trip_id`` (matched rows replaced, new rows inserted).
     """
-    src = since_watermark(bronze, target)
-    cleaned = silver_filter(silver_rename(src), v)
-    deduped = dedup_first(cleaned, ["trip_id"], ["_ingested_at"])
+    cleaned = silver_filter(_renamed(since_watermark(bronze, target)), v)
+    # The key goes through shuffles as its 16 bytes. The derived columns are made after the dedup: they
+    # follow from columns that break ties before them.
+    cleaned = cleaned.withColumn("trip_id", F.unhex("trip_id"))
+    deduped = _derived(dedup_first(cleaned, ["trip_id"], ["_ingested_at"]).withColumn("trip_id", F.lower(F.hex("trip_id"))))
     if target is None:
         return deduped
     return upsert(target, deduped, ["trip_id"], check_unique=False)

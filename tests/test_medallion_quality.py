@@ -8,6 +8,9 @@ from keelson.functions import columns as C
 from keelson.operators import quality as Q
 from keelson.plans import gold, registry
 from keelson.plans import medallion as M
+from keelson.session import scratch_path
+from keelson.sources import sinks as S
+from tests.helpers import rows
 
 RAW_SCHEMA = ("VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
               "passenger_count double, trip_distance double, PULocationID int, DOLocationID int, payment_type int, "
@@ -146,3 +149,14 @@ def test_incremental_watermark_and_idempotency(spark, sf_dir):
 def test_pushdown_reaches_scan(spark, sf_dir):
     plan = registry.silver(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "ReadSchema" in plan
+
+
+def test_silver_dedup_carries_no_derived_columns(spark, sf_dir):
+    from keelson.operators.keyed import dedup_first
+    from keelson.plans import registry
+    b = registry.bronze(spark, sf_dir).limit(800)
+    b = S.materialize(b.unionByName(b.limit(300)), scratch_path(spark, "twice"))
+    got = M.silver_trips(b)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "trip_minutes" not in plan[plan.index("min("):]
+    assert rows(got) == rows(dedup_first(M.silver_filter(M.silver_rename(b)), ["trip_id"], ["_ingested_at"]).select(*got.columns))

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import columns as C
+from keelson.operators.joins import fits_broadcast
 from keelson.operators.keyed import dedup_first
 from keelson.operators.versions import upsert
+from keelson.session import scratch_path
 from keelson.sources import sinks
 
 
@@ -196,7 +198,14 @@ def silver_trips(bronze: DataFrame, v: SilverVars = DEFAULT_VARS, target: DataFr
     deduped = _derived(dedup_first(cleaned, ["trip_id"], ["_ingested_at"]).withColumn("trip_id", F.lower(F.hex("trip_id"))))
     if target is None:
         return deduped
-    return upsert(target, deduped, ["trip_id"], check_unique=False)
+    # After the watermark few keys are in both: only keys are shuffled to find them, and where they are
+    # proven few the target streams past them.
+    both = sinks.materialize(target.select(F.unhex("trip_id").alias("trip_id")).join(cleaned.select("trip_id"), "trip_id", "left_semi")
+                             .distinct(), scratch_path(target.sparkSession, "matched_keys"))
+    if not fits_broadcast(both):
+        return upsert(target, deduped, ["trip_id"], check_unique=False)
+    kept = target.join(F.broadcast(both.select(F.lower(F.hex("trip_id")).alias("trip_id"))), ["trip_id"], "left_anti")
+    return kept.unionByName(deduped, allowMissingColumns=True)
 
 
 def silver_zones(seed: DataFrame) -> DataFrame:

@@ -160,3 +160,16 @@ def test_silver_dedup_carries_no_derived_columns(spark, sf_dir):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "trip_minutes" not in plan[plan.index("min("):]
     assert rows(got) == rows(dedup_first(M.silver_filter(M.silver_rename(b)), ["trip_id"], ["_ingested_at"]).select(*got.columns))
+
+
+def test_incremental_silver_shuffles_keys_only(spark, sf_dir, monkeypatch):
+    from keelson.plans import registry
+    b = registry.bronze(spark, sf_dir)
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    first = S.materialize(M.silver_trips(b.filter(F.col("tpep_pickup_datetime") < cut)), scratch_path(spark, "first"))
+    got = M.silver_trips(b, target=first)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(got) == rows(M.silver_trips(b))
+    monkeypatch.setattr(M, "fits_broadcast", lambda df: False)         # more matches than a broadcast takes
+    assert rows(M.silver_trips(b, target=first)) == rows(got)

@@ -808,7 +808,7 @@ def q_rerun_growth(spark, sf_dir):
     batch = S.materialize(silver(spark, sf_dir), scratch_path(spark, "growth_batch"))
     appended, upserted = scratch_path(spark, "appended"), None
     for run in range(3):
-        S.append(batch, appended)
+        S.append(batch, appended, codec="zstd")
         now = batch if upserted is None else Vr.upsert(upserted, batch, ["trip_id"], check_unique=False)
         upserted = S.materialize(now, scratch_path(spark, f"upserted_{run}"))
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias("rows")).select(

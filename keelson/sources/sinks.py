@@ -24,9 +24,11 @@ def clustered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in cols])
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), codec: str | None = None) -> None:
     """Append (K2). Not idempotent: every re-run adds the rows again (see M16)."""
     w = df.write.mode("append")
+    if codec is not None:
+        w = w.option("compression", codec)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

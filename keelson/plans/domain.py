@@ -56,6 +56,21 @@ def _junk(kind: str):
     return F.col(key) % n == 0
 
 
+# The kinds that go by the part: all a line item needs of its part key, a bit each.
+_BY_PART = [kind for kind, (key, _) in JUNK.items() if key == "l_partkey"]
+
+
+def _junk_bits():
+    bits = F.lit(0)
+    for i, kind in enumerate(_BY_PART):
+        bits = bits + F.when(_junk(kind), 1 << i).otherwise(0)
+    return bits
+
+
+def _has(kind: str):
+    return F.col("_junk").bitwiseAND(1 << _BY_PART.index(kind)) != 0
+
+
 _READERS: dict[tuple, DataFrame] = {}
 
 
@@ -73,20 +88,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip rows with the taxi column names (the ingest input). Each scan selects
-    only the columns used (P1), so Parquet reads just those."""
+    only the columns used (P1), so Parquet reads just those; what is needed of the part key, the flag and
+    the ship date goes through the shuffles as small numbers."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+         .when(F.col("l_returnflag") == "R", 3).otherwise(4).alias("payment_type"),
+        F.to_date("l_shipdate").alias("l_shipdate"), _junk_bits().alias("_junk"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     price_c = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    fare_c = F.floor(price_c / 250).cast("bigint") * F.when(_junk("refund"), -1).otherwise(1)
+    fare_c = F.floor(price_c / 250).cast("bigint") * F.when(_has("refund"), -1).otherwise(1)
     at = F.timestamp_add("MINUTE", (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 211) % 1440, F.col("o_orderdate"))
     pickup = (F.when(_junk("no_pickup"), F.lit(None).cast("timestamp_ntz"))
               .when(_junk("stray_year"), F.timestamp_add("YEAR", F.lit(100), at)).otherwise(at))
     minutes = (F.pmod(F.datediff("l_shipdate", "o_orderdate") * 7 + F.col("l_linenumber"), F.lit(120)) - 2
-               + F.when(_junk("long_trip"), 1000).otherwise(0))
+               + F.when(_has("long_trip"), 1000).otherwise(0))
     miles = F.col("l_quantity").cast("double")
     disc = F.round(F.col("l_discount") * 100).cast("bigint")
     tax = F.round(F.col("l_tax") * 100).cast("bigint")
@@ -103,12 +121,11 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.col("l_linenumber").cast("int").alias("VendorID"),
                pickup.alias("tpep_pickup_datetime"),
                F.timestamp_add("MINUTE", minutes, pickup).alias("tpep_dropoff_datetime"),
-               F.when(_junk("no_passengers"), 0.0).otherwise(miles).alias("passenger_count"),
-               F.when(_junk("no_miles"), 0.0).when(_junk("many_miles"), miles + 500).otherwise(miles).alias("trip_distance"),
-               F.when(_junk("no_zone"), 0).otherwise(F.col("c_nationkey") + 1).cast("bigint").alias("PULocationID"),
+               F.when(_has("no_passengers"), 0.0).otherwise(miles).alias("passenger_count"),
+               F.when(_has("no_miles"), 0.0).when(_has("many_miles"), miles + 500).otherwise(miles).alias("trip_distance"),
+               F.when(_has("no_zone"), 0).otherwise(F.col("c_nationkey") + 1).cast("bigint").alias("PULocationID"),
                (F.col("s_nationkey") + 1).cast("bigint").alias("DOLocationID"),
-               F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
-                .when(F.col("l_returnflag") == "R", 3).otherwise(4).alias("payment_type"),
+               "payment_type",
                fare_c.alias("_fare_c"), disc.alias("_disc"), tax.alias("_tax")))
     j = (j.withColumn("_tip_c", F.floor(F.col("_fare_c") * F.col("_disc") / 100))
           .withColumn("_tolls_c", F.floor(F.col("_fare_c") * F.col("_tax") / 100)))

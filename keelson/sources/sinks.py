@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.session import default_parallelism
+
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full overwrite (K1), the gold strategy. Never point ``path`` at a table this
@@ -24,9 +27,15 @@ def clustered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in cols])
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), codec: str | None = None) -> None:
+# Parquet options for large tables that are written and read whole: zstd, and the second page format,
+# whose delta encodings store sorted times in little and byte keys in their own length.
+COMPACT = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+
+
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), codec: str | None = None,
+           options: dict[str, str] | None = None) -> None:
     """Append (K2). Not idempotent: every re-run adds the rows again (see M16)."""
-    w = df.write.mode("append")
+    w = df.write.mode("append").options(**(options or {}))
     if codec is not None:
         w = w.option("compression", codec)
     if partition_by:
@@ -111,6 +120,41 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# Buckets of a table at most; Spark allows 100,000.
+MAX_BUCKETS = 10_000
+
+
+def buckets_for(spark: SparkSession) -> int:
+    """Buckets that go with the session's shuffles: as many as these have partitions or, where that is over
+    ``MAX_BUCKETS``, the largest number below it that divides them, so that a partition is in one bucket."""
+    n = default_parallelism(spark)
+    return next(b for b in range(min(n, MAX_BUCKETS), 0, -1) if n % b == 0)
+
+
+def materialize_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int,
+                         order: Sequence[str] = ()) -> DataFrame:
+    """``materialize`` as a table bucketed by ``keys``: two of them with as many buckets are merged or
+    joined on the keys without shuffling either. Rows are sorted by ``order`` inside a bucket; where
+    columns go with it they take less room.
+
+    Each bucket is one file where ``df`` is dealt by the same hash, that is shuffled by the same keys
+    (see ``buckets_for``) or read from such tables, which are scanned by bucket here. From any other frame
+    each task writes a file for every bucket it holds rows of. The table's name is of this session only.
+    """
+    spark = df.sparkSession
+    name = f"keelson_{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("overwrite").format("parquet").options(path=path, **COMPACT).bucketBy(buckets, *keys)
+    # A scan by bucket is else given up where no join asks for it, as that of a merge's source.
+    setting = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        (w.sortBy(*order) if order else w).saveAsTable(name)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.table(name)
+
+
 def run_noop(df: DataFrame) -> None:
     """Compute everything, write nothing (K10): the benchmark sink."""
     df.write.format("noop").mode("overwrite").save()

@@ -89,6 +89,69 @@ def test_rerun_growth(spark):
     assert got == {"append": 30, "upsert": 10}
 
 
+def test_growth_merges_shuffle_no_table(spark, sf_dir, monkeypatch):
+    # The batch is loaded by merges that shuffle neither the table nor the batch, however large both are
+    from keelson.operators.joins import needs_shuffle
+    from keelson.plans import registry
+    plain, merges = V.upsert, []
+
+    def upsert(target, source, keys, **kw):
+        merges.append(plain(target, source, keys, broadcast_max_rows=0, **kw))
+        return merges[-1]
+    monkeypatch.setattr(V, "upsert", upsert)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["strategy"]: r["rows"] for r in registry.QUERIES["rerun_growth"](spark, sf_dir).collect()}
+        shuffled = [needs_shuffle(m) for m in merges]
+        rows_of_merge = [m.count() for m in merges]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    n = registry.silver(spark, sf_dir).count()
+    assert got == {"append": 3 * n, "upsert": n} and rows_of_merge == [n, n]
+    assert shuffled == [False, False]
+
+
+def test_buckets_go_with_the_shuffles(spark):
+    from keelson.sources import sinks as S
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n, want in (("8", 8), ("200", 200), ("120000", 10_000), ("10007", 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert S.buckets_for(spark) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_upsert_of_bucketed_tables(spark):
+    # M1, K8: new, changed and untouched keys, null keys on both sides and keys found twice in the source
+    import re
+    from keelson.operators.joins import needs_shuffle
+    from keelson.session import scratch_path
+    from keelson.sources import sinks as S
+    setting = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(setting)
+    key = F.when(F.col("id") % 10 != 9, F.unhex(F.md5(F.col("id").cast("string")))).alias("k")
+    table = spark.range(0, 400, 1, 5).select(key, F.lit("old").alias("v"), (F.col("id") % 7).alias("at"))
+    source = spark.range(300, 500, 1, 3).select(key, F.lit("new").alias("v"), (F.col("id") % 5).alias("at"))
+    source = source.union(source.filter(F.col("at") == 0))
+    bucketed = [S.materialize_bucketed(x.repartition(8, "k"), scratch_path(spark, "b"), ["k"], 8, ["at"]) for x in (table, source)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = V.upsert(*bucketed, ["k"], check_unique=False, broadcast_max_rows=0)
+        assert not needs_shuffle(merged)
+        out = S.materialize_bucketed(merged, scratch_path(spark, "b"), ["k"], 8, ["at"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    want = V.upsert(table, source, ["k"], check_unique=False)
+    same = lambda df: sorted(map(str, df.collect()))
+    assert same(out) == same(want) and out.count() == 310 + 240
+    assert spark.conf.get(setting) == before
+    # a file holds one bucket, and its rows are sorted
+    files = out.select("at", F.col("_metadata.file_path").alias("f")).collect()
+    assert {re.search(r"_(\d{5})\.", r["f"]).group(1) for r in files} <= {f"{i:05d}" for i in range(8)}
+    assert all(x <= y for f in {r["f"] for r in files} for at in [[r["at"] for r in files if r["f"] == f]] for x, y in zip(at, at[1:]))
+
+
 def test_pinned_reader_does_not_see_later_commits(spark):
     # M8: a reader pinned at version v sees the same rows after new commits land
     c = changes(spark)

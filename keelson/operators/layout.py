@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators.ranks import Cell, as_number, cells, doubles, with_position
-from keelson.session import scratch_path
+from keelson.session import remove_path, scratch_path
 from keelson.sources import sinks
 
 # What a file should hold unless the caller says otherwise.
@@ -280,16 +280,20 @@ FOOTPRINT_FORMATS = [("csv", "csv", None), ("json", "json", None), ("parquet_non
                      ("parquet_snappy", "parquet", "snappy"), ("parquet_zstd", "parquet", "zstd")]
 
 
-def format_footprint(spark: SparkSession, df: DataFrame, directory: str) -> DataFrame:
+def format_footprint(spark: SparkSession, df: DataFrame, directory: str, keep: bool = True) -> DataFrame:
     """Same rows written as CSV, NDJSON and Parquet none/snappy/zstd (L7, K6, K7):
-    (format, bytes, ratio_to_csv)."""
-    parts = None
+    (format, bytes, ratio_to_csv). The bytes are those of the written files, counted as soon as a
+    format is written; without ``keep`` its files are removed then, so that there is never more than
+    one format on disk."""
+    counted = []
     for name, fmt, codec in FOOTPRINT_FORMATS:
         p = f"{directory.rstrip('/')}/{name}"
         sinks.write_as(df, p, fmt, codec)
-        one = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p)
-                    .filter(~F.col("path").rlike(r"/(_|\.)[^/]*$"))
-                    .agg(F.sum("length").alias("bytes")).select(F.lit(name).alias("format"), "bytes"))
-        parts = one if parts is None else parts.unionByName(one)
-    csv_bytes = parts.filter(F.col("format") == "csv").first()["bytes"]   # one scalar
-    return parts.select("format", "bytes", F.round(F.lit(csv_bytes) / F.col("bytes"), 2).alias("ratio_to_csv"))
+        counted.append((name, spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p)
+                        .filter(~F.col("path").rlike(r"/(_|\.)[^/]*$"))
+                        .agg(F.sum("length")).first()[0]))         # one scalar
+        if not keep:
+            remove_path(spark, p)
+    csv_bytes = dict(counted)["csv"]
+    return (spark.createDataFrame(counted, "format string, bytes long")
+            .select("format", "bytes", F.round(F.lit(csv_bytes) / F.col("bytes"), 2).alias("ratio_to_csv")))

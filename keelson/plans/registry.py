@@ -1082,7 +1082,7 @@ def q_layout_summary(spark, sf_dir):
 @register("format_footprint")
 def q_footprint(spark, sf_dir):
     """Bytes of orders as CSV, NDJSON, Parquet none/snappy/zstd (rows-only)."""
-    return L.format_footprint(spark, domain.table(spark, sf_dir, "orders"), scratch_path(spark, "footprint"))
+    return L.format_footprint(spark, domain.table(spark, sf_dir, "orders"), scratch_path(spark, "footprint"), keep=False)
 
 
 @register("csv_roundtrip", "SELECT * FROM orders")
@@ -1402,7 +1402,7 @@ def q_partition_totals(spark, sf_dir):
 @register("footprint_order", "SELECT 'parquet_zstd' AS smallest, 5 AS formats")
 def q_footprint_order(spark, sf_dir):
     """Which of the five formats takes the least room for lineitem."""
-    f = L.format_footprint(spark, _lineitem(spark, sf_dir), scratch_path(spark, "footprint"))
+    f = L.format_footprint(spark, _lineitem(spark, sf_dir), scratch_path(spark, "footprint"), keep=False)
     return f.agg(F.min_by("format", "bytes").alias("smallest"), F.count(F.lit(1)).cast("int").alias("formats"))
 
 

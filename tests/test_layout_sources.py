@@ -56,6 +56,46 @@ def test_inferred_csv_and_footprint(spark, sf_dir):
     assert fp["parquet_zstd"] < fp["csv"] < fp["json"]
 
 
+def test_footprint_has_one_format_on_disk_at_a_time(spark, monkeypatch):
+    # Every format is written whole; each makes room for the next once its bytes are counted
+    from keelson.session import path_exists
+    t = spark.range(0, 3000, 1, 3).select("id", (F.col("id") % 7).alias("n"), F.lit("text").alias("s"))
+    paths = {keep: scratch_path(spark, "fp") for keep in (True, False)}
+    names, plain, seen = [f[0] for f in L.FOOTPRINT_FORMATS], S.write_as, []
+    there = lambda root: [n for n in names if path_exists(spark, f"{root}/{n}")]
+
+    def write_as(df, path, fmt="parquet", codec=None, mode="overwrite"):
+        root, name = path.rsplit("/", 1)
+        before = there(root)
+        plain(df, path, fmt, codec, mode)
+        back = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+        seen.append((root, name, before, back.distinct().count()))
+    monkeypatch.setattr(S, "write_as", write_as)
+    got = {keep: [tuple(r) for r in L.format_footprint(spark, t, p, keep=keep).collect()] for keep, p in paths.items()}
+    assert got[True] == got[False] and len(got[False]) == 5
+    assert [x[1:] for x in seen if x[0] == paths[False]] == [(n, [], 3000) for n in names]
+    assert there(paths[True]) == names and there(paths[False]) == []
+    size = {n: sum(r[0] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{paths[True]}/{n}")
+                   .select("length").collect()) for n in names}
+    assert {r[0]: r[1] for r in got[False]} == size
+    assert {r[0]: r[2] for r in got[False]} == pytest.approx({n: size["csv"] / b for n, b in size.items()}, abs=0.0051)
+
+
+def test_footprint_queries_leave_no_files(spark, sf_dir, monkeypatch):
+    from keelson.plans import registry
+    from keelson.session import path_exists
+    made = []
+
+    def path(spark, name):
+        made.append(scratch_path(spark, name))
+        return made[-1]
+    monkeypatch.setattr(registry, "scratch_path", path)
+    assert registry.QUERIES["footprint_order"](spark, sf_dir).collect() == [("parquet_zstd", 5)]
+    assert registry.QUERIES["format_footprint"](spark, sf_dir).count() == 5
+    assert len(made) == 2
+    assert not [p for p in made for f in L.FOOTPRINT_FORMATS if path_exists(spark, f"{p}/{f[0]}")]
+
+
 def test_two_column_partitions_and_named_table(spark, sf_dir):
     ev = domain.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).withColumn("hour", F.hour("ts"))
     p = scratch_path(spark, "day_hour")
